@@ -1 +1,13 @@
+"""Registered queries and their SQL."""
 
+
+def flagship(spark, sf_dir):
+    raise NotImplementedError
+
+
+def queries():
+    return {}
+
+
+def oracle_sql():
+    return {}
