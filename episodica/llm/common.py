@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,3 +33,14 @@ def sha_hex(c: Column) -> Column:
 def partition_bytes(df: DataFrame) -> int:
     """Spark's own estimate of a plan's size; leaves are file or checkpoint sizes."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+
+
+def series_udf(fn: Callable[[pd.Series], pd.DataFrame], returns):
+    """A pandas UDF that turns batches of one text column into structs."""
+
+    def run(batches):
+        for batch in batches:
+            yield fn(batch)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
+    return F.pandas_udf(run, returns)

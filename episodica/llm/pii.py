@@ -18,16 +18,17 @@ are kept as they are. Repeated rows are each judged by themselves.
 from __future__ import annotations
 
 import functools
-import hashlib
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import series_udf
+
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_EXAMPLES = 4000
 SEED = 17
@@ -286,18 +287,16 @@ def detect(df: DataFrame, text_col: str = "text", out: str = "pii", with_redacte
     """Adds the struct ``out``: base counts by kind, base and all spans, and the redacted text."""
     trees, bars = model()
 
-    @F.pandas_udf(_FOUND)
-    def found(texts: Iterator) -> Iterator:
-        import pandas as pd
+    said = lambda xs: ",".join(f"{k}:{s}:{e}" for k, s, e in xs)
 
-        for batch in texts:
-            rows = []
-            for t in batch:
-                base, spans = find(t, trees, bars)
-                said = lambda xs: ",".join(f"{k}:{s}:{e}" for k, s, e in xs)
-                rows.append([len(base[k]) for k in KINDS] + [said((k, s, e) for k in KINDS for s, e in base[k]), said(spans), redact(t, spans) if with_redacted else None])
-            yield pd.DataFrame(rows, columns=[f.name for f in _FOUND])
+    def judge(batch: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in batch:
+            base, spans = find(t, trees, bars)
+            rows.append([len(base[k]) for k in KINDS] + [said((k, s, e) for k in KINDS for s, e in base[k]), said(spans), redact(t, spans) if with_redacted else None])
+        return pd.DataFrame(rows, columns=[f.name for f in _FOUND])
 
+    found = series_udf(judge, _FOUND)
     return df.withColumn(out, found(F.col(text_col)))
 
 
@@ -316,6 +315,3 @@ def scrub(df: DataFrame, text_col: str = "text", n_chars_col: str | None = "n_ch
             cols.append(F.col(f"`{c}`"))
     return got.select(*cols)
 
-
-def digest(spans: str) -> str:
-    return hashlib.sha256(spans.encode()).hexdigest()

@@ -16,5 +16,58 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *[F.col(f"pii.n_{k}").alias(f"n_{k}") for k in pii.KINDS], sha_hex(F.col("pii.base_spans")).alias("base_sha256"), F.col("pii.spans").alias("spans"))
 
 
-QUERIES = {"op1_pii": op1_pii}
-ORACLE_SQL: dict[str, str] = {}
+def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import chat
+
+    added = spark.sql(r"select -7L as conv_id, t as turn, if(t = 0, 'user', 'assistant') as role, '</s>[INST] ok [/INST]' as text from (select explode(array(0L, 1L)) as t)")
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
+    done = chat.format_conversations(talks)
+    back = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("segments")).alias("loss"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), sha_hex(said).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"), sha_hex(F.col("loss")).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def op3_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontam
+
+    got = decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), sha_hex(F.array_join("items", ",")).alias("items_sha256"), "contaminated")
+
+
+QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam}
+
+_OP2 = r"""
+with rows as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all values (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')
+), coded as (
+  select *, lag(role) over w as before, lead(role) over w as behind,
+    length(replace(replace(replace(replace(replace(replace(text, '\', '\\'), '<|', '<\|'), '</s>', '<\/s>'), '<s>', '<\s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]')) as n,
+    length(replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<', '%3C')) as n_role
+  from rows window w as (partition by conv_id order by turn, role, text)
+)
+select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+  coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  sum(n + case when before is distinct from role then n_role + 9 else 8 end + case when behind is distinct from role then 7 else 0 end)::bigint as formatted_chars
+from coded group by conv_id
+"""
+
+_OP3 = r"""
+with d as (select doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w from documents),
+b as (select item_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') as w from benchmark),
+bw as (select item_id, least(len(w), 13) as n, unnest(list_transform(range(1, len(w) - least(len(w), 13) + 2), lambda i: array_to_string(w[i:i + least(len(w), 13) - 1], ' '))) as win from b where len(w) > 0),
+lens as (select distinct n from bw),
+dw as (select doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') as win from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) as s from d, lens where len(w) >= n)),
+hit as (select doc_id, item_id, s, bw.n as n from dw join bw on dw.win = bw.win and dw.n = bw.n),
+pos as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(s, s + n)) as p from (select distinct doc_id, s, n from hit)) group by doc_id),
+ids as (select doc_id, string_agg(id, ',' order by id) as ids, count(*) as n_items from (select distinct doc_id, item_id::varchar as id from hit) group by doc_id)
+select d.doc_id, coalesce(len(w), 0)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, coalesce(n_items, 0)::bigint as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= coalesce(len(w), 0) as contaminated
+from d left join pos using (doc_id) left join ids using (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_chat": _OP2, "op3_decontam": _OP3}
