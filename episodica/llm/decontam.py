@@ -54,13 +54,14 @@ def fingerprints(df: DataFrame, keys: list[str], lengths: list[int]) -> DataFram
     whole = f"if(size(g) >= {W}, transform(slice(m, 1, size(g) - {W - 1}), (x, i) -> least(x, get(g, i + {W - 1}))), cast(array() as array<bigint>))"
     d = d.select(*keys, "h", F.array_distinct(F.expr(whole)).alias("f"))
     parts = [F.col("f")] + [F.array_distinct(_grams("h", n)) for n in lengths]
-    return d.select(*keys, F.explode(F.concat(*parts) if lengths else parts[0]).alias("fp"))
+    # explode() would have Catalyst test the array's size first, with every step above written out again inside the next
+    return d.select(*keys, F.explode_outer(F.concat(*parts) if lengths else parts[0]).alias("fp")).where("fp is not null")
 
 
 def _item_windows(items: DataFrame) -> DataFrame:
     """Every window of every item: item_id, len, win."""
     return items.select("item_id", F.expr(f"least(size(words), {WINDOW})").alias("len"), "words").select(
-        "item_id", "len", F.explode(F.expr("transform(sequence(0, size(words) - len), i -> array_join(slice(words, i + 1, len), ' '))")).alias("win")
+        "item_id", "len", F.explode_outer(F.expr("transform(sequence(0, size(words) - len), i -> array_join(slice(words, i + 1, len), ' '))")).alias("win")
     )
 
 
@@ -92,7 +93,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
     for n in lengths:
         d = d.withColumn(f"g{n}", _grams("h", n))
         spots.append(F.expr(f"transform({near.format(g=f'g{n}')}, s -> struct(s as s, {n} as len, array_join(slice(words, s + 1, {n}), ' ') as win))"))
-    d = d.select("doc_id", "th", F.explode(F.concat(*spots) if lengths else spots[0]).alias("w")).select("doc_id", "th", "w.*")
+    d = d.select("doc_id", "th", F.explode_outer(F.concat(*spots) if lengths else spots[0]).alias("w")).select("doc_id", "th", "w.*").where("win is not null")
     matched = d.join(_small(windows, broadcast_bytes), ["len", "win"])
     covered = F.expr("size(array_distinct(flatten(transform(spans, x -> sequence(x.s, x.s + x.len - 1)))))")
     per = matched.groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "len")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items"))
