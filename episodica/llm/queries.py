@@ -43,7 +43,16 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.interleave(table(spark, sf_dir, "documents").select("doc_id", "source"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing}
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import secrets
+
+    got = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+    got = got.withColumn("base", F.filter("secrets", lambda x: x["k"] < 3))
+    counts = [F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
+    return got.select("doc_id", *counts, sha_hex(secrets.said(F.col("base"))).alias("base_sha256"), secrets.said(F.col("secrets")).alias("spans"))
+
+
+QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets}
 
 _OP2 = r"""
 with rows as (
