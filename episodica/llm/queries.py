@@ -52,7 +52,29 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *counts, sha_hex(secrets.said(F.col("base"))).alias("base_sha256"), secrets.said(F.col("secrets")).alias("spans"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    got = toxicity.score(docs, model)
+    return got.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import urlfilter
+
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url")).select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    got = quality.assess(table(spark, sf_dir, "documents").select("doc_id", "text"), with_cleaned=False)
+    return got.select("doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
+
+
+QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality}
 
 _OP2 = r"""
 with rows as (
@@ -106,4 +128,12 @@ select doc_id, source, (pos // 32)::bigint as block, (pos % 32)::int as place, (
 from numbered join shares using (key) join plan on plan.key = numbered.key and plan.job = (pos // 32) % q
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_chat": _OP2, "op3_decontam": _OP3, "op4_mixing": _OP4}
+_OP9 = r"""
+with u as (select page_id, url, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) end as rest from pages),
+p as (select page_id, coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host, coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') as path from u),
+r(h, q, v) as (values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+m as (select p.*, h || q as rule, v, row_number() over (partition by page_id order by length(h || q) desc) as k from p left join r on (host = h or ends_with(host, '.' || h)) and starts_with(path, q))
+select page_id, host, path, rule, coalesce(v, 'allow') as verdict from m where k = 1
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_chat": _OP2, "op3_decontam": _OP3, "op4_mixing": _OP4, "op9_urls": _OP9}
