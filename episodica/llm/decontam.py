@@ -84,7 +84,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
     found = hits.groupBy("doc_id", "th").agg(F.collect_set("fp").alias("fps"))
 
     same = F.expr("a.doc_id <=> b.doc_id and a.th <=> b.th")
-    d = own.alias("a").join(found.alias("b"), same).select("a.doc_id", "a.th", "a.words", "b.fps")
+    # texts are shuffled here, which take less room than their arrays of words
+    d = keyed.alias("a").join(found.alias("b"), same).select("a.doc_id", "a.th", words(F.col("a.text")).alias("words"), "b.fps")
     d = d.select("doc_id", "th", "words", "fps", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
     near = "filter(transform({g}, (x, i) -> if(array_contains(fps, x), i, null)), i -> i is not null)"
     starts = f"array_distinct(flatten(transform({near.format(g='g')}, p -> sequence(greatest(p - {W - 1}, 0), p))))"
