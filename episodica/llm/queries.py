@@ -74,7 +74,14 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality}
+def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import html
+
+    got = html.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return got.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op7_html": op7_html, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality}
 
 _OP2 = r"""
 with rows as (
