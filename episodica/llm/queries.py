@@ -81,7 +81,13 @@ def op7_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op7_html": op7_html, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality}
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import ngram_join
+
+    return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_ngram_join": op6_ngram_join, "op7_html": op7_html, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality}
 
 _OP2 = r"""
 with rows as (
