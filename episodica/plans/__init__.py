@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import motion, scoring
+    from . import legacy, motion, scoring
 
-    return [motion, scoring]
+    return [motion, scoring, legacy]
 
 
 def queries() -> dict:
