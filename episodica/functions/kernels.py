@@ -78,14 +78,18 @@ def robust_z(v: Column, median: Column | float, mad: Column | float) -> Column:
 
 def combine(parts: Mapping[str, tuple[Column, float]], mode: str = "geometric") -> Column:
     """Weighted mean over the measurable parts of positive weight; NULL when there are none."""
-    total = value = F.lit(0.0)
-    for score, weight in parts.values():
-        if weight > 0:
-            total = total + F.when(score.isNotNull(), F.lit(float(weight))).otherwise(0.0)
-            one = F.ln(F.greatest(score, F.lit(FLOOR))) if mode == "geometric" else score
-            value = value + F.when(score.isNotNull(), weight * one).otherwise(0.0)
-    mean = F.try_divide(value, total)
-    return F.exp(mean) if mode == "geometric" else mean
+    # each part stands once in the expression, so that expressions over scores don't multiply in size
+    rows = [F.struct(score.cast("double").alias("s"), F.lit(float(weight)).alias("w")) for score, weight in parts.values() if weight > 0]
+    if not rows:
+        return F.lit(None).cast("double")
+
+    def add(a: Column, x: Column) -> Column:
+        one = F.ln(F.greatest(x["s"], F.lit(FLOOR))) if mode == "geometric" else x["s"]
+        return F.when(x["s"].isNull(), a).otherwise(F.struct((a["v"] + x["w"] * one).alias("v"), (a["w"] + x["w"]).alias("w")))
+
+    mean = lambda a: F.try_divide(a["v"], a["w"])
+    start = F.struct(F.lit(0.0).alias("v"), F.lit(0.0).alias("w"))
+    return F.aggregate(F.array(*rows), start, add, (lambda a: F.exp(mean(a))) if mode == "geometric" else mean)
 
 
 def smoothstep(u: Column) -> Column:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import legacy, motion, scoring
+    from . import legacy, motion, reports, scoring
 
-    return [motion, scoring, legacy]
+    return [motion, scoring, legacy, reports]
 
 
 def queries() -> dict:

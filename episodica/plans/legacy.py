@@ -132,7 +132,7 @@ _GR = """with g as (select vec_id, label, list_transform(embedding, lambda x: le
 px as (select vec_id, label, p, p // 8 as r, p % 8 as c, gray, gray[p + 1] as v from (select *, unnest(range(64)) as p from g)),
 mi as (select *, case when r = 0 then 1 else r - 1 end as ru, case when r = 7 then 6 else r + 1 end as rd, case when c = 0 then 1 else c - 1 end as cl, case when c = 7 then 6 else c + 1 end as cr from px),
 la as (select vec_id, label, v, gray[ru * 8 + c + 1] + gray[rd * 8 + c + 1] + gray[r * 8 + cl + 1] + gray[r * 8 + cr + 1] - 4 * v as lap from mi),
-st as (select vec_id, any_value(label) as label, var_pop(lap) as sharpness, avg(v) as brightness, stddev_pop(v) as contrast, avg((v > 250 or v < 5)::int) as clipped from la group by vec_id)"""
+st as (select vec_id, any_value(label) as label, (sum(lap * lap) * 64 - sum(lap) * sum(lap))::double / 4096 as sharpness, avg(v) as brightness, sqrt((sum(v * v) * 64 - sum(v) * sum(v))::double / 4096) as contrast, avg((v > 250 or v < 5)::int) as clipped from la group by vec_id)"""
 
 
 def _gray_stats(spark, sf_dir):

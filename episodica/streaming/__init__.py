@@ -1 +1,30 @@
+"""Verdict logs as a stream. The batch engine doesn't need this; it is an addition."""
 
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions.verdicts import latest
+from ..sources.datasets import VERDICTS
+
+
+def verdict_stream(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.readStream.schema(VERDICTS).json(folder)
+
+
+def upsert(stream: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
+    """Each batch's verdicts are appended with the batch's number; read them with ``current``."""
+    from pyspark.sql import functions as F
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.withColumn("line", F.monotonically_increasing_id()).withColumn("batch", F.lit(number)).write.mode("append").parquet(table_path)
+
+    return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def current(spark: SparkSession, table_path: str) -> DataFrame:
+    """The last verdict of each (video, task)."""
+    from pyspark.sql import functions as F
+
+    return latest(spark.read.parquet(table_path).withColumn("__order", F.struct("batch", "line")), "__order").drop("__order", "batch", "line")
