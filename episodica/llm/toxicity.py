@@ -48,26 +48,32 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def hashed(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Feature numbers of all texts, one after another and distinct within a text, and where each text's begin."""
+def hashed(texts: list[str | None], wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of all texts, one after another and distinct within a text, and where each text's begin.
+
+    wanted: a flag for each slot; others are left out before the rest is sorted.
+    """
     flat = pc.utf8_lower(pa.array([t or "" for t in texts], pa.large_string()))
-    flat = pc.utf8_trim_whitespace(pc.replace_substring_regex(flat, r"[^\p{L}\p{N}]+", " "))
+    flat = pc.utf8_trim_whitespace(pc.replace_substring_regex(flat, r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", " "))
     lists = pc.split_pattern(flat, " ")
     offsets = np.asarray(lists.offsets)
     coded = lists.flatten().dictionary_encode() if len(lists) else pa.array([], pa.large_string()).dictionary_encode()
-    own = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.to_pylist()], np.uint64)
-    ids = np.asarray(coded.indices)
-    h, doc = own[ids] if len(ids) else np.zeros(0, np.uint64), np.repeat(np.arange(len(texts)), np.diff(offsets))
-    blank = np.array([not w for w in coded.dictionary.to_pylist()], bool)
-    real = ~blank[ids] if len(ids) else np.zeros(0, bool)
-    h, doc = h[real], doc[real]
+    vocabulary = coded.dictionary.to_pylist()
+    own = np.fromiter((xxhash.xxh64_intdigest(w) for w in vocabulary), np.uint64, len(vocabulary))
+    ids, doc = np.asarray(coded.indices), np.repeat(np.arange(len(texts)), np.diff(offsets))
+    real = np.array([bool(w) for w in vocabulary], bool)[ids] if len(ids) else np.zeros(0, bool)
+    h, doc = own[ids[real]] if len(ids) else np.zeros(0, np.uint64), doc[real]
     parts, docs = [h * _MIX[0]], [doc]
     for k in _SKIPS:
         same = doc[:-k] == doc[k:]
         parts.append((h[:-k][same] * _MIX[k] + h[k:][same] * _MIX[0]) * _MIX[k])
         docs.append(doc[:-k][same])
     slots = np.concatenate(parts) >> np.uint64(64 - BITS)
-    both = np.unique(np.concatenate(docs).astype(np.uint64) << np.uint64(BITS) | slots)
+    at = np.concatenate(docs)
+    if wanted is not None:
+        kept = wanted[slots]
+        slots, at = slots[kept], at[kept]
+    both = np.unique(at.astype(np.uint64) << np.uint64(BITS) | slots)
     doc, slots = (both >> np.uint64(BITS)).astype(np.int64), (both & np.uint64((1 << BITS) - 1)).astype(np.int64)
     return slots, np.searchsorted(doc, np.arange(len(texts) + 1))
 
@@ -87,7 +93,7 @@ class Model:
         for i, t in enumerate(texts):
             size += len(t or "")
             if size >= SLICE_CHARS or i == len(texts) - 1:
-                slots, starts = hashed(texts[at : i + 1])
+                slots, starts = hashed(texts[at : i + 1], dense != 0)
                 sums = np.concatenate([[0.0], np.cumsum(dense[slots], dtype=np.float64)])
                 out.append(sums[starts[1:]] - sums[starts[:-1]])
                 at, size = i + 1, 0
@@ -97,13 +103,14 @@ class Model:
 def ftrl(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     feats: list[np.ndarray] = []
-    for at in range(0, len(texts), 256):
-        slots, starts = hashed(texts[at : at + 256])
-        feats += [slots[a:b] for a, b in zip(starts[:-1], starts[1:])]
     seen = np.zeros(1 << BITS, np.int32)
-    for f in feats:
-        seen[f] += 1
-    feats = [np.append(f[seen[f] >= MIN_TEXTS], 1 << BITS) for f in feats]
+    for at in range(0, len(texts), 128):
+        slots, starts = hashed(texts[at : at + 128])
+        for a, b in zip(starts[:-1], starts[1:]):
+            seen[slots[a:b]] += 1
+            feats.append(slots[a:b].astype(np.int32))
+    for k, f in enumerate(feats):
+        feats[k] = np.append(f[seen[f] >= MIN_TEXTS], np.int32(1 << BITS))
 
     def weights(i: np.ndarray) -> np.ndarray:
         zi = z[i]
@@ -132,7 +139,9 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     if not rows:
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), float(np.log(PRIOR / (1 - PRIOR))))
     rows.sort(key=lambda r: (r["h"], r["text"]))
-    return ftrl([r["text"] for r in rows], [int(r["toxic"] > 0) for r in rows])
+    texts, marks = [r["text"] for r in rows], [int(r["toxic"] > 0) for r in rows]
+    del rows
+    return ftrl(texts, marks)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
