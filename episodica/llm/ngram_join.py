@@ -227,7 +227,8 @@ def _buckets(classes: DataFrame, n_runs: int) -> DataFrame:
     node = F.transform(F.sequence(F.lit(0), F.lit(n_runs - 1)), lambda r: F.xxhash64(r, F.get("sig", r)))
     rows, done = classes.select("cid", F.explode(node).alias("bucket")), []
     for depth in range(DEPTH):
-        sizes = rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
+        # written first, so that a very large bucket is an input that adaptive execution can split
+        sizes = settle(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
         sized = settle(rows.join(sizes, "bucket"))
         done.append(sized.where(F.col("size") <= SMALL))
         large = sized.where(F.col("size") > SMALL)
@@ -241,7 +242,7 @@ def _buckets(classes: DataFrame, n_runs: int) -> DataFrame:
         split = large.join(classes.select("cid", "sig"), "cid").select("bucket", "size", "cid", F.explode(F.array(one, other)).alias("c"), "sig")
         split = settle(split.select("bucket", "size", "cid", "c", F.xxhash64("bucket", "c", F.get("sig", (F.col("c") + n_runs).cast("int"))).alias("child")))
         rates = split.groupBy("bucket", "size", "child").agg(F.count("*").alias("m")).groupBy("bucket", "size").agg((F.sum(F.col("m") * F.col("m")) / 2 / F.col("size") / F.col("size")).alias("rate"))
-        alike = rates.where(F.col("rate") >= ALIKE).select("bucket")
+        alike = settle(rates.where(F.col("rate") >= ALIKE).select("bucket"))
         done.append(large.join(alike, "bucket", "left_semi"))
         rows = split.join(alike, "bucket", "left_anti").select("cid", F.col("child").alias("bucket"))
     out = done[0].select("bucket", "size", "cid")
