@@ -84,7 +84,7 @@ def shingles(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     long = np.arange(n) + WORDS <= starts[doc + 1] if n else np.zeros(0, bool)
     value = np.zeros(n, np.uint64)
     for j in range(WORDS):
-        value[: n - j] += h[j:] * _ODD[j]
+        value[: max(n - j, 0)] += h[j:] * _ODD[j]
     flat, where = value[long], doc[long]
     few = np.nonzero((counts > 0) & (counts < WORDS))[0]
     if len(few):
@@ -127,9 +127,8 @@ def _sign(batches, n_signs: int):
                 for k in range(n_signs):
                     sig[full, k] = np.minimum.reduceat(_mix(flat, 30 + k), starts[:-1][full]).view(np.int64)
             cid = _identity(flat, starts)
-            out.append(pd.DataFrame({"cid": [int(c) if f else None for c, f in zip(cid, full)], "n": n.astype(np.int32), "sig": list(sig)}))
-        rows = pd.concat(out, ignore_index=True) if out else pd.DataFrame({"cid": [], "n": [], "sig": []})
-        rows["cid"] = rows["cid"].astype("Int64")
+            out.append(pd.DataFrame({"cid": pd.arrays.IntegerArray(cid.copy(), ~full), "n": n.astype(np.int32), "sig": list(sig)}))
+        rows = pd.concat(out, ignore_index=True) if out else pd.DataFrame({"cid": pd.array([], "Int64"), "n": [], "sig": []})
         yield pd.concat([batch[["doc_id", "th"]].reset_index(drop=True), rows], axis=1)
 
 
@@ -180,7 +179,7 @@ def _tile(rows: list[tuple]) -> list[tuple[int, int, int]]:
     """cid, least cid of its component in the tile, links counted here."""
     cids = [r[1] for r in rows]
     sides = np.array([r[2] for r in rows])
-    left = None if (sides == sides[0]).all() else sides == sides[0]
+    left = None if sides[0] == 0 else sides == 1
     i, j = similar([r[4] for r in rows], left)
     if not len(i):
         return []
@@ -259,7 +258,9 @@ def _tile_rows(buckets: DataFrame) -> DataFrame:
     large = buckets.where(F.col("size") > SMALL).distinct().withColumn("nb", F.ceil(F.col("size") / TILE).cast("int"))
     large = large.withColumn("side", F.pmod(F.xxhash64("cid", "bucket"), F.col("nb")).cast("int"))
     spread = large.select("bucket", "cid", "side", F.explode(F.expr("sequence(0, nb - 1)")).alias("o"))
-    many = spread.select(F.xxhash64("bucket", F.least("side", "o"), F.greatest("side", "o")).alias("tile"), "bucket", "cid", "side")
+    # a tile of two blocks has sides 1 and 2, a tile of one block has side 0
+    side = F.when(F.col("side") == F.col("o"), 0).when(F.col("side") < F.col("o"), 1).otherwise(2)
+    many = spread.select(F.xxhash64("bucket", F.least("side", "o"), F.greatest("side", "o")).alias("tile"), "bucket", "cid", side.alias("side"))
     return one.unionByName(many)
 
 
