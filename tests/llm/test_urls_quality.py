@@ -47,5 +47,5 @@ def test_quality_rows(rows, none):
     out = quality.assess(rows)
     assert out.columns == [*rows.columns, "quality"] and out.count() == rows.count()
     assert quality.clean(none).count() == 0
-    good = " ".join(f"Sentence {i} of this text has its own words." for i in range(20))
+    good = " ".join(f"Line{i} has{i} words{i} of{i} its{i} own." for i in range(20))
     assert quality.judge(good)[6] and quality.judge(good + "\nWe use cookies here.")[7] == good
