@@ -57,10 +57,15 @@ def hysteresis(x: Column, w: WindowSpec, threshold: float, band: float) -> Colum
 WindowUnbounded = -(1 << 63)
 
 
+def clip(v: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
+    """Cut to [lo, hi]; NULL stays NULL (greatest and least alone would skip it)."""
+    return F.when(v.isNotNull(), F.greatest(F.lit(float(lo)), F.least(F.lit(float(hi)), v)))
+
+
 def ramp(v: Column, lo: Column | float, hi: Column | float) -> Column:
     """(v - lo) / (hi - lo) cut to [0, 1]; 0 where not measurable or lo = hi."""
     lo, hi = _col(lo), _col(hi)
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.try_divide(v - lo, hi - lo))), F.lit(0.0))
+    return F.coalesce(clip(F.try_divide(v - lo, hi - lo)), F.lit(0.0))
 
 
 def gauss(z: Column, fast: float = 2.0, slow: float = 1.25) -> Column:
@@ -69,7 +74,7 @@ def gauss(z: Column, fast: float = 2.0, slow: float = 1.25) -> Column:
 
 
 def decay(v: Column, ref: float) -> Column:
-    return F.coalesce(F.exp(-F.greatest(v, F.lit(0.0)) / ref), F.lit(0.0)) if ref > 0 else F.lit(0.0)
+    return F.when(v.isNotNull(), F.exp(-F.greatest(v, F.lit(0.0)) / ref)).otherwise(0.0) if ref > 0 else F.lit(0.0)
 
 
 def robust_z(v: Column, median: Column | float, mad: Column | float) -> Column:
@@ -93,7 +98,7 @@ def combine(parts: Mapping[str, tuple[Column, float]], mode: str = "geometric")
 
 
 def smoothstep(u: Column) -> Column:
-    c = F.greatest(F.lit(0.0), F.least(F.lit(1.0), u))
+    c = clip(u)
     return 3 * c * c - 2 * c * c * c
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.kernels import clip
 from .measure import by_joint, ep
 
 #: The earlier interface's weights and the good/bad cut.
@@ -45,14 +46,14 @@ def path_scores(samples: DataFrame) -> DataFrame:
         F.exp(-4 * F.avg(F.col("miss").cast("double"))).alias("actuator_saturation"),
     )
     got = per.join(ends, "episode")
-    efficiency = F.when(F.col("path") < 1e-6, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("straight") / F.col("path"))))
+    efficiency = F.when(F.col("path") < 1e-6, 0.0).otherwise(clip(F.col("straight") / F.col("path")))
     return got.select("episode", "smoothness", efficiency.alias("path_efficiency"), "idle_velocity", "collision", F.exp(-F.col("late") / 0.05).alias("joint_stability"), "actuator_saturation")
 
 
 def gripper(grip: Column) -> Column:
     """Aggregate: how often a grip reading and its half-way cut agree; 0.5 without readings."""
     agree = F.avg(((grip != 0) == (grip >= 0.5)).cast("double"))
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), (agree - 0.1) / 0.9)), F.lit(0.5))
+    return F.coalesce(clip((agree - 0.1) / 0.9), F.lit(0.5))
 
 
 def sparc(frames: DataFrame, cutoff_hz: float = 10.0, pad: int = 5) -> DataFrame:

@@ -108,7 +108,7 @@ def wrist_frames(frames: DataFrame) -> DataFrame:
         d = d.withColumn(f"g{k}_v", K.gradient(F.col(f"g{k}"), F.col("t"), by_t()))
         d = d.withColumn(f"g{k}_a", K.gradient(F.col(f"g{k}_v"), F.col("t"), by_t()))
     size = K.norm(*[F.col(f"g{k}") for k in range(3)])
-    d = d.withColumn("tilt", F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), -F.col("g2") / F.greatest(size, F.lit(1e-9)))))))
+    d = d.withColumn("tilt", F.degrees(F.acos(K.clip(-F.col("g2") / F.when(size > 1e-9, size).otherwise(1e-9), -1, 1))))
     d = d.withColumn("base_acc", K.norm(*[F.col(f"g{k}_a") for k in range(3)]))
     left, right = F.sum("left_step").over(ep()), F.sum("right_step").over(ep())
     d = d.withColumn("left_path", left).withColumn("right_path", right)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions.kernels import clip
 from .measure import HARD, SOFT
 
 
@@ -29,7 +30,7 @@ def severity_histogram(scored: DataFrame, bins: int = 20) -> DataFrame:
     """bin and n; the range ends at the 99th percentile, 1 at least, and what lies beyond counts in the last bin."""
     top = scored.agg(F.greatest(F.percentile("severity", F.lit(0.99)), F.lit(1.0)).alias("top"))
     d = scored.select("severity").join(F.broadcast(top))
-    b = F.least(F.floor(F.greatest(F.lit(0.0), F.least(F.col("severity") / F.col("top"), F.lit(1.0))) * bins), F.lit(bins - 1)).cast("int")
+    b = F.when(F.col("severity").isNotNull(), F.least(F.floor(clip(F.col("severity") / F.col("top")) * bins), F.lit(bins - 1))).cast("int")
     all_bins = scored.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(d.groupBy(b.alias("bin")).agg(F.count("*").alias("n")), "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 

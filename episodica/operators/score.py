@@ -49,7 +49,7 @@ def timing(c: T.Calibration, mode: str = "geometric") -> Column:
 
 
 def video(c: T.Calibration, mode: str = "geometric") -> Column:
-    cut = lambda v: F.greatest(F.lit(0.0), F.least(F.lit(1.0), v))
+    cut = K.clip
     allowance = F.when(F.col("arm_speed_rms").isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(c.sharpness_allowance_cap), F.col("arm_speed_rms") / c.sharpness_allowance_scale))).otherwise(0.0)
     sharp = cut(K.ramp(F.col("video_sharpness"), *c.sharpness_fallback) + allowance)
     if "video_sharpness_residual" in c.brackets:
@@ -58,7 +58,7 @@ def video(c: T.Calibration, mode: str = "geometric") -> Column:
     exposure = cut(1 - F.abs(F.col("video_brightness") - 127.5) / 127.5)
     clipping = cut(1 - F.col("video_clipped_fraction") / 0.02)
     freeze = F.when(F.col("video_interframe_diff") < 1.0, cut(F.col("video_interframe_diff"))).otherwise(1.0)
-    value = F.least(freeze, clipping) * (0.45 * sharp + 0.30 * exposure + 0.25 * _ramp("video_contrast", c))
+    value = F.when(clipping.isNotNull(), F.least(freeze, clipping)) * (0.45 * sharp + 0.30 * exposure + 0.25 * _ramp("video_contrast", c))
     return F.when(F.col("video_decodable").isNull(), F.lit(None)).when(~F.col("video_decodable") | F.col("video_truncated"), 0.0).otherwise(value)
 
 

@@ -30,7 +30,7 @@ def m(spark, sf_dir):
 
 
 def _ramp(v: str, lo: float, hi: float) -> str:
-    return f"coalesce(greatest(0, least(1, ({v} - ({lo})::double) / (({hi})::double - ({lo})::double))), 0)"
+    return f"case when {v} is null then 0 else greatest(0, least(1, ({v} - ({lo})::double) / (({hi})::double - ({lo})::double))) end"
 
 
 def _simple(name: str, column, sql: str):
