@@ -31,20 +31,19 @@ MAX_REPEAT_PERCENT = 50
 MAX_LOSS = 0.5
 MAX_SYMBOLS = 0.1
 MIN_LINES = 8
-_SPACE = "\x20\t\n\x0b\x0c\r"
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_SYMBOL = re.compile(r"[#*$%&|<>]")
+_SYMBOLS = "#*$%&|<>"
+_BARS = "|»›→•·"
 _BAR = re.compile(r"\s[|»›→•·]\s")
 _STOP = re.compile(r"[.!?…。！？]")
-_SEPARATORS = str.maketrans({c: " " for c in _SPACE})
-_DELETE = str.maketrans("", "", _SPACE)
-_SYMBOLS = str.maketrans("", "", "#*$%&|<>")
 #: Notices that make a line boilerplate.
 NOTICES = re.compile(
     r"all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|we use cookies|accept cookies|subscribe to our newsletter|sign up for our newsletter|"
     r"click here to|share this (?:article|page|post)|follow us on|powered by wordpress|javascript is disabled|enable javascript|log in to comment|skip to (?:main )?content",
     re.I,
 )
+#: Each notice holds one of these, which are faster to look for.
+_NOTICE_PARTS = ("reserved", "terms of", "policy", "cookies", "newsletter", "click here", "share this", "follow us", "wordpress", "javascript", "log in", "skip to")
 _OUT = T.StructType([T.StructField(n, T.LongType()) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")] + [T.StructField("base_failed", T.BooleanType()), T.StructField("kept", T.BooleanType()), T.StructField("cleaned", T.StringType())])
 
 
@@ -64,32 +63,39 @@ def repeat_words(words: list[str]) -> int:
     return int(hit.sum())
 
 
-def line_fails(line: str, repeated: bool) -> bool:
-    chars = len(line.translate(_DELETE))
-    if repeated or len(_BAR.findall(line)) >= 3 or NOTICES.search(line):
+def line_fails(line: str, words: int, chars: int, symbols: int, repeated: bool) -> bool:
+    if repeated or symbols > MAX_SYMBOLS * chars:
         return True
-    if chars - len(line.translate(_DELETE).translate(_SYMBOLS)) > MAX_SYMBOLS * chars:
+    if any(c in line for c in _BARS) and len(_BAR.findall(line)) >= 3:
         return True
-    return line.upper() == line and line.lower() != line and len(line.split()) >= 5
+    if words >= 5 and line.isupper():
+        return True
+    low = line.lower()
+    return any(k in low for k in _NOTICE_PARTS) and bool(NOTICES.search(line))
+
+
+def _count_symbols(text: str) -> int:
+    return sum(map(text.count, _SYMBOLS))
 
 
 def judge(text: str | None) -> tuple:
     text = text or ""
-    words = text.translate(_SEPARATORS).split(" ")
-    words = [w for w in words if w]
-    chars = sum(map(len, words))
-    symbols = len(text) - len(text.translate(_SYMBOLS))
+    words: list[str] = []
     seen: set[str] = set()
-    dup, lost, kept, stops = 0, 0, [], False
+    dup, lost, chars, symbols, kept, stops = 0, 0, 0, 0, [], False
     for line in text.split("\n"):
-        size = len(line.translate(_DELETE))
-        if not size:
+        own = _WORD.findall(line)
+        if not own:
             kept.append(line)
             continue
+        size, marks = sum(map(len, own)), _count_symbols(line)
+        words += own
+        chars += size
+        symbols += marks
         repeated = line in seen
         dup += repeated
         seen.add(line)
-        if line_fails(line, repeated):
+        if line_fails(line, len(own), size, marks, repeated):
             lost += size
         else:
             kept.append(line)
