@@ -46,7 +46,7 @@ WORDS = 5
 NUM, DEN = 4, 5
 RECALL = 0.99999
 SMALL = 128
-TILE = 256
+TILE = 512
 ALIKE = 0.2
 DEPTH = 6
 POOL = 16
@@ -255,7 +255,8 @@ def _tile_rows(buckets: DataFrame) -> DataFrame:
     small = buckets.where(F.col("size") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set("cid")).alias("cids"))
     once = small.groupBy(F.xxhash64("cids").alias("h"), F.size("cids").alias("k")).agg(F.min(F.struct("bucket", "cids")).alias("b")).where("k > 1")
     one = once.select(F.col("b.bucket").alias("bucket"), F.explode("b.cids").alias("cid")).select(F.col("bucket").alias("tile"), "bucket", "cid", F.lit(0).alias("side"))
-    large = buckets.where(F.col("size") > SMALL).distinct().withColumn("nb", F.ceil(F.col("size") / TILE).cast("int"))
+    # no aggregation stands here, so adaptive execution can split a very large bucket
+    large = buckets.where(F.col("size") > SMALL).withColumn("nb", F.ceil(F.col("size") / TILE).cast("int"))
     large = large.withColumn("side", F.pmod(F.xxhash64("cid", "bucket"), F.col("nb")).cast("int"))
     spread = large.select("bucket", "cid", "side", F.explode(F.expr("sequence(0, nb - 1)")).alias("o"))
     # a tile of two blocks has sides 1 and 2, a tile of one block has side 0
