@@ -54,39 +54,48 @@ def test_worse_is_never_better(spark):
     assert all(b >= a for a, b in zip(got, got[1:]))
 
 
-def episode(spark, n, scale=1.0, dt=0.02, still=False):
+SCHEMA = "episode long, frame_index int, t double, state array<double>, action array<double>, eef array<double>, gravity array<double>, left_hand array<double>, right_hand array<double>"
+GROUPS = {"right_arm": (0, 2), "waist": (2, 3)}
+
+
+def episode(number, n, scale=1.0, dt=0.02, still=False, bare=False):
     rows = []
     for i in range(n):
         x = 0.0 if still else math.sin(i * 0.3) * scale
-        rows.append((1, i, i * dt, [x, x * 0.5, 1.0], None, [x, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.5 + 2 * x, 0.3, 0.0, 0.0, 0.0, 0.0, 1.0], [0.0, 0.1, -1.0], None, [300.0 + (70 if i % 20 < 10 else -70)] * 6))
-    return spark.createDataFrame(rows, "episode long, frame_index int, t double, state array<double>, action array<double>, eef array<double>, gravity array<double>, left_hand array<double>, right_hand array<double>")
+        eef = [x, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.5 + 2 * x, 0.3, 0.0, 0.0, 0.0, 0.0, 1.0]
+        hand = [300.0 + (70 if i % 20 < 10 else -70)] * 6
+        rows.append((number, i, i * dt, [x, x * 0.5, 1.0], None, *((None, None, None, None) if bare else (eef, [0.0, 0.1, -1.0], None, hand))))
+    return rows
 
 
-GROUPS = {"right_arm": (0, 2), "waist": (2, 3)}
+@pytest.fixture(scope="module")
+def measured(spark):
+    """Every case as an episode of one frame table, measured at once."""
+    rows = [r for n in (1, 2, 3, 4) for r in episode(n, n)]
+    rows += episode(10, 60) + episode(11, 60, 7.0) + episode(12, 60, 1.0, 0.1) + episode(20, 30, still=True) + episode(21, 30, bare=True)
+    return {r.episode: r for r in M.measure(spark.createDataFrame(rows, SCHEMA), GROUPS).collect()}
 
 
-def test_ldlj_ignores_amplitude_and_time_scale(spark):
-    got = [M.measure(episode(spark, 60, s, dt), GROUPS).first() for s, dt in ((1.0, 0.02), (7.0, 0.02), (1.0, 0.1))]
-    assert got[0].ldlj_arm == pytest.approx(got[1].ldlj_arm) == pytest.approx(got[2].ldlj_arm)
-    assert got[0].side == "right" and not got[0].degenerate and got[0].ldlj_body is None
+def test_ldlj_ignores_amplitude_and_time_scale(measured):
+    a, b, c = measured[10], measured[11], measured[12]
+    assert a.ldlj_arm == pytest.approx(b.ldlj_arm) == pytest.approx(c.ldlj_arm)
+    assert a.side == "right" and not a.degenerate and a.ldlj_body is None
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 4])
-def test_short_episodes(spark, n):
-    r = M.measure(episode(spark, n), GROUPS).first()
-    assert r.n_frames == n and r.degenerate == (r.eef_path_m is None or r.eef_path_m < 0.3)
+def test_short_episodes(measured, n):
+    r = measured[n]
+    assert r.n_frames == n and r.degenerate == (r.duration_s <= 0 or r.eef_path_m < 0.3) and (r.ldlj_arm is None or n >= 4)
 
 
-def test_motionless_and_missing_channels(spark):
-    r = M.measure(episode(spark, 30, still=True), GROUPS).first()
-    assert r.degenerate and r.acc_arm_rms is None and not r.valid
-    bare = episode(spark, 30).withColumn("eef", F.lit(None).cast("array<double>")).withColumn("gravity", F.lit(None).cast("array<double>")).withColumn("right_hand", F.lit(None).cast("array<double>"))
-    r = M.measure(bare, GROUPS).first()
-    assert r.eef_path_m is None and r.side == "right" and r.grasp_transitions == -1 and r.max_base_tilt_deg is None and not r.degenerate
+def test_motionless_and_missing_channels(measured):
+    still, bare = measured[20], measured[21]
+    assert still.degenerate and still.acc_arm_rms is None and not still.valid
+    assert bare.eef_path_m is None and bare.side == "right" and bare.grasp_transitions == -1 and bare.max_base_tilt_deg is None and not bare.degenerate
 
 
-def test_hysteresis_counts_switches(spark):
-    assert M.measure(episode(spark, 60), GROUPS).first().grasp_transitions == 5
+def test_hysteresis_counts_switches(measured):
+    assert measured[10].grasp_transitions == 5
 
 
 def test_documents_round_trip():
