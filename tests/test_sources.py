@@ -26,7 +26,7 @@ def test_read_and_rewrite_a_folder(spark, tmp_path):
     good = spark.createDataFrame([(2,), (0,), (2,)], "episode long")
     D.write_episodes(report.reindex(frames, good).select("episode_index", "frame_index", "index", "t"), f"{tmp_path}/out")
     back = spark.read.parquet(f"{tmp_path}/out").orderBy("index").collect()
-    assert [(r.episode_index, r.frame_index, r.index) for r in back] == [(0, 0, 0), (0, 1, 1), (0, 2, 2), (1, 0, 3), (1, 1, 4), (1, 2, 5)]
+    assert [(r["episode_index"], r["frame_index"], r["index"]) for r in back] == [(0, 0, 0), (0, 1, 1), (0, 2, 2), (1, 0, 3), (1, 1, 4), (1, 2, 5)]
 
 
 def test_metadata_rules():
