@@ -212,7 +212,7 @@ def verdict_stats(spark, sf_dir):
 
 @query("json_last_object")
 def json_last_object(spark, sf_dir):
-    t = B.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(F.substring("text", 1, 40), F.lit(' {"a": {"turn": '), F.col("turn"), F.lit('}, } tail {"score": 1}')).alias("reply"))
+    t = B.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat("text", F.lit(' {"a": {"turn": '), F.col("turn"), F.lit('}, } tail {"score": 1}')).alias("reply"))
     return t.select("conv_id", "turn", V.last_object(F.col("reply")).alias("last"))
 
 
