@@ -150,12 +150,14 @@ def decide(scored: DataFrame, p: Policy | None = None) -> DataFrame:
         stages.append((F.size(low) > 0, low))
     else:
         stages.append((F.col("total") < p.threshold, F.array(F.concat(F.lit("score "), F.format_string("%.3f", F.col("total")), F.lit(f" < {p.threshold:g}")))))
-    review = [(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in SOFT] + review
+    review += [(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in SOFT]
     if p.mode not in ("rules", "gate"):
-        review += [(F.coalesce(F.col(n) < f, F.lit(False)), F.lit(f"{n} below its minimum")) for n, f in p.minimums.items()]
-    review.append((F.coalesce(F.col("contact_rate_hz") > p.contact_review_hz, F.lit(False)), F.lit("contact rate")))
+        review += [(F.coalesce(F.col(n) < f, F.lit(False)), F.concat(F.lit(f"{n} "), F.format_string("%.3f", F.col(n)), F.lit(f" < {f:g}"))) for n, f in p.minimums.items()]
+    rate = F.concat(F.lit("("), F.format_string("%.2f", F.col("contact_rate_hz")), F.lit(" Hz)"))
+    events = F.concat(F.lit("contact "), *([F.col("contact_count").cast("string"), F.lit(" events ")] if "contact_count" in scored.columns else []), rate)
+    review.append((F.coalesce(F.col("contact_rate_hz") > p.contact_review_hz, F.lit(False)), events))
     if has:
-        review.append((F.coalesce(F.col("semantic") < p.semantic_accept, F.lit(False)), F.lit("semantic:uncertain")))
+        review.append((F.coalesce(F.col("semantic") < p.semantic_accept, F.lit(False)), F.concat(F.lit("semantic "), general(F.col("semantic")))))
     return _finish(scored, stages, _listed(review))
 
 

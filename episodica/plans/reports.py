@@ -111,6 +111,13 @@ def criteria_rows(spark, sf_dir):
     return rows.select("quantity", (F.round("value", 6) + 0.0).alias("value"), F.round("p", 6).alias("p"), F.row_number().over(w).alias("place"))
 
 
+@query("criteria_rows_all", ABS + " select episode, quantity, round(value, 6) + 0.0 as value, round(p, 6) as p, row_number() over (partition by episode order by round(weight * cost, 9) desc nulls last, rank)::int as place from pen")
+def criteria_rows_all(spark, sf_dir):
+    w = W.partitionBy("episode").orderBy(F.desc_nulls_last(F.round(F.col("weight") * F.col("cost"), 9)), "rank")
+    rows = S.penalties(m(spark, sf_dir), PROFILE)
+    return rows.select("episode", "quantity", (F.round("value", 6) + 0.0).alias("value"), F.round("p", 6).alias("p"), F.row_number().over(w).alias("place"))
+
+
 @query("neighbours", WITH + " select episode, lag(episode) over (order by episode) as previous, lead(episode) over (order by episode) as next from m")
 def neighbours(spark, sf_dir):
     return R.neighbours(m(spark, sf_dir))

@@ -252,3 +252,40 @@ def decide_limits(spark, sf_dir):
 @query("decision_reasons", _scored() + " select episode, list_filter([case when degenerate then 'flag:degenerate' end, case when grasp_incomplete then 'flag:grasp_incomplete' end, case when video_unreadable then 'flag:video_unreadable' end, case when video_truncated then 'flag:video_truncated' end], lambda x: x is not null) as reasons from scored where degenerate or grasp_incomplete or video_unreadable or video_truncated")
 def decision_reasons(spark, sf_dir):
     return S.decide(S.score(m(spark, sf_dir), CAL)).where(" or ".join(S.HARD)).select("episode", "reasons")
+
+
+_LIST = lambda parts: f"list_filter([{', '.join(parts)}], lambda x: x is not null)"
+_IF = lambda ok, text, v: f"case when {ok} then printf('{text}', {v}) end"
+_FLAGS = lambda flags: [f"case when {f} then 'flag:{f}' end" for f in flags]
+
+
+def _reasons(low: list[tuple[str, str, str]], review: list[str], minimums: list[str]) -> str:
+    """A policy's reasons: low has condition, text and value of its rejections."""
+    last = [*review, *_FLAGS(S.SOFT), *minimums, _IF("contact_rate_hz > 0.5", "contact (%.2f Hz)", "contact_rate_hz"), _IF("semantic < 1", "semantic %g", "semantic")]
+    return (
+        f"case when {_HARD} then {_LIST(_FLAGS(S.HARD))} when max_base_tilt_deg > 22 then [printf('limit:max_base_tilt_deg>22 (got %.3g)', max_base_tilt_deg)] when semantic <= 0 then ['semantic:goal not reached'] "
+        f"when {' or '.join(ok for ok, _, _ in low)} then {_LIST([_IF(*x) for x in low])} else {_LIST(last)} end"
+    )
+
+
+_TILT = (S.Rule("max_base_tilt_deg", 22.0),)
+#: Of each policy, how it decides and its reasons as SQL.
+EXPLAINED = {
+    "gate": (S.Policy(minimums={"contact": 0.0}, limits=_TILT), _reasons([(f"{n} < 0.35", f"{n} %.3f < 0.35", n) for n in ("smoothness", "acceleration", "timing", "video")], [], [])),
+    "weighted": (S.Policy(mode="weighted", minimums={"timing": 0.3}, limits=_TILT), _reasons([("total < 0.35", "score %.3f < 0.35", "total")], [], [_IF("timing < 0.3", "timing %.3f < 0.3", "timing")])),
+    "rules": (
+        S.Policy(mode="rules", rules=RULES, limits=_TILT),
+        _reasons(
+            [("acc_arm_rms > 9.0", "acc_arm_rms > 9 (got %.4g)", "acc_arm_rms"), ("ldlj_wrist < -21.5", "ldlj_wrist < -21.5 (got %.4g)", "ldlj_wrist")],
+            [_IF("idle_fraction > 0.6", "idle_fraction > 0.6 (got %.4g)", "idle_fraction"), _IF("video_decodable and video_sharpness < 60", "video_sharpness < 60 (got %.4g)", "video_sharpness")], [],
+        ),
+    ),
+}
+
+
+@query("decision_reasons_all", _scored() + " " + " union all ".join(f"select episode, '{mode}' as mode, {sql} as reasons from scored" for mode, (_, sql) in EXPLAINED.items()))
+def decision_reasons_all(spark, sf_dir):
+    d = S.score(m(spark, sf_dir), CAL)
+    for mode, (policy, _) in EXPLAINED.items():
+        d = S.decide(d, policy).withColumnRenamed("reasons", f"__{mode}").drop("decision")
+    return d.select("episode", F.inline(F.array(*[F.struct(F.lit(mode).alias("mode"), F.col(f"__{mode}").alias("reasons")) for mode in EXPLAINED])))

@@ -2,7 +2,13 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from episodica import plans
+from episodica.operators import measure as M
+from episodica.operators import score as S
+
+SF = "/root/testdata/sf0.001"
 
 
 def brace_scan(text):
@@ -45,3 +51,29 @@ def test_json_last_object_reads_whole_texts(spark, tmp_path):
     for i, turn, _, t in rows:
         want = None if t is None else brace_scan(f'{t} {{"a": {{"turn": {turn}}}, }} tail {{"score": 1}}')
         assert got[i] == want, i
+
+
+def test_decision_reasons_all_explains_every_episode(spark):
+    rows = plans.queries()["decision_reasons_all"](spark, SF).collect()
+    episodes = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey").distinct().count()
+    assert len(rows) == len({(r.episode, r.mode) for r in rows}) == 3 * episodes
+    said = {x.split()[0] for r in rows for x in r.reasons}
+    assert said >= {"flag:degenerate", "limit:max_base_tilt_deg>22", "semantic:goal", "smoothness", "timing", "video", "score", "acc_arm_rms", "idle_fraction", "flag:video_frozen", "contact", "semantic"}
+    assert any(not r.reasons for r in rows)
+
+
+def test_reasons_of_a_review(spark):
+    base = spark.range(1).select(*[F.lit(False).alias(f) for f in M.HARD + M.SOFT], *[F.lit(0.4).alias(f) for f in S.FAMILIES], F.lit(0.4).alias("total"), F.lit(0.6).alias("contact_rate_hz"), F.lit(5).alias("contact_count"), F.lit(0.5).alias("semantic"))
+    assert S.decide(base, S.Policy(mode="weighted", minimums={"timing": 0.5})).first().reasons == ["timing 0.400 < 0.5", "contact 5 events (0.60 Hz)", "semantic 0.5"]
+    assert S.decide(base.drop("contact_count")).first().reasons == ["contact (0.60 Hz)", "semantic 0.5"]
+
+
+def test_criteria_rows_all_ranks_every_episode(spark):
+    rows = plans.queries()["criteria_rows_all"](spark, SF).collect()
+    places = {}
+    for r in rows:
+        places.setdefault(r.episode, []).append(r.place)
+    assert len(places) == spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey").distinct().count()
+    assert all(sorted(p) == list(range(1, len(p) + 1)) for p in places.values())
+    one = {(r.quantity, r.value, r.p, r.place) for r in plans.queries()["criteria_rows"](spark, SF).collect()}
+    assert one == {(r.quantity, r.value, r.p, r.place) for r in rows if r.episode == min(places)}
