@@ -215,6 +215,33 @@ def rebuild_splits(spark, sf_dir):
     return R.rebuild_splits(splits, _good(spark, sf_dir))
 
 
+_KEPT = f"{_scored()}, {B.FRAMES_SQL}, ruled as ({HEAD} when acc_arm_rms > 9.0 or ldlj_wrist < -21.5 then 'reject' when idle_fraction > 0.6 or (video_decodable and video_sharpness < 60) then 'review' {TAIL}), good as (select distinct episode from frames semi join (select episode from ruled where decision <> 'reject') using (episode))"
+
+
+def _kept(spark, sf_dir):
+    """Episodes with frames that the rules do not reject."""
+    d = S.decide(S.score(m(spark, sf_dir), CAL), S.Policy(mode="rules", rules=RULES)).where("decision <> 'reject'").select("episode")
+    return B.frames(spark, sf_dir).select("episode").distinct().join(d, "episode", "left_semi")
+
+
+@query("reindex_frames_decided", _KEPT + ", i as (select episode, row_number() over (order by episode) - 1 as episode_index, sum(count(*)) over (order by episode) - count(*) as o from frames join good using (episode) group by episode) select (episode_index)::bigint as episode_index, frame_index::bigint as frame_index, (o + frame_index)::bigint as index, value from frames join i using (episode)")
+def reindex_frames_decided(spark, sf_dir):
+    d = R.reindex(B.frames(spark, sf_dir).select("episode", "frame_index", "t", "value"), _kept(spark, sf_dir))
+    return d.select(F.col("episode_index").cast("long").alias("episode_index"), "frame_index", "index", "value")
+
+
+@query("reindex_meta_decided", _KEPT + " select (row_number() over (order by episode) - 1)::bigint as episode, count(*) as length from frames join good using (episode) group by episode")
+def reindex_meta_decided(spark, sf_dir):
+    meta = B.frames(spark, sf_dir).groupBy("episode").agg(F.count("*").alias("length"))
+    return R.reindex_meta(meta, _kept(spark, sf_dir))
+
+
+@query("rebuild_splits_decided", _KEPT + ", g as (select episode, row_number() over (order by episode) - 1 as i from good), s(name, a, b) as (values ('train', 0, 40), ('val', 40, 60)) select name, least(b, coalesce(min(i), b)) || ':' || greatest(a, coalesce(max(i), a)) as range from s left join g on episode between a and b group by name, a, b")
+def rebuild_splits_decided(spark, sf_dir):
+    splits = spark.sql("select * from values ('train', 0, 40), ('val', 40, 60) as t(name, start, stop)")
+    return R.rebuild_splits(splits, _kept(spark, sf_dir))
+
+
 @query("chains", "select n_name as group_name, regexp_matches(lower(n_name), 'arm|shoulder|elbow|wrist') as arm, regexp_matches(lower(n_name), 'leg|waist|torso|hip|knee|ankle|spine') as body from nation")
 def chains(spark, sf_dir):
     name = F.lower("n_name")

@@ -77,3 +77,13 @@ def test_criteria_rows_all_ranks_every_episode(spark):
     assert all(sorted(p) == list(range(1, len(p) + 1)) for p in places.values())
     one = {(r.quantity, r.value, r.p, r.place) for r in plans.queries()["criteria_rows"](spark, SF).collect()}
     assert one == {(r.quantity, r.value, r.p, r.place) for r in rows if r.episode == min(places)}
+
+
+def test_decided_reindex_keeps_what_the_rules_keep(spark):
+    frames = [(r.user_id, r.n) for r in spark.read.parquet(f"{SF}/events.parquet").groupBy("user_id").agg(F.count("*").alias("n")).collect()]
+    kept = {r.episode for r in plans.queries()["decide_rules"](spark, SF).where("decision <> 'reject'").collect()} & {e for e, _ in frames}
+    assert any(e % 3 == 0 for e in kept) and len(kept) < len(frames)
+    meta = {r.episode: r.length for r in plans.queries()["reindex_meta_decided"](spark, SF).collect()}
+    assert meta == dict(enumerate(n for e, n in sorted(frames) if e in kept))
+    rows = plans.queries()["reindex_frames_decided"](spark, SF).collect()
+    assert sorted(r["index"] for r in rows) == list(range(sum(meta.values())))
