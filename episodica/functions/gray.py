@@ -28,6 +28,23 @@ def laplacian(gray: str, height: str, width: str) -> Column:
     return F.transform(F.col(gray), cell)
 
 
+def shrink(gray: str, height: str, width: str, to: int) -> Column:
+    """Bilinear at pixel centres, down to a width; narrower images stay."""
+    h, w = F.col(height), F.col(width)
+    rows = F.greatest(F.floor(h * to / w), F.lit(1))
+
+    def cell(i: Column) -> Column:
+        y = F.greatest(F.lit(0.0), F.least(h - 1.0, (F.floor(i / to) + 0.5) * h / rows - 0.5))
+        x = F.greatest(F.lit(0.0), F.least(w - 1.0, (i % to + 0.5) * w / to - 0.5))
+        y0, x0 = F.floor(y), F.floor(x)
+        at = lambda r, c: F.get(F.col(gray), (F.least(r, h - 1) * w + F.least(c, w - 1)).cast("int"))
+        top = at(y0, x0) * (1 - x + x0) + at(y0, x0 + 1) * (x - x0)
+        low = at(y0 + 1, x0) * (1 - x + x0) + at(y0 + 1, x0 + 1) * (x - x0)
+        return F.round(top * (1 - y + y0) + low * (y - y0)).cast("int")
+
+    return F.when(w <= to, F.col(gray)).otherwise(F.transform(F.sequence(F.lit(0), (rows * to - 1).cast("int")), cell))
+
+
 def mean(a: Column) -> Column:
     return F.aggregate(a, F.lit(0.0), lambda s, x: s + x) / F.size(a)
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import gray as G
 from ..functions import kernels as K
 
 #: The joint layout, and the words that put a group into a chain.
@@ -23,6 +24,8 @@ BODY_WORDS = ("leg", "waist", "torso", "hip", "knee", "ankle", "spine")
 #: Thresholds in physical units.
 ACTIVE_STD, MIN_PATH, MIN_SEPARATION, IDLE_FLOOR, IDLE_SHARE = 1e-6, 0.30, 0.10, 0.10, 0.05
 HAND_CLOSED, HAND_BAND, MIN_TRANSITIONS, QUORUM, DECODE_RATIO, FREEZE = 300.0, 60.0, 2, 2, 0.95, 1.0
+#: Sampled frames of a video, and the width at which neighbours are compared.
+SAMPLES, DIFF_WIDTH = 16, 160
 
 
 def ep() -> WindowSpec:
@@ -173,6 +176,30 @@ def accelerations(samples: DataFrame, groups: Mapping[str, tuple[int, int]] = GR
     return samples.groupBy("episode").agg(*aggs)
 
 
+def video(decoded: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+    """The video_* columns by episode and camera, from rows of ``sources.video.decode``.
+
+    Appearance is taken from every step-th frame, the difference from all neighbours.
+    segments: its episodes and cameras without a frame become undecodable.
+    """
+    keys = ["episode", "camera"]
+    w = W.partitionBy(*keys).orderBy("frame_index")
+    d = decoded.withColumn("i", F.row_number().over(w) - 1).withColumn("small", G.shrink("gray", "height", "width", DIFF_WIDTH)).withColumn("prev", F.lag("small").over(w))
+    step = F.when(F.col("declared") > 0, F.greatest(F.floor(F.col("declared") / SAMPLES), F.lit(1))).otherwise(25)
+    take = lambda c: F.avg(F.when(F.col("i") % step == 0, c))
+    g, n, declared = F.col("gray"), F.count("*"), F.max("declared")
+    out = d.groupBy(*keys).agg(
+        F.lit(True).alias("video_decodable"), F.when(declared > 0, n / declared).otherwise(1.0).alias("video_decode_ratio"),
+        take(G.variance(G.laplacian("gray", "height", "width"))).alias("video_sharpness"), take(G.mean(g)).alias("video_brightness"),
+        take(F.sqrt(F.greatest(G.variance(g), F.lit(0.0)))).alias("video_contrast"), take(G.clipped(g)).alias("video_clipped_fraction"),
+        F.avg(G.mean_abs_difference(F.col("small"), F.col("prev"))).alias("video_interframe_diff"),
+    )
+    if segments is None:
+        return out
+    out = segments.select(*keys).distinct().join(out, keys, "left")
+    return out.withColumn("video_decodable", F.coalesce("video_decodable", F.lit(False))).withColumn("video_decode_ratio", F.coalesce("video_decode_ratio", F.lit(0.0)))
+
+
 #: The flags, in the order in which they are reported.
 HARD = ("degenerate", "grasp_incomplete", "video_unreadable", "video_truncated")
 SOFT = ("self_collision_suspect", "video_frozen")

@@ -2,6 +2,7 @@
 
 import json
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from episodica import plans
@@ -87,3 +88,22 @@ def test_decided_reindex_keeps_what_the_rules_keep(spark):
     assert meta == dict(enumerate(n for e, n in sorted(frames) if e in kept))
     rows = plans.queries()["reindex_frames_decided"](spark, SF).collect()
     assert sorted(r["index"] for r in rows) == list(range(sum(meta.values())))
+
+
+def test_video_measures_of_decoded_frames(spark):
+    rng = np.random.default_rng(3)
+    near, wide = rng.integers(0, 256, (35, 4, 5)), rng.integers(0, 256, (3, 2, 320))
+    rows = [(1, "a", i, 40, 4, 5, g.ravel().tolist()) for i, g in enumerate(near)] + [(2, "a", i, 0, 2, 320, g.ravel().tolist()) for i, g in enumerate(wide)]
+    decoded = spark.createDataFrame(rows, "episode long, camera string, frame_index int, declared int, height int, width int, gray array<int>")
+    segments = spark.createDataFrame([(1, "a"), (2, "a"), (3, "a")], "episode long, camera string")
+    got = {r.episode: r for r in M.video(decoded, segments).collect()}
+    some = near[::2]
+    pad = np.pad(some, ((0, 0), (1, 1), (1, 1)), mode="reflect")
+    lap = pad[:, :-2, 1:-1] + pad[:, 2:, 1:-1] + pad[:, 1:-1, :-2] + pad[:, 1:-1, 2:] - 4 * some
+    want = [35 / 40, lap.var(axis=(1, 2)).mean(), some.mean(), some.std(axis=(1, 2)).mean(), ((some > 250) | (some < 5)).mean(), np.abs(np.diff(near, axis=0)).mean()]
+    names = ["decode_ratio", "sharpness", "brightness", "contrast", "clipped_fraction", "interframe_diff"]
+    assert np.allclose([got[1][f"video_{k}"] for k in names], want)
+    pairs = np.floor(wide.reshape(3, 2, 160, 2).sum(axis=(1, 3)) / 4 + 0.5)
+    assert np.isclose(got[2].video_interframe_diff, np.abs(np.diff(pairs, axis=0)).mean())
+    assert got[2].video_decode_ratio == 1 and got[2].video_brightness == wide[0].mean()
+    assert (got[3].video_decodable, got[3].video_decode_ratio, got[3].video_sharpness) == (False, 0.0, None)
