@@ -14,18 +14,53 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """The same rows with their lineage cut by a checkpoint in the shared folder.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for intermediate rows: spark.checkpoint.dir, or the checkpoint folder set on the context.
 
-    The folder is the session's spark.checkpoint.dir; only where that is unset
-    (a single machine, as in tests) a temporary one is made.
+    Only a session on a single machine (master local) may have neither: it gets
+    a temporary folder. On a cluster that is an error, since executors don't
+    share local folders.
     """
-    sc = df.sparkSession.sparkContext
-    if not sc.getConf().get("spark.checkpoint.dir", None) and sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="episodica-checkpoint-"))
+    sc = spark.sparkContext
+    given = sc.getConf().get("spark.checkpoint.dir", None)
+    known = sc._jsc.sc().getCheckpointDir()
+    if given or not known.isEmpty():
+        return given or known.get()
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="episodica-checkpoint-"))
+    return sc._jsc.sc().getCheckpointDir().get()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """The same rows with their lineage cut by a checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def column(name: str) -> Column:
+    """A column by its plain name, whatever signs that has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def packed(df: DataFrame) -> Column:
+    """The whole row as one struct, so that no working column can clash with the row's own."""
+    return F.struct(*[column(c) for c in df.columns])
+
+
+def unpacked(df: DataFrame, row: str = "row") -> list[Column]:
+    """The columns of a packed row under their own names."""
+    return [column(row).getField(f.name).alias(f.name) for f in df.schema[row].dataType.fields]
+
+
+def free(name: str, df: DataFrame) -> str:
+    """The name for a new column: with underscores behind it where the input has such a column already."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def sha_hex(c: Column) -> Column:
     return F.sha2(F.encode(c, "UTF-8"), 256)
 

@@ -122,22 +122,20 @@ from d left join pos using (doc_id) left join ids using (doc_id)
 
 _OP4 = r"""
 with recursive rows as (select doc_id, source, coalesce('=' || source, 'null') as key, md5(coalesce(doc_id::varchar, '')) as h from documents),
-counts as (select key, count(*) as n from rows group by key),
-w as (select key, floor(sqrt(n::double) * 1000)::bigint as weight, greatest(1000, 4 * (select count(*) from counts)) as units, (select count(*) from counts) as n from counts),
-f as (select *, (weight * (units - n)) // (sum(weight) over ())::bigint as fl, (weight * (units - n)) % (sum(weight) over ())::bigint as rest from w),
-r as (select *, (units - n) - (sum(fl) over ())::bigint as over_, row_number() over (order by rest desc, key) as rank from f),
-shares as (select key, 1 + fl + case when rank <= over_ then 1 else 0 end as q, units from r),
-s as (select list(q order by key) as q, list(key order by key) as keys, max(units) as units from shares),
+w as (select distinct key, ('0x' || substr(md5(key), 1, 2))::int % 9 + 1 as weight from rows),
+g as (select list_reduce(list(weight), lambda a, b: gcd(a, b)) as g from w),
+shares as (select key, (weight // g)::bigint as q from w, g),
+s as (select list(q order by key) as q, list(key order by key) as keys, sum(q)::bigint as period from shares),
 edf(t, done, i, job) as (
   select -1::bigint, list_transform(q, lambda x: 0::bigint), 0::bigint, 0::bigint from s
   union all
   select t + 1, list_transform(done, lambda d, k: case when k = p then d + 1 else d end), p, done[p]
-  from (select t, done, list_min(list_transform(q, lambda x, k: case when (done[k] * units) // x <= t + 1 and done[k] < x then ((done[k] * units + units + x - 1) // x) * 1000000 + k else null end)) % 1000000 as p
-        from edf, s where t + 1 < units)
+  from (select t, done, list_min(list_transform(q, lambda x, k: case when (done[k] * period) // x <= t + 1 then ((done[k] * period + period + x - 1) // x) * 1000000 + k else null end)) % 1000000 as p
+        from edf, s where t + 1 < period)
 ),
-plan as (select keys[i] as key, job, t as slot from edf, s where t >= 0),
+plan as (select keys[i] as key, job, t as first from edf, s where t >= 0),
 numbered as (select rows.*, row_number() over (partition by key order by h) - 1 as pos from rows)
-select doc_id, source, (pos // 32)::bigint as block, (pos % 32)::int as place, (((pos // 32) // q) * shares.units + slot)::bigint as slot
+select doc_id, source, (pos // 32)::bigint as block, (pos % 32)::int as place, (((pos // 32) // q) * (select period from s) + first)::bigint as slot
 from numbered join shares using (key) join plan on plan.key = numbered.key and plan.job = (pos // 32) % q
 """
 
