@@ -1,33 +1,48 @@
 """Main text of web pages by site style trees.
 
 The DOMs of a host's pages are merged by path: an element's path is its
-ancestors' tags with their classes and ids (digits made alike). For each path of
-a host two entropies are kept, over the pages that have it: of its presentation,
-the sequence of its children's tags, and of its content, the text below it. Both
-are divided by the log of the page count, so 0 means the same on every page and
-1 different on each. A path's importance is
-
-    (1 - GAMMA) * presentation + GAMMA * content     with children
-    content                                           without
-
-and a branch whose path is on ``MIN_PAGES`` pages or more with an importance
-under ``BAR`` is removed from every page. Roles count before entropies: menus,
-headers, footers, asides, forms, scripts, styles and elements whose class or id
-says advert, notice, sidebar, comment and the like have importance 0, and the
-article, its ancestors and the page itself are never removed for their entropy.
-
-Text is taken from the outermost article elements, else main, else the body.
-White space within a block becomes one space, blocks are joined by one space.
-If low branches held all text, only roles are applied. Statistics are counted by
-aggregation over every page; of them only the removed paths are joined back, a
-short array for each host, broadcast while small and otherwise joined by host.
-
-Null html gives an empty text, null urls count as one host. Other columns are kept.
+ancestors' tags with their classes and ids (digits made alike), and with its
+place among its likes where it is a div or section. For each path of a host two
+entropies are kept, over the pages that have it, equal pages counted once: of
+its presentation, the sequence of its children's tags and pieces of text, and of
+its content, the text below it. Both are divided by the log of the page count,
+so 0 means the same on every page and 1 different on each. A path's importance is
+(1 - GAMMA) * presentation + GAMMA * content. Branches of the whole page, menus
+and footers as well as parts of the article, are of low importance where
+
+* their content's entropy is under ``BAR``: the site repeats this text; or
+* their importance is under ``FORM``, as that of a slot of fixed form is whatever
+  it is filled with, while a neighbouring branch with at least as much text has
+  an importance of ``MAIN`` or more.
+
+Headings are never of low importance, running text inside a block never for its
+form. A path with fewer than ``MIN_PAGES`` pages on its host is judged by the
+tree of all pages that have the path, whatever their host.
+
+Roles settle what the tree leaves open. Tags, classes, ids and roles that say
+menu, header, footer, sidebar, advert, notice, form, comment and the like remove
+an element; article and main keep what they hold from being removed for its form,
+and where a page has them, outside of all removed branches, its text is taken
+from the outermost of them, else from the body. Scripts, styles and other silent
+elements have no text. If low branches held all text, only roles are applied.
+
+White space within a block becomes one space, blocks are joined by one space. A
+page is parsed once to be counted and once to be read: keeping the parsed form
+would write more than the pages themselves. Statistics are counted by
+aggregation over every page; of them only the low paths are joined back, a short
+array for each host, broadcast while small and otherwise joined by host and a
+salt of ``SALTS`` values, so that a large host is dealt over as many tasks.
+
+Null html gives an empty text, null urls count as one host, texts of any length
+are read whole, an empty table gives no rows. Repeated rows each get their text.
+Columns of the input are kept; where one has the name of the new column, that
+gets an underscore behind its name.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -36,12 +51,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import column, free, packed, settle, unpacked
 from .urlfilter import host
 
-GAMMA = 0.9
+GAMMA = 0.5
 BAR = 0.1
+FORM = 0.6
+MAIN = 0.7
 MIN_PAGES = 10
 BROADCAST_PATHS = 200_000
+SALTS = 64
 
 #: Elements without content, with content that is no text, and those that break lines.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -50,14 +69,22 @@ ROLE_TAGS = frozenset("nav header footer aside form button select textarea dialo
 BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html li main menu nav ol option p pre section summary table tbody td tfoot th thead tr ul".split()
 )
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: What opens inside these leaves an outer paragraph open.
+_SCOPES = frozenset("table caption td th button template object".split())
+_IN_P = frozenset("br caption dd dt head html body option tbody td tfoot th thead tr".split())
 #: Parts of class names, ids and roles of what isn't the article.
 ROLE_WORDS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent notice notification gdpr popup modal overlay "
     "newsletter subscribe subscription share sharing social related recommended recommendations comment comments disqus respond reply widget toolbar pagination pager skip login signup search form contentinfo complementary".split()
 )
+#: Flags of a path: it has elements below it, is a heading, stands inside an article, is no block.
+INNER, HEADING, SHELTERED, INLINE = 1, 2, 4, 8
+_PLACED = ("div", "section")
+_PLACES = 8
 _CUT = re.compile(r"[^a-z]+")
 _DIGITS = re.compile(r"[0-9]+")
-_STATS = T.StructType([T.StructField("path", T.LongType()), T.StructField("style", T.LongType()), T.StructField("content", T.LongType()), T.StructField("inner", T.BooleanType())])
+_STATS = ("page", "path", "parent", "style", "content", "flags", "chars")
 
 
 def _hash(*parts) -> int:
@@ -75,10 +102,10 @@ def _is_role(tag: str, attrs: dict) -> bool:
 
 
 class Node:
-    __slots__ = ("children", "path", "role", "tag")
+    __slots__ = ("children", "likes", "path", "role", "tag")
 
     def __init__(self, tag: str, path: int, role: bool) -> None:
-        self.tag, self.path, self.role, self.children = tag, path, role, []
+        self.tag, self.path, self.role, self.children, self.likes = tag, path, role, [], None
 
 
 class Dom(HTMLParser):
@@ -88,28 +115,44 @@ class Dom(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("", 0, False)
         self.stack = [self.root]
+        self.paragraphs = 0
+
+    def _cut(self, k: int) -> None:
+        self.paragraphs -= sum(n.tag == "p" for n in self.stack[k:])
+        del self.stack[k:]
+
+    def _end_paragraph(self) -> None:
+        for k in range(len(self.stack) - 1, 0, -1):
+            if self.stack[k].tag == "p":
+                return self._cut(k)
+            if self.stack[k].tag in _SCOPES:
+                return None
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         a = dict(attrs)
-        if tag == "p" and self.stack[-1].tag == "p":
-            self.stack.pop()
+        if self.paragraphs and tag in BLOCKS and tag not in _IN_P:
+            self._end_paragraph()
         top = self.stack[-1]
-        named = _DIGITS.sub("0", " ".join(filter(None, (a.get("class"), a.get("id")))))
-        node = Node(tag, _hash(top.path, tag, named), tag in SILENT or _is_role(tag, a))
+        named = _DIGITS.sub("0", " ".join(filter(None, (a.get("class"), a.get("id"))))) if a else ""
+        place = 0
+        if tag in _PLACED:
+            top.likes = top.likes or {}
+            place = top.likes[tag, named] = min(_PLACES, top.likes.get((tag, named), -1) + 1)
+        node = Node(tag, _hash(top.path, tag, named, place), tag in SILENT or _is_role(tag, a))
         top.children.append(node)
         if tag not in VOID:
             self.stack.append(node)
+            self.paragraphs += tag == "p"
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID:
-            self.stack.pop()
+            self._cut(len(self.stack) - 1)
 
     def handle_endtag(self, tag: str) -> None:
         for k in range(len(self.stack) - 1, 0, -1):
             if self.stack[k].tag == tag:
-                del self.stack[k:]
-                return
+                return self._cut(k)
 
     def handle_data(self, data: str) -> None:
         self.stack[-1].children.append(data)
@@ -122,13 +165,13 @@ def parse(html: str | None) -> Node:
     return dom.root
 
 
-def _roots(root: Node) -> list[Node]:
-    """The outermost articles, else mains, else bodies, else the page; none inside a role."""
+def _roots(root: Node, low: frozenset[int]) -> list[Node]:
+    """The outermost articles, else mains, else bodies, else the page; none inside a removed branch."""
     found: dict[str, list[Node]] = {"article": [], "main": [], "body": []}
     stack = [(root, frozenset())]
     while stack:
         node, above = stack.pop()
-        if node.role:
+        if node.role or node.path in low:
             continue
         if node.tag in found and node.tag not in above:
             found[node.tag].append(node)
@@ -137,14 +180,14 @@ def _roots(root: Node) -> list[Node]:
     return found["article"] or found["main"] or found["body"] or [root]
 
 
-def text_of(roots: list[Node], low: frozenset[int] = frozenset()) -> str:
+def text_of(roots: list[Node], low: frozenset[int] = frozenset(), roles: bool = True) -> str:
     out: list[str] = []
     stack: list = list(reversed(roots))
     while stack:
         x = stack.pop()
         if isinstance(x, str):
             out.append(x)
-        elif not x.role and x.path not in low:
+        elif x.path not in low and not (x.role if roles else x.tag in SILENT):
             if x.tag in BLOCKS:
                 out.append(" ")
                 stack.append(" ")
@@ -152,74 +195,111 @@ def text_of(roots: list[Node], low: frozenset[int] = frozenset()) -> str:
     return " ".join("".join(out).split())
 
 
-def extract(html: str | None, low: frozenset[int] = frozenset()) -> str:
-    roots = _roots(parse(html))
-    own = frozenset(r.path for r in roots)
-    return text_of(roots, low - own) or (text_of(roots) if low else "")
+def extract(html: str | None, low: frozenset[int] = frozenset(), roles: bool = True) -> str:
+    """A page's text without its low paths; without roles by these paths alone."""
+    root = parse(html)
+    if not roles:
+        return text_of([root], low, False)
+    return text_of(_roots(root, low), low) or (text_of(_roots(root, frozenset())) if low else "")
 
 
-def page_stats(html: str | None) -> list[tuple[int, int, int, bool]]:
-    """path, hash of its presentation, hash of its content, whether it has children; each path once a page.
-
-    Only what lies inside the article is counted: elsewhere nothing is kept.
-    """
+def page_stats(html: str | None) -> list[tuple]:
+    """The columns _STATS of each path of a page."""
+    order: list[tuple[Node, int, bool]] = []
+    stack = [(parse(html), 0, False)]
+    while stack:
+        node, parent, within = stack.pop()
+        if node.tag in SILENT or node.tag in VOID:
+            continue
+        order.append((node, parent, within))
+        within = within or (node.tag in ("article", "main") and not node.role)
+        stack += [(c, node.path, within) for c in reversed(node.children) if isinstance(c, Node)]
+    text: dict[int, tuple[int, int]] = {}
     paths: dict[int, list] = {}
-    for root in _roots(parse(html)):
-        order, stack = [], [c for c in root.children if isinstance(c, Node)]
-        while stack:
-            node = stack.pop()
-            if not node.role and node.tag not in VOID:
-                order.append(node)
-                stack += [c for c in node.children if isinstance(c, Node)]
-        text: dict[int, int] = {}
-        for node in reversed(order):
-            parts = [c if isinstance(c, str) else text.get(id(c), 0) for c in node.children]
-            text[id(node)] = _hash(*(" ".join(p.split()) if isinstance(p, str) else p for p in parts))
-            kinds = [c.tag for c in node.children if isinstance(c, Node)]
-            seen = paths.setdefault(node.path, [0, 0, False])
-            seen[0] = _hash(seen[0], *kinds)
-            seen[1] = _hash(seen[1], text[id(node)])
-            seen[2] = seen[2] or bool(kinds)
-    return [(p, s, c, inner) for p, (s, c, inner) in paths.items()]
-
-
-def low_paths(pages: DataFrame, html_col: str = "html", min_pages: int = MIN_PAGES, bar: float = BAR) -> DataFrame:
-    """__host and __low: each host's paths of low importance."""
+    for node, parent, within in reversed(order):
+        parts, kinds, chars, inner = [], [], 0, False
+        for c in node.children:
+            if isinstance(c, str):
+                words = " ".join(c.split())
+                if words:
+                    parts.append(words)
+                    kinds.append("#")
+                    chars += len(words)
+            else:
+                kinds.append(c.tag)
+                inner = inner or c.tag in BLOCKS and c.tag not in VOID
+                if id(c) in text:
+                    h, n = text[id(c)]
+                    parts.append(h)
+                    chars += n
+        text[id(node)] = (_hash(*parts) if parts else 0, chars)
+        flags = INNER * inner | HEADING * (node.tag in HEADINGS) | SHELTERED * within | INLINE * (node.tag not in BLOCKS)
+        seen = paths.setdefault(node.path, [parent, [], [], 0, 0])
+        seen[1] += [*kinds, "/"]
+        seen[2].append(text[id(node)][0])
+        seen[3] |= flags
+        seen[4] += chars
+    page = text[id(order[0][0])][0]
+    return [(page, path, parent, _hash(*s), _hash(*c), flags, chars) for path, (parent, s, c, flags, chars) in paths.items() if path]
+
+
+def _importance(seen: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, path, parent, m, flags, chars and the entropies style and content; seen: n rows of one value."""
+    both = F.explode(F.array(F.struct(F.lit(0).alias("of"), F.col("style").alias("v")), F.struct(F.lit(1).alias("of"), F.col("content").alias("v"))))
+    each = seen.select(*keys, "path", "parent", "flags", "chars", both.alias("x")).groupBy(*keys, "path", "x.of", "x.v")
+    each = each.agg(F.count("*").alias("n"), F.min("parent").alias("parent"), F.bit_or("flags").alias("flags"), F.sum("chars").alias("chars"))
+    sums = lambda k: F.sum(F.when(F.col("of") == k, F.col("n") * F.log("n")).otherwise(0.0))
+    m = F.sum(F.when(F.col("of") == 0, F.col("n")).otherwise(0))
+    by = each.groupBy(*keys, "path").agg(F.min("parent").alias("parent"), F.bit_or("flags").alias("flags"), m.alias("m"), sums(0).alias("s"), sums(1).alias("c"), (F.sum("chars") / 2).alias("chars"))
+    entropy = lambda k: F.when(F.col("m") > 1, 1 - F.col(k) / F.col("m") / F.log("m")).otherwise(1.0)
+    return by.select(*keys, "path", "parent", "m", "flags", (F.col("chars") / F.col("m")).alias("chars"), entropy("s").alias("style"), entropy("c").alias("content"))
+
+
+def _low(trees: DataFrame, keys: list[str], sheltered: bool) -> DataFrame:
+    """The rows of a tree's paths of low importance."""
+    value = (1 - GAMMA) * F.col("style") + GAMMA * F.col("content")
+    has = lambda f: F.col("flags").bitwiseAND(F.lit(f)) != 0
+    rows = trees.withColumn("value", value)
+    best = rows.where(has(INNER) & (F.col("value") >= MAIN)).groupBy(*keys, "parent").agg(F.max("chars").alias("most"))
+    form = (F.col("value") < FORM) & (F.col("chars") <= F.col("most")) & ~has(INLINE) & (~has(SHELTERED) if sheltered else F.lit(True))
+    low = (F.col("content") < BAR) | F.coalesce(form, F.lit(False))
+    return rows.join(best, [*keys, "parent"], "left").where(low & ~has(HEADING))
+
+
+def low_paths(pages: DataFrame, min_pages: int = MIN_PAGES, roles: bool = True) -> DataFrame:
+    """host and low: each host's paths of low importance; pages: host and html."""
 
     def run(batches):
         for batch in batches:
-            rows = [(h, *s) for h, html in zip(batch["__host"], batch["__html"]) for s in page_stats(html)]
-            yield pd.DataFrame(rows, columns=["host", "path", "style", "content", "inner"])
-
-    schema = T.StructType([T.StructField("host", T.StringType()), *_STATS.fields])
-    stats = pages.select("__host", F.col(html_col).alias("__html")).mapInPandas(run, schema)
-    each = stats.groupBy("host", "path", "style", "content").agg(F.count("*").alias("n"), F.max("inner").alias("inner"))
-
-    def entropy(kind: str) -> DataFrame:
-        of = each.groupBy("host", "path", kind).agg(F.sum("n").alias("n"), F.max("inner").alias("inner"))
-        sums = of.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"), F.max("inner").alias("inner"))
-        return sums.select("host", "path", "m", "inner", F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.log("m")).otherwise(1.0).alias(f"h_{kind}"))
+            rows = [(h, *s) for h, html in zip(batch["host"], batch["html"]) for s in page_stats(html)]
+            yield pd.DataFrame(rows, columns=["host", *_STATS])
 
-    both = entropy("content").where(F.col("m") >= min_pages).join(entropy("style").select("host", "path", "h_style"), ["host", "path"])
-    importance = F.when(F.col("inner"), (1 - GAMMA) * F.col("h_style") + GAMMA * F.col("h_content")).otherwise(F.col("h_content"))
-    return both.where(importance < bar).groupBy(F.col("host").alias("__host")).agg(F.collect_list("path").alias("__low"))
+    schema = T.StructType([T.StructField("host", T.StringType())] + [T.StructField(n, T.LongType()) for n in _STATS])
+    seen = pages.select("host", "html").mapInPandas(run, schema).dropDuplicates(["host", "path", "page"])
+    own = _importance(seen, ["host"])
+    wide = _low(_importance(seen.dropDuplicates(["path", "page"]), []).where(F.col("m") >= min_pages), [], roles)
+    few = own.where(F.col("m") < min_pages).select("host", "path").join(wide.select("path"), "path")
+    many = _low(own.where(F.col("m") >= min_pages), ["host"], roles).select("host", "path")
+    return many.unionByName(few).groupBy("host").agg(F.collect_set("path").alias("low"))
 
 
-def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", out: str = "text", broadcast_paths: int = BROADCAST_PATHS) -> DataFrame:
+def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", out: str = "text", broadcast_paths: int = BROADCAST_PATHS, roles: bool = True) -> DataFrame:
     """Adds ``out``, the main text of each page."""
-    from .common import settle
-
-    rows = pages.withColumn("__host", host(F.col(url_col)))
-    low = settle(low_paths(rows, html_col))
-    size = low.agg(F.coalesce(F.sum(F.size("__low") + 1), F.lit(0))).first()[0]
-    joined = rows.join(F.broadcast(low) if size <= broadcast_paths else low, "__host", "left")
+    rows = pages.select(packed(pages).alias("row"), host(column(url_col)).alias("host"), column(html_col).alias("html"))
+    low = settle(low_paths(rows, roles=roles))
+    size = low.agg(F.coalesce(F.sum(F.size("low") + 1), F.lit(0))).first()[0]
+    if size <= broadcast_paths:
+        joined = rows.join(F.broadcast(low), "host", "left")
+    else:
+        dealt = low.select("host", "low", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        salt = F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int")
+        joined = rows.withColumn("salt", salt).join(dealt, ["host", "salt"], "left")
 
     def run(batches):
         for html, lows in batches:
-            yield pd.Series([extract(h, frozenset() if x is None else frozenset(map(int, x))) for h, x in zip(html, lows)])
-
-    from collections.abc import Iterator
+            yield pd.Series([extract(h, frozenset() if x is None else frozenset(map(int, x)), roles) for h, x in zip(html, lows)])
 
     run.__annotations__ = {"batches": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]}
     udf = F.pandas_udf(run, T.StringType())
-    return joined.withColumn(out, udf(F.col(html_col), F.col("__low"))).drop("__host", "__low")
+    read = joined.select("row", udf("html", "low").alias("found"))
+    return read.select(*unpacked(read), F.col("found").alias(free(out, pages)))
