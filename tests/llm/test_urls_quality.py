@@ -32,20 +32,55 @@ def repeats(w):
     return len({k for i in range(len(w) - 2) if c[tuple(w[i : i + 3])] > 1 for k in (i, i + 1, i + 2)})
 
 
-def test_quality_counts():
+def brute(text, boiler):
+    """n_words and so on to kept, by plain loops."""
+    word, text = r"[^\x20\x09-\x0D]+", text or ""
+    w = re.findall(word, text)
+    lines = [x for x in text.split("\n") if re.search(word, x)]
+    lost = 0
+    for i, x in enumerate(lines):
+        own = re.findall(word, x)
+        n = sum(map(len, own))
+        bars = len(re.findall(r"\s[|»›→•·]\s", x)) >= 3
+        shout = len(own) >= 5 and x.upper() == x and x.lower() != x and x.isupper()
+        if x in lines[:i] or 10 * len(re.findall(r"[#*$%&|<>]", x)) > n or not re.search("[.!?…。！？।؟]", x) or bars or shout or (len(x) <= 200 and x in boiler):
+            lost += n
+    failed = len(w) < 50 or 100 * repeats(w) > 50 * len(w)
+    return len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), repeats(w), failed, not failed and 2 * lost <= sum(map(len, w))
+
+
+def test_quality_against_plain_loops(spark):
     r = random.Random(6)
-    for _ in range(300):
-        t = "".join(r.choice(["ab ", "c\t", "d\n", "#", "é\u00a0", "e|f ", "\x0b", "\r\n", "ab c d\n"]) for _ in range(r.randrange(60)))
-        w = re.findall(r"[^\x20\x09-\x0D]+", t)
-        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
-        got = quality.judge(t)
-        assert got[:5] == (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), repeats(w))
-        assert got[5] == (len(w) < 50 or 100 * repeats(w) > 50 * len(w)) and (not got[5] or not got[6])
+    say = lambda n: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randrange(1, 8))) for _ in range(n))
+    notice = ["Read our terms of use first.", "Home | News | Sport | More.", "We use cookies here."]
+    texts = []
+    for _ in range(120):
+        lines = [r.choice([say(12) + ".", say(9) + ".", say(8), (say(6) + "!").upper(), say(3) + " ### $$$.", *notice, "", " "]) for _ in range(r.randrange(1, 14))]
+        texts.append("\n".join(lines + r.choice([[], lines[:2]])))
+    texts += ["".join(r.choice(["ab ", "c\t", "d\n", "#", "é ", "e|f ", "\x0b", "\r\n", "ab c d\n"]) for _ in range(r.randrange(200))) for _ in range(150)]
+    # copies of one text don't make its lines boilerplate, nor do near copies
+    same = "\n".join(say(15) + "." for _ in range(8))
+    texts += [same] * 60 + [same.replace(same.split()[k], "zz", 1) for k in range(60)] + [None, "", "a.", "word. " * 20_000]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, quality string")
+    around = {}
+    for t in texts:
+        lines = [x for x in (t or "").split("\n") if x.strip(" \t\n\v\f\r")]
+        for i, x in enumerate(lines):
+            around.setdefault(x, Counter())[tuple(lines[i - 1 : i] if i else [None]) + tuple(lines[i + 1 : i + 2] or [None])] += 1
+    total = sum(sum(c.values()) for c in around.values())
+    boiler = {x for x, c in around.items() if len(x) <= 200 and len(c) >= max(10, total * 1e-4) and 2 * len(c) >= sum(c.values())}
+    assert set(notice) <= boiler and not any(x in boiler for x in same.split("\n"))
+    out = quality.assess(df)
+    assert out.columns == [*df.columns, "quality_"]
+    for x in out.collect():
+        assert tuple(x.quality_)[:7] == brute(x.text, boiler), x.text
+        assert x.quality == "x"
+    assert {x.quality_.kept for x in out.collect()} == {True, False}
 
 
 def test_quality_rows(rows, none):
     out = quality.assess(rows)
     assert out.columns == [*rows.columns, "quality"] and out.count() == rows.count()
-    assert quality.clean(none).count() == 0
+    assert quality.clean(none).count() == 0 and quality.assess(none).count() == 0
     good = " ".join(f"Line{i} has{i} words{i} of{i} its{i} own." for i in range(20))
-    assert quality.judge(good)[6] and quality.judge(good + "\nWe use cookies here.")[7] == good
+    assert quality.judge(good)[6] and quality.judge(good + "\nno stop in this line\nA | b | c | d.")[7] == good
