@@ -61,13 +61,24 @@ def free(name: str, df: DataFrame) -> str:
     return name
 
 
-def sha_hex(c: Column) -> Column:
-    return F.sha2(F.encode(c, "UTF-8"), 256)
+def spread_join(big: DataFrame, small: DataFrame, key: str, by: list[str], how: str = "inner", parts: int = 64) -> DataFrame:
+    """big joined with small (one settled row a key, ``c`` = rows of big with the key), keys with many rows dealt by a salt.
+
+    A key is hot with a thousandth of big's rows or more, so there are at most a
+    thousand, which are broadcast; a hot key's rows are dealt by the hash of the
+    columns ``by`` over as many parts, each of which has its own copy of small's
+    row. Rows without a key are dealt too.
+    """
+    total = small.agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    hot = F.col("c") >= max(1000, total / 1000)
+    keys = small.where(hot).select(key, F.lit(parts).alias("parts"))
+    dealt = big.join(F.broadcast(keys), key, "left").withColumn("salt", F.when(F.col("parts").isNotNull() | F.col(key).isNull(), F.pmod(F.xxhash64(*by), F.lit(parts))).otherwise(F.lit(0)).cast("int")).drop("parts")
+    copies = small.withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(parts - 1))).otherwise(F.array(F.lit(0))))).drop("c")
+    return dealt.join(copies, [key, "salt"], how).drop("salt")
 
 
-def partition_bytes(df: DataFrame) -> int:
-    """Spark's own estimate of a plan's size; leaves are file or checkpoint sizes."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+def sha_hex(c: Column) -> Column:
+    return F.sha2(F.encode(c, "UTF-8"), 256)
 
 
 def series_udf(fn: Callable[[pd.Series], pd.DataFrame], returns):

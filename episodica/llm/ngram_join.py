@@ -1,8 +1,9 @@
 """Similarity join of texts by a chosen-path scheme on word 5-grams.
 
 A document is the set of its distinct runs of five lower-cased words (of all its
-words, if fewer). Documents with one set form a class; the join finds all pairs
-of different sets with a Jaccard similarity of 4/5 or more.
+words, if fewer). Documents with one set, told apart by 128 bits of hash, form a
+class; the join finds all pairs of different sets with a Jaccard similarity of
+4/5 or more.
 
 Candidates: each run puts every set into the bucket of one sampled token, its
 least under a hash of the run's own; so two sets share a bucket with the
@@ -10,20 +11,25 @@ probability of their similarity. A bucket of more than ``SMALL`` sets is split
 again by two further sampled tokens, and so on, unless its sets are alike
 already (their tokens collide with a rate of ``ALIKE`` or more), since then
 splitting multiplies rows without making buckets smaller. Runs are repeated
-until a pair at the threshold is missed with at most 1 - ``RECALL``; missing a
-pair gets less likely with its similarity.
+until a pair at the threshold is missed with at most 1 - ``RECALL`` in buckets
+that aren't split; a split in two keeps it with a probability of 0.96. Missing a
+pair gets less likely with its similarity. README has the recall measured.
 
 Verification: a bucket is compared by brute force, in square tiles of at most
-``TILE`` sets a side, each a task's worth of its own, so no bucket meets in one
-task. Intersections are exact. A pair that meets in several buckets is counted
-in the least of them. A tile gives out a spanning forest of its links and each
-set's count of links, never the pairs. Components of the forests are found by
-star contraction, as joins.
+``TILE`` sets and about ``MASS`` tokens a side, each a task's worth of its own, so
+no bucket meets in one task. Intersections are exact. A pair that meets in
+several buckets is counted in the least of them. A tile gives out a spanning
+forest of its links and each set's count of links, never the pairs. Components
+of the forests are found by star contraction, as joins whose hot nodes are
+salted.
 
 Result: doc_id, class_id (the least doc_id of the component; nulls last) and
 n_links, the number of other documents with similarity of 4/5 or more, copies
-included. Texts without words link with nothing, and their class is their own
-doc_id. Rows are told apart by (doc_id, hash of the text).
+included. Null texts and texts without words link with nothing, and their class
+is their own doc_id. Texts of any length are read whole; one text's set has to
+fit a task. Rows are told apart by (doc_id, hash of the text), so repeated rows
+count as copies of each other. Of further columns ``join`` gives none and
+``keep_one`` all, whatever their names. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,15 +44,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql import Window as W
 
-from .common import settle
+from .common import column, packed, settle, spread_join, unpacked
 
 WORDS = 5
 NUM, DEN = 4, 5
 RECALL = 0.99999
 SMALL = 128
 TILE = 512
+MASS = 1 << 20
 ALIKE = 0.2
 DEPTH = 6
 POOL = 16
@@ -108,12 +114,13 @@ def _slices(texts: list[str | None]):
             at, size = i + 1, 0
 
 
-def _identity(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One number for each set, from two order-free sums and its size."""
-    n = np.diff(starts)
-    sums = [np.concatenate([[np.uint64(0)], np.cumsum(_mix(flat, k), dtype=np.uint64)]) for k in (21, 22)]
-    a, b = ((s[starts[1:]] - s[starts[:-1]]) for s in sums)
-    return _mix(a + _mix(b, 23) + n.astype(np.uint64), 24).view(np.int64)
+def _identity(flat: np.ndarray, starts: np.ndarray) -> list[bytes]:
+    """16 bytes for each set, from order-free sums and its size."""
+    n = np.diff(starts).astype(np.uint64)
+    sums = [np.concatenate([[np.uint64(0)], np.cumsum(_mix(flat, k), dtype=np.uint64)]) for k in (21, 22, 25, 26)]
+    a, b, c, d = ((s[starts[1:]] - s[starts[:-1]]) for s in sums)
+    both = np.column_stack([_mix(a + _mix(b, 23) + n, 24), _mix(c + _mix(d, 27) + n, 28)])
+    return [row.tobytes() for row in both]
 
 
 def _sign(batches, n_signs: int):
@@ -126,36 +133,34 @@ def _sign(batches, n_signs: int):
             if full.any():
                 for k in range(n_signs):
                     sig[full, k] = np.minimum.reduceat(_mix(flat, 30 + k), starts[:-1][full]).view(np.int64)
-            cid = _identity(flat, starts)
-            out.append(pd.DataFrame({"cid": pd.arrays.IntegerArray(cid.copy(), ~full), "n": n.astype(np.int32), "sig": list(sig)}))
-        rows = pd.concat(out, ignore_index=True) if out else pd.DataFrame({"cid": pd.array([], "Int64"), "n": [], "sig": []})
+            key = [k if f else None for k, f in zip(_identity(flat, starts), full)]
+            out.append(pd.DataFrame({"key": pd.Series(key, dtype=object), "n": n.astype(np.int32), "sig": list(sig)}))
+        rows = pd.concat(out, ignore_index=True) if out else pd.DataFrame({"key": pd.Series([], dtype=object), "n": [], "sig": []})
         yield pd.concat([batch[["doc_id", "th"]].reset_index(drop=True), rows], axis=1)
 
 
 def _sets(batches):
-    """cid and shingles of the wanted documents."""
+    """key and shingles of the wanted documents."""
     for batch in batches:
         texts = batch["text"].tolist()
         for a, b in _slices(texts):
             flat, starts = shingles(texts[a:b])
             ids = _identity(flat, starts)
-            yield pd.DataFrame({"cid": ids, "set": [flat[s:e].view(np.int64) for s, e in zip(starts[:-1], starts[1:])]})
+            yield pd.DataFrame({"key": ids, "set": [flat[s:e].view(np.int64) for s, e in zip(starts[:-1], starts[1:])]})
 
 
-def similar(sets: list[np.ndarray], left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs i < j whose similarity is NUM / DEN or more; with left, only between its True and False."""
+def shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members each two of the sets have in common."""
     n = len(sets)
-    sizes = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(n), sizes)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
     token = np.concatenate(sets)
     order = np.argsort(token, kind="stable")
     token, owner = token[order], owner[order]
     first = np.ones(len(token), bool)
     first[1:] = token[1:] != token[:-1]
     code = np.cumsum(first) - 1
-    count = np.bincount(code)
-    shared = count[code] > 1
-    owner, code = owner[shared], code[shared]
+    several = np.bincount(code)[code] > 1 if len(code) else np.zeros(0, bool)
+    owner, code = owner[several], code[several]
     inter = np.zeros((n, n), np.float32)
     if len(code):
         code = np.cumsum(np.concatenate([[True], code[1:] != code[:-1]])) - 1
@@ -167,42 +172,39 @@ def similar(sets: list[np.ndarray], left: np.ndarray | None = None) -> tuple[np.
                 m = np.zeros((n, min(width, int(c.max()) + 1)), np.float32)
                 m[o, c] = 1
                 inter += m @ m.T
-    both = np.rint(inter).astype(np.int64)
-    ok = (DEN + NUM) * both >= NUM * (sizes[:, None] + sizes[None, :])
-    ok &= both > 0
+    return np.rint(inter).astype(np.int64)
+
+
+def similar(sets: list[np.ndarray], left: np.ndarray | None = None) -> np.ndarray:
+    """Which two sets have a similarity of NUM / DEN or more, as a symmetric matrix; with left, only between its True and False."""
+    sizes, both = np.array([len(s) for s in sets], np.int64), shared(sets)
+    ok = ((DEN + NUM) * both >= NUM * (sizes[:, None] + sizes[None, :])) & (both > 0)
     if left is not None:
         ok &= left[:, None] != left[None, :]
-    return np.nonzero(np.triu(ok, 1))
+    np.fill_diagonal(ok, False)
+    return ok
 
 
 def _tile(rows: list[tuple]) -> list[tuple[int, int, int]]:
     """cid, least cid of its component in the tile, links counted here."""
-    cids = [r[1] for r in rows]
+    cids = np.array([r[1] for r in rows], np.int64)
     sides = np.array([r[2] for r in rows])
-    left = None if sides[0] == 0 else sides == 1
-    i, j = similar([r[4] for r in rows], left)
-    if not len(i):
+    ok = similar([r[4] for r in rows], None if sides[0] == 0 else sides == 1)
+    if not ok.any():
         return []
-    bucket, among = rows[0][3], [set(map(int, r[5])) for r in rows]
-    copies, links, up = [r[6] for r in rows], [0] * len(rows), list(range(len(rows)))
-
-    def root(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    for a, b in zip(i.tolist(), j.tolist()):
-        if min(among[a] & among[b]) == bucket:
-            links[a] += copies[b]
-            links[b] += copies[a]
-        x, y = root(a), root(b)
-        if x != y:
-            if cids[x] > cids[y]:
-                x, y = y, x
-            up[y] = x
-    seen = sorted(set(i.tolist()) | set(j.tolist()))
-    return [(cids[k], cids[root(k)], links[k]) for k in seen]
+    # a pair counts here if no lesser bucket has both
+    earlier = [np.asarray(r[5], np.int64) for r in rows]
+    counted = ok & (shared([b[b < rows[0][3]] for b in earlier]) == 0)
+    links = counted @ np.array([r[6] for r in rows], np.int64)
+    root = np.full(len(rows), -1)
+    for k in np.argsort(cids, kind="stable"):
+        if root[k] < 0:
+            new = np.zeros(len(rows), bool)
+            new[k] = True
+            while new.any():
+                root[new] = k
+                new = ok[new].any(axis=0) & (root < 0)
+    return [(int(cids[k]), int(cids[root[k]]), int(links[k])) for k in np.nonzero(ok.any(axis=0))[0]]
 
 
 def _tiles(batches):
@@ -222,12 +224,12 @@ def _tiles(batches):
 
 
 def _buckets(classes: DataFrame, n_runs: int) -> DataFrame:
-    """bucket, size and cid: the buckets of two or more sets in which pairs are compared."""
+    """bucket, size, mass (its sets' tokens) and cid: the buckets of two or more sets in which pairs are compared."""
     node = F.transform(F.sequence(F.lit(0), F.lit(n_runs - 1)), lambda r: F.xxhash64(r, F.get("sig", r)))
-    rows, done = classes.select("cid", F.explode(node).alias("bucket")), []
+    rows, done = classes.select("cid", "n", F.explode(node).alias("bucket")), []
     for depth in range(DEPTH):
         # written first, so that a very large bucket is an input that adaptive execution can split
-        sizes = settle(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
+        sizes = settle(rows.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("n").alias("mass")).where("size > 1"))
         sized = settle(rows.join(sizes, "bucket"))
         done.append(sized.where(F.col("size") <= SMALL))
         large = sized.where(F.col("size") > SMALL)
@@ -238,25 +240,26 @@ def _buckets(classes: DataFrame, n_runs: int) -> DataFrame:
             break
         one = F.pmod(F.xxhash64("bucket", F.lit(1)), F.lit(POOL))
         other = F.pmod(one + 1 + F.pmod(F.xxhash64("bucket", F.lit(2)), F.lit(POOL - 1)), F.lit(POOL))
-        split = large.join(classes.select("cid", "sig"), "cid").select("bucket", "size", "cid", F.explode(F.array(one, other)).alias("c"), "sig")
-        split = settle(split.select("bucket", "size", "cid", "c", F.xxhash64("bucket", "c", F.get("sig", (F.col("c") + n_runs).cast("int"))).alias("child")))
+        split = large.join(classes.select("cid", "sig"), "cid").select("bucket", "size", "cid", "n", F.explode(F.array(one, other)).alias("c"), "sig")
+        split = settle(split.select("bucket", "size", "cid", "n", "c", F.xxhash64("bucket", "c", F.get("sig", (F.col("c") + n_runs).cast("int"))).alias("child")))
         rates = split.groupBy("bucket", "size", "child").agg(F.count("*").alias("m")).groupBy("bucket", "size").agg((F.sum(F.col("m") * F.col("m")) / 2 / F.col("size") / F.col("size")).alias("rate"))
         alike = settle(rates.where(F.col("rate") >= ALIKE).select("bucket"))
         done.append(large.join(alike, "bucket", "left_semi"))
-        rows = split.join(alike, "bucket", "left_anti").select("cid", F.col("child").alias("bucket"))
-    out = done[0].select("bucket", "size", "cid")
+        rows = split.join(alike, "bucket", "left_anti").select("cid", "n", F.col("child").alias("bucket"))
+    out = done[0].select("bucket", "size", "mass", "cid")
     for d in done[1:]:
-        out = out.unionByName(d.select("bucket", "size", "cid"))
+        out = out.unionByName(d.select("bucket", "size", "mass", "cid"))
     return out
 
 
 def _tile_rows(buckets: DataFrame) -> DataFrame:
     """tile, bucket, cid and side; small buckets with the same members count once."""
-    small = buckets.where(F.col("size") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set("cid")).alias("cids"))
+    few = (F.col("size") <= SMALL) & (F.col("mass") <= MASS)
+    small = buckets.where(few).groupBy("bucket").agg(F.array_sort(F.collect_set("cid")).alias("cids"))
     once = small.groupBy(F.xxhash64("cids").alias("h"), F.size("cids").alias("k")).agg(F.min(F.struct("bucket", "cids")).alias("b")).where("k > 1")
     one = once.select(F.col("b.bucket").alias("bucket"), F.explode("b.cids").alias("cid")).select(F.col("bucket").alias("tile"), "bucket", "cid", F.lit(0).alias("side"))
     # no aggregation stands here, so adaptive execution can split a very large bucket
-    large = buckets.where(F.col("size") > SMALL).withColumn("nb", F.ceil(F.col("size") / TILE).cast("int"))
+    large = buckets.where(~few).withColumn("nb", F.ceil(F.greatest(F.col("size") / TILE, F.col("mass") / MASS)).cast("int"))
     large = large.withColumn("side", F.pmod(F.xxhash64("cid", "bucket"), F.col("nb")).cast("int"))
     spread = large.select("bucket", "cid", "side", F.explode(F.expr("sequence(0, nb - 1)")).alias("o"))
     # a tile of two blocks has sides 1 and 2, a tile of one block has side 0
@@ -270,12 +273,15 @@ def components(edges: DataFrame) -> DataFrame:
     e = settle(edges.where("cid <> root").select(F.col("cid").alias("u"), F.col("root").alias("v")).distinct())
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        e = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        down = e.groupBy("u").agg(F.min("v").alias("m"))
-        e = settle(e.join(down, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(down.select("u", F.col("m").alias("v"))).distinct())
-        unfinished = e.select("v").join(e.select(F.col("u").alias("v")), "v", "left_semi").limit(1).count() or e.groupBy("u").count().where("count > 1").limit(1).count()
-        if not unfinished:
+        least = settle(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).select("u", F.least("u", "m").alias("m"), "c"))
+        e = settle(spread_join(both, least, "u", ["v"]).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        down = settle(e.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")))
+        e = spread_join(e, down, "u", ["v"]).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        e = settle(e.unionByName(down.select("u", F.col("m").alias("v"))).distinct())
+        # done when no node has two roots and no root has one
+        per = e.groupBy("u").agg(F.count("*").alias("c"))
+        ends = e.select(F.col("v").alias("u")).distinct()
+        if not per.where("c > 1").limit(1).count() and not per.join(ends, "u", "left_semi").limit(1).count():
             return e.select(F.col("u").alias("cid"), F.col("v").alias("root"))
 
 
@@ -283,27 +289,32 @@ def _joined(docs: DataFrame, recall: float) -> DataFrame:
     """doc_id, th, n_links, and the class's least row as rep: struct(last, doc_id, th)."""
     n_runs = runs(recall)
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
-    schema = T.StructType([keyed.schema["doc_id"], T.StructField("th", T.LongType()), T.StructField("cid", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("sig", T.ArrayType(T.LongType()))])
+    key = T.StructField("key", T.BinaryType())
+    schema = T.StructType([keyed.schema["doc_id"], T.StructField("th", T.LongType()), key, T.StructField("n", T.IntegerType()), T.StructField("sig", T.ArrayType(T.LongType()))])
     signed = settle(keyed.mapInPandas(lambda batches: _sign(batches, n_runs + POOL), schema))
     row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "th")
-    classes = settle(signed.where("cid is not null").groupBy("cid").agg(F.min(row).alias("rep"), F.count("*").alias("copies"), F.min("sig").alias("sig")))
+    classes = signed.where("key is not null").groupBy("key").agg(F.min(row).alias("rep"), F.count("*").alias("copies"), F.min("n").alias("n"), F.min("sig").alias("sig"))
+    # written at once, so these numbers never change
+    classes = settle(classes.withColumn("cid", F.monotonically_increasing_id()))
 
     tiles = settle(_tile_rows(_buckets(classes, n_runs)))
     own = tiles.select("cid", "bucket").distinct().groupBy("cid").agg(F.collect_list("bucket").alias("buckets"))
-    wanted = settle(own.join(classes.select("cid", "rep", "copies"), "cid"))
+    wanted = settle(own.join(classes.select("cid", "key", "rep", "copies"), "cid"))
     reps = wanted.select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th")).distinct()
     texts = keyed.alias("a").join(reps.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.th <=> b.th"), "left_semi").select("a.text")
-    sets = texts.mapInPandas(_sets, T.StructType([T.StructField("cid", T.LongType()), T.StructField("set", T.ArrayType(T.LongType()))])).dropDuplicates(["cid"])
-    full = tiles.join(sets.join(wanted.select("cid", "buckets", "copies"), "cid"), "cid").select("tile", "cid", "side", "bucket", "set", "buckets", "copies")
+    sets = texts.mapInPandas(_sets, T.StructType([key, T.StructField("set", T.ArrayType(T.LongType()))])).dropDuplicates(["key"])
+    full = tiles.join(sets.join(wanted, "key").select("cid", "set", "buckets", "copies"), "cid").select("tile", "cid", "side", "bucket", "set", "buckets", "copies")
     out = T.StructType([T.StructField("cid", T.LongType()), T.StructField("root", T.LongType()), T.StructField("links", T.LongType())])
     found = settle(full.repartition("tile").sortWithinPartitions("tile").mapInPandas(_tiles, out))
 
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     roots = components(found)
-    grouped = classes.select("cid", "rep", "copies").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
-    least = grouped.groupBy("root").agg(F.min("rep").alias("first"))
-    known = grouped.join(least, "root").join(links, "cid", "left").select("cid", "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return signed.select("doc_id", "th", "cid").join(known, "cid", "left").select("doc_id", "th", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("first", row).alias("rep"))
+    grouped = settle(classes.select("cid", "key", "rep", "copies").join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
+    least = settle(grouped.groupBy("root").agg(F.min("rep").alias("first"), F.count("*").alias("c")))
+    known = spread_join(grouped, least, "root", ["cid"]).join(links, "cid", "left")
+    known = settle(known.select("key", "first", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("c")))
+    got = spread_join(signed.select("doc_id", "th", "key"), known, "key", ["doc_id", "th"], "left")
+    return got.select("doc_id", "th", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("first", row).alias("rep"))
 
 
 def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
@@ -312,8 +323,9 @@ def join(docs: DataFrame, recall: float = RECALL) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, recall: float = RECALL) -> DataFrame:
-    """One document of each component, with its columns: the one of the least doc_id, then text hash."""
+    """One document of each component, with its columns: the one of the least doc_id, then text hash, then hash of all its columns."""
     got = _joined(docs, recall).where("doc_id <=> rep.doc_id and th <=> rep.th").select("doc_id", "th").distinct()
-    rows = docs.withColumn("__th", F.xxhash64("text")).alias("a").join(got.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.__th <=> b.th"), "left_semi")
-    w = W.partitionBy("doc_id", "__th").orderBy(F.lit(0))
-    return rows.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    tie = F.xxhash64(*[column(c) for c, kind in docs.dtypes if "map<" not in kind])
+    rows = docs.select(packed(docs).alias("row"), column("doc_id").alias("id"), F.xxhash64("text").alias("h"), tie.alias("tie"))
+    kept = rows.join(got, F.expr("id <=> doc_id and h <=> th"), "left_semi").groupBy("id", "h").agg(F.min_by("row", "tie").alias("row"))
+    return kept.select(*unpacked(kept))
