@@ -19,12 +19,32 @@ def test_urls(spark):
     r = random.Random(4)
     urls = [None, "", "no scheme", "http://", "http://net", "http://net/", "http://NET/x?y", "x://a.b.example.net/en/1#z", "http://example.com/de", "http://example.com/de/?a", "http://notnet/en/", "http://org/fr/", "http://a.org?x=/fr/"]
     urls += [f"http{r.choice(['', 's'])}://{r.choice(['', 'www.', 'M.'])}{r.choice(['example', 'other'])}.{r.choice(['net', 'com', 'org'])}{r.choice(['', '/', '/en/', '/de/', '/fr/', '/en'])}{r.choice(['', 'p', '?q', '#f'])}{i}" for i in range(300)]
-    df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls)], "page_id long, url string, rule string")
+    urls += ["http://" + "a." * 300 + "net/" + "p" * 5000, "http://x.org/fr/"]
+    df = spark.createDataFrame([(i, u, "x", "y") for i, u in enumerate(urls)], "page_id long, url string, rule string, keys string")
     want = [rule_of(u) for u in urls]
     for rate in (None, 0.9):
-        got = urlfilter.judge(df, first_rate=rate).orderBy("page_id").collect()
-        assert [(g.host, g.path, g.rule, g.verdict) for g in got] == want
+        out = urlfilter.judge(df, first_rate=rate).orderBy("page_id")
+        assert out.columns == [*df.columns, "host", "path", "rule_", "verdict"]
+        assert [(g.host, g.path, g.rule_, g.verdict, g.rule, g["keys"]) for g in out.collect()] == [(*w, "x", "y") for w in want]
     assert urlfilter.judge(df.where("false")).count() == 0
+    assert {r.verdict for r in urlfilter.judge(df, ()).collect()} == {"allow"}
+
+
+def test_lists_beyond_one_broadcast(spark, monkeypatch):
+    """Levels that don't fit are dealt over shards; results stay exact."""
+    hosts = [f"h{i}.example" for i in range(3000)]
+    rules = spark.createDataFrame([(h, "/a/" if i % 3 else "/", "block" if i % 2 else "allow") for i, h in enumerate(hosts) if i % 5 == 0], "host string, path string, verdict string")
+    df = spark.createDataFrame([(i, f"http://www.{h}/{'a' if i % 4 else 'b'}/c") for i, h in enumerate(hosts)], "page_id long, url string")
+    plain = {(r.host, r.path): r.verdict for r in rules.collect()}
+
+    def want(i, h):
+        path = f"/{'a' if i % 4 else 'b'}/c"
+        fit = [(len(p), h + p, v) for p in ("/", "/a/") if path.startswith(p) and (v := plain.get((h, p)))]
+        return max(fit)[1:] if fit else (None, "allow")
+
+    monkeypatch.setattr(urlfilter, "MAX_BITS", 2048)
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.judge(df, rules).collect()}
+    assert got == {i: want(i, h) for i, h in enumerate(hosts)}
 
 
 def repeats(w):
