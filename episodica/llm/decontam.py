@@ -3,19 +3,23 @@
 Words are hashed to 64 bits; K consecutive word hashes make a k-gram hash, and
 of every W consecutive k-grams the least is kept, so that any shared run of
 K + W - 1 = 13 words leaves a fingerprint that both sides keep. The documents'
-fingerprints are matched with the benchmark's; each hit is then extended: every
-13-word window of the document that holds a matched k-gram is compared with the
-benchmark's windows as whole strings, so hashes only select what is compared.
+fingerprints are matched with the benchmark's. In the documents that share one,
+each hit is then extended: every 13-word window around a k-gram that is a
+fingerprint of the benchmark is compared with the benchmark's windows as a whole
+string, so hashes only select what is compared.
 
 An item with fewer than 13 words is one window of its own length n; for each
 such n that the benchmark has (12 at most), the documents' n-grams join too.
 
-Benchmark sides are broadcast while Spark's size of them is below
-``BROADCAST_BYTES``; beyond that the joins shuffle. Documents are matched by
-(doc_id, hash of the text), so repeated rows and repeated or null ids are judged
-row by row. A null text has no words, and a document without words is never
-contaminated. Null items, and items without words, have no windows. Columns
-other than doc_id and text are left out of the result, and kept by `clean`.
+Benchmark sides are broadcast while their counted bytes, words and ids included,
+are below ``BROADCAST_BYTES``; beyond that the joins shuffle. Documents are
+matched by (doc_id, hash of the text), so repeated rows and repeated or null ids
+are judged row by row. A null text has no words, and a document without words is
+never contaminated. Texts of any length are read whole, in time in proportion to
+it. Null items, and items without words, have no windows; equal windows of
+several items count for each. An empty table gives no rows, an empty benchmark
+no hits. Columns other than doc_id and text, whatever their names, are left out
+of the result, and kept by `clean`.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import settle
+
 WINDOW = 13
 K = 5
 W = WINDOW - K + 1
@@ -65,37 +71,38 @@ def _item_windows(items: DataFrame) -> DataFrame:
     )
 
 
-def _small(df: DataFrame, limit: int) -> DataFrame:
-    """A hint to broadcast where the rows, counted, take less than the limit."""
-    n = df.count()
-    return F.broadcast(df) if n * 256 <= limit else df
+def _small(df: DataFrame, bytes_of: str, limit: int) -> DataFrame:
+    """A hint to broadcast where the rows' bytes, counted, are below the limit."""
+    size = df.agg(F.coalesce(F.sum(F.expr(bytes_of)), F.lit(0))).first()[0]
+    return F.broadcast(df) if size <= limit else df
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, th (hash of the text), n_words, n_hit, items (ids as sorted strings) and contaminated, a row for each document."""
     items = benchmark.select("item_id", words(F.col("text")).alias("words")).where("size(words) > 0").distinct()
     lengths = sorted(r[0] for r in items.select(F.size("words").alias("n")).where(f"n < {WINDOW}").distinct().collect())
-    marks = fingerprints(items, ["item_id"], lengths).select("fp").distinct()
-    windows = _item_windows(items).groupBy("len", "win").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
+    marks = settle(fingerprints(items, ["item_id"], lengths).select("fp").distinct())
+    windows = settle(_item_windows(items).groupBy("len", "win").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("ids")))
+    near = _small(marks, "16", broadcast_bytes)
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     own = keyed.select("doc_id", "th", words(F.col("text")).alias("words"))
-    hits = fingerprints(own, ["doc_id", "th"], lengths).join(_small(marks, broadcast_bytes), "fp", "left_semi")
-    found = hits.groupBy("doc_id", "th").agg(F.collect_set("fp").alias("fps"))
+    hits = fingerprints(own, ["doc_id", "th"], lengths).join(near, "fp", "left_semi").select("doc_id", "th").distinct()
 
     same = F.expr("a.doc_id <=> b.doc_id and a.th <=> b.th")
-    # texts are shuffled here, which take less room than their arrays of words
-    d = keyed.alias("a").join(found.alias("b"), same).select("a.doc_id", "a.th", words(F.col("a.text")).alias("words"), "b.fps")
-    d = d.select("doc_id", "th", "words", "fps", F.transform("words", lambda w: F.xxhash64(w)).alias("h"))
-    near = "filter(transform({g}, (x, i) -> if(array_contains(fps, x), i, null)), i -> i is not null)"
-    starts = f"array_distinct(flatten(transform({near.format(g='g')}, p -> sequence(greatest(p - {W - 1}, 0), p))))"
-    d = d.select("doc_id", "th", "words", "fps", "h", _grams("h", K).alias("g"))
-    spots = [F.expr(f"transform(filter({starts}, s -> s + {WINDOW} <= size(words)), s -> struct(s as s, {WINDOW} as len, array_join(slice(words, s + 1, {WINDOW}), ' ') as win))")]
-    for n in lengths:
-        d = d.withColumn(f"g{n}", _grams("h", n))
-        spots.append(F.expr(f"transform({near.format(g=f'g{n}')}, s -> struct(s as s, {n} as len, array_join(slice(words, s + 1, {n}), ' ') as win))"))
-    d = d.select("doc_id", "th", F.explode_outer(F.concat(*spots) if lengths else spots[0]).alias("w")).select("doc_id", "th", "w.*").where("win is not null")
-    matched = d.join(_small(windows, broadcast_bytes), ["len", "win"])
+    # equal rows are looked at once; texts are written, which take less room than their arrays of words
+    found = settle(keyed.alias("a").join(hits.alias("b"), same, "left_semi").groupBy("doc_id", "th").agg(F.first("text").alias("text")))
+    hashed = found.select("doc_id", "th", F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
+    grams = hashed.select("doc_id", "th", *[_grams("h", n).alias(f"g{n}") for n in {K, *lengths}])
+    each = [F.expr(f"transform(g{n}, (x, i) -> struct({short} as short, {n} as n, i as i, x as fp))") for n, short in [(K, "false"), *((n, "true") for n in lengths)]]
+    spots = grams.select("doc_id", "th", F.explode_outer(F.concat(*each) if lengths else each[0]).alias("x")).select("doc_id", "th", "x.*").where("fp is not null").join(near, "fp", "left_semi")
+    starts = F.when(F.col("short"), F.array("i")).otherwise(F.expr(f"sequence(greatest(i - {W - 1}, 0), i)"))
+    starts = spots.select("doc_id", "th", F.explode(starts).alias("s"), F.when(F.col("short"), F.col("n")).otherwise(WINDOW).alias("len"))
+    starts = starts.groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "len")).alias("spots"))
+    d = found.alias("a").join(starts.alias("b"), same).select("a.doc_id", "a.th", words(F.col("a.text")).alias("words"), "b.spots")
+    cut = F.expr("transform(filter(spots, x -> x.s + x.len <= size(words)), x -> struct(x.s as s, x.len as len, array_join(slice(words, x.s + 1, x.len), ' ') as win))")
+    d = d.select("doc_id", "th", F.explode_outer(cut).alias("w")).select("doc_id", "th", "w.*").where("win is not null")
+    matched = d.join(_small(windows, "octet_length(win) + 24 + aggregate(ids, 0L, (n, x) -> n + octet_length(x) + 8)", broadcast_bytes), ["len", "win"])
     covered = F.expr("size(array_distinct(flatten(transform(spans, x -> sequence(x.s, x.s + x.len - 1)))))")
     per = matched.groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "len")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("ids")))).alias("items"))
     per = per.select("doc_id", "th", covered.cast("long").alias("n_hit"), "items")

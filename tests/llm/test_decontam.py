@@ -41,8 +41,8 @@ def test_against_brute_force(spark):
         parts.append(", ".join(w[cut : cut + r.choice([12, 13, 14, 40])]).upper())
         parts.append(" ".join(word() for _ in range(r.randrange(200))))
         docs.append((d % 50, " ".join(parts)))
-    docs += [(100, None), (None, ""), (None, items[7][1]), docs[0]]
-    df = spark.createDataFrame([(*x, "q") for x in docs], "doc_id long, text string, items string")
+    docs += [(100, None), (None, ""), (None, items[7][1]), docs[0], (101, " ".join(word() for _ in range(6000)) + " " + items[8][1] + " " + " ".join(items[7][1] for _ in range(60)))]
+    df = spark.createDataFrame([(*x, "q", 1, 2) for x in docs], "doc_id long, text string, items string, th int, fp int")
     it = spark.createDataFrame(items, "item_id long, text string")
     want = brute(docs, [(("" if i is None else i), t) for i, t in items])
     for limit in (1 << 25, 0):
