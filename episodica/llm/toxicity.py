@@ -7,13 +7,18 @@ and L1 keeps most weights at nought, so the weights sent to executors are few;
 their number is at most 2 ** BITS and is checked against ``MAX_WEIGHTS``.
 
 The model is fitted on at most ``max_rows`` labelled rows, those with the least
-md5 of doc_id, none of them held out (crc32(doc_id as text) mod 5 = 0). Labels,
-language, source and doc_id are no inputs of a score.
-
-Null text counts as empty; an empty text has the score of the bias alone. A null
-doc_id is never held out and never labelled. Without any labelled row every
-score is the prior 0.05. Conflicting or repeated labels of one doc_id count as
-toxic if one says so. Other columns are kept.
+md5 of doc_id, none of them held out (crc32(doc_id as text) mod 5 = 0). Equal
+rows count once, and the bound holds for rows, not for labels. Executors make the
+features; only these, never texts, come to the driver, where the one pass after
+the other runs that FTRL is. Labels, language, source and doc_id are no inputs of
+a score.
+
+Null text counts as empty; an empty text has the score of the bias alone. Texts
+of any length are read whole. A null doc_id is never held out and never labelled.
+Without any labelled row every score is the prior 0.05. Conflicting or repeated
+labels of one doc_id count as toxic if one says so. Repeated rows are each
+scored, an empty table gives no rows. Columns of the input are kept; where one
+has the name of the new column, that gets an underscore behind its name.
 """
 
 from __future__ import annotations
@@ -29,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import series_udf
+from .common import column, free, packed, series_udf, unpacked
 
 BITS = 20
 MAX_ROWS = 12288
@@ -100,17 +105,13 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(np.concatenate(out) + self.bias, -30, 30)))
 
 
-def ftrl(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
+def ftrl(feats: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> Model:
+    """Fits the weights to the feature numbers of each row."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
-    feats: list[np.ndarray] = []
     seen = np.zeros(1 << BITS, np.int32)
-    for at in range(0, len(texts), 128):
-        slots, starts = hashed(texts[at : at + 128])
-        for a, b in zip(starts[:-1], starts[1:]):
-            seen[slots[a:b]] += 1
-            feats.append(slots[a:b].astype(np.int32))
-    for k, f in enumerate(feats):
-        feats[k] = np.append(f[seen[f] >= MIN_TEXTS], np.int32(1 << BITS))
+    for f in feats:
+        seen[f] += 1
+    feats = [np.append(f[seen[f] >= MIN_TEXTS], np.int32(1 << BITS)) for f in feats]
 
     def weights(i: np.ndarray) -> np.ndarray:
         zi = z[i]
@@ -131,27 +132,41 @@ def ftrl(texts: list[str], labels: list[int], epochs: int = EPOCHS) -> Model:
     return Model(kept.astype(np.int32), w[kept].astype(np.float32), float(w[-1]))
 
 
+def _features(batches):
+    """h, th, toxic and the text's feature numbers as bytes of 32-bit integers."""
+    for batch in batches:
+        texts = batch["text"].tolist()
+        for at in range(0, len(texts), 128):
+            slots, starts = hashed(texts[at : at + 128])
+            slots = slots.astype(np.int32)
+            out = batch.iloc[at : at + 128][["h", "th", "toxic"]].reset_index(drop=True)
+            out["slots"] = [slots[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
+            yield out
+
+
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
     """Fits on the bounded sample of labelled rows that aren't held out."""
-    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
     sample = marks.where(~held_out(F.col("doc_id"))).withColumn("h", F.md5(F.col("doc_id").cast("string"))).orderBy("h", "doc_id").limit(max_rows)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(sample), "doc_id").select("h", "text", "toxic").collect()
-    if not rows:
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    known = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "h", "toxic", F.xxhash64("text").alias("th")).distinct().orderBy("h", "doc_id", "th").limit(max_rows)
+    one = rows.join(F.broadcast(known.withColumnRenamed("th", "known")), "doc_id").where(F.xxhash64("text") == F.col("known"))
+    one = one.groupBy("doc_id", "h", "toxic", F.col("known").alias("th")).agg(F.first("text").alias("text"))
+    got = one.select("h", "th", "toxic", "text").mapInPandas(_features, "h string, th long, toxic int, slots binary").collect()
+    if not got:
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), float(np.log(PRIOR / (1 - PRIOR))))
-    rows.sort(key=lambda r: (r["h"], r["text"]))
-    texts, marks = [r["text"] for r in rows], [int(r["toxic"] > 0) for r in rows]
-    del rows
-    return ftrl(texts, marks)
+    got.sort(key=lambda r: (r["h"], r["th"]))
+    return ftrl([np.frombuffer(r["slots"], np.int32) for r in got], [int(r["toxic"] > 0) for r in got])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
     """Adds the column ``out``: the probability that a text is toxic."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     udf = series_udf(lambda batch: pd.DataFrame({"score": shared.value.score(batch.tolist())}), T.StructType([T.StructField("score", T.DoubleType())]))
-    return docs.withColumn(out, udf(F.col(text_col))["score"])
+    return docs.withColumn(free(out, docs), udf(column(text_col))["score"])
 
 
 def reject(docs: DataFrame, labels: DataFrame, bar: float = 0.5, max_rows: int = MAX_ROWS) -> DataFrame:
     """The documents whose score stays under the bar, with their columns."""
-    name = "__score"
-    return score(docs, train(docs, labels, max_rows), out=name).where(F.col(name) < bar).drop(name)
+    rows = score(docs.select(packed(docs).alias("row"), "text"), train(docs, labels, max_rows)).where(F.col("score") < bar)
+    return rows.select(*unpacked(rows))
