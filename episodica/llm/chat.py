@@ -9,10 +9,14 @@ Inside texts every backslash is doubled and a backslash is put into each control
 string, this template's and those of other common ones; `unescape` undoes it, so
 the formatted string can be read back to the very rows.
 
-A conversation has to become one string, so its own rows do meet in one task;
-nothing else does. Null texts and roles count as empty, null turns sort first,
-null conversation ids form one conversation, repeated rows stay. Other columns
-of the input are ignored.
+The loss mask is a list of places in the formatted string, in bytes of UTF-8, one
+for each text of the loss role; `read_loss` cuts them out and unescapes them.
+
+A conversation has to become one string, so its own rows do meet in one task, and
+texts of any length are kept whole; nothing else meets. Null texts and roles count
+as empty, null turns sort first, null conversation ids form one conversation,
+repeated rows stay, an empty table gives no rows. Other columns of the input,
+whatever their names, are left out.
 """
 
 from __future__ import annotations
@@ -20,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import ends
+
 TURN, PART, END = "<|turn|>", "<|part|>", "<|end|>"
 #: Where a backslash goes: doubling one, or inside <|, </s>, <s>, [INST] and [/INST].
 ESCAPED = r"(\\)|(?<=<)(?=\||/s>|s>)|(?<=\[)(?=/?INST\])"
@@ -46,7 +52,7 @@ def unescape_role(c: Column) -> Column:
 
 
 def format_conversations(df: DataFrame, loss_role: str = "assistant") -> DataFrame:
-    """conv_id, formatted and segments: pieces of formatted in order, each with whether it is under the loss mask."""
+    """conv_id, formatted and loss: array of struct(start, end), the bytes of formatted under the loss mask."""
     rows = df.select(
         "conv_id",
         F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).alias("row"),
@@ -55,16 +61,19 @@ def format_conversations(df: DataFrame, loss_role: str = "assistant") -> DataFra
 
     def pieces(x: Column, i: Column) -> Column:
         starts = (i == 0) | (F.get("turns", i - 1)["role"] != x["role"])
-        ends = (i == F.size("turns") - 1) | (F.get("turns", i + 1)["role"] != x["role"])
+        last = (i == F.size("turns") - 1) | (F.get("turns", i + 1)["role"] != x["role"])
         piece = lambda c, loss: F.struct(c.alias("text"), loss.alias("loss"))
         return F.array(
             piece(F.when(starts, F.concat(F.lit(TURN), escape_role(x["role"]), F.lit("\n"))).otherwise(F.lit(PART)), F.lit(False)),
             piece(escape(x["text"]), x["role"] == loss_role),
-            piece(F.when(ends, F.lit(END)).otherwise(F.lit("")), F.lit(False)),
+            piece(F.when(last, F.lit(END)).otherwise(F.lit("")), F.lit(False)),
         )
 
     segments = turns.select("conv_id", F.flatten(F.transform("turns", pieces)).alias("segments"))
-    return segments.select("conv_id", F.array_join("segments.text", "").alias("formatted"), "segments")
+    segments = segments.withColumn("sizes", F.transform("segments", lambda s: F.octet_length(s["text"]).cast("long")))
+    segments = segments.withColumn("ends", F.expr(ends("sizes")))
+    mask = "filter(transform(segments, (s, i) -> if(s.loss, struct(cast(ends[i] - sizes[i] as int) as start, cast(ends[i] as int) as end), null)), x -> x is not null)"
+    return segments.select("conv_id", F.array_join("segments.text", "").alias("formatted"), F.expr(mask).alias("loss"))
 
 
 def read_turns(formatted: Column) -> Column:
@@ -80,6 +89,7 @@ def read_turns(formatted: Column) -> Column:
     return F.flatten(F.transform(blocks, rows))
 
 
-def read_loss(segments: Column) -> Column:
+def read_loss(formatted: Column, loss: Column) -> Column:
     """All text under the loss mask, unescaped, with nothing between."""
-    return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescape(s["text"])), "")
+    coded = F.encode(formatted, "UTF-8")
+    return F.array_join(F.transform(loss, lambda x: unescape(F.decode(F.substring(coded, x["start"] + 1, x["end"] - x["start"]), "UTF-8"))), "")

@@ -22,7 +22,7 @@ def op2_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.sql(r"select -7L as conv_id, t as turn, if(t = 0, 'user', 'assistant') as role, '</s>[INST] ok [/INST]' as text from (select explode(array(0L, 1L)) as t)")
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(added)
     done = chat.format_conversations(talks)
-    back = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("segments")).alias("loss"))
+    back = done.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"), chat.read_loss(F.col("formatted"), F.col("loss")).alias("loss"))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), sha_hex(said).alias("turns_sha256"),

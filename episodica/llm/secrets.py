@@ -29,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import column, free, packed, unpacked
+from .common import column, ends, free, packed, unpacked
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*+[:=]\x20*+["']?[A-Za-z0-9+/_.=-]+"""
@@ -53,21 +53,13 @@ PARTS = (
 SYLLABLES = ("b br c ch d dr f g gr h k l m n p pr qu r s sch sh st t th tr v w".split(), "a e i o u ai au ea ei eu ie io ou".split(), ["", *"l m n nd ng nt r rs s st t ch".split()])
 
 
-def _lengths_to_ends(lengths: str) -> str:
-    """Running sums of an array of lengths, in pieces of 1000 so that long arrays aren't copied for each element."""
-    sums = "aggregate({a}, cast(array() as array<bigint>), (acc, x) -> array_append(acc, coalesce(try_element_at(acc, -1), 0L) + x))"
-    return f"""
-      transform(array(transform(if(size({lengths}) = 0, cast(array() as array<int>), sequence(0, (size({lengths}) - 1) div 1000)), c -> {sums.format(a=f'slice({lengths}, c * 1000 + 1, 1000)')})),
-        chunks -> flatten(zip_with(chunks, {sums.format(a='transform(chunks, z -> element_at(z, -1))')}, (z, s) -> transform(z, v -> v + s - element_at(z, -1)))))[0]"""
-
-
 def _spans(df: DataFrame, text: str, pattern: str, out: str) -> DataFrame:
     """Adds ``out``: array of struct(s, e, t) of the pattern's leftmost matches that don't overlap."""
     found = df.withColumn("__m", F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
     gaps = found.withColumn("__g", F.when(F.size("__m") > 0, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>")))
     lengths = gaps.withColumn("__l", F.expr("zip_with(slice(__g, 1, size(__m)), __m, (g, m) -> cast(char_length(g) + char_length(m) as bigint))"))
-    ends = lengths.withColumn("__e", F.expr(_lengths_to_ends("__l")))
-    spans = ends.withColumn(out, F.expr("zip_with(__e, __m, (e, m) -> struct(e - char_length(m) as s, e as e, m as t))"))
+    summed = lengths.withColumn("__e", F.expr(ends("__l")))
+    spans = summed.withColumn(out, F.expr("zip_with(__e, __m, (e, m) -> struct(e - char_length(m) as s, e as e, m as t))"))
     return spans.drop("__m", "__g", "__l", "__e")
 
 
