@@ -8,12 +8,12 @@ tables, repeated rows and further columns as their operators state.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from episodica.llm import decontam, mixing, ngram_join, pii, toxicity
+from episodica.llm.common import shared_folder
 
 
 def detoxify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,14 +47,26 @@ STAGES = [("toxicity", detoxify), ("near_duplicates", deduplicate), ("decontamin
 ORACLE_SQL = None
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each stage's rows written to the shared folder and read again."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="episodica-pipeline-")
+    """All stages over documents, each stage's rows written to the shared folder and read again.
+
+    A stage's rows are removed once the next stage's are written; those of the
+    last but one stay, since the result reads them.
+    """
+    base, before = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}", None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            at = f"{base}/pipeline-{uuid.uuid4().hex}-{k}-{name}"
+            at = f"{base}-{k}-{name}"
             docs.write.parquet(at)
             docs = spark.read.parquet(at)
+            if before:
+                _remove(spark, before)
+            before = at
     return docs
