@@ -16,8 +16,8 @@ and footers as well as parts of the article, are of low importance where
   an importance of ``MAIN`` or more.
 
 Headings are never of low importance, running text inside a block never for its
-form. A path with fewer than ``MIN_PAGES`` pages on its host is judged by the
-tree of all pages that have the path, whatever their host.
+form. Paths with fewer than ``MIN_PAGES`` pages on their host are judged by one
+tree that all such pages share, whatever their host.
 
 Roles settle what the tree leaves open. Tags, classes, ids and roles that say
 menu, header, footer, sidebar, advert, notice, form, comment and the like remove
@@ -28,7 +28,8 @@ elements have no text. If low branches held all text, only roles are applied.
 
 White space within a block becomes one space, blocks are joined by one space. A
 page is parsed once to be counted and once to be read: keeping the parsed form
-would write more than the pages themselves. Statistics are counted by
+would write more than the pages themselves; the counted form is a few hashes a
+path, written once. Statistics are counted by
 aggregation over every page; of them only the low paths are joined back, a short
 array for each host, broadcast while small and otherwise joined by host and a
 salt of ``SALTS`` values, so that a large host is dealt over as many tasks.
@@ -271,16 +272,21 @@ def low_paths(pages: DataFrame, min_pages: int = MIN_PAGES, roles: bool = True)
 
     def run(batches):
         for batch in batches:
-            rows = [(h, *s) for h, html in zip(batch["host"], batch["html"]) for s in page_stats(html)]
-            yield pd.DataFrame(rows, columns=["host", *_STATS])
-
-    schema = T.StructType([T.StructField("host", T.StringType())] + [T.StructField(n, T.LongType()) for n in _STATS])
-    seen = pages.select("host", "html").mapInPandas(run, schema).dropDuplicates(["host", "path", "page"])
-    own = _importance(seen, ["host"])
-    wide = _low(_importance(seen.dropDuplicates(["path", "page"]), []).where(F.col("m") >= min_pages), [], roles)
-    few = own.where(F.col("m") < min_pages).select("host", "path").join(wide.select("path"), "path")
-    many = _low(own.where(F.col("m") >= min_pages), ["host"], roles).select("host", "path")
-    return many.unionByName(few).groupBy("host").agg(F.collect_set("path").alias("low"))
+            rows = [(h, *s) for h, html in zip(batch["site"], batch["html"]) for s in page_stats(html)]
+            yield pd.DataFrame(rows, columns=["site", *_STATS])
+
+    schema = T.StructType([T.StructField(n, T.LongType()) for n in ("site", *_STATS)])
+    sites = pages.select("host", F.xxhash64("host").alias("site"), "html")
+    # written, since several aggregations start here and each would parse anew
+    seen = settle(sites.select("site", "html").mapInPandas(run, schema).dropDuplicates(["site", "path", "page"]))
+    own = settle(_importance(seen, ["site"]))
+    few = own.where(F.col("m") < min_pages).select("site", "path")
+    n_few = few.count()
+    rest = seen.join(F.broadcast(few) if n_few <= BROADCAST_PATHS else few, ["site", "path"], "left_semi")
+    wide = _low(_importance(rest, []).where(F.col("m") >= min_pages), [], roles)
+    many = _low(own.where(F.col("m") >= min_pages), ["site"], roles).select("site", "path")
+    low = many.unionByName(few.join(wide.select("path"), "path")).groupBy("site").agg(F.collect_set("path").alias("low"))
+    return sites.select("host", "site").distinct().join(low, "site").select("host", "low")
 
 
 def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html", out: str = "text", broadcast_paths: int = BROADCAST_PATHS, roles: bool = True) -> DataFrame:
