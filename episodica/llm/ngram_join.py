@@ -303,7 +303,8 @@ def _joined(docs: DataFrame, recall: float) -> DataFrame:
     reps = wanted.select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.th").alias("th")).distinct()
     texts = keyed.alias("a").join(reps.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.th <=> b.th"), "left_semi").select("a.text")
     sets = texts.mapInPandas(_sets, T.StructType([key, T.StructField("set", T.ArrayType(T.LongType()))])).dropDuplicates(["key"])
-    full = tiles.join(sets.join(wanted, "key").select("cid", "set", "buckets", "copies"), "cid").select("tile", "cid", "side", "bucket", "set", "buckets", "copies")
+    # joined by key, by which the sets, the largest rows of all, are dealt already
+    full = sets.join(tiles.join(wanted, "cid"), "key").select("tile", "cid", "side", "bucket", "set", "buckets", "copies")
     out = T.StructType([T.StructField("cid", T.LongType()), T.StructField("root", T.LongType()), T.StructField("links", T.LongType())])
     found = settle(full.repartition("tile").sortWithinPartitions("tile").mapInPandas(_tiles, out))
 
