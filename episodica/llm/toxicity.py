@@ -9,8 +9,8 @@ their number is at most 2 ** BITS and is checked against ``MAX_WEIGHTS``.
 The model is fitted on at most ``max_rows`` labelled rows, those with the least
 md5 of doc_id, none of them held out (crc32(doc_id as text) mod 5 = 0). Equal
 rows count once, and the bound holds for rows, not for labels. Executors make the
-features; only these, never texts, come to the driver, where the one pass after
-the other runs that FTRL is. Labels, language, source and doc_id are no inputs of
+features and drop the rare ones; only the rest, packed, and never texts come to
+the driver, where the one pass after the other runs that FTRL is. Labels, language, source and doc_id are no inputs of
 a score.
 
 Null text counts as empty; an empty text has the score of the bias alone. Texts
@@ -23,6 +23,7 @@ has the name of the new column, that gets an underscore behind its name.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import column, free, packed, series_udf, unpacked
+from .common import column, free, packed, series_udf, settle, unpacked
 
 BITS = 20
 MAX_ROWS = 12288
@@ -111,7 +112,8 @@ def ftrl(feats: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> Mo
     seen = np.zeros(1 << BITS, np.int32)
     for f in feats:
         seen[f] += 1
-    feats = [np.append(f[seen[f] >= MIN_TEXTS], np.int32(1 << BITS)) for f in feats]
+    for k, f in enumerate(feats):
+        feats[k] = np.append(f[seen[f] >= MIN_TEXTS], np.int32(1 << BITS))
 
     def weights(i: np.ndarray) -> np.ndarray:
         zi = z[i]
@@ -132,16 +134,59 @@ def ftrl(feats: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> Mo
     return Model(kept.astype(np.int32), w[kept].astype(np.float32), float(w[-1]))
 
 
-def _features(batches):
-    """h, th, toxic and the text's feature numbers as bytes of 32-bit integers."""
+PIECE = 1 << 13
+#: The sample is dealt over so many tasks, of which the driver takes one after the other.
+TASKS = 24
+
+
+def _chunks(texts: list[str], wanted: np.ndarray | None = None):
+    for at in range(0, len(texts), 128):
+        slots, starts = hashed(texts[at : at + 128], wanted)
+        yield slots, starts
+
+
+def _counts(batches):
+    """slot and the number of its texts, for each slot of a partition."""
+    seen = np.zeros(1 << BITS, np.int64)
     for batch in batches:
-        texts = batch["text"].tolist()
-        for at in range(0, len(texts), 128):
-            slots, starts = hashed(texts[at : at + 128])
-            slots = slots.astype(np.int32)
-            out = batch.iloc[at : at + 128][["h", "th", "toxic"]].reset_index(drop=True)
-            out["slots"] = [slots[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
-            yield out
+        for slots, _ in _chunks(batch["text"].tolist()):
+            seen += np.bincount(slots, minlength=1 << BITS)
+    at = np.nonzero(seen)[0]
+    yield pd.DataFrame({"slot": at, "n": seen[at]})
+
+
+def _pack(piece: pd.DataFrame) -> pd.DataFrame:
+    k = int(piece["slot"].iloc[0]) // PIECE
+    flags = np.zeros(PIECE, bool)
+    flags[piece["slot"].to_numpy() - k * PIECE] = True
+    return pd.DataFrame({"k": [k], "flags": [np.packbits(flags).tobytes()]})
+
+
+def _frequent(texts: DataFrame) -> np.ndarray:
+    """A flag for each slot that MIN_TEXTS of the texts have; it comes to the driver as bits."""
+    counts = texts.select("text").mapInPandas(_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS)
+    out = np.zeros(1 << BITS, bool)
+    for k, flags in counts.groupBy((F.col("slot") / PIECE).cast("long").alias("k")).applyInPandas(_pack, "k long, flags binary").collect():
+        out[k * PIECE : (k + 1) * PIECE] = np.unpackbits(np.frombuffer(flags, np.uint8)).astype(bool)
+    return out
+
+
+def _features(texts: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """h, th, toxic and the text's wanted feature numbers, packed."""
+    shared = texts.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches):
+        for batch in batches:
+            packs = []
+            for slots, starts in _chunks(batch["text"].tolist(), shared.value):
+                packs += [zlib.compress(np.diff(slots[a:b], prepend=0).astype(np.int32).tobytes(), 1) for a, b in zip(starts[:-1], starts[1:])]
+            yield batch[["h", "th", "toxic"]].assign(slots=packs)
+
+    return texts.select("h", "th", "toxic", "text").mapInPandas(run, "h string, th long, toxic int, slots binary")
+
+
+def _unpacked(slots: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(slots), np.int32), dtype=np.int32)
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model:
@@ -152,11 +197,14 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Model
     known = rows.join(F.broadcast(sample), "doc_id").select("doc_id", "h", "toxic", F.xxhash64("text").alias("th")).distinct().orderBy("h", "doc_id", "th").limit(max_rows)
     one = rows.join(F.broadcast(known.withColumnRenamed("th", "known")), "doc_id").where(F.xxhash64("text") == F.col("known"))
     one = one.groupBy("doc_id", "h", "toxic", F.col("known").alias("th")).agg(F.first("text").alias("text"))
-    got = one.select("h", "th", "toxic", "text").mapInPandas(_features, "h string, th long, toxic int, slots binary").collect()
+    one = settle(one.repartition(TASKS, "h"))
+    got = list(_features(one, _frequent(one)).toLocalIterator(prefetchPartitions=True))
     if not got:
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), float(np.log(PRIOR / (1 - PRIOR))))
     got.sort(key=lambda r: (r["h"], r["th"]))
-    return ftrl([np.frombuffer(r["slots"], np.int32) for r in got], [int(r["toxic"] > 0) for r in got])
+    labels, packs = [int(r["toxic"] > 0) for r in got], [bytes(r["slots"]) for r in got]
+    del got
+    return ftrl([_unpacked(p) for p in packs], labels)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", out: str = "score") -> DataFrame:
