@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..functions import kernels as K
 from ..functions.kernels import clip
+from . import fit, score
 from .measure import by_joint, ep
 
 #: The earlier interface's weights and the good/bad cut.
@@ -113,17 +115,24 @@ def good_episodes(rows: DataFrame, threshold: float = GOOD, require: str = "all"
     return rows.groupBy("episode").agg((F.min(ok) if require == "all" else F.max(ok)).alias("good")).where("good").select("episode")
 
 
-def humanoid(measures: DataFrame) -> DataFrame:
-    """Five metrics of earlier humanoid datasets and their mean over those available."""
-    gone = F.col("degenerate")
-    ramp = lambda c, lo, hi: F.when(F.col(c).isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(c) - lo) / (hi - lo))))
-    parts = {
-        "h_smoothness": ramp("ldlj_wrist", -19.7, -17.0), "h_acceleration": ramp("acc_arm_rms", 5.4, 3.6),
-        "h_collision": F.when(F.col("self_collision_suspect"), F.least(F.lit(0.2), F.exp(-F.col("contact_rate_hz") / 0.5))).otherwise(F.exp(-F.col("contact_rate_hz") / 0.5)),
-        "h_runtime": 0.5 + 0.3 * F.coalesce(ramp("idle_fraction", 1.0, 0.25), F.lit(0.0)) + 0.2 * F.when(F.col("grasp_incomplete"), 0.0).otherwise(1.0),
-        "h_visual": F.when(F.col("video_decodable"), ramp("video_sharpness", 58.0, 110.0)),
+def humanoid(measures: DataFrame, stats: tuple[float, float] | None = None, weights: Mapping[str, float] | None = None) -> DataFrame:
+    """Five metrics of earlier humanoid datasets, each the family score without an idle allowance, and their mean.
+
+    stats: median and spread of durations; without them every duration is as good as any.
+    The visual metric counts only where there is a video.
+    """
+    c = fit.Calibration(idle_allowance=0.0, duration_median=stats and stats[0], duration_mad=stats and stats[1])
+    contact = score.contact(c)
+    z = K.robust_z(F.col("duration_s"), *stats) if stats else None
+    duration = F.lit(1.0) if z is None else F.coalesce(K.gauss(z, c.tau_fast, c.tau_slow), F.lit(1.0))
+    idle = K.ramp(F.col("idle_fraction"), 1.0, c.idle_allowance)
+    grasp = F.exp(-F.greatest(F.lit(0), F.col("grasp_transitions") - c.grasp_nominal) / c.grasp_decay)
+    retry = F.when(F.col("grasp_transitions").isNull() | (F.col("grasp_transitions") < 0), 1.0).when(F.col("grasp_incomplete"), 0.0).otherwise(grasp)
+    judged = {
+        "h_smoothness": F.coalesce(score.smoothness(c), F.lit(0.0)), "h_acceleration": F.coalesce(score.acceleration(c), F.lit(0.0)),
+        "h_collision": F.when(F.col("self_collision_suspect"), F.least(contact, F.lit(0.2))).otherwise(contact),
+        "h_runtime": 0.5 * duration + 0.3 * idle + 0.2 * retry,
     }
-    d = measures
-    for k, v in parts.items():
-        d = d.withColumn(k, F.when(gone, 0.0).otherwise(v))
-    return d.withColumn("aggregate", weighted({k: F.col(k) for k in parts}, dict.fromkeys(parts, 0.2)))
+    parts = {k: F.when(F.col("degenerate"), 0.0).otherwise(v) for k, v in judged.items()} | {"h_visual": score.video(c)}
+    d = measures.select("*", *[v.alias(k) for k, v in parts.items()])
+    return d.withColumn("aggregate", weighted({k: F.col(k) for k in parts}, weights or dict.fromkeys(parts, 0.2)))

@@ -11,7 +11,7 @@ from ..operators import legacy as L
 from ..operators import measure as M
 from . import bindings as B
 from .motion import rounded
-from .scoring import WITH, m
+from .scoring import WITH, family_sql, m
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -98,15 +98,19 @@ def evaluate_episodes(spark, sf_dir):
     return rounded(_cameras(spark, sf_dir).agg(F.count("*").alias("n_rows"), F.countDistinct("episode").alias("n_episodes"), F.avg("total").alias("mean")))
 
 
-_H = """h as (select *, case when degenerate then 0 else greatest(0, least(1, (ldlj_wrist + 19.7) / 2.7)) end as a, case when degenerate then 0 else greatest(0, least(1, (acc_arm_rms - 5.4) / -1.8)) end as b,
-case when degenerate then 0 when self_collision_suspect then least(0.2, exp(-contact_rate_hz / 0.5)) else exp(-contact_rate_hz / 0.5) end as c,
-case when degenerate then 0 else 0.5 + 0.3 * greatest(0, least(1, (idle_fraction - 1) / -0.75)) + 0.2 * case when grasp_incomplete then 0 else 1 end end as d,
-case when degenerate then 0 when video_decodable then greatest(0, least(1, (video_sharpness - 58) / 52)) end as e from m)"""
+_FAMILY = family_sql()
+_Z = "((duration_s - 18.0) / 4.0)"
+_H = f"""h as (select *, case when degenerate then 0 else coalesce({_FAMILY["smoothness"]}, 0) end as a, case when degenerate then 0 else coalesce({_FAMILY["acceleration"]}, 0) end as b,
+case when degenerate then 0 when self_collision_suspect then least(0.2, coalesce({_FAMILY["contact"]}, 0)) else coalesce({_FAMILY["contact"]}, 0) end as c,
+case when degenerate then 0 else 0.5 * coalesce(exp(-pow({_Z} / case when {_Z} >= 0 then 1.25 else 2.0 end, 2)), 1) + 0.3 * coalesce(greatest(0, least(1, 1 - idle_fraction)), 0)
+  + 0.2 * case when grasp_transitions is null or grasp_transitions < 0 then 1 when grasp_incomplete then 0 else exp(-greatest(0, grasp_transitions - 4) / 2.0) end end as d,
+{_FAMILY["video"]} as e from m)"""
 
 
-@query("legacy_humanoid", WITH + f", {_H} select episode, round((0.2 * a + 0.2 * b + 0.2 * c + 0.2 * d + coalesce(0.2 * e, 0))::double / (0.8 + case when e is null then 0 else 0.2 end), 6) as aggregate from h")
+@query("legacy_humanoid", WITH + f", {_H} select episode, round(a::double, 6) as smoothness, round(b::double, 6) as acceleration, round(c::double, 6) as collision, round(d::double, 6) as runtime, round(e::double, 6) as visual, round((0.2 * a + 0.2 * b + 0.2 * c + 0.2 * d + coalesce(0.2 * e, 0))::double / (0.8 + case when e is null then 0 else 0.2 end), 6) as aggregate from h")
 def legacy_humanoid(spark, sf_dir):
-    return rounded(L.humanoid(m(spark, sf_dir)).select("episode", "aggregate"))
+    parts = [F.col(f"h_{k}").alias(k) for k in ("smoothness", "acceleration", "collision", "runtime", "visual")]
+    return rounded(L.humanoid(m(spark, sf_dir), (18.0, 4.0)).select("episode", *parts, "aggregate"))
 
 
 @query("legacy_weights", WITH + " select episode, round((20 * coalesce(video_contrast, 0) / 66 + 10 * (1 - idle_fraction))::double / 30, 6) as total, case when (20 * video_contrast / 66 + 10 * (1 - idle_fraction)) / 30 >= 0.65 then 'GOOD' else 'BAD' end as status from m")

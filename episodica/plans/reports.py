@@ -209,7 +209,7 @@ def reindex_meta(spark, sf_dir):
     return R.reindex_meta(meta, _good(spark, sf_dir))
 
 
-@query("rebuild_splits", f"with {B.FRAMES_SQL}, g as (select episode, row_number() over (order by episode) - 1 as i from (select distinct episode from frames where episode % 3 <> 0)), s(name, a, b) as (values ('train', 0, 40), ('val', 40, 60)) select name, least(b, min(i)) || ':' || greatest(a, max(i)) as range from s join g on episode between a and b group by name, a, b")
+@query("rebuild_splits", f"with {B.FRAMES_SQL}, g as (select episode, row_number() over (order by episode) - 1 as i from (select distinct episode from frames where episode % 3 <> 0)), s(name, a, b) as (values ('train', 0, 40), ('val', 40, 60)) select name, coalesce(least(b, min(i)), b) || ':' || coalesce(greatest(a, max(i)), a) as range from s left join g on episode between a and b group by name, a, b")
 def rebuild_splits(spark, sf_dir):
     splits = spark.sql("select * from values ('train', 0, 40), ('val', 40, 60) as t(name, start, stop)")
     return R.rebuild_splits(splits, _good(spark, sf_dir))

@@ -107,3 +107,32 @@ def test_video_measures_of_decoded_frames(spark):
     assert np.isclose(got[2].video_interframe_diff, np.abs(np.diff(pairs, axis=0)).mean())
     assert got[2].video_decode_ratio == 1 and got[2].video_brightness == wide[0].mean()
     assert (got[3].video_decodable, got[3].video_decode_ratio, got[3].video_sharpness) == (False, 0.0, None)
+
+
+def test_humanoid_by_hand(spark):
+    """Worked out by hand from the default ranges."""
+    import math
+
+    from episodica.operators import legacy
+
+    names = "ldlj_wrist ldlj_arm ldlj_body acc_arm_rms acc_arm_p99 acc_body_rms acc_body_p99 acc_wrist_rms acc_wrist_p99 contact_rate_hz duration_s idle_fraction".split()
+    kinds = ", ".join(f"{n} double" for n in names)
+    video = {"video_sharpness": 84.0, "video_brightness": 127.5, "video_contrast": 45.0, "video_clipped_fraction": 0.0, "video_interframe_diff": 2.0, "arm_speed_rms": 0.0}
+    schema = f"episode int, {kinds}, grasp_transitions int, grasp_incomplete boolean, self_collision_suspect boolean, degenerate boolean, video_decodable boolean, video_truncated boolean, " + ", ".join(f"{k} double" for k in video)
+    half = [-18.35, -18.95, -19.95, 4.5, 17.3, 2.05, 7.05, 2.65, 8.95, 0.5, 22.0, 0.4]
+    rows = [
+        (1, *half, 4, False, False, False, True, False, *video.values()),
+        (2, *half, 4, True, True, False, None, None, *[None] * 6),
+        (3, *half, 4, False, False, True, True, True, *video.values()),
+        (4, *half[:3], *[None] * 6, *half[9:], -1, False, False, False, None, None, *[None] * 6),
+    ]
+    got = {r.episode: r for r in legacy.humanoid(spark.createDataFrame(rows, schema), (18.0, 4.0)).collect()}
+    slow = math.exp(-((1 / 1.25) ** 2))
+    near = lambda a, b: abs(a - b) < 1e-9
+    assert near(got[1].h_smoothness, 0.5) and near(got[1].h_acceleration, 0.5) and near(got[1].h_collision, math.exp(-1))
+    assert near(got[1].h_runtime, 0.5 * slow + 0.3 * 0.6 + 0.2) and near(got[1].h_visual, 0.45 * 0.5 + 0.30 + 0.25 * 0.5)
+    assert near(got[1].aggregate, (0.5 + 0.5 + math.exp(-1) + 0.5 * slow + 0.38 + 0.65) / 5)
+    assert near(got[2].h_collision, 0.2) and near(got[2].h_runtime, 0.5 * slow + 0.18) and got[2].h_visual is None
+    assert near(got[2].aggregate, (0.5 + 0.5 + 0.2 + 0.5 * slow + 0.18) / 4)
+    assert got[3].aggregate == 0
+    assert near(got[4].h_acceleration, 0) and near(got[4].h_runtime, 0.5 * slow + 0.18 + 0.2)
