@@ -99,6 +99,7 @@ class Policy:
     rules: Sequence[Rule] = ()
     limits: Sequence[Rule] = ()
     weights: Mapping[str, float] = field(default_factory=lambda: dict(WEIGHTS))
+    review_on_contact: bool = True
     contact_review_hz: float = 0.5
     semantic_accept: float = 1.0
     semantic_reject: float = 0.0
@@ -123,18 +124,20 @@ def general(v: float | Column, digits: int = 6) -> Column:
     return F.when((mag >= -4) & (mag < digits), fixed).otherwise(F.concat(mantissa, F.lit("e"), F.when(mag < 0, "-").otherwise("+"), F.lpad(F.abs(mag).cast("string"), 2, "0")))
 
 
-def _common(has_semantic: bool, reject_bar: float) -> list[tuple[Column, Column]]:
+def _common(columns: list[str], reject_bar: float) -> list[tuple[Column, Column]]:
     hard = _listed([(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in HARD])
     steps = [(F.size(hard) > 0, hard)]
-    if has_semantic:
-        steps.append((F.coalesce(F.col("semantic") <= reject_bar, F.lit(False)), F.array(F.lit("semantic:goal not reached"))))
+    if "semantic" in columns:
+        note = F.when(F.col("semantic_note") != "", F.concat(F.lit(": "), F.col("semantic_note"))) if "semantic_note" in columns else F.lit(None).cast("string")
+        said = F.concat(F.lit("semantic:goal not reached"), F.coalesce(note, F.lit("")))
+        steps.append((F.coalesce(F.col("semantic") <= reject_bar, F.lit(False)), F.array(said)))
     return steps
 
 
 def decide(scored: DataFrame, p: Policy | None = None) -> DataFrame:
     """Adds decision and reasons; each stage ends the decision with reasons of its own."""
     p, has = p or Policy(), "semantic" in scored.columns
-    stages = _common(has, p.semantic_reject)
+    stages = _common(scored.columns, p.semantic_reject)
     hit = [(r.fires(), F.concat(F.lit(f"limit:{r.quantity}{r.op}{r.limit:g} (got "), general(T.rule_value(r.quantity), 3), F.lit(")"))) for r in p.limits]
     stages.insert(1, (F.size(_listed(hit)) > 0, _listed(hit)))
     review: list[tuple[Column, Column]] = []
@@ -155,7 +158,8 @@ def decide(scored: DataFrame, p: Policy | None = None) -> DataFrame:
         review += [(F.coalesce(F.col(n) < f, F.lit(False)), F.concat(F.lit(f"{n} "), F.format_string("%.3f", F.col(n)), F.lit(f" < {f:g}"))) for n, f in p.minimums.items()]
     rate = F.concat(F.lit("("), F.format_string("%.2f", F.col("contact_rate_hz")), F.lit(" Hz)"))
     events = F.concat(F.lit("contact "), *([F.col("contact_count").cast("string"), F.lit(" events ")] if "contact_count" in scored.columns else []), rate)
-    review.append((F.coalesce(F.col("contact_rate_hz") > p.contact_review_hz, F.lit(False)), events))
+    if p.review_on_contact:
+        review.append((F.coalesce(F.col("contact_rate_hz") > p.contact_review_hz, F.lit(False)), events))
     if has:
         review.append((F.coalesce(F.col("semantic") < p.semantic_accept, F.lit(False)), F.concat(F.lit("semantic "), general(F.col("semantic")))))
     return _finish(scored, stages, _listed(review))
@@ -177,17 +181,35 @@ def penalties(measures: DataFrame, p: T.Profile) -> DataFrame:
     return d.withColumn("p", K.violation(F.col("u"))).withColumn("cost", K.cost(F.col("u")))
 
 
-def absolute_columns(p: T.Profile) -> tuple[Column, Column]:
+def criteria(p: T.Profile) -> Column:
+    """An array of each enabled criterion's i (its place in the profile), value, violation p and weighted cost nats.
+
+    Values stand side by side, and one lambda judges them all, so the code to compile doesn't grow with their number.
+    """
+    active = [(i, c) for i, c in enumerate(p.criteria) if c.enabled]
+    number = lambda v: F.lit(float(v))
+    rows = [F.struct(F.lit(i).alias("i"), T.quantity(c.quantity, p).cast("double").alias("value"), number(c.good).alias("good"), number(c.bad).alias("bad"), number(c.weight).alias("weight")) for i, c in active]
+    if not rows:
+        return F.array().cast("array<struct<i:int,value:double,p:double,nats:double>>")
+    placed = F.transform(F.array(*rows), lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), x["weight"].alias("weight"), K.position(x["value"], x["good"], x["bad"]).alias("u")))
+    return F.transform(placed, lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), K.violation(x["u"]).alias("p"), (x["weight"] * K.cost(x["u"])).alias("nats")))
+
+
+def _counting(p: T.Profile) -> list[int]:
+    """Places of the criteria that count towards the severity."""
+    return [i for i, c in enumerate(p.criteria) if c.enabled and c.action != "review" and c.weight > 0]
+
+
+def absolute_columns(p: T.Profile, judged: Column | None = None) -> tuple[Column, Column]:
     """severity and total as expressions over a measured row: no row is multiplied, nothing is shuffled."""
-    parts = [(c.weight * K.cost(K.position(T.quantity(c.quantity, p), c.good, c.bad))) for c in p.criteria if c.enabled and c.action != "review" and c.weight > 0]
-    each = F.array_compact(F.array(*parts))
-    severity = F.when(F.size(each) > 0, F.aggregate(each, F.lit(0.0), lambda a, x: a + x))
+    some = F.filter(criteria(p) if judged is None else judged, lambda x: x["i"].isin(_counting(p)) & x["nats"].isNotNull())
+    severity = F.aggregate(some, F.lit(None).cast("double"), lambda a, x: F.coalesce(a, F.lit(0.0)) + x["nats"])
     return severity, F.when(severity >= 700, 0.0).otherwise(F.exp(-severity))
 
 
 def score_absolute(measures: DataFrame, p: T.Profile) -> DataFrame:
-    severity, total = absolute_columns(p)
-    return measures.withColumn("severity", severity).withColumn("total", total)
+    severity = absolute_columns(p)[0]
+    return measures.withColumn("severity", severity).withColumn("total", F.when(F.col("severity") >= 700, 0.0).otherwise(F.exp(-F.col("severity"))))
 
 
 def family_view(measures: DataFrame, p: T.Profile) -> DataFrame:
@@ -204,20 +226,22 @@ def top_offenders(measures: DataFrame, p: T.Profile, k: int = 3) -> DataFrame:
 
 
 def decide_absolute(scored: DataFrame, p: T.Profile) -> DataFrame:
-    """Adds decision and reasons; the offenders of a rejection are the dearest three."""
+    """Adds decision and reasons; the offenders of a rejection are the dearest three, equals in the criteria's order."""
     has = "semantic" in scored.columns
-    offenders = F.array_compact(F.array(*[
-        F.when(c.weight * K.cost(K.position(T.quantity(c.quantity, p), c.good, c.bad)) > 0, F.struct(
-            (-c.weight * K.cost(K.position(T.quantity(c.quantity, p), c.good, c.bad))).alias("n"), F.lit(i).alias("i"),
-            F.concat(F.lit(f"{c.label} "), general(T.quantity(c.quantity, p), 4), F.lit(f"{' ' + c.unit if c.unit else ''} (good {c.good:g}, bad {c.bad:g}, p="), F.format_string("%.2f", K.violation(K.position(T.quantity(c.quantity, p), c.good, c.bad))), F.lit(")")).alias("t")))
-        for i, c in enumerate(p.criteria) if c.enabled and c.action != "review" and c.weight > 0
-    ]))
-    top = F.transform(F.slice(F.array_sort(offenders), 1, 3), lambda x: x["t"])
+    d = scored.withColumn("__criteria", criteria(p))
+    texts = lambda f: F.array(*[F.lit(f(c)) for c in p.criteria]) if p.criteria else F.array(F.lit(""))
+    unit = lambda c: f" {c.unit}" if c.unit else ""
+    label, behind = texts(lambda c: f"{c.label or c.quantity} "), texts(lambda c: f"{unit(c)} (good {c.good:g}, bad {c.bad:g}, p=")
+    dear = F.filter("__criteria", lambda x: x["i"].isin(_counting(p)) & (x["nats"] > 0))
+    dear = F.slice(F.array_sort(F.transform(dear, lambda x: F.struct((-x["nats"]).alias("n"), x["i"].alias("i"), x["value"].alias("value"), x["p"].alias("p")))), 1, 3)
+    top = F.transform(dear, lambda x: F.concat(F.get(label, x["i"]), general(x["value"], 4), F.get(behind, x["i"]), F.format_string("%.2f", x["p"]), F.lit(")")))
     said = F.concat(F.array(F.concat(F.lit("score "), F.format_string("%.3f", F.col("total")), F.lit(f" < {p.threshold:g}"))), top)
-    unmeasured = F.array(F.lit("nothing measurable: no criterion could be evaluated"))
-    stages = _common(has, 0.0) + [(F.coalesce(F.col("total") < p.threshold, F.lit(False)), said)]
-    review = [(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in SOFT]
-    review += [(F.coalesce(K.violation(K.position(T.quantity(c.quantity, p), c.good, c.bad)) > 0.5, F.lit(False)), F.lit(c.label)) for c in p.criteria if c.enabled and c.action == "review"]
+    looked_at = [i for i, c in enumerate(p.criteria) if c.enabled and c.action == "review"]
+    bad = F.filter("__criteria", lambda x: x["i"].isin(looked_at) & (x["p"] > 0.5))
+    noted = F.transform(bad, lambda x: F.concat(F.get(label, x["i"]), general(x["value"], 4), F.get(texts(unit), x["i"])))
+    stages = _common(scored.columns, 0.0) + [(F.coalesce(F.col("total") < p.threshold, F.lit(False)), said)]
+    review = F.concat(_listed([(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in SOFT]), noted)
     if has:
-        review.append((F.coalesce(F.col("semantic") < 1, F.lit(False)), F.lit("semantic:uncertain")))
-    return _finish(scored, stages, F.when(F.col("total").isNull(), unmeasured).otherwise(_listed(review)))
+        review = F.concat(review, _listed([(F.coalesce(F.col("semantic") < 1, F.lit(False)), F.concat(F.lit("semantic "), general(F.col("semantic"))))]))
+    unmeasured = F.array(F.lit("no criterion measurable on this episode"))
+    return _finish(d, stages, F.when(F.col("total").isNull(), unmeasured).otherwise(review)).drop("__criteria")

@@ -136,3 +136,18 @@ def test_humanoid_by_hand(spark):
     assert near(got[2].aggregate, (0.5 + 0.5 + 0.2 + 0.5 * slow + 0.18) / 4)
     assert got[3].aggregate == 0
     assert near(got[4].h_acceleration, 0) and near(got[4].h_runtime, 0.5 * slow + 0.18 + 0.2)
+
+
+def test_reasons_of_absolute_decisions(spark):
+    from episodica.operators import fit, score
+
+    c = lambda q, action, weight, unit="": fit.Criterion(quantity=q, good=1.0, bad=2.0, weight=weight, action=action, family="x", label=q.upper(), unit=unit)
+    profile = fit.Profile(criteria=(c("a", "reject", 1.0, "s"), c("b", "reject", 2.0), c("k", "review", 1.0, "Hz")), threshold=0.5)
+    flags = ", ".join(f"{f} boolean" for f in (*score.HARD, *score.SOFT))
+    off = [False] * (len(score.HARD) + len(score.SOFT))
+    rows = [(1, 1.9, 1.8, 1.0, 1.0, None, *off), (2, 1.0, 1.0, 1.9, 0.5, None, *off), (3, 1.0, 1.0, 1.0, 0.0, "cup fell", *off), (4, None, None, None, 1.0, "", *off), (5, 1.0, 1.0, 1.0, 1.0, "", *off)]
+    df = spark.createDataFrame(rows, f"episode int, a double, b double, k double, semantic double, semantic_note string, {flags}")
+    got = {r.episode: (r.decision, r.reasons) for r in score.decide_absolute(score.score_absolute(df, profile), profile).collect()}
+    assert got[1][0] == "reject" and got[1][1][0].startswith("score 0.0") and [t.split(" (")[0] for t in got[1][1][1:]] == ["B 1.8", "A 1.9 s"]
+    assert got[2] == ("review", ["K 1.9 Hz", "semantic 0.5"]) and got[3] == ("reject", ["semantic:goal not reached: cup fell"])
+    assert got[4] == ("review", ["no criterion measurable on this episode"]) and got[5] == ("accept", [])
