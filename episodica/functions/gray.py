@@ -6,6 +6,8 @@ Video decoding is left to a plug-in that yields such rows; see
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -67,6 +69,41 @@ def quality_penalty(blur_variance: Column, brightness: Column, max_variance: flo
     return F.greatest(blur, 1 - brightness / max_brightness)
 
 
+def gaussian(size: int) -> list[float]:
+    """Weights of a Gaussian of an odd width whose deviation follows from the width; widths up to 7 have binomial weights."""
+    fixed = {1: [1.0], 3: [0.25, 0.5, 0.25], 5: [0.0625, 0.25, 0.375, 0.25, 0.0625], 7: [0.03125, 0.109375, 0.21875, 0.28125, 0.21875, 0.109375, 0.03125]}
+    if size in fixed:
+        return fixed[size]
+    sigma, mid = 0.3 * ((size - 1) * 0.5 - 1) + 0.8, size // 2
+    w = [math.exp(-((i - mid) ** 2) / (2 * sigma * sigma)) for i in range(size)]
+    return [x / sum(w) for x in w]
+
+
+def blur(gray: Column, height: str, width: str, size: int) -> Column:
+    """Gaussian blur of an odd width, along rows and then along columns; mirrored borders, values rounded at the end."""
+    h, w, half = F.col(height), F.col(width), size // 2
+    weights = list(enumerate(gaussian(size), -half))
+
+    def fold(i: Column, n: Column) -> Column:
+        period = F.greatest(2 * n - 2, F.lit(1))
+        m = F.pmod(i, period)
+        return F.when(n == 1, 0).otherwise(F.least(m, period - m))
+
+    def along(a: Column, place) -> Column:
+        return F.transform(a, lambda v, i: sum(F.get(a, place(i, k).cast("int")) * x for k, x in weights))
+
+    rows = along(gray, lambda i, k: F.floor(i / w) * w + fold(i % w + k, w))
+    # bound by a lambda, so that the first pass isn't written out for each weight of the second
+    both = F.transform(F.array(rows), lambda a: along(a, lambda i, k: fold(F.floor(i / w) + k, h) * w + i % w))
+    return F.transform(F.get(both, F.lit(0)), lambda v: F.round(v).cast("int"))
+
+
+def kernel_size(strength: float, largest: int = 11) -> int:
+    """The odd width for a strength from 0 (none) to 1."""
+    size = int(1 + strength * (largest - 1))
+    return size if size % 2 else size + 1
+
+
 def adjust(gray: Column, gain: float, bias: float) -> Column:
     """Contrast and brightness, cut to 0..255."""
     return F.transform(gray, lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.round(x * gain + bias).cast("int"))))

@@ -208,6 +208,13 @@ def fit_profile(measures: DataFrame, base: Profile | None = None, good_sigma: fl
     return dataclasses.replace(p, criteria=tuple(out))
 
 
+def refit_profile(measures: DataFrame, current: Profile | None = None, task_duration: float | None = None, good_sigma: float = 1.0, bad_sigma: float = 4.0, fitted_on: str = "") -> Profile:
+    """Anchors from this batch; the threshold in force stays, since strictness is the user's choice."""
+    p = fit_profile(measures, None, good_sigma, bad_sigma, fitted_on)
+    p = dataclasses.replace(p, threshold=current.threshold if current else Profile().threshold)
+    return p if task_duration is None else dataclasses.replace(p, task_duration_s=float(task_duration))
+
+
 def drift(measures: DataFrame, p: Profile) -> DataFrame:
     """How a batch's valid episodes lie against a frozen profile."""
     from ..functions.kernels import position

@@ -7,6 +7,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import gray
+
 
 def uniform(seed: int, *keys: Column) -> Column:
     """In [0, 1), the same for the same keys."""
@@ -27,6 +29,27 @@ def motion_noise(samples: DataFrame, probability: float = 0.5, seed: int = 7, si
     return d.withColumn("command", F.when(hit, F.col("command") + sigma_action * normal(seed + 8, *key)).otherwise(F.col("command")))
 
 
+def image_faults(frames: DataFrame, strength: float = 0.5, probability: float = 0.5, seed: int = 11) -> DataFrame:
+    """Blurs grey frames of some clips and shifts brightness and contrast, each frame by its own draw; adds whether the clip was hit.
+
+    Columns: episode, camera, frame_index, height, width, gray, as from ``sources.video.decode``.
+    """
+    clip, frame = (F.col("episode"), F.col("camera")), (F.col("episode"), F.col("camera"), F.col("frame_index"))
+    d = frames.withColumn("corrupted", (uniform(seed, *clip) < probability) & F.lit(strength > 0))
+    size = gray.kernel_size(strength)
+    d = d.withColumn("__b", gray.blur(F.col("gray"), "height", "width", size) if size > 1 else F.col("gray"))
+    gain = 1 + strength * (uniform(seed + 1, *frame) - 0.5)
+    bias = strength * (100 * uniform(seed + 2, *frame) - 50)
+    d = d.withColumns({"__gain": gain, "__bias": bias})
+    lit = F.transform("__b", lambda x: F.least(F.lit(255), F.greatest(F.lit(0), F.floor(x * F.col("__gain") + F.col("__bias")).cast("int"))))
+    return d.withColumn("gray", F.when(F.col("corrupted"), lit).otherwise(F.col("gray"))).drop("__b", "__gain", "__bias")
+
+
+def single_precision(frames: DataFrame, columns: tuple[str, ...] = ("observation.state", "action")) -> DataFrame:
+    """Vectors as arrays of floats, as such files hold them; columns that are missing are left out."""
+    return frames.withColumns({c: F.col(f"`{c}`").cast("array<float>") for c in columns if c in frames.columns})
+
+
 def log(samples: DataFrame) -> DataFrame:
     """One row: episodes in all and those with a corrupted row."""
     per = samples.groupBy("episode").agg(F.max("corrupted").alias("hit"))

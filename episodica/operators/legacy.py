@@ -99,6 +99,20 @@ def time_stats(df: DataFrame, col: str) -> DataFrame:
     return m.withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
+def robust_time_stats(df: DataFrame, col: str) -> DataFrame:
+    """median, scaled median deviation, mean and deviation of the finite values; no row without any."""
+    d = df.select(F.col(col).cast("double").alias("v")).where("v is not null and not isnan(v) and abs(v) < double('infinity')")
+    mid = d.agg(F.percentile("v", F.lit(0.5)).alias("median"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count("*").alias("n"))
+    off = d.join(F.broadcast(mid.select("median"))).agg((1.4826 * F.percentile(F.abs(F.col("v") - F.col("median")), F.lit(0.5))).alias("mad"))
+    return mid.where("n > 0").join(F.broadcast(off)).select("median", "mad", "mean", "std")
+
+
+def degenerate(duration: Column, path: Column, max_speed: Column, shortest_path: float = 0.30, least_speed: float = 1e-3) -> Column:
+    """Nothing happened: no duration, a short wrist path, or without a wrist path no joint that moves."""
+    still = F.when(path.isNotNull(), path < shortest_path).otherwise(F.coalesce(max_speed < least_speed, F.lit(False)))
+    return F.coalesce(duration <= 0, F.lit(False)) | still
+
+
 def weighted(scores: Mapping[str, Column], weights: Mapping[str, float] = WEIGHTS) -> Column:
     """Weighted mean over the scores present."""
     total = value = F.lit(0.0)

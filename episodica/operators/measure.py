@@ -134,7 +134,7 @@ def contact_frames(frame: DataFrame) -> DataFrame:
     d = d.withColumn("base_vote", K.spikes(F.col("base_acc"), ep()) & (n > 2)).withColumn("tracking_vote", K.spikes(F.col("residual"), ep()))
     votes = F.col("impact").cast("int") + F.col("base_vote").cast("int") + F.col("tracking_vote").cast("int")
     d = d.withColumn("confirmed", votes >= QUORUM)
-    return d.withColumn("starts", K.run_starts(F.col("confirmed"), by_t())).withColumn("impact_starts", K.run_starts(F.col("impact"), by_t()))
+    return d.withColumn("starts", K.run_starts(F.col("confirmed"), by_t())).withColumns({f"{v}_starts": K.run_starts(F.col(c), by_t()) for v, c in (("impact", "impact"), ("base", "base_vote"), ("tracking", "tracking_vote"))})
 
 
 def measure(frames: DataFrame, groups: Mapping[str, tuple[int, int]] = GROUPS) -> DataFrame:
@@ -154,6 +154,7 @@ def measure(frames: DataFrame, groups: Mapping[str, tuple[int, int]] = GROUPS) -
         ldlj("arm_speed", "arm_jerk2").alias("ldlj_arm"), ldlj("body_speed", "body_jerk2").alias("ldlj_body"), ldlj("wrist_speed", "wrist_jerk2").alias("ldlj_wrist"),
         K.rms(F.col("wrist_acc")).alias("acc_wrist_rms"), F.percentile("wrist_acc", F.lit(0.99)).alias("acc_wrist_p99"),
         F.sum(F.col("starts").cast("int")).alias("contact_count"), F.sum(F.col("impact_starts").cast("int")).alias("impact_count"),
+        F.sum(F.col("base_starts").cast("int")).alias("base_disturbance_count"), F.sum(F.col("tracking_starts").cast("int")).alias("tracking_divergence_count"),
         F.coalesce(F.try_divide(F.sum(F.col("starts").cast("int")).cast("double"), span), F.lit(0.0)).alias("contact_rate_hz"),
         F.array_sort(F.collect_list(F.when(F.col("starts"), F.col("frame_index")))).alias("contact_frames"),
         F.min("separation").alias("min_wrist_separation_m"), F.max("tilt").alias("max_base_tilt_deg"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -91,6 +92,30 @@ class Rule:
         return F.coalesce(v > self.limit if self.op == ">" else v < self.limit, F.lit(False))
 
 
+def parse_limits(items: Sequence[str]) -> list[Rule]:
+    """``quantity>limit`` or ``quantity<limit``, with ``:action`` behind it where it isn't reject."""
+    rules = []
+    for item in items:
+        got = re.fullmatch(r"([^<>:]+)([<>])([^:]+)(?::(.*))?", item.strip())
+        if not got:
+            raise ValueError(f"a limit needs '>' or '<': {item!r}")
+        key = got[1].strip()
+        if key not in T.RULE_SEEDS:
+            raise ValueError(f"unknown quantity {key!r}; expected one of {sorted(T.RULE_SEEDS)}")
+        rules.append(Rule(key, float(got[3]), got[2], got[4] or "reject"))
+    return rules
+
+
+def parse_weights(text: str | None) -> dict[str, float]:
+    """``family=weight`` items between commas, over the default weights."""
+    given = dict(item.split("=", 1) if "=" in item else (item, "") for item in filter(None, map(str.strip, (text or "").split(","))))
+    given = {k.strip(): v for k, v in given.items()}
+    unknown = sorted(set(given) - set(WEIGHTS))
+    if unknown:
+        raise ValueError(f"unknown family {unknown[0]!r}; expected one of {sorted(WEIGHTS)}")
+    return WEIGHTS | {k: float(v) for k, v in given.items()}
+
+
 @dataclass(frozen=True)
 class Policy:
     mode: str = "gate"

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from . import legacy, motion, reports, scoring
+    from . import details, legacy, motion, reports, scoring
 
-    return [motion, scoring, legacy, reports]
+    return [motion, scoring, legacy, reports, details]
 
 
 def queries() -> dict:
