@@ -47,6 +47,28 @@ def contact_votes(spark, sf_dir):
     return M.measure(B.frames(spark, sf_dir), B.GROUPS).select("episode", "impact_count", "base_disturbance_count", "tracking_divergence_count")
 
 
+_HEAVY = {"wrist_acc": "value * value", "base_acc": "value * value * value", "residual": "value * value * value * value"}
+_HW = "e as (partition by episode), w as (partition by episode order by t, frame_index)"
+
+
+@query(
+    "vote_starts",
+    f"with {B.FRAMES_SQL}, a as (select episode, frame_index, t, {', '.join(f'{v} as {c}' for c, v in _HEAVY.items())}, value as wrist_speed from frames), "
+    f"b as (select *, {', '.join(f'median({c}) over e as med_{c}' for c in _HEAVY)}, {B.gradient_sql('wrist_speed')} as slope, quantile_cont(wrist_speed, 0.25) over e as p25, count(*) over e as n from a window {_HW}), "
+    f"c as (select *, {', '.join(f'median(abs({c} - med_{c})) over e as mad_{c}' for c in _HEAVY)} from b window e as (partition by episode)), "
+    f"d as (select *, coalesce({B._SPIKE('wrist_acc')} and slope < 0 and wrist_speed > greatest(p25, 1e-3), false) as impact, coalesce({B._SPIKE('base_acc')}, false) and n > 2 as base_vote, coalesce({B._SPIKE('residual')}, false) as tracking_vote from c), "
+    "x as (select *, impact::int + base_vote::int + tracking_vote::int >= 2 as confirmed from d), "
+    "s as (select episode, " + ", ".join(f"({c} and not coalesce(lag({c}) over w, false))::int as {c}" for c in (*_VOTES, "confirmed")) + " from x window w as (partition by episode order by t, frame_index)) "
+    "select episode, sum(impact)::bigint as impact, sum(base_vote)::bigint as base, sum(tracking_vote)::bigint as tracking, sum(confirmed)::bigint as confirmed from s group by episode",
+)
+def vote_starts(spark, sf_dir):
+    """The votes over heavy-tailed channels, so that each of them occurs."""
+    v = {c: F.expr(x) for c, x in _HEAVY.items()} | {"wrist_speed": F.col("value")}
+    d = M.contact_frames(B.frames(spark, sf_dir).select("episode", "frame_index", "t", *[c.alias(k) for k, c in v.items()]))
+    n = lambda c: F.sum(F.col(c).cast("int"))
+    return d.groupBy("episode").agg(n("impact_starts").alias("impact"), n("base_starts").alias("base"), n("tracking_starts").alias("tracking"), n("starts").alias("confirmed"))
+
+
 _TEXT = f"({_SC})::varchar"
 _SAID = (
     f"case when k % 4 = 0 then case when {_SC} = 1 then '' else 'score corrected ' || coalesce({_TEXT}, 'None') || ' -> 1.0 (predicate_holds=yes)' end "
