@@ -11,7 +11,8 @@ reads will do.
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+import re
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,27 @@ def episode_number(name: Column) -> Column:
     return F.regexp_extract(name, r"_(\d+)\.", 1).cast("int")
 
 
+def superseded(paths: Iterable[str]) -> list[str]:
+    """Files whose episode has a file with a greater path; mostly none. One slash stands behind the scheme."""
+    last: dict[int, str] = {}
+    lost = []
+    for p in sorted(re.sub(r"^([a-z0-9]+:)/+", r"\1/", p) for p in paths):
+        number = re.search(r"_(\d+)\.[^/]*$", p)
+        if number:
+            lost += [last[int(number[1])]] if int(number[1]) in last else []
+            last[int(number[1])] = p
+    return lost
+
+
 def read_episodes(spark: SparkSession, root: str) -> DataFrame:
-    """All frames with their episode, channels renamed; absent channels are NULL, other columns are never read."""
+    """All frames with their episode, channels renamed; absent channels are NULL, other columns are never read.
+
+    Of several files of one episode the one with the greatest path counts.
+    """
     raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "episode_*.parquet").option("mergeSchema", True).parquet(f"{root}/data")
+    twice = superseded(raw.inputFiles())
+    if twice:
+        raw = raw.where(~F.regexp_replace("_metadata.file_path", "^([a-z0-9]+:)/+", "$1/").isin(*twice))
     cols = [episode_number(F.col("_metadata.file_name")).alias("episode")]
     for disk, name in CHANNELS.items():
         kind = "double" if name == "t" else "int" if name == "frame_index" else "array<double>"
@@ -58,6 +77,20 @@ def cameras(info: Mapping) -> list[str]:
     return [k.removeprefix("observation.images.") for k in info.get("features", {}) if k.startswith("observation.images.")]
 
 
+def default_camera(info: Mapping, videos: DataFrame | None = None) -> str | None:
+    """The first camera of the info document, else the first by name of those that have clips."""
+    named = cameras(info)
+    if named or videos is None:
+        return named[0] if named else None
+    return videos.agg(F.min("camera")).first()[0]
+
+
+def rename_channels(info: Mapping) -> dict:
+    """The document with ``rgb`` among the names of image axes read as ``channels``."""
+    fix = lambda v: {**v, "names": ["channels" if n == "rgb" else n for n in v["names"]]} if isinstance(v.get("names"), list) else v
+    return {**info, "features": {k: fix(v) for k, v in info.get("features", {}).items()}}
+
+
 def groups(modality: Mapping) -> dict[str, tuple[int, int]]:
     """Joint groups: entries of state with a start and an end and without another key of their own."""
     return {k: (int(v["start"]), int(v["end"])) for k, v in modality.get("state", {}).items() if "start" in v and "end" in v and not v.get("original_key")}
@@ -78,6 +111,23 @@ def tasks(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{root}/meta/episodes.jsonl").select(F.col("episode_index").alias("episode"), F.get("tasks", F.lit(0)).alias("task"))
 
 
+def default_task(spark: SparkSession, root: str) -> str:
+    """The task on the first line of tasks.jsonl that isn't blank; empty without one."""
+    first = spark.read.text(f"{root}/meta/tasks.jsonl").where(F.trim("value") != "").limit(1).select(F.get_json_object("value", "$.task").alias("task")).first()
+    return (first["task"] if first else None) or ""
+
+
+def read_meta_v30(spark: SparkSession, root: str) -> DataFrame:
+    """The episode table of a v3.0 folder, all of its files."""
+    return spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "file-*.parquet").option("mergeSchema", True).parquet(f"{root}/meta/episodes")
+
+
+def read_scores(spark: SparkSession, path: str) -> DataFrame:
+    """A score file (one JSON array, or a line per row) with the scores of single attributes as columns of their own."""
+    d = spark.read.option("multiLine", True).json(path)
+    return d.select(*[c for c in d.columns if c != "per_attribute_scores"], "per_attribute_scores.*")
+
+
 def resolve_tasks(rows: DataFrame, known: DataFrame, default: str | None = None) -> DataFrame:
     return rows.join(known, "task_index", "left").withColumn("task", F.coalesce("task", F.lit(default)))
 

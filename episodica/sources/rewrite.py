@@ -37,7 +37,7 @@ class Folder:
     """The few file operations that Spark's writers lack, on any file system that Spark reads."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.root, self._path = root, spark._jvm.org.apache.hadoop.fs.Path
+        self.root, self._spark, self._path = root, spark, spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
 
     def qualified(self) -> str:
@@ -62,10 +62,14 @@ class Folder:
         return sorted(found)
 
     def rename(self, at: str, name: str) -> None:
-        target = self._path(f"{self.root}/{name}")
+        """Puts a file in its place, over one that is there; readers see one of the two, whole."""
+        hadoop, target = self._spark._jvm.org.apache.hadoop.fs, self._path(f"{self.root}/{name}")
         self._fs.mkdirs(target.getParent())
-        if not self._fs.rename(self._path(at), target):
-            raise OSError(f"could not rename {at} to {target.toString()}")
+        how = getattr(hadoop, "Options$Rename")
+        options = self._spark.sparkContext._gateway.new_array(how, 1)
+        options[0] = how.OVERWRITE
+        files = hadoop.FileContext.getFileContext(self._fs.getUri(), self._spark._jsc.hadoopConfiguration())
+        files.rename(self._fs.makeQualified(self._path(at)), self._fs.makeQualified(target), options)
 
     def put_lines(self, lines: DataFrame, name: str, staging: str) -> None:
         """One column of text as one file; a single task streams it."""
