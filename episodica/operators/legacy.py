@@ -6,7 +6,7 @@ command. NULL stands for "can't be told".
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 import numpy as np
 import pandas as pd
@@ -123,8 +123,41 @@ def weighted(scores: Mapping[str, Column], weights: Mapping[str, float] = WEIGHT
     return F.try_divide(value, total)
 
 
+def evaluate(rows: DataFrame) -> DataFrame:
+    """One row: camera rows, episodes and the mean score over camera rows."""
+    return rows.agg(F.count("*").alias("n_rows"), F.countDistinct("episode").alias("n_episodes"), F.avg("total").alias("mean"))
+
+
+def breakdown(rows: DataFrame, scores: Mapping[str, Column], weights: Mapping[str, float] = WEIGHTS) -> DataFrame:
+    """episode, metric, its part of the weighted mean, and its share of what the episode reached."""
+    total = float(sum(weights[k] for k in scores))
+    each = F.array(*[F.struct(F.lit(k).alias("metric"), (v * float(weights[k])).alias("x")) for k, v in scores.items()])
+    reached = F.aggregate("each", F.lit(0.0), lambda a, e: a + F.coalesce(e["x"], F.lit(0.0)))
+    d = rows.select("episode", each.alias("each")).select("episode", reached.alias("__reached"), F.inline("each"))
+    return d.select("episode", "metric", (F.col("x") / total).alias("contribution"), F.try_divide("x", "__reached").alias("share"))
+
+
+
+def clarity(frames: DataFrame, keys: Sequence[str], order: str, step: int = 4) -> DataFrame:
+    """keys and score: one less the mean penalty of every step-th grey frame (columns sharpness and brightness)."""
+    from ..functions.gray import quality_penalty
+
+    w = W.partitionBy(*keys).orderBy(order)
+    d = frames.withColumn("__i", F.row_number().over(w)).where(F.col("__i") % step == 0)
+    return d.groupBy(*keys).agg(F.greatest(F.lit(0.0), 1 - F.avg(quality_penalty(F.col("sharpness"), F.col("brightness")))).alias("score"))
+
+
+def brackets(measures: DataFrame, keys: Sequence[str], low: float = 5.0, high: float = 95.0) -> DataFrame:
+    """key, lo and hi: percentiles of each quantity over the valid episodes, by one aggregation."""
+    rows = measures.where("valid").select(F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("double").alias("v")) for k in keys])))
+    p = rows.groupBy("key").agg(F.percentile("v", F.array(F.lit(low / 100), F.lit(high / 100))).alias("p"))
+    return p.select("key", F.get("p", F.lit(0)).alias("lo"), F.get("p", F.lit(1)).alias("hi"))
+
+
 def good_episodes(rows: DataFrame, threshold: float = GOOD, require: str = "all") -> DataFrame:
     """Episodes all (or any) of whose camera rows reach the threshold."""
+    if require not in ("all", "any"):
+        raise ValueError(f"require is 'all' or 'any', not {require!r}")
     ok = F.coalesce(F.col("total") >= threshold, F.lit(False))
     return rows.groupBy("episode").agg((F.min(ok) if require == "all" else F.max(ok)).alias("good")).where("good").select("episode")
 

@@ -46,6 +46,11 @@ def chain_of(group: str) -> dict[str, bool]:
     return {"arm": any(w in name for w in ARM_WORDS), "body": any(w in name for w in BODY_WORDS)}
 
 
+def chains(name: Column) -> dict[str, Column]:
+    """Whether a group's name belongs to the arm and to the body chain."""
+    return {"arm": F.lower(name).rlike("|".join(ARM_WORDS)), "body": F.lower(name).rlike("|".join(BODY_WORDS))}
+
+
 def in_chain(chain: str, groups: Mapping[str, tuple[int, int]]) -> Column:
     """Whether ``joint`` lies in a group of the chain."""
     out = F.lit(False)

@@ -220,6 +220,12 @@ def criteria(p: T.Profile) -> Column:
     return F.transform(placed, lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), K.violation(x["u"]).alias("p"), (x["weight"] * K.cost(x["u"])).alias("nats")))
 
 
+def ranked(measures: DataFrame, p: T.Profile) -> DataFrame:
+    """The criteria of every episode with ``place``, the dearest first; weighted costs count to nine places, ties by rank."""
+    w = W.partitionBy("episode").orderBy(F.desc_nulls_last(F.round(F.col("weight") * F.col("cost"), 9)), "rank")
+    return penalties(measures, p).withColumn("place", F.row_number().over(w))
+
+
 def _counting(p: T.Profile) -> list[int]:
     """Places of the criteria that count towards the severity."""
     return [i for i, c in enumerate(p.criteria) if c.enabled and c.action != "review" and c.weight > 0]

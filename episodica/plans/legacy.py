@@ -95,7 +95,7 @@ for _how, _fn in (("all", "bool_and"), ("any", "bool_or")):
 
 @query("evaluate_episodes", _CAM + " select count(*) as n_rows, count(distinct episode) as n_episodes, round(avg(total), 6) as mean from c")
 def evaluate_episodes(spark, sf_dir):
-    return rounded(_cameras(spark, sf_dir).agg(F.count("*").alias("n_rows"), F.countDistinct("episode").alias("n_episodes"), F.avg("total").alias("mean")))
+    return rounded(L.evaluate(_cameras(spark, sf_dir)))
 
 
 _FAMILY = family_sql()
@@ -121,9 +121,7 @@ def legacy_weights(spark, sf_dir):
 
 @query("score_breakdown", WITH + ", b as (select episode, unnest(['visual_clarity', 'smoothness']) as metric, unnest([video_contrast / 66, 1 - idle_fraction]) as score, unnest([20, 10]) as weight from m) select episode, metric, round(score * weight / 30, 6) as contribution, round(score * weight / nullif(sum(score * weight) over (partition by episode), 0), 6) as share from b")
 def score_breakdown(spark, sf_dir):
-    rows = F.inline(F.array(*[F.struct(F.lit(k).alias("metric"), s.alias("score"), F.lit(w).alias("weight")) for k, s, w in (("visual_clarity", F.col("video_contrast") / 66, 20.0), ("smoothness", 1 - F.col("idle_fraction"), 10.0))]))
-    d = m(spark, sf_dir).select("episode", rows).withColumn("x", F.col("score") * F.col("weight"))
-    return rounded(d.select("episode", "metric", (F.col("x") / 30).alias("contribution"), F.try_divide("x", F.sum("x").over(W.partitionBy("episode"))).alias("share")))
+    return rounded(L.breakdown(m(spark, sf_dir), {"visual_clarity": F.col("video_contrast") / 66, "smoothness": 1 - F.col("idle_fraction")}))
 
 
 def _gray(spark, sf_dir):
@@ -159,8 +157,7 @@ def interframe(spark, sf_dir):
 
 @query("visual_clarity", _GR + ", q as (select label, row_number() over (partition by label order by vec_id) as i, greatest(greatest(0, least(1, 1 - least(sharpness / 80, 1))), 1 - brightness / 50) as pen from st) select label, round(greatest(0, 1 - avg(pen)), 6) as score from q where i % 4 = 0 group by label")
 def visual_clarity(spark, sf_dir):
-    d = _gray_stats(spark, sf_dir).withColumn("i", F.row_number().over(W.partitionBy("label").orderBy("vec_id"))).where("i % 4 = 0")
-    return d.groupBy("label").agg(F.round(F.greatest(F.lit(0.0), 1 - F.avg(G.quality_penalty(F.col("sharpness"), F.col("brightness")))), 6).alias("score"))
+    return rounded(L.clarity(_gray_stats(spark, sf_dir), ["label"], "vec_id"))
 
 
 _REPLY = """'{"observed_final_state": "' || event_type || '"' || case when k % 3 = 0 then chr(10) else ',' end || '"goal_predicate": "g", "predicate_holds": ' || case k % 4 when 0 then '"yes"' when 1 then '"no"' when 2 then '" NO "' else 'null' end || case when k % 5 = 0 then '' else ', "score": ' || cast(cast(k % 7 as double) / 4 as string) end || case when k % 6 = 0 then ',' else '' end || '}'"""

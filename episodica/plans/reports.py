@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import series as Z
 from ..operators import inject as I
+from ..operators import legacy as L
 from ..operators import measure as M
 from ..operators import report as R
 from ..operators import score as S
@@ -106,16 +106,14 @@ def rule_report(spark, sf_dir):
 def criteria_rows(spark, sf_dir):
     d = m(spark, sf_dir)
     first = d.agg(F.min("episode").alias("episode"))
-    rows = S.penalties(d.join(F.broadcast(first), "episode", "left_semi"), PROFILE)
-    w = W.partitionBy("episode").orderBy(F.desc_nulls_last(F.round(F.col("weight") * F.col("cost"), 9)), "rank")
-    return rows.select("quantity", (F.round("value", 6) + 0.0).alias("value"), F.round("p", 6).alias("p"), F.row_number().over(w).alias("place"))
+    rows = S.ranked(d.join(F.broadcast(first), "episode", "left_semi"), PROFILE)
+    return rows.select("quantity", (F.round("value", 6) + 0.0).alias("value"), F.round("p", 6).alias("p"), "place")
 
 
 @query("criteria_rows_all", ABS + " select episode, quantity, round(value, 6) + 0.0 as value, round(p, 6) as p, row_number() over (partition by episode order by round(weight * cost, 9) desc nulls last, rank)::int as place from pen")
 def criteria_rows_all(spark, sf_dir):
-    w = W.partitionBy("episode").orderBy(F.desc_nulls_last(F.round(F.col("weight") * F.col("cost"), 9)), "rank")
-    rows = S.penalties(m(spark, sf_dir), PROFILE)
-    return rows.select("episode", "quantity", (F.round("value", 6) + 0.0).alias("value"), F.round("p", 6).alias("p"), F.row_number().over(w).alias("place"))
+    rows = S.ranked(m(spark, sf_dir), PROFILE)
+    return rows.select("episode", "quantity", (F.round("value", 6) + 0.0).alias("value"), F.round("p", 6).alias("p"), "place")
 
 
 @query("neighbours", WITH + " select episode, lag(episode) over (order by episode) as previous, lead(episode) over (order by episode) as next from m")
@@ -244,8 +242,8 @@ def rebuild_splits_decided(spark, sf_dir):
 
 @query("chains", "select n_name as group_name, regexp_matches(lower(n_name), 'arm|shoulder|elbow|wrist') as arm, regexp_matches(lower(n_name), 'leg|waist|torso|hip|knee|ankle|spine') as body from nation")
 def chains(spark, sf_dir):
-    name = F.lower("n_name")
-    return B.table(spark, sf_dir, "nation").select(F.col("n_name").alias("group_name"), name.rlike("|".join(M.ARM_WORDS)).alias("arm"), name.rlike("|".join(M.BODY_WORDS)).alias("body"))
+    name = F.col("n_name")
+    return B.table(spark, sf_dir, "nation").select(name.alias("group_name"), *[c.alias(k) for k, c in M.chains(name).items()])
 
 
 @query("resolve_task", "select o_orderkey as episode, coalesce(r_name, 'AFRICA') as task from orders left join region on r_regionkey = o_orderkey % 7")
@@ -278,5 +276,4 @@ def inject_motion_noise(spark, sf_dir):
 
 @query("legacy_calibrate", WITH + " select round(quantile_cont(ldlj_wrist, 0.05), 6) as lo, round(quantile_cont(ldlj_wrist, 0.95), 6) as hi from m where valid")
 def legacy_calibrate(spark, sf_dir):
-    p = m(spark, sf_dir).where("valid").agg(F.percentile("ldlj_wrist", F.array(F.lit(0.05), F.lit(0.95))).alias("p"))
-    return rounded(p.select(F.get("p", F.lit(0)).alias("lo"), F.get("p", F.lit(1)).alias("hi")))
+    return rounded(L.brackets(m(spark, sf_dir), ["ldlj_wrist"]).drop("key"))

@@ -126,3 +126,12 @@ def test_image_faults(spark):
 def test_single_precision(spark):
     d = spark.createDataFrame([([0.1], 1)], "`observation.state` array<double>, x int")
     assert dict(inject.single_precision(d).dtypes) == {"observation.state": "array<float>", "x": "int"}
+
+
+def test_chains_are_those_of_names(spark):
+    from episodica.operators import measure as M
+
+    names = ["left_arm", "Right_Shoulder", "waist", "LEG_knee", "spine_arm", "head", ""]
+    d = spark.createDataFrame([(n,) for n in names], "n string")
+    for r in d.select("n", *[c.alias(k) for k, c in M.chains(F.col("n")).items()]).collect():
+        assert {"arm": r.arm, "body": r.body} == M.chain_of(r.n)
