@@ -130,20 +130,25 @@ def save_filtered(spark: SparkSession, root: str, out: str, good: DataFrame, ove
     """Writes the folder and returns its info document.
 
     Errors: the same folder twice, a folder that exists without ``overwrite``, a version
-    other than v2.1, good episodes that the dataset lacks, and a result without
+    other than v2.1 and v3.0, good episodes that the dataset lacks, and a result without
     episodes, frames or clips.
     """
     source, target = Folder(spark, root), Folder(spark, out)
     if source.qualified() == target.qualified():
         raise ValueError(f"input and output are the same folder: {root}")
     info = datasets.read_json(spark, f"{root}/meta/info.json")
-    if datasets.version(info) != "v2.1":
-        raise ValueError(f"unsupported dataset version: {datasets.version(info)}")
+    version = datasets.version(info)
+    if version not in ("v2.1", "v3.0"):
+        raise ValueError(f"unsupported dataset version: {version}")
     if target.exists():
         if not overwrite:
             raise FileExistsError(f"{out} exists and overwrite is off")
         target.remove()
-    ids = numbered(good)
+    return (_save_v21 if version == "v2.1" else _save_v30)(spark, source, target, info, numbered(good), copy)
+
+
+def _save_v21(spark: SparkSession, source: Folder, target: Folder, info: dict, ids: DataFrame, copy: Copy) -> dict:
+    root, out = source.root, target.root
     size = int(info["chunks_size"])
     chunk = lambda n: F.floor(n / size)
 
@@ -168,13 +173,69 @@ def save_filtered(spark: SparkSession, root: str, out: str, good: DataFrame, ove
     target.put_lines(spark.read.text(f"{root}/meta/tasks.jsonl"), "meta/tasks.jsonl", "_tasks")
 
     kept = spark.read.schema("length long").json(f"{out}/meta/episodes.jsonl").agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    return _finish(spark, target, info, ids, ids.count(), kept, n_clips)
+
+
+def _finish(spark: SparkSession, target: Folder, info: dict, ids: DataFrame, episodes: int, frames: int, clips: int) -> dict:
     splits = spark.createDataFrame([(k, *map(int, v.split(":"))) for k, v in info.get("splits", {}).items()], "name string, start long, stop long")
-    info |= {
-        "total_episodes": ids.count(), "total_frames": kept, "total_videos": n_clips,
-        "splits": {r["name"]: r["range"] for r in report.rebuild_splits(splits, ids.select("episode")).collect()},
-    }
+    found = report.rebuild_splits(splits, ids.select("episode")).collect()
+    info |= {"total_episodes": episodes, "total_frames": frames, "total_videos": clips, "splits": {r["name"]: r["range"] for r in found}}
     for key in ("total_episodes", "total_frames", "total_videos"):
         if not info[key]:
             raise ValueError(f"{key} is 0")
     target.put_lines(spark.createDataFrame([(json.dumps(info),)], "value string"), "meta/info.json", "_info")
     return info
+
+
+def renumbered_meta(meta: DataFrame, ids: DataFrame, chunk_size: int) -> DataFrame:
+    """The kept rows of a v3.0 episode table with new numbers, places and data files; adds ``__file`` and the old number.
+
+    Episodes that shared a data file still do; files are numbered in the order of their first episode.
+    """
+    d = meta.withColumnRenamed("episode_index", "__old").join(ids.withColumnRenamed("episode", "__old"), "__old")
+    first = d.groupBy("data/chunk_index", "data/file_index").agg(F.min("new").alias("__first"))
+    files = first.withColumn("__file", F.row_number().over(W.orderBy("__first")).cast("long") - 1).drop("__first")
+    end = F.sum("length").over(W.orderBy("new")).cast("long")
+    d = d.join(files, ["data/chunk_index", "data/file_index"]).withColumn("dataset_to_index", end)
+    new = {
+        "episode_index": F.col("new"), "dataset_from_index": F.col("dataset_to_index") - F.col("length"), "dataset_to_index": F.col("dataset_to_index"),
+        "data/chunk_index": F.floor(F.col("__file") / chunk_size), "data/file_index": F.col("__file") % chunk_size,
+        "meta/episodes/chunk_index": F.lit(0).cast("long"), "meta/episodes/file_index": F.lit(0).cast("long"),
+    }
+    return d.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in meta.columns], "__old", "__file")
+
+
+def _save_v30(spark: SparkSession, source: Folder, target: Folder, info: dict, ids: DataFrame, copy: Copy) -> dict:
+    """Combined files: frames keep their grouping into files, clips are copied whole, since rows point into them by time."""
+    root, out, size = source.root, target.root, int(info["chunks_size"])
+    meta = renumbered_meta(datasets.read_meta_v30(spark, root), ids, size)
+    meta.coalesce(1).sortWithinPartitions("episode_index").drop("__old", "__file").write.option("compression", "zstd").parquet(f"{out}/_meta")
+    target.rename(target.parts("_meta")[0], "meta/episodes/chunk-000/file-000.parquet")
+    target.remove("_meta")
+
+    raw = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "file-*.parquet").option("mergeSchema", True).parquet(f"{root}/data")
+    places = meta.select(F.col("__old").alias("__episode"), F.col("episode_index").alias("__new"), F.col("dataset_from_index").alias("__start"), "__file")
+    d = raw.withColumn("__episode", F.col("episode_index").cast("long")).join(places, "__episode")
+    at = F.row_number().over(W.partitionBy("__new").orderBy("frame_index")).cast("long") - 1
+    d = d.withColumn("__at", at)
+    new = {"frame_index": F.col("__at"), "episode_index": F.col("__new"), "index": F.col("__start") + F.col("__at")}
+    frames = d.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in raw.columns], "__file", (F.col("__start") + F.col("__at")).alias("__row"))
+    staged = frames.repartition("__file").sortWithinPartitions("__file", "__row").drop("__row")
+    staged.write.option("compression", "zstd").option("maxRecordsPerFile", 0).partitionBy("__file").parquet(f"{out}/_data")
+    for part in target.parts("_data"):
+        n = int(part.split("__file=")[1].split("/")[0])
+        target.rename(part, f"data/chunk-{n // size:03d}/file-{n % size:03d}.parquet")
+    target.remove("_data")
+
+    written = datasets.read_meta_v30(spark, out)
+    cameras = [c.split("/")[1] for c in written.columns if c.startswith("videos/") and c.endswith("/chunk_index")]
+    names = [F.format_string(f"videos/{c}/chunk-%03d/file-%03d.mp4", F.col(f"`videos/{c}/chunk_index`").cast("long"), F.col(f"`videos/{c}/file_index`").cast("long")) for c in cameras]
+    n_clips = 0
+    if names:
+        clips = written.select(F.explode(F.array(*names)).alias("name")).distinct()
+        n_clips = copy_clips(clips.select(F.concat(F.lit(f"{source.qualified()}/"), "name").alias("source"), F.concat(F.lit(f"{target.qualified()}/"), "name").alias("target")), copy)
+    for name in ("tasks.parquet", "stats.json"):
+        if source.exists(f"meta/{name}"):
+            copy(f"{source.qualified()}/meta/{name}", f"{target.qualified()}/meta/{name}")
+    n, total = written.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    return _finish(spark, target, info, ids, n, total, n_clips)

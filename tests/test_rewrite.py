@@ -59,3 +59,35 @@ def test_save_filtered(spark, tmp_path):
         rewrite.save_filtered(spark, str(root), f"{root}/", good)
     with pytest.raises(ValueError):
         rewrite.save_filtered(spark, str(root), f"{tmp_path}/none", good.limit(0))
+
+
+def test_save_filtered_combined_files(spark, tmp_path):
+    root, out = tmp_path / "in", tmp_path / "out"
+    lengths, at, rows = [2, 3, 1, 4, 2], 0, []
+    for e, n in enumerate(lengths):
+        f = e // 2
+        rows.append({"episode_index": e, "length": n, "dataset_from_index": at, "dataset_to_index": at + n, "data/chunk_index": 0, "data/file_index": f, "videos/observation.images.top/chunk_index": 0, "videos/observation.images.top/file_index": f, "videos/observation.images.top/from_timestamp": float(at), "videos/observation.images.top/to_timestamp": float(at + n), "tasks": [f"t{e}"]})
+        at += n
+    (root / "meta" / "episodes" / "chunk-000").mkdir(parents=True)
+    pq.write_table(pa.Table.from_pylist(rows), root / "meta" / "episodes" / "chunk-000" / "file-000.parquet")
+    (root / "data" / "chunk-000").mkdir(parents=True)
+    (root / "videos" / "observation.images.top" / "chunk-000").mkdir(parents=True)
+    for f in range(3):
+        frames = [{"episode_index": r["episode_index"], "frame_index": i, "index": r["dataset_from_index"] + i, "observation.state": [float(r["episode_index"])]} for r in rows if r["data/file_index"] == f for i in range(r["length"])]
+        pq.write_table(pa.Table.from_pylist(frames), root / "data" / "chunk-000" / f"file-{f:03d}.parquet")
+        (root / "videos" / "observation.images.top" / "chunk-000" / f"file-{f:03d}.mp4").write_bytes(b"clip %d" % f)
+    info = {"codebase_version": "v3.0", "chunks_size": 1000, "features": {"observation.images.top": {}}, "splits": {"train": "0:5"}}
+    (root / "meta" / "info.json").write_text(json.dumps(info))
+    (root / "meta" / "stats.json").write_text("{}")
+
+    got = rewrite.save_filtered(spark, str(root), str(out), spark.createDataFrame([(3,), (1,), (4,)], "episode long"))
+    assert (got["total_episodes"], got["total_frames"], got["total_videos"], got["splits"]) == (3, 9, 3, {"train": "0:2"})
+    files = sorted(p.relative_to(out).as_posix() for p in out.rglob("*") if p.is_file() and not p.name.startswith("."))
+    assert files == [f"data/chunk-000/file-{f:03d}.parquet" for f in range(3)] + ["meta/episodes/chunk-000/file-000.parquet", "meta/info.json", "meta/stats.json"] + [f"videos/observation.images.top/chunk-000/file-{f:03d}.mp4" for f in range(3)]
+    meta = pq.ParquetFile(out / files[3]).read().to_pylist()
+    assert list(meta[0]) == list(rows[0])
+    want = [(0, 3, 0, 3, 0, 0, ["t1"]), (1, 4, 3, 7, 1, 1, ["t3"]), (2, 2, 7, 9, 2, 2, ["t4"])]
+    assert [(r["episode_index"], r["length"], r["dataset_from_index"], r["dataset_to_index"], r["data/file_index"], r["videos/observation.images.top/file_index"], r["tasks"]) for r in meta] == want
+    data = [r for f in files[:3] for r in pq.ParquetFile(out / f).read().to_pylist()]
+    assert [r["index"] for r in data] == list(range(9)) and [r["episode_index"] for r in data] == [0] * 3 + [1] * 4 + [2] * 2
+    assert [r["observation.state"][0] for r in data] == [1.0] * 3 + [3.0] * 4 + [4.0] * 2 and [r["frame_index"] for r in data] == [0, 1, 2, 0, 1, 2, 3, 0, 1]
