@@ -52,3 +52,21 @@ def test_message_text(spark):
     content, reasoning = R.message_text(F.col("m"))
     got = spark.createDataFrame([(i, m) for i, m in enumerate(messages)], "i int, m string").orderBy("i").select(content.alias("c"), reasoning.alias("r")).collect()
     assert [tuple(r) for r in got] == [("a", "b"), ("", "c"), ("", ""), ("", "")]
+
+
+def test_evaluate_with_a_client(spark):
+    from episodica.sources import judge
+
+    def client(video, task, way):
+        if video == "gone":
+            raise OSError("file not found: gone")
+        if way != "guided_json":
+            raise RuntimeError("Error code: 400 - unknown field")
+        return {"message": {"content": json.dumps({**FULL, "score": 0.5, "goal_predicate": task})}, "finish_reason": "stop", "prompt_tokens": 3}
+
+    jobs = spark.createDataFrame([("a", "fold"), ("gone", "fold"), ("b", "lift")], "video string, task string").coalesce(1)
+    got = {r.video: (r.score, r.goal_predicate, r.error) for r in judge.evaluate(jobs, client, judge.WAYS).collect()}
+    assert got == {"a": (0.5, "fold", ""), "b": (0.5, "lift", ""), "gone": (None, None, "OSError: file not found: gone")}
+    last = judge.evaluate(jobs.where("video = 'a'"), client, judge.WAYS[:2]).first()
+    assert last.score is None and last.error == "RuntimeError: Error code: 400 - unknown field"
+    assert [judge.sampling_step(n, m) for n, m in ((100, 0), (10, 20), (100, 30), (100, 99))] == [1, 1, 3, 1]
