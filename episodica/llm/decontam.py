@@ -11,8 +11,9 @@ string, so hashes only select what is compared.
 An item with fewer than 13 words is one window of its own length n; for each
 such n that the benchmark has (12 at most), the documents' n-grams join too.
 
-Benchmark sides are broadcast while their counted bytes, words and ids included,
-are below ``BROADCAST_BYTES``; beyond that the joins shuffle. Documents are
+Benchmark sides, and the keys of documents with a hit, are broadcast while their
+counted bytes, words and ids included, are below ``BROADCAST_BYTES``; beyond that
+the joins shuffle. Documents are
 matched by (doc_id, hash of the text), so repeated rows and repeated or null ids
 are judged row by row. A null text has no words, and a document without words is
 never contaminated. Texts of any length are read whole, in time in proportion to
@@ -34,6 +35,7 @@ K = 5
 W = WINDOW - K + 1
 BROADCAST_BYTES = 32 << 20
 SHARE = 20
+_KEY_BYTES = "coalesce(octet_length(cast(doc_id as string)), 0) + 24"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -87,7 +89,8 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
 
     keyed = docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
     own = keyed.select("doc_id", "th", words(F.col("text")).alias("words"))
-    hits = fingerprints(own, ["doc_id", "th"], lengths).join(near, "fp", "left_semi").select("doc_id", "th").distinct()
+    # the few documents that share a fingerprint are sent to the texts; whole texts move only where they are many
+    hits = _small(settle(fingerprints(own, ["doc_id", "th"], lengths).join(near, "fp", "left_semi").select("doc_id", "th").distinct()), _KEY_BYTES, broadcast_bytes)
 
     same = F.expr("a.doc_id <=> b.doc_id and a.th <=> b.th")
     # equal rows are looked at once; texts are written, which take less room than their arrays of words
@@ -118,5 +121,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, broadcast_bytes: int =
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that aren't contaminated, with all their columns."""
-    bad = decontaminate(docs, benchmark).where("contaminated").select("doc_id", "th").distinct()
+    bad = _small(settle(decontaminate(docs, benchmark).where("contaminated").select("doc_id", "th").distinct()), _KEY_BYTES, BROADCAST_BYTES)
     return docs.alias("a").join(bad.alias("b"), (F.col("a.doc_id").eqNullSafe(F.col("b.doc_id"))) & (F.xxhash64("a.text") == F.col("b.th")), "left_anti").select("a.*")
