@@ -87,7 +87,26 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_ngram_join": op6_ngram_join, "op7_html": op7_html, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality}
+def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import lexical
+
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import manifest
+
+    docs = table(spark, sf_dir, "documents")
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    fields = [lowered if f == "text" else F.col(f) for f in manifest.FIELDS]
+    got = manifest.prove(docs, carry={"tampered": F.when(hit, manifest.leaf(fields))})
+    folded = manifest.fold(F.coalesce("tampered", "leaf"), F.col("lefts"), F.col("rights"))
+    got = got.select("doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("lefts"), F.col("rights")).alias("proof_sha256"), folded.alias("folded_root"))
+    return got.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_ngram_join": op6_ngram_join, "op7_html": op7_html, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality, "op12_lexical": op12_lexical, "op13_manifest": op13_manifest}
 
 _OP2 = r"""
 with rows as (
@@ -147,4 +166,53 @@ m as (select p.*, h || q as rule, v, row_number() over (partition by page_id ord
 select page_id, host, path, rule, coalesce(v, 'allow') as verdict from m where k = 1
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_chat": _OP2, "op3_decontam": _OP3, "op4_mixing": _OP4, "op9_urls": _OP9}
+_OP12 = r"""
+with d as (select doc_id, row_number() over () as rid, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') as t from documents),
+g as (select count(*)::bigint as nd, sum(len(t))::bigint as l from d where len(t) > 0),
+q as (select distinct item_id, term from (select item_id, unnest(list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '')) as term from benchmark)),
+p as (select rid, doc_id, n, term, count(*)::bigint as tf from (select rid, doc_id, len(t)::bigint as n, unnest(t) as term from d) where term in (select term from q) group by all),
+w as (select term, floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1)))::bigint as w from p, g group by term, nd),
+s as (select item_id, rid, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nd) // l))))::bigint as score from q join p using (term) join w using (term), g group by all)
+select item_id, (row_number() over (partition by item_id order by score desc, doc_id, rid))::int as rank, doc_id, score from s where score > 0
+qualify row_number() over (partition by item_id order by score desc, doc_id, rid) <= 10
+"""
+
+_FIELD = "coalesce(strlen({0}::varchar)::varchar || ':' || {0}::varchar, '-')"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(f) for f in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+
+_OP13 = f"""
+with recursive crc as (
+  select doc_id, xor(list_reduce(list_prepend(4294967295::bigint, flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda c, x: case when x >= 0 then xor(c, x) when c % 2 = 1 then xor(c // 2, 3988292384) else c // 2 end), 4294967295) as crc from (select distinct doc_id from documents where doc_id is not null)
+), leaf as (
+  select d.doc_id, lang, coalesce('=' || lang, '') as g, {_LEAF.format(text="text")} as h,
+    case when crc % 3 = 0 then {_LEAF.format(text="translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} end as t
+  from documents d left join crc using (doc_id)
+), placed as (
+  select *, row_number() over (partition by g order by doc_id nulls first, h) - 1 as i, count(*) over (partition by g) as n from leaf
+), nodes(g, level, i, h, n) as (
+  select g, 0, i, h, n from placed
+  union all select g, level + 1, i // 8, sha256(string_agg(h, '' order by i)), (max(n) + 7) // 8 from nodes where n > 1 group by g, level, i // 8
+), subroots as (select g, h, level as height, row_number() over (order by g) - 1 as i, count(*) over () as n from nodes where n = 1
+), tops(level, i, h, n) as (
+  select 0, i, h, n from subroots
+  union all select level + 1, i // 8, sha256(string_agg(h, '' order by i)), (max(n) + 7) // 8 from tops where n > 1 group by level, i // 8
+), own as (
+  select p.g, p.i, p.h, p.t, s.h as subroot, s.height, s.i as place, (select h from tops where n = 1) as root from placed p join subroots s using (g)
+), sides as (
+  select own.g, own.i, v.level, string_agg(v.h, '' order by v.i) filter (v.i < own.i // (8 ** v.level)::bigint) as l, string_agg(v.h, '' order by v.i) filter (v.i > own.i // (8 ** v.level)::bigint) as r
+  from own join nodes v on v.g = own.g and v.level < own.height and v.i // 8 = own.i // (8 ** (v.level + 1))::bigint group by all
+  union all
+  select own.g, own.i, own.height + v.level, string_agg(v.h, '' order by v.i) filter (v.i < own.place // (8 ** v.level)::bigint), string_agg(v.h, '' order by v.i) filter (v.i > own.place // (8 ** v.level)::bigint)
+  from own join tops v on v.n > 1 and v.i // 8 = own.place // (8 ** (v.level + 1))::bigint group by all
+), proofs as (
+  select g, i, list(struct_pack(l := coalesce(l, ''), r := coalesce(r, '')) order by level) as p from sides group by g, i
+), climb(g, i, level, h, p) as (
+  select own.g, own.i, 0, coalesce(t, h), coalesce(p, []) from own left join proofs using (g, i)
+  union all select g, i, level + 1, sha256(p[level + 1].l || h || p[level + 1].r), p from climb where level < len(p)
+), folded as (select g, i, h as folded_root, p from climb where level = len(p))
+select doc_id, own.h as leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda x: x.l || x.r), '')) as proof_sha256, folded_root, folded_root = root as verified
+from own join folded using (g, i) join placed using (g, i)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op12_lexical": _OP12, "op13_manifest": _OP13, "op2_chat": _OP2, "op3_decontam": _OP3, "op4_mixing": _OP4, "op9_urls": _OP9}
