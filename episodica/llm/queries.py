@@ -87,6 +87,13 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import repeats
+
+    got = repeats.strip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return got.select("doc_id", "n_words", "n_removed", sha_hex(F.col("kept")).alias("kept_sha256"))
+
+
 def op12_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import lexical
 
@@ -106,7 +113,7 @@ def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
-QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_ngram_join": op6_ngram_join, "op7_html": op7_html, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality, "op12_lexical": op12_lexical, "op13_manifest": op13_manifest}
+QUERIES = {"op1_pii": op1_pii, "op2_chat": op2_chat, "op3_decontam": op3_decontam, "op4_mixing": op4_mixing, "op5_secrets": op5_secrets, "op6_ngram_join": op6_ngram_join, "op7_html": op7_html, "op8_toxicity": op8_toxicity, "op9_urls": op9_urls, "op10_quality": op10_quality, "op11_repeats": op11_repeats, "op12_lexical": op12_lexical, "op13_manifest": op13_manifest}
 
 _OP2 = r"""
 with rows as (
@@ -166,6 +173,16 @@ m as (select p.*, h || q as rule, v, row_number() over (partition by page_id ord
 select page_id, host, path, rule, coalesce(v, 'allow') as verdict from m where k = 1
 """
 
+_OP11 = r"""
+with d as (select doc_id, row_number() over (order by doc_id nulls first) as o, coalesce(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> ''), []) as w from documents),
+win as (select o, unnest(range(1, len(w) - 18)) as s, unnest(list_transform(range(1, len(w) - 18), lambda i: array_to_string(w[i:i + 19], ' '))) as win from d where len(w) >= 20),
+again as (select o, s from win qualify row_number() over (partition by win order by o, s) > 1),
+gone as (select distinct o, unnest(range(s, s + 20)) as p from again),
+left_ as (select o, p, word from (select o, unnest(range(1, len(w) + 1)) as p, unnest(w) as word from d) anti join gone using (o, p)),
+kept as (select o, string_agg(word, ' ' order by p) as kept, count(*) as n from left_ group by o)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept, '')) as kept_sha256 from d left join kept using (o)
+"""
+
 _OP12 = r"""
 with d as (select doc_id, row_number() over () as rid, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda w: w <> '') as t from documents),
 g as (select count(*)::bigint as nd, sum(len(t))::bigint as l from d where len(t) > 0),
@@ -215,4 +232,4 @@ select doc_id, own.h as leaf, subroot, root, sha256(array_to_string(list_transfo
 from own join folded using (g, i) join placed using (g, i)
 """
 
-ORACLE_SQL: dict[str, str] = {"op12_lexical": _OP12, "op13_manifest": _OP13, "op2_chat": _OP2, "op3_decontam": _OP3, "op4_mixing": _OP4, "op9_urls": _OP9}
+ORACLE_SQL: dict[str, str] = {"op11_repeats": _OP11, "op12_lexical": _OP12, "op13_manifest": _OP13, "op2_chat": _OP2, "op3_decontam": _OP3, "op4_mixing": _OP4, "op9_urls": _OP9}
