@@ -8,7 +8,7 @@ edge's first; the first is that of the smallest id, then of the earliest start.
   each edge the one of least hash is the edge's seed, so that equal edges have
   equal seeds. Seeds are counted over all texts; an edge whose seed stands in one
   place only can't repeat and goes no further.
-* Edges. The others are grouped by 128 bits of hash, counted, and reduced to the
+* Edges. The others are grouped by 96 bits of hash, counted, and reduced to the
   place where they first occur: their source coordinate, one number made of the
   document's rank and the start. Both are partial sums, so a group of a
   million copies leaves each task as one row.
@@ -20,8 +20,8 @@ edge's first; the first is that of the smallest id, then of the earliest start.
 
 Texts are joined with what is sent to them by id and a hash of the row; what is
 sent is broadcast below ``BROADCAST_BYTES``, which are counted, and beyond that
-both sides shuffle. The 2^63 source coordinates are enough for any rows times
-the words of the longest text that fit on disks.
+both sides shuffle. There are 2^63 source coordinates: rows times the words of
+the longest text may not pass that.
 
 Null and empty texts have no words. Null ids come before all others; rows of the
 same id are ordered by a hash of the row. Of equal rows one stands first and the
@@ -154,17 +154,21 @@ def _own_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """id, rh and fp: each document's seeds, each once."""
     for part, c in _chunks(batches, "text"):
         at = c.seeds()
-        pairs = np.unique(np.stack([c.doc[at].astype(np.uint64), _runs(c.a, SEED)[at]]), axis=1) if len(at) else np.zeros((2, 0), np.uint64)
-        rows = pa.array(pairs[0].astype(np.int64))
-        yield pa.RecordBatch.from_arrays([part.column("id").take(rows), part.column("rh").take(rows), _signed(np.ascontiguousarray(pairs[1]))], names=["id", "rh", "fp"])
+        doc, fp = c.doc[at], _runs(c.a, SEED)[at]
+        order = np.lexsort((fp, doc))
+        doc, fp = doc[order], fp[order]
+        new = np.flatnonzero((doc[1:] != doc[:-1]) | (fp[1:] != fp[:-1])) + 1
+        new = np.r_[0, new] if len(doc) else new
+        rows = pa.array(doc[new].astype(np.int64))
+        yield pa.RecordBatch.from_arrays([part.column("id").take(rows), part.column("rh").take(rows), _signed(fp[new])], names=["id", "rh", "fp"])
 
 
 def _marked(part: pa.RecordBatch, c: _Chunk) -> np.ndarray:
-    """The places of the edges whose seed repeats."""
+    """The places of the edges whose seed repeats, by 32 bits of it; edges too many are found not to repeat."""
     at, least = c.edges()
     held = part.column("fps")
-    known = np.unique(held.flatten().to_numpy(zero_copy_only=False)).astype(np.int64) if held.null_count < len(held) else np.zeros(0, np.int64)
-    return at[np.isin(least.view(np.int64), known)]
+    known = np.unique(held.flatten().to_numpy(zero_copy_only=False)).astype(np.int32) if held.null_count < len(held) else np.zeros(0, np.int32)
+    return at[np.isin(least.view(np.int64).astype(np.int32), known)]
 
 
 def _windows(shift: int):
@@ -174,13 +178,14 @@ def _windows(shift: int):
         for part, c in _chunks(batches, "text"):
             at = _marked(part, c)
             h1, h2 = (h[at] for h in c.hashes()) if len(at) else (np.zeros(0, np.uint64),) * 2
+            h2 = h2.view(np.int64).astype(np.int32)
             copies = part.column("c").to_numpy(zero_copy_only=False).astype(np.int64)
             doc = c.doc[at]
             pos = (part.column("ord").to_numpy(zero_copy_only=False).astype(np.int64)[doc] << shift) + at - c.begins[doc]
             order = np.lexsort((pos, h2, h1))
             h1, h2, pos, n = h1[order], h2[order], pos[order], copies[doc][order]
             new = np.flatnonzero(np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]) if len(h1) else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([_signed(h1[new]), _signed(h2[new]), pa.array(pos[new]), pa.array(np.add.reduceat(n, new) if len(new) else n)], names=["h1", "h2", "pos", "n"])
+            yield pa.RecordBatch.from_arrays([_signed(h1[new]), pa.array(h2[new]), pa.array(pos[new]), pa.array(np.add.reduceat(n, new) if len(new) else n)], names=["h1", "h2", "pos", "n"])
 
     return run
 
@@ -206,7 +211,8 @@ def _stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             kept.append(" ".join(words) if not removed[-1] else " ".join([w for w, g in zip(words, mine, strict=True) if not g]))
         cols = [part.column(n) for n in part.schema.names if n not in ("fps", "paths", "ord")]
         names = [n for n in part.schema.names if n not in ("fps", "paths", "ord")]
-        yield pa.RecordBatch.from_arrays([*cols, pa.array(c.sizes), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=[*names, "n_words", "n_removed", "kept"])
+        made = pa.StructArray.from_arrays([pa.array(c.sizes), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["n_words", "n_removed", "kept"])
+        yield pa.RecordBatch.from_arrays([*cols, made], names=[*names, "made"])
 
 
 def _small(df: DataFrame, bytes_of: str) -> DataFrame:
@@ -234,7 +240,7 @@ def _ranked(ids: DataFrame) -> DataFrame:
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """docs with id, rh (a hash of the row) and text, its own columns as c0, c1 and so on."""
     hashed = [column(c) for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
-    return docs.select(column(id_col).alias("id"), F.xxhash64(*hashed).alias("rh"), column(text_col).cast("string").alias("text"), *[column(c).alias(f"c{i}") for i, c in enumerate(docs.columns)])
+    return docs.select(column(id_col).alias("id"), F.xxhash64(*hashed).alias("rh"), column(text_col).cast("string").alias("text"), *[column(c).alias(f"c{i}") for i, c in enumerate(docs.columns) if c not in (id_col, text_col)])
 
 
 def _graph(texts: DataFrame) -> tuple[DataFrame, DataFrame, int]:
@@ -251,15 +257,15 @@ def _graph(texts: DataFrame) -> tuple[DataFrame, DataFrame, int]:
 
     seeds = settle(own.select("text").mapInArrow(_count_seeds, "fp long, n long").groupBy("fp").agg(F.sum("n").alias("n")).where("n > 1").select("fp"))
     kind = T.StructType([id_kind, *T.StructType.fromDDL("rh long, fp long")])
-    hits = own.mapInArrow(_own_seeds, kind).join(_small(seeds, "16"), "fp", "left_semi").groupBy("id", "rh").agg(F.collect_set("fp").alias("fps"))
+    hits = own.mapInArrow(_own_seeds, kind).join(_small(seeds, "16"), "fp", "left_semi").groupBy("id", "rh").agg(F.collect_set(F.expr("cast((fp << 32) >> 32 as int)")).alias("fps"))
     same = F.expr("a.id <=> b.id and a.rh = b.rh")
     marked = settle(hits.alias("a").join(_small(ids, _ID).alias("b"), same).select("a.id", "a.rh", "b.ord", "b.c", "a.fps"))
 
-    sent = _small(marked, _ID + " + 16 + 8 * size(fps)")
+    sent = _small(marked, _ID + " + 16 + 4 * size(fps)")
     # a row's copies are told apart later; here one stands for all
     met = own.alias("a").join(sent.alias("b"), same).select("a.text", "b.ord", "b.c", "b.fps")
-    edges = met.mapInArrow(_windows(shift), "h1 long, h2 long, pos long, n long").groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.sum("n").alias("n"))
-    first = settle(edges.select(F.shiftright("pos", shift).alias("ord"), F.expr(f"pos & {(1 << shift) - 1}L").alias("s"), "n"))
+    edges = met.mapInArrow(_windows(shift), "h1 long, h2 int, pos long, n long").groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.sum("n").alias("n"))
+    first = edges.select(F.shiftright("pos", shift).alias("ord"), F.expr(f"pos & {(1 << shift) - 1}L").alias("s"), "n")
     within = W.partitionBy("ord").orderBy("s")
     broken = (F.lag("s").over(within) + 1 == F.col("s")) & (F.lag("n").over(within) == F.col("n"))
     runs = first.withColumn("new", F.when(broken, 0).otherwise(1)).withColumn("run", F.sum("new").over(within))
@@ -273,15 +279,71 @@ def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     marked, found, extra = _graph(texts)
     mine = found.groupBy("ord").agg(F.collect_list(F.struct("start", "len")).alias("paths"))
     sent = settle(marked.join(mine, "ord", "left"))
-    sent = _small(sent, _ID + " + 24 + 8 * size(fps) + 24 * greatest(coalesce(size(paths), 0), 0)")
+    sent = _small(sent, _ID + " + 24 + 4 * size(fps) + 24 * greatest(coalesce(size(paths), 0), 0)")
     same = F.expr("a.id <=> b.id and a.rh = b.rh")
     met = texts.alias("a").join(sent.alias("b"), same, "left").select("a.*", "b.ord", "b.c", "b.fps", "b.paths")
     kept_fields = [f for f in met.schema.fields if f.name not in ("fps", "paths", "ord")]
-    done = met.mapInArrow(_stripped, T.StructType([*kept_fields, *T.StructType.fromDDL("n_words long, n_removed long, kept string")]))
+    done = met.mapInArrow(_stripped, T.StructType([*kept_fields, *T.StructType.fromDDL("made struct<n_words: long, n_removed: long, kept: string>")]))
     if extra:
         done = _copies(done)
-    rows = done.select(F.struct(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]).alias("row"), "n_words", "n_removed", "kept") if docs.columns else done
-    return rows.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], *[F.col(n).alias(free(n, docs)) for n in ("n_words", "n_removed", "kept")])
+    own = {id_col: "id", text_col: "text"}
+    return done.select(*[F.col(own.get(c, f"c{i}")).alias(c) for i, c in enumerate(docs.columns)], *[F.col(f"made.{n}").alias(free(n, docs)) for n in ("n_words", "n_removed", "kept")])
+
+
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each path of a document: id, ord, start, n, its words, and hashes of the nodes at its ends."""
+    for part, c in _chunks(batches, "text"):
+        nodes, rows = (_runs(x, K - 1) for x in (c.a, c.b)), []
+        low, high = nodes
+        for i, paths in enumerate(part.column("paths").to_pylist()):
+            for p in paths:
+                at, end = c.begins[i] + p["start"], c.begins[i] + p["start"] + p["len"]
+                rows.append((i, p["start"], p["n"], c.words[i][p["start"] : p["start"] + p["len"] + K - 1], *(f"{low[x]:x}-{high[x]:x}" for x in (at, end))))
+        doc, *cols = list(zip(*rows, strict=True)) or [()] * 6
+        took = [part.column(x).take(pa.array(doc, pa.int64())) for x in ("id", "ord")]
+        kinds = (pa.int64(), pa.int64(), pa.list_(pa.string()), pa.string(), pa.string())
+        yield pa.RecordBatch.from_arrays([*took, *[pa.array(x, k) for x, k in zip(cols, kinds, strict=True)]], names=["id", "ord", "start", "n", "words", "begin", "end"])
+
+
+def paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The compacted paths of repeated edges: words, and pieces (id, start, n: where each part first occurs, and how often)."""
+    texts = _texts(docs.select(column(id_col), column(text_col)), id_col, text_col)
+    marked, found, _ = _graph(texts)
+    mine = found.where("n > 1").groupBy("ord").agg(F.collect_list(F.struct("start", "len", "n")).alias("paths"))
+    sent = _small(settle(marked.join(mine, "ord")), _ID + " + 24 + 4 * size(fps) + 32 * size(paths)")
+    met = texts.alias("a").join(sent.alias("b"), F.expr("a.id <=> b.id and a.rh = b.rh")).select("a.id", "a.text", "b.ord", "b.paths")
+    kind = T.StructType([texts.schema["id"], *T.StructType.fromDDL("ord long, start long, n long, words array<string>, begin string, end string")])
+    pieces = settle(met.mapInArrow(_pieces, kind).dropDuplicates(["ord", "start"]).withColumn("p", F.monotonically_increasing_id()))
+    ends = pieces.select(F.col("end").alias("node"), F.col("p").alias("a"), F.lit(None).cast("long").alias("b"))
+    both = ends.unionByName(pieces.select(F.col("begin").alias("node"), F.lit(None).cast("long").alias("a"), F.col("p").alias("b")))
+    alone = both.groupBy("node").agg(F.count("a").alias("na"), F.count("b").alias("nb"), F.max("a").alias("a"), F.max("b").alias("b")).where("na = 1 and nb = 1 and a <> b")
+    links = settle(alone.select("a", "b"))
+    chains = _chains(pieces.select("p"), links)
+    circles = chains.where("up is not null")
+    if not circles.isEmpty():  # a circle is cut before its least path
+        cut = circles.select(F.col("low").alias("b")).distinct()
+        chains = _chains(pieces.select("p"), settle(links.join(cut, "b", "left_anti")))
+    part = F.struct("far", "words", F.struct("id", "start", "n").alias("piece"))
+    whole = pieces.join(chains, "p").groupBy("root").agg(F.array_sort(F.collect_list(part)).alias("x"))
+    joined = F.flatten(F.transform("x", lambda x, i: F.when(i == 0, x["words"]).otherwise(F.slice(x["words"], F.lit(K), F.greatest(F.size(x["words"]) - K + 1, F.lit(0))))))
+    return whole.select(joined.alias("words"), F.col("x.piece").alias("pieces"))
+
+
+def _chains(paths: DataFrame, links: DataFrame) -> DataFrame:
+    """For each path p of chains a -> b: root (the chain's first), far (links up to it), low (the least path met) and up (null at the root).
+
+    Each round doubles how far a path looks back; in a circle up never ends.
+    """
+    state = paths.join(links.select(F.col("b").alias("p"), F.col("a").alias("up")), "p", "left")
+    state = state.select("p", "up", F.coalesce("up", "p").alias("root"), F.when(F.col("up").isNull(), 0).otherwise(1).cast("long").alias("far"), F.least("p", F.coalesce("up", "p")).alias("low"))
+    for _ in range(max(links.count(), 1).bit_length() + 1):
+        state = settle(state)
+        if state.where("up is not null").isEmpty():
+            break
+        back = state.select(F.col("p").alias("up"), F.col("up").alias("up2"), F.col("root").alias("root2"), F.col("far").alias("far2"), F.col("low").alias("low2"))
+        met = state.join(back, "up", "left")
+        state = met.select("p", F.col("up2").alias("up"), F.coalesce("root2", "root").alias("root"), (F.col("far") + F.coalesce("far2", F.lit(0))).alias("far"), F.least("low", "low2").alias("low"))
+    return state
 
 
 def _copies(done: DataFrame) -> DataFrame:
@@ -289,6 +351,6 @@ def _copies(done: DataFrame) -> DataFrame:
     alone = done.where(F.coalesce(F.col("c"), F.lit(1)) == 1)
     one = done.where("c > 1").dropDuplicates(["id", "rh"])
     each = one.select("*", F.explode(F.expr("sequence(1L, c)")).alias("copy"))
-    again = (F.col("copy") > 1) & (F.col("n_words") >= K)
-    each = each.withColumn("n_removed", F.when(again, F.col("n_words")).otherwise(F.col("n_removed"))).withColumn("kept", F.when(again, "").otherwise(F.col("kept")))
+    again = (F.col("copy") > 1) & (F.col("made.n_words") >= K)
+    each = each.withColumn("made", F.when(again, F.struct("made.n_words", F.col("made.n_words").alias("n_removed"), F.lit("").alias("kept"))).otherwise(F.col("made")))
     return alone.unionByName(each.drop("copy"))
