@@ -16,7 +16,8 @@ edge's first; the first is that of the smallest id, then of the earliest start.
   a path without branches; a document is sent its paths, not its edges. `paths`
   goes on across sources: where exactly one path ends at a node and exactly one
   begins, a join on nodes links them, and doubling joins follow the links.
-* Spans. A document removes what is covered by occurrences outside its own paths.
+* Spans. What is covered by occurrences outside a document's own paths is sent to
+  its text as spans of words, and removed.
 
 Texts are joined with what is sent to them by id and a hash of the row; what is
 sent is broadcast below ``BROADCAST_BYTES``, which are counted, and beyond that
@@ -190,29 +191,56 @@ def _windows(shift: int):
     return run
 
 
-def _stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows with n_words, n_removed and kept (the words left, joined by spaces)."""
+def _intervals(at: np.ndarray) -> list[dict[str, int]]:
+    """Ascending places as runs (start and len)."""
+    if not len(at):
+        return []
+    cut = np.flatnonzero(np.diff(at) > 1)
+    first, last = at[np.r_[0, cut + 1]], at[np.r_[cut, len(at) - 1]]
+    return [{"start": int(x), "len": int(y - x + 1)} for x, y in zip(first, last, strict=True)]
+
+
+_RUNS = pa.list_(pa.struct([("start", pa.int64()), ("len", pa.int64())]))
+
+
+def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, rh, ord, c and runs: where the edges of each document start whose seed repeats."""
     for part, c in _chunks(batches, "text"):
         at = _marked(part, c)
-        owned = np.zeros(len(c.a) + 1, np.int64)
-        for i, paths in enumerate(part.column("paths").to_pylist()):
-            for p in paths or ():
-                owned[c.begins[i] + p["start"]] += 1
-                owned[c.begins[i] + p["start"] + p["len"]] -= 1
-        again = at[np.cumsum(owned)[at] == 0]
-        gone = np.zeros(len(c.a) + K, np.int64)
-        np.add.at(gone, again, 1)
-        np.add.at(gone, again + K, -1)
-        gone = np.cumsum(gone)[: len(c.a)] > 0
-        removed, kept = [], []
-        for words, begin, size in zip(c.words, c.begins, c.sizes, strict=True):
-            mine = gone[begin : begin + size]
-            removed.append(int(mine.sum()))
-            kept.append(" ".join(words) if not removed[-1] else " ".join([w for w, g in zip(words, mine, strict=True) if not g]))
-        cols = [part.column(n) for n in part.schema.names if n not in ("fps", "paths", "ord")]
-        names = [n for n in part.schema.names if n not in ("fps", "paths", "ord")]
-        made = pa.StructArray.from_arrays([pa.array(c.sizes), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["n_words", "n_removed", "kept"])
-        yield pa.RecordBatch.from_arrays([*cols, made], names=[*names, "made"])
+        cuts = np.searchsorted(at, np.r_[c.begins, len(c.a)])
+        runs = [_intervals(at[s:e] - b) for s, e, b in zip(cuts[:-1], cuts[1:], c.begins, strict=True)]
+        yield pa.RecordBatch.from_arrays([*[part.column(n) for n in ("id", "rh", "ord", "c")], pa.array(runs, _RUNS)], names=["id", "rh", "ord", "c", "runs"])
+
+
+def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, rh, c and spans: the words covered by edges that stand outside the document's own paths."""
+    each = lambda runs: np.concatenate([np.zeros(0, np.int64), *(np.arange(r["start"], r["start"] + r["len"]) for r in runs or ())])
+    for part in batches:
+        spans = []
+        for runs, paths in zip(part.column("runs").to_pylist(), part.column("paths").to_pylist(), strict=True):
+            again = np.setdiff1d(each(runs), each(paths), assume_unique=True)
+            covered = [{"start": r["start"], "len": r["len"] + K - 1} for r in _intervals(again)]
+            spans.append(covered)
+        yield pa.RecordBatch.from_arrays([*[part.column(n) for n in ("id", "rh", "c")], pa.array(spans, _RUNS)], names=["id", "rh", "c", "spans"])
+
+
+def _stripped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows with made: n_words, n_removed and kept (the words left, joined by spaces)."""
+    for batch in batches:
+        sizes, removed, kept = [], [], []
+        for text, spans in zip(batch.column("text"), batch.column("spans"), strict=True):
+            words = _WORD.findall(text.as_py() or "")
+            sizes.append(len(words))
+            left, at = [], 0
+            for s in spans.as_py() or ():
+                left += words[at : s["start"]]
+                at = max(at, s["start"] + s["len"])
+            left += words[at:]
+            removed.append(len(words) - len(left))
+            kept.append(" ".join(left))
+        made = pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())], names=["n_words", "n_removed", "kept"])
+        names = [n for n in batch.schema.names if n != "spans"]
+        yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], made], names=[*names, "made"])
 
 
 def _small(df: DataFrame, bytes_of: str) -> DataFrame:
@@ -244,7 +272,7 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _graph(texts: DataFrame) -> tuple[DataFrame, DataFrame, int]:
-    """(documents whose seeds repeat: id, rh, ord, c, fps; paths: ord, start, len, n; copies of a row beyond the first)."""
+    """(documents whose seeds repeat: id, rh, text, ord, c, fps; paths: ord, start, len, n; copies of a row beyond the first)."""
     own = texts.select("id", "rh", "text")
     id_kind = own.schema["id"]
     counted = F.expr("length(regexp_replace(text, '[^\\\\x20\\\\x09-\\\\x0D]+', 'w'))")
@@ -263,26 +291,28 @@ def _graph(texts: DataFrame) -> tuple[DataFrame, DataFrame, int]:
 
     sent = _small(marked, _ID + " + 16 + 4 * size(fps)")
     # a row's copies are told apart later; here one stands for all
-    met = own.alias("a").join(sent.alias("b"), same).select("a.text", "b.ord", "b.c", "b.fps")
+    met = own.alias("a").join(sent.alias("b"), same).select("a.id", "a.rh", "a.text", "b.ord", "b.c", "b.fps")
     edges = met.mapInArrow(_windows(shift), "h1 long, h2 int, pos long, n long").groupBy("h1", "h2").agg(F.min("pos").alias("pos"), F.sum("n").alias("n"))
     first = edges.select(F.shiftright("pos", shift).alias("ord"), F.expr(f"pos & {(1 << shift) - 1}L").alias("s"), "n")
     within = W.partitionBy("ord").orderBy("s")
     broken = (F.lag("s").over(within) + 1 == F.col("s")) & (F.lag("n").over(within) == F.col("n"))
     runs = first.withColumn("new", F.when(broken, 0).otherwise(1)).withColumn("run", F.sum("new").over(within))
-    found = settle(runs.groupBy("ord", "run").agg(F.min("s").alias("start"), F.count("*").alias("len"), F.first("n").alias("n")).drop("run"))
-    return marked, found, int(extra or 0)
+    found = runs.groupBy("ord", "run").agg(F.min("s").alias("start"), F.count("*").alias("len"), F.first("n").alias("n")).drop("run")
+    return met, found, int(extra or 0)
 
 
 def strip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with n_words, n_removed and kept, the text without its repeats."""
     texts = _texts(docs, id_col, text_col)
-    marked, found, extra = _graph(texts)
+    met, found, extra = _graph(texts)
     mine = found.groupBy("ord").agg(F.collect_list(F.struct("start", "len")).alias("paths"))
-    sent = settle(marked.join(mine, "ord", "left"))
-    sent = _small(sent, _ID + " + 24 + 4 * size(fps) + 24 * greatest(coalesce(size(paths), 0), 0)")
-    same = F.expr("a.id <=> b.id and a.rh = b.rh")
-    met = texts.alias("a").join(sent.alias("b"), same, "left").select("a.*", "b.ord", "b.c", "b.fps", "b.paths")
-    kept_fields = [f for f in met.schema.fields if f.name not in ("fps", "paths", "ord")]
+    run, id_kind = "array<struct<start: long, len: long>>", met.schema["id"]
+    runs = met.mapInArrow(_candidates, T.StructType([id_kind, *T.StructType.fromDDL(f"rh long, ord long, c long, runs {run}")]))
+    spans = runs.dropDuplicates(["ord"]).join(mine, "ord", "left").mapInArrow(_spans, T.StructType([id_kind, *T.StructType.fromDDL(f"rh long, c long, spans {run}")]))
+    spans = settle(spans.where("size(spans) > 0 or c > 1"))
+    sent = _small(spans, _ID + " + 24 + 32 * size(spans)")
+    met = texts.alias("a").join(sent.alias("b"), F.expr("a.id <=> b.id and a.rh = b.rh"), "left").select("a.*", "b.c", "b.spans")
+    kept_fields = [f for f in met.schema.fields if f.name != "spans"]
     done = met.mapInArrow(_stripped, T.StructType([*kept_fields, *T.StructType.fromDDL("made struct<n_words: long, n_removed: long, kept: string>")]))
     if extra:
         done = _copies(done)
@@ -308,10 +338,9 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def paths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The compacted paths of repeated edges: words, and pieces (id, start, n: where each part first occurs, and how often)."""
     texts = _texts(docs.select(column(id_col), column(text_col)), id_col, text_col)
-    marked, found, _ = _graph(texts)
-    mine = found.where("n > 1").groupBy("ord").agg(F.collect_list(F.struct("start", "len", "n")).alias("paths"))
-    sent = _small(settle(marked.join(mine, "ord")), _ID + " + 24 + 4 * size(fps) + 32 * size(paths)")
-    met = texts.alias("a").join(sent.alias("b"), F.expr("a.id <=> b.id and a.rh = b.rh")).select("a.id", "a.text", "b.ord", "b.paths")
+    met, found, _ = _graph(texts)
+    mine = settle(found.where("n > 1").groupBy("ord").agg(F.collect_list(F.struct("start", "len", "n")).alias("paths")))
+    met = met.join(_small(mine, "24 + 32 * size(paths)"), "ord").select("id", "text", "ord", "paths")
     kind = T.StructType([texts.schema["id"], *T.StructType.fromDDL("ord long, start long, n long, words array<string>, begin string, end string")])
     pieces = settle(met.mapInArrow(_pieces, kind).dropDuplicates(["ord", "start"]).withColumn("p", F.monotonically_increasing_id()))
     ends = pieces.select(F.col("end").alias("node"), F.col("p").alias("a"), F.lit(None).cast("long").alias("b"))
