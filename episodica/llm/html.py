@@ -2,7 +2,8 @@
 
 The DOMs of a host's pages are merged by path: an element's path is its
 ancestors' tags with their classes and ids (digits made alike), and with its
-place among its likes where it is a div or section. For each path of a host two
+place among its likes where it is a div or section (from the ninth like on all
+share one place, so that lists of any length have few paths). For each path of a host two
 entropies are kept, over the pages that have it, equal pages counted once: of
 its presentation, the sequence of its children's tags and pieces of text, and of
 its content, the text below it. Both are divided by the log of the page count,
@@ -21,12 +22,14 @@ tree that all such pages share, whatever their host.
 
 Roles settle what the tree leaves open. Tags, classes, ids and roles that say
 menu, header, footer, sidebar, advert, notice, form, comment and the like remove
-an element; article and main keep what they hold from being removed for its form,
+an element; within an article a name does so only if all of its parts say so, or
+nothing (``share-bar``, not ``social-history``); article and main keep what they hold from being removed for its form,
 and where a page has them, outside of all removed branches, its text is taken
 from the outermost of them, else from the body. Scripts, styles and other silent
 elements have no text. If low branches held all text, only roles are applied.
 
-White space within a block becomes one space, blocks are joined by one space. A
+Any string is a page: the parser takes it in one pass, in time in proportion to its
+length, and never fails on it (see ``Dom``). White space within a block becomes one space, blocks are joined by one space. A
 page is parsed once to be counted and once to be read: keeping the parsed form
 would write more than the pages themselves; the counted form is a few hashes a
 path, written once. Statistics are counted by
@@ -44,7 +47,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 import xxhash
@@ -79,6 +82,8 @@ ROLE_WORDS = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo banner nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header masthead cookie cookies consent notice notification gdpr popup modal overlay "
     "newsletter subscribe subscription share sharing social related recommended recommendations comment comments disqus respond reply widget toolbar pagination pager skip login signup search form contentinfo complementary".split()
 )
+#: Parts of names that say nothing of what an element holds.
+PLAIN_WORDS = frozenset("area bar block body bottom box btn button buttons col container content footer group head header icon inner item items left line link links list main outer panel right row section slot top unit wrap wrapper".split())
 #: Flags of a path: it has elements below it, is a heading, stands inside an article, is no block.
 INNER, HEADING, SHELTERED, INLINE = 1, 2, 4, 8
 _PLACED = ("div", "section")
@@ -93,13 +98,22 @@ def _hash(*parts) -> int:
     return v - (1 << 64) if v >> 63 else v
 
 
-def _is_role(tag: str, attrs: dict) -> bool:
+def _is_role(tag: str, attrs: dict, within: bool = False) -> bool:
+    """Whether tag and names say that an element isn't text. Within an article a name must say nothing else."""
     if tag in ROLE_TAGS:
         return True
-    named = " ".join(filter(None, (attrs.get("class"), attrs.get("id"), attrs.get("role"))))
+    named = " ".join(filter(None, (attrs.get("class"), attrs.get("id"), attrs.get("role")))).lower()
     if "hidden" in attrs or attrs.get("aria-hidden") == "true":
         return True
-    return bool(named) and tag not in ("html", "body", "main", "article") and not ROLE_WORDS.isdisjoint(_CUT.split(named.lower()))
+    if not named or tag in ("html", "body", "main", "article"):
+        return False
+    if not within:
+        return not ROLE_WORDS.isdisjoint(_CUT.split(named))
+    for name in named.split():
+        parts = set(filter(None, _CUT.split(name)))
+        if not ROLE_WORDS.isdisjoint(parts) and parts <= ROLE_WORDS | PLAIN_WORDS:
+            return True
+    return False
 
 
 class Node:
@@ -109,60 +123,147 @@ class Node:
         self.tag, self.path, self.role, self.children, self.likes = tag, path, role, [], None
 
 
-class Dom(HTMLParser):
-    """Builds Nodes; children are Nodes and strings."""
+_NAME = re.compile(r"[A-Za-z][^\s/>]*")
+_GAP = re.compile(r"[\s/]*")
+_ATTR = re.compile(r"[^\s/>][^\s/>=]*")
+_EQUALS = re.compile(r"\s*=\s*")
+_BARE = re.compile(r"[^\s>]*")
+_LONG = re.compile(r"&#([xX]?)0*([1-9A-Fa-f][0-9A-Fa-f]{8,});?|&#([xX]?)0{6,}([0-9A-Fa-f]*);?")
+#: Elements whose content is text up to their end tag.
+RAW = {t: re.compile(rf"</{t}(?=[\s/>])", re.IGNORECASE) for t in "script style textarea title xmp iframe noembed noframes".split()}
+
+
+def _number(m: re.Match) -> str:
+    """References of many digits: zeros in front go; beyond all code points they are the replacement character."""
+    if m[2] and (m[1] or m[2].isdigit()):
+        return "\ufffd"
+    if m[4] and len(m[4]) < 9 and (m[3] or m[4].isdigit()):
+        return f"&#{m[3]}{m[4]};"
+    return "\ufffd" if m[4] is not None and not m[4] else m[0][:8]
+
+
+def _decoded(text: str) -> str:
+    if "&" not in text:
+        return text
+    return unescape(_LONG.sub(_number, text) if "&#" in text else text)
+
+
+class Dom:
+    """Builds Nodes from a page in one pass; children are Nodes and strings.
+
+    Nothing in a page is an error, and every step moves on: a comment, declaration or
+    tag without an end reaches to the end of the page, an attribute's quote that is
+    never closed is no quote, an end tag without its start is nothing. Open tags are
+    counted, and each open element knows whether a paragraph is open around it, so
+    that the stack is only walked where it is cut.
+    """
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.root = Node("", 0, False)
-        self.stack = [self.root]
-        self.paragraphs = 0
+        self.stack: list[tuple[Node, bool]] = [(self.root, False)]
+        self.open: dict[str, int] = {}
+
+    def feed(self, html: str) -> None:
+        at, end, quotes = 0, len(html), {'"': True, "'": True}
+        while at < end:
+            lt = html.find("<", at)
+            if lt < 0:
+                return self.text(html[at:])
+            if lt > at:
+                self.text(html[at:lt])
+            mark = html[lt + 1 : lt + 2]
+            if mark in ("!", "?"):
+                stop = html.find("-->", lt + 2) + 2 if html.startswith("<!--", lt) else html.find(">", lt)
+                if stop < lt:
+                    return None
+                at = stop + 1
+            elif mark == "/":
+                name = _NAME.match(html, lt + 2)
+                stop = html.find(">", lt)
+                if stop < 0:
+                    return None
+                if name:
+                    self.close(name[0].lower())
+                at = stop + 1
+            elif name := _NAME.match(html, lt + 1):
+                at, attrs, alone = self._attributes(html, name.end(), quotes)
+                if at < 0:
+                    return None
+                tag = name[0].lower()
+                self.start(tag, attrs, alone)
+                if tag in RAW and not alone:
+                    stop = RAW[tag].search(html, at)
+                    self.text(html[at : stop.start() if stop else end], raw=tag in ("script", "style"))
+                    at = stop.start() if stop else end
+            else:
+                self.text("<")
+                at = lt + 1
+        return None
+
+    @staticmethod
+    def _attributes(html: str, at: int, quotes: dict[str, bool]) -> tuple[int, dict[str, str], bool]:
+        """(place behind the tag, or -1 where it has no end; its attributes; whether it closes itself)."""
+        attrs: dict[str, str] = {}
+        while True:
+            gap = _GAP.match(html, at)
+            at = gap.end()
+            if at >= len(html):
+                return -1, attrs, False
+            if html[at] == ">":
+                return at + 1, attrs, gap[0].endswith("/")
+            name = _ATTR.match(html, at)
+            at, value = name.end(), ""
+            if equals := _EQUALS.match(html, at):
+                at = equals.end()
+                quote, close = html[at : at + 1], -1
+                if quotes.get(quote):
+                    close = html.find(quote, at + 1)
+                    quotes[quote] = close >= 0  # once there is none, there is none further on
+                if close >= 0:
+                    value, at = html[at + 1 : close], close + 1
+                else:
+                    bare = _BARE.match(html, at)
+                    value, at = bare[0], bare.end()
+            attrs.setdefault(name[0].lower(), _decoded(value))
 
     def _cut(self, k: int) -> None:
-        self.paragraphs -= sum(n.tag == "p" for n in self.stack[k:])
+        for node, _ in self.stack[k:]:
+            self.open[node.tag] -= 1
         del self.stack[k:]
 
-    def _end_paragraph(self) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == "p":
-                return self._cut(k)
-            if self.stack[k].tag in _SCOPES:
-                return None
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        a = dict(attrs)
-        if self.paragraphs and tag in BLOCKS and tag not in _IN_P:
-            self._end_paragraph()
-        top = self.stack[-1]
-        named = _DIGITS.sub("0", " ".join(filter(None, (a.get("class"), a.get("id"))))) if a else ""
+    def _cut_to(self, tag: str) -> None:
+        k = len(self.stack) - 1
+        while self.stack[k][0].tag != tag:
+            k -= 1
+        self._cut(k)
+
+    def start(self, tag: str, attrs: dict[str, str], alone: bool) -> None:
+        if self.stack[-1][1] and tag in BLOCKS and tag not in _IN_P:
+            self._cut_to("p")
+        top, in_p = self.stack[-1]
+        named = _DIGITS.sub("0", " ".join(filter(None, (attrs.get("class"), attrs.get("id"))))) if attrs else ""
         place = 0
         if tag in _PLACED:
             top.likes = top.likes or {}
             place = top.likes[tag, named] = min(_PLACES, top.likes.get((tag, named), -1) + 1)
-        node = Node(tag, _hash(top.path, tag, named, place), tag in SILENT or _is_role(tag, a))
+        within = bool(self.open.get("article") or self.open.get("main"))
+        node = Node(tag, _hash(top.path, tag, named, place), tag in SILENT or _is_role(tag, attrs, within))
         top.children.append(node)
-        if tag not in VOID:
-            self.stack.append(node)
-            self.paragraphs += tag == "p"
-
-    def handle_startendtag(self, tag: str, attrs: list) -> None:
-        self.handle_starttag(tag, attrs)
-        if tag not in VOID:
-            self._cut(len(self.stack) - 1)
+        if tag not in VOID and not alone:
+            self.stack.append((node, tag == "p" or in_p and tag not in _SCOPES))
+            self.open[tag] = self.open.get(tag, 0) + 1
 
-    def handle_endtag(self, tag: str) -> None:
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == tag:
-                return self._cut(k)
+    def close(self, tag: str) -> None:
+        if self.open.get(tag):
+            self._cut_to(tag)
 
-    def handle_data(self, data: str) -> None:
-        self.stack[-1].children.append(data)
+    def text(self, data: str, raw: bool = False) -> None:
+        self.stack[-1][0].children.append(data if raw else _decoded(data))
 
 
 def parse(html: str | None) -> Node:
     dom = Dom()
     dom.feed(html or "")
-    dom.close()
     return dom.root
 
 
