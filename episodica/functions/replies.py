@@ -7,8 +7,10 @@ import json
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from . import verdicts as V
+from .numbers import fixed
 
 #: Where a reply may keep its reasoning, the keys it must have, the columns of a result file, and the notes that users read.
 REASONING = ("reasoning_content", "reasoning", "thinking")
@@ -65,7 +67,7 @@ def reconcile_note(holds: Column, raw: Column, shown: Column | None = None, show
         .when(yes, says("score corrected ", shown, " -> 1.0 (predicate_holds=yes)"))
         .when(kind == "missing", "score missing, defaulted to 0.0 (predicate_holds=no)")
         .when(kind == "corrected", says("score corrected ", shown, " -> 0.5 (predicate_holds=no)"))
-        .when(kind == "snapped", says("score snapped ", shown, " -> ", F.format_string("%.1f", value)))
+        .when(kind == "snapped", says("score snapped ", shown, " -> ", fixed(value, 1)))
         .otherwise(says("predicate_holds unreadable: ", shown_holds))
     )
 
@@ -130,6 +132,16 @@ def write_results(results: DataFrame, path: str, csv: str | None = None, keep_re
         results.select(*[F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in RESULT_COLUMNS]).write.option("header", True).option("escape", '"').csv(csv)
 
 
-def append_verdicts(verdicts: DataFrame, path: str) -> None:
-    """More lines for a log that ``sources.datasets.read_verdicts`` reads."""
-    verdicts.write.mode("append").option("ignoreNullFields", False).json(path)
+def append_verdicts(verdicts: DataFrame, path: str, order: str | None = None) -> int:
+    """One more commit to a log that ``sources.datasets.read_verdicts`` reads; its number.
+
+    ``order``: a column that gives the order of lines; without it lines follow the
+    partitions. Lines carry the commit's number and their place in it. They are
+    staged beside the log and renamed into it as a whole, so that a commit that
+    fails leaves nothing, and one whose number has been taken in the meantime takes
+    the next. ``compact_verdicts`` merges commits.
+    """
+    from ..sources.datasets import commit_verdicts
+
+    line = F.row_number().over(W.orderBy(order)) if order else F.monotonically_increasing_id()
+    return commit_verdicts(verdicts.withColumn("line", line.cast("long")), path)

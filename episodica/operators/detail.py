@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import series
+from ..functions.numbers import fixed
 from .measure import HARD, SOFT
 from .score import FAMILIES
 
@@ -43,7 +44,7 @@ def _shown(c: str, kind: str, places: int | None) -> Column:
     if c == "grasp_transitions":
         v = F.when(v >= 0, v)
     whole = kind in ("int", "bigint", "smallint")
-    text = v.cast("string") if whole else F.format_string(f"%.{places}f", v)
+    text = v.cast("string") if whole else fixed(v, places)
     return F.when(v.isNull() | (F.lit(False) if whole else F.isnan(v)), "-").otherwise(text)
 
 

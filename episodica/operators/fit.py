@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -233,6 +234,16 @@ RULE_SEEDS = {
     "grasp_transitions": (">", 98), "eef_path_m": ("<", 2), "video_sharpness": ("<", 2), "video_clipped_fraction": (">", 98), "video_interframe_diff": ("<", 2),
 }
 
+#: What a rule quantity is called, and its unit.
+RULE_TEXTS = {
+    "ldlj_wrist": ("wrist smoothness (LDLJ)", ""), "ldlj_arm": ("arm smoothness (LDLJ)", ""), "ldlj_body": ("body smoothness (LDLJ)", ""),
+    "acc_arm_rms": ("arm acceleration RMS", "rad/s²"), "acc_arm_p99": ("arm acceleration p99", "rad/s²"), "acc_body_rms": ("body acceleration RMS", "rad/s²"),
+    "acc_body_p99": ("body acceleration p99", "rad/s²"), "acc_wrist_rms": ("wrist acceleration RMS", "m/s²"), "acc_wrist_p99": ("wrist acceleration p99", "m/s²"),
+    "contact_rate_hz": ("contact event rate", "Hz"), "max_base_tilt_deg": ("max base tilt", "deg"), "min_wrist_separation_m": ("min wrist separation", "m"),
+    "duration_s": ("duration (too long)", "s"), "duration_short_s": ("duration (too short)", "s"), "idle_fraction": ("idle fraction", ""), "grasp_transitions": ("hand transitions", ""),
+    "eef_path_m": ("wrist path length", "m"), "video_sharpness": ("sharpness", "lap.var"), "video_clipped_fraction": ("clipped pixels", ""), "video_interframe_diff": ("inter-frame difference", "grey"),
+}
+
 
 def rule_value(key: str) -> Column:
     if key.startswith("video_"):
@@ -240,11 +251,18 @@ def rule_value(key: str) -> Column:
     return F.col("duration_s" if key == "duration_short_s" else key).cast("double")
 
 
-def suggest_rules(measures: DataFrame) -> DataFrame:
-    """quantity, op, limit: disabled rules seeded from percentiles of the valid episodes."""
-    rows = [F.struct(F.lit(k).alias("quantity"), F.lit(op).alias("op"), F.lit(pct / 100).alias("seed"), rule_value(k).alias("v")) for k, (op, pct) in RULE_SEEDS.items()]
+def suggest_rules(measures: DataFrame, quantities: Sequence[str] | None = None, action: str | None = None) -> DataFrame:
+    """quantity, op, limit: disabled rules seeded from percentiles of the valid episodes; with an action, that and what users read too."""
+    chosen = {k: RULE_SEEDS[k] for k in (RULE_SEEDS if quantities is None else quantities)}
+    if not chosen:
+        chosen, measures = RULE_SEEDS, measures.limit(0)
+    rows = [F.struct(F.lit(k).alias("quantity"), F.lit(op).alias("op"), F.lit(pct / 100).alias("seed"), rule_value(k).alias("v")) for k, (op, pct) in chosen.items()]
     d = measures.where("valid").select(F.inline(F.array(*rows)))
     ps = F.percentile("v", F.array(F.lit(0.02), F.lit(0.95), F.lit(0.98)))
     got = d.groupBy("quantity", "op", "seed").agg(F.count("v").alias("n"), ps.alias("p")).where("n >= 3")
     pick = F.when(F.col("seed") < 0.5, F.get("p", F.lit(0))).when(F.col("seed") < 0.97, F.get("p", F.lit(1))).otherwise(F.get("p", F.lit(2)))
-    return got.select("quantity", "op", F.round(pick, 4).alias("limit"), F.lit(False).alias("enabled"))
+    rules = got.select("quantity", "op", F.round(pick, 4).alias("limit"), F.lit(False).alias("enabled"))
+    if action is None:
+        return rules
+    texts = F.create_map(*[F.lit(x) for k in chosen for x in (k, RULE_TEXTS[k][0])]), F.create_map(*[F.lit(x) for k in chosen for x in (k, RULE_TEXTS[k][1])])
+    return rules.select("*", F.lit(action).alias("action"), texts[0][F.col("quantity")].alias("label"), texts[1][F.col("quantity")].alias("unit"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..functions import kernels as K
+from ..functions.numbers import fixed, general
 from . import fit as T
 from .measure import HARD, SOFT
 
@@ -86,6 +87,12 @@ class Rule:
     label: str = ""
     unit: str = ""
 
+    def text(self) -> str:
+        """The rule as users read it; label and unit are those of the quantity where none are given."""
+        label, unit = T.RULE_TEXTS.get(self.quantity, (self.quantity, ""))
+        unit = self.unit or ("" if self.label else unit)
+        return f"{self.label or label} {self.op} {self.limit:g}" + (f" {unit}" if unit else "")
+
     def fires(self) -> Column:
         """NULL never fires."""
         v = T.rule_value(self.quantity)
@@ -137,18 +144,6 @@ def _listed(pairs: list[tuple[Column, Column]]) -> Column:
     return F.array_compact(F.array(*[F.when(ok, text) for ok, text in pairs]))
 
 
-def general(v: float | Column, digits: int = 6) -> Column:
-    """A number in %g style: up to so many significant digits, no trailing zeros, exponents beyond them."""
-    if not isinstance(v, Column):
-        return F.lit(f"{v:.{digits}g}")
-    mag = F.floor(F.log10(F.abs(v)))
-    mag = F.when(v == 0, F.lit(0)).otherwise(mag)
-    scaled = F.round(v / F.pow(F.lit(10.0), mag), digits - 1) * F.pow(F.lit(10.0), mag)
-    fixed = F.regexp_replace(F.format_string(f"%.{digits + 4}f", F.round(scaled, digits + 4)), r"\.?0+$", "")
-    mantissa = F.regexp_replace(F.format_string(f"%.{digits - 1}f", v / F.pow(F.lit(10.0), mag)), r"\.?0+$", "")
-    return F.when((mag >= -4) & (mag < digits), fixed).otherwise(F.concat(mantissa, F.lit("e"), F.when(mag < 0, "-").otherwise("+"), F.lpad(F.abs(mag).cast("string"), 2, "0")))
-
-
 def _common(columns: list[str], reject_bar: float) -> list[tuple[Column, Column]]:
     hard = _listed([(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in HARD])
     steps = [(F.size(hard) > 0, hard)]
@@ -167,21 +162,21 @@ def decide(scored: DataFrame, p: Policy | None = None) -> DataFrame:
     stages.insert(1, (F.size(_listed(hit)) > 0, _listed(hit)))
     review: list[tuple[Column, Column]] = []
     if p.mode == "rules":
-        said = lambda r: F.concat(F.lit(f"{r.label or r.quantity} {r.op} {r.limit:g}{' ' + r.unit if r.unit else ''} (got "), general(T.rule_value(r.quantity), 4), F.lit(")"))
+        said = lambda r: F.concat(F.lit(f"{r.text()} (got "), general(T.rule_value(r.quantity), 4), F.lit(")"))
         active = [r for r in p.rules if r.enabled]
         out = _listed([(r.fires(), said(r)) for r in active if r.action == "reject"])
         stages.append((F.size(out) > 0, out))
         review += [(r.fires(), said(r)) for r in active if r.action != "reject"]
     elif p.mode == "gate":
         floors = {n: p.minimums.get(n, p.threshold) for n in FAMILIES}
-        low = _listed([(F.coalesce(F.col(n) < f, F.lit(False)), F.concat(F.lit(f"{n} "), F.format_string("%.3f", F.col(n)), F.lit(f" < {f:g}"))) for n, f in floors.items() if f > 0])
+        low = _listed([(F.coalesce(F.col(n) < f, F.lit(False)), F.concat(F.lit(f"{n} "), fixed(F.col(n), 3), F.lit(f" < {f:g}"))) for n, f in floors.items() if f > 0])
         stages.append((F.size(low) > 0, low))
     else:
-        stages.append((F.col("total") < p.threshold, F.array(F.concat(F.lit("score "), F.format_string("%.3f", F.col("total")), F.lit(f" < {p.threshold:g}")))))
+        stages.append((F.col("total") < p.threshold, F.array(F.concat(F.lit("score "), fixed(F.col("total"), 3), F.lit(f" < {p.threshold:g}")))))
     review += [(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in SOFT]
     if p.mode not in ("rules", "gate"):
-        review += [(F.coalesce(F.col(n) < f, F.lit(False)), F.concat(F.lit(f"{n} "), F.format_string("%.3f", F.col(n)), F.lit(f" < {f:g}"))) for n, f in p.minimums.items()]
-    rate = F.concat(F.lit("("), F.format_string("%.2f", F.col("contact_rate_hz")), F.lit(" Hz)"))
+        review += [(F.coalesce(F.col(n) < f, F.lit(False)), F.concat(F.lit(f"{n} "), fixed(F.col(n), 3), F.lit(f" < {f:g}"))) for n, f in p.minimums.items()]
+    rate = F.concat(F.lit("("), fixed(F.col("contact_rate_hz"), 2), F.lit(" Hz)"))
     events = F.concat(F.lit("contact "), *([F.col("contact_count").cast("string"), F.lit(" events ")] if "contact_count" in scored.columns else []), rate)
     if p.review_on_contact:
         review.append((F.coalesce(F.col("contact_rate_hz") > p.contact_review_hz, F.lit(False)), events))
@@ -265,8 +260,8 @@ def decide_absolute(scored: DataFrame, p: T.Profile) -> DataFrame:
     label, behind = texts(lambda c: f"{c.label or c.quantity} "), texts(lambda c: f"{unit(c)} (good {c.good:g}, bad {c.bad:g}, p=")
     dear = F.filter("__criteria", lambda x: x["i"].isin(_counting(p)) & (x["nats"] > 0))
     dear = F.slice(F.array_sort(F.transform(dear, lambda x: F.struct((-x["nats"]).alias("n"), x["i"].alias("i"), x["value"].alias("value"), x["p"].alias("p")))), 1, 3)
-    top = F.transform(dear, lambda x: F.concat(F.get(label, x["i"]), general(x["value"], 4), F.get(behind, x["i"]), F.format_string("%.2f", x["p"]), F.lit(")")))
-    said = F.concat(F.array(F.concat(F.lit("score "), F.format_string("%.3f", F.col("total")), F.lit(f" < {p.threshold:g}"))), top)
+    top = F.transform(dear, lambda x: F.concat(F.get(label, x["i"]), general(x["value"], 4), F.get(behind, x["i"]), fixed(x["p"], 2), F.lit(")")))
+    said = F.concat(F.array(F.concat(F.lit("score "), fixed(F.col("total"), 3), F.lit(f" < {p.threshold:g}"))), top)
     looked_at = [i for i, c in enumerate(p.criteria) if c.enabled and c.action == "review"]
     bad = F.filter("__criteria", lambda x: x["i"].isin(looked_at) & (x["p"] > 0.5))
     noted = F.transform(bad, lambda x: F.concat(F.get(label, x["i"]), general(x["value"], 4), F.get(texts(unit), x["i"])))

@@ -249,11 +249,6 @@ def decide_limits(spark, sf_dir):
     return _decision(spark, sf_dir, S.Policy(mode="weighted", limits=(S.Rule("max_base_tilt_deg", 22.0),)))
 
 
-@query("decision_reasons", _scored() + " select episode, list_filter([case when degenerate then 'flag:degenerate' end, case when grasp_incomplete then 'flag:grasp_incomplete' end, case when video_unreadable then 'flag:video_unreadable' end, case when video_truncated then 'flag:video_truncated' end], lambda x: x is not null) as reasons from scored where degenerate or grasp_incomplete or video_unreadable or video_truncated")
-def decision_reasons(spark, sf_dir):
-    return S.decide(S.score(m(spark, sf_dir), CAL)).where(" or ".join(S.HARD)).select("episode", "reasons")
-
-
 _LIST = lambda parts: f"list_filter([{', '.join(parts)}], lambda x: x is not null)"
 _IF = lambda ok, text, v: f"case when {ok} then printf('{text}', {v}) end"
 _FLAGS = lambda flags: [f"case when {f} then 'flag:{f}' end" for f in flags]
@@ -276,13 +271,18 @@ EXPLAINED = {
     "rules": (
         S.Policy(mode="rules", rules=RULES, limits=_TILT),
         _reasons(
-            [("acc_arm_rms > 9.0", "acc_arm_rms > 9 (got %.4g)", "acc_arm_rms"), ("ldlj_wrist < -21.5", "ldlj_wrist < -21.5 (got %.4g)", "ldlj_wrist")],
-            [_IF("idle_fraction > 0.6", "idle_fraction > 0.6 (got %.4g)", "idle_fraction"), _IF("video_decodable and video_sharpness < 60", "video_sharpness < 60 (got %.4g)", "video_sharpness")], [],
+            [("acc_arm_rms > 9.0", "arm acceleration RMS > 9 rad/s² (got %.4g)", "acc_arm_rms"), ("ldlj_wrist < -21.5", "wrist smoothness (LDLJ) < -21.5 (got %.4g)", "ldlj_wrist")],
+            [_IF("idle_fraction > 0.6", "idle fraction > 0.6 (got %.4g)", "idle_fraction"), _IF("video_decodable and video_sharpness < 60", "sharpness < 60 lap.var (got %.4g)", "video_sharpness")], [],
         ),
     ),
 }
 
 
+@query("decision_reasons", _scored() + f" select episode, {EXPLAINED['gate'][1]} as reasons from scored")
+def decision_reasons(spark, sf_dir):
+    return S.decide(S.score(m(spark, sf_dir), CAL), EXPLAINED["gate"][0]).select("episode", "reasons")
+
+
 @query("decision_reasons_all", _scored() + " " + " union all ".join(f"select episode, '{mode}' as mode, {sql} as reasons from scored" for mode, (_, sql) in EXPLAINED.items()))
 def decision_reasons_all(spark, sf_dir):
     d = S.score(m(spark, sf_dir), CAL)

@@ -12,12 +12,16 @@ from __future__ import annotations
 
 import json
 import re
+import time
+import uuid
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.verdicts import latest
+
 #: Column names on disk and here.
 CHANNELS = {
     "timestamp": "t", "observation.state": "state", "action.wbc": "action", "observation.eef_state": "eef", "observation.projected_gravity": "gravity",
@@ -160,10 +164,89 @@ def check_manifest(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
 VERDICTS = T.StructType([T.StructField(n, T.StringType()) for n in ("video", "task", "predicate_holds", "goal_predicate", "observed_final_state", "note", "error")] + [T.StructField("episode", T.LongType()), T.StructField("score", T.DoubleType()), T.StructField("cached", T.BooleanType())])
 
 
+_COMMIT = "commit={:019d}"
+
+
+def _log_folder(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def commit_verdicts(verdicts: DataFrame, path: str) -> int:
+    """Verdicts with their ``line`` as the log's next commit, a folder renamed into place."""
+    spark, name = verdicts.sparkSession, uuid.uuid4().hex
+    fs, at = _log_folder(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs.mkdirs(at)
+    staged = hadoop(at, f"_staged-{name}")
+    verdicts.write.option("ignoreNullFields", False).json(staged.toString())
+    try:
+        while True:
+            number = max(_commits(fs, at).values(), default=0) + 1
+            # a file is made by one writer alone, so two never share a number
+            claim = hadoop(at, f"_claim-{number:019d}")
+            if fs.createNewFile(claim):
+                if number > max(_commits(fs, at).values(), default=0):
+                    break
+                fs.delete(claim, False)
+                continue
+            if not fs.exists(hadoop(at, _COMMIT.format(number))) and fs.getFileStatus(claim).getModificationTime() < (time.time() - CLAIM_S) * 1000:
+                fs.delete(claim, False)  # its writer is gone
+            time.sleep(0.05)
+        fs.rename(staged, hadoop(at, _COMMIT.format(number)))
+        fs.delete(claim, False)
+    finally:
+        fs.delete(staged, True)
+    return number
+
+
+#: Seconds after which an unfinished commit's claim on its number is given up.
+CLAIM_S = 600
+
+
+def compact_verdicts(spark: SparkSession, path: str) -> None:
+    """The last verdict of each (video, task) as one commit in place of all commits so far, under the number of the last."""
+    fs, at = _log_folder(spark, path)
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    known = _commits(fs, at)
+    old = sorted(known, key=lambda n: (known[n], n))
+    if len(old) < 2:
+        return
+    rows = _lines(spark, [f"{path}/{n}" for n in old])
+    staged = f"{path}/_staged-{uuid.uuid4().hex}"
+    latest(rows, "line").withColumn("line", F.struct(F.col("line.commit").alias("commit"), F.col("line.line").alias("line"))).write.option("ignoreNullFields", False).json(staged)
+    # the merged rows carry their own commits, so a reader that meets old and new ones finds the same last verdicts
+    fs.rename(hadoop(staged), hadoop(at, f"{_COMMIT.format(known[old[-1]])}-{uuid.uuid4().hex}"))
+    for n in old:
+        fs.delete(hadoop(at, n), True)
+
+
+def _commits(fs, at) -> dict[str, int]:
+    """The commits of a log by the names of their folders."""
+    names = [f.getPath().getName() for f in fs.listStatus(at)]
+    return {n: int(n[len("commit=") :].split("-")[0]) for n in names if n.startswith("commit=")}
+
+
+def _lines(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines with their order: commit, then line. Merged lines carry both."""
+    merged = T.StructType([*VERDICTS.fields, T.StructField("line", T.StringType())])
+    v = F.from_json("value", merged).alias("v")
+    raw = spark.read.text(paths).select(v, F.regexp_extract(F.col("_metadata.file_path"), r"/commit(?:=|%3D)([0-9]+)", 1).alias("number"), F.col("_metadata.file_modification_time").alias("written"), F.monotonically_increasing_id().alias("row"))
+    number = F.coalesce(F.get_json_object("v.line", "$.commit").cast("long"), F.when(F.col("number") == "", 0).otherwise(F.col("number").cast("long")))
+    line = F.coalesce(F.get_json_object("v.line", "$.line").cast("long"), F.expr("try_cast(v.line as bigint)"), F.col("row"))
+    return raw.where("v.video is not null").select(F.struct(number.alias("commit"), F.when(number == 0, F.col("written")).alias("written"), line.alias("line")).alias("line"), *[f"v.{f.name}" for f in VERDICTS.fields])
+
+
 def read_verdicts(spark: SparkSession, path: str) -> DataFrame:
-    """Verdict lines with their order; lines that aren't JSON are left out."""
-    raw = spark.read.text(path).select(F.from_json("value", VERDICTS).alias("v"), F.monotonically_increasing_id().alias("line"))
-    return raw.where("v.video is not null").select("line", "v.*")
+    """Verdict lines with ``line``, their order; lines that aren't JSON are left out.
+
+    path: a log of commits, one file of lines, or a folder of such files. Commits follow
+    their numbers; plain files stand before them, by the time when they were written.
+    """
+    fs, at = _log_folder(spark, path)
+    if not fs.getFileStatus(at).isDirectory():
+        return _lines(spark, [path])
+    return _lines(spark, [f"{path}/{n}" for n in _commits(fs, at)] or [path])
 
 
 def write_episodes(frames: DataFrame, path: str) -> None:

@@ -10,15 +10,16 @@ from ..sources.datasets import VERDICTS
 
 
 def verdict_stream(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.readStream.schema(VERDICTS).json(folder)
+    """The verdicts of a folder of files, one file a batch, in the order in which they were written."""
+    return spark.readStream.schema(VERDICTS).option("maxFilesPerTrigger", 1).json(folder)
 
 
 def upsert(stream: DataFrame, table_path: str, checkpoint: str) -> StreamingQuery:
-    """Each batch's verdicts are appended with the batch's number; read them with ``current``."""
+    """Each batch's verdicts are a partition of their own, which a repeated batch replaces; read them with ``current``."""
     from pyspark.sql import functions as F
 
     def put(batch: DataFrame, number: int) -> None:
-        batch.withColumn("line", F.monotonically_increasing_id()).withColumn("batch", F.lit(number)).write.mode("append").parquet(table_path)
+        batch.withColumn("line", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{table_path}/batch={number}")
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
