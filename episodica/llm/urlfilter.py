@@ -3,7 +3,7 @@
 A rule is a host and a path prefix; it fits its host and all subdomains, where
 the url's path starts with the rule's, and the longest rule wins. A url's keys
 are its host's suffixes at label borders, each with the path's prefixes of the
-lengths that rules have (no other key can match a rule). A key is known by two
+lengths and up to as many labels as rules have (no other key can match a rule). A key is known by two
 64-bit hashes.
 
 The universe is every distinct key of the corpus. Level 0 of a cascade holds the
@@ -93,9 +93,9 @@ def path(url: Column) -> Column:
     return F.coalesce(F.when(at > 0, F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)), F.lit(""))
 
 
-def keys(host_col: str, path_col: str, lengths: list[int]) -> Column:
-    """All keys of a url, longest first."""
-    labels = F.split(F.col(host_col), r"\.")
+def keys(host_col: str, path_col: str, lengths: list[int], most: int) -> Column:
+    """All keys of a url, longest first; of hosts the suffixes of up to so many labels, whatever the host's length."""
+    labels = F.split(F.substring_index(F.col(host_col), ".", -most), r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     fit = F.filter(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"), lambda n: F.char_length(F.col(path_col)) >= n)
     all_keys = F.flatten(F.transform(suffixes, lambda s: F.transform(fit, lambda n: F.concat(s, F.substring(F.col(path_col), F.lit(1), n)))))
@@ -205,11 +205,13 @@ def judge(df: DataFrame, rules: tuple[Rule, ...] | DataFrame = RULES, url_col: s
     """Adds host, path, rule and verdict; rules may be a DataFrame of host, path and verdict."""
     spark: SparkSession = df.sparkSession
     table = rules if isinstance(rules, DataFrame) else spark.createDataFrame([(r.host, r.path, r.verdict) for r in rules], "host string, path string, verdict string")
-    table = settle(table.select("path", "verdict", *_hashed(F.concat("host", "path"))))
+    labels = F.size(F.split("host", r"\.")).alias("labels")
+    table = settle(table.select("path", "verdict", labels, *_hashed(F.concat("host", "path"))))
     lengths = sorted(r[0] for r in table.select(F.char_length("path")).distinct().collect())
     verdicts = sorted(r[0] for r in table.select("verdict").distinct().collect())
     rows = df.select(packed(df).alias("row"), host(column(url_col)).alias("host"), path(column(url_col)).alias("path"))
-    rows = rows.withColumn("keys", keys("host", "path", lengths))
+    most = table.agg(F.coalesce(F.max("labels"), F.lit(1))).first()[0]
+    rows = rows.withColumn("keys", keys("host", "path", lengths, most))
     universe = settle(rows.select(F.explode("keys").alias("k")).select(*_hashed(F.col("k"))).distinct())
     rows = rows.select("row", "host", "path", "keys", F.transform("keys", lambda k: F.xxhash64(k)).alias("a"), F.transform("keys", lambda k: F.xxhash64(F.lit(1), k)).alias("b"), F.lit(-1).alias("won"))
     for step in _cascades(universe, table, verdicts, first_rate):

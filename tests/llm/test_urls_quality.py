@@ -104,3 +104,16 @@ def test_quality_rows(rows, none):
     assert quality.clean(none).count() == 0 and quality.assess(none).count() == 0
     good = " ".join(f"Line{i} has{i} words{i} of{i} its{i} own." for i in range(20))
     assert quality.judge(good)[6] and quality.judge(good + "\nno stop in this line\nA | b | c | d.")[7] == good
+
+
+def test_long_hosts(spark):
+    """A host of any number of labels is cut to those that some rule can have, in a moment."""
+    import time
+
+    hosts = ["a." * 50_000 + "example.net", "x" * 100_000 + ".org", "." * 30_000, "net", "b.example.com"]
+    pages = spark.createDataFrame([(i, f"http://{h}/en/1") for i, h in enumerate(hosts)], "page_id long, url string")
+    urlfilter.judge(pages.limit(1)).collect()
+    began = time.time()
+    got = {r.page_id: (r.host, r.rule, r.verdict) for r in urlfilter.judge(pages).collect()}
+    assert time.time() - began < 60
+    assert got[0] == (hosts[0], "example.net/en/", "allow") and got[3][1:] == ("net/", "block") and [got[i][1] for i in (1, 2, 4)] == [None] * 3
