@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -200,12 +202,50 @@ def video(decoded: DataFrame, segments: DataFrame | None = None) -> DataFrame:
         take(F.sqrt(F.greatest(G.variance(g), F.lit(0.0)))).alias("video_contrast"), take(G.clipped(g)).alias("video_clipped_fraction"),
         F.avg(G.mean_abs_difference(F.col("small"), F.col("prev"))).alias("video_interframe_diff"),
     )
+    return _undecoded(out, segments)
+
+
+def _undecoded(out: DataFrame, segments: DataFrame | None) -> DataFrame:
+    """With segments: those without any frame are undecodable."""
     if segments is None:
         return out
+    keys = ["episode", "camera"]
     out = segments.select(*keys).distinct().join(out, keys, "left")
     return out.withColumn("video_decodable", F.coalesce("video_decodable", F.lit(False))).withColumn("video_decode_ratio", F.coalesce("video_decode_ratio", F.lit(0.0)))
 
 
+def video_of(runs: DataFrame, segments: DataFrame | None = None) -> DataFrame:
+    """The columns of ``video`` from rows of ``sources.video.fold``: no image passes an exchange.
+
+    Only outer frames of runs do, a few thousand bytes for each ``RUN`` frames.
+    """
+    keys = ["episode", "camera"]
+    w = W.partitionBy(*keys).orderBy("at")
+    d = runs.withColumn("before", F.lag("last").over(w))
+    d = d.withColumn("across", F.pandas_udf(_across, "double")("before", "first"))
+    n, declared, sampled = F.sum("n"), F.max("declared"), F.sum("sampled")
+    mean = lambda c: F.try_divide(F.sum(c), sampled)
+    diff = F.try_divide(F.sum("diff") + F.coalesce(F.sum("across"), F.lit(0.0)), F.sum("diffs") + F.count("across"))
+    out = d.groupBy(*keys).agg(
+        F.lit(True).alias("video_decodable"), F.when(declared > 0, n / declared).otherwise(1.0).alias("video_decode_ratio"), mean("sharpness").alias("video_sharpness"),
+        mean("brightness").alias("video_brightness"), mean("contrast").alias("video_contrast"), mean("clipped").alias("video_clipped_fraction"), diff.alias("video_interframe_diff"),
+    )
+    return _undecoded(out, segments)
+
+
+def _across(before: pd.Series, after: pd.Series) -> pd.Series:
+    """The mean differences of pairs of shrunk frames; none where a frame is missing or their sizes differ."""
+    pairs = [None if a is None or len(a) != len(b) else (np.frombuffer(a, "<f8"), np.frombuffer(b, "<f8")) for a, b in zip(before, after, strict=True)]
+    return pd.Series([None if p is None else float(np.abs(p[0] - p[1]).mean()) for p in pairs], dtype="float64")
+
+
+def with_video(per: DataFrame, video_: DataFrame, camera: str) -> DataFrame:
+    """Measured rows with one camera's video columns, flagged anew; episodes without that camera keep NULL."""
+    flags = {*HARD, *SOFT, "valid", "needs_review", "raised"}
+    bare = per.select(*[c for c in per.columns if c not in flags and not c.startswith("video_")])
+    return flag(bare.join(video_.where(F.col("camera") == camera).drop("camera"), "episode", "left"))
+
+
 #: The flags, in the order in which they are reported.
 HARD = ("degenerate", "grasp_incomplete", "video_unreadable", "video_truncated")
 SOFT = ("self_collision_suspect", "video_frozen")

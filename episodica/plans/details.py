@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..functions import gray as G
 from ..functions import replies as Y
@@ -14,6 +17,7 @@ from ..operators import legacy as L
 from ..operators import measure as M
 from ..operators import report as R
 from ..operators import score as S
+from ..sources import video
 from . import bindings as B
 from . import legacy as replies
 from .legacy import _GR, _RS, _SC, _gray
@@ -208,3 +212,31 @@ def image_blur(spark, sf_dir):
 def inject_image_faults(spark, sf_dir):
     d = _gray(spark, sf_dir).select(F.col("label").cast("long").alias("episode"), F.lit("top").alias("camera"), F.col("vec_id").cast("int").alias("frame_index"), F.col("h").alias("height"), F.col("w").alias("width"), "gray")
     return I.image_faults(d)
+
+
+_CLIP = 20
+
+
+@query(
+    "video_measures",
+    _GR + """, pairs as (select vec_id, list_avg(list_transform(range(1, 65), lambda i: abs(gray[i] - prev[i]))) as diff from (select *, lag(gray) over (partition by label order by vec_id) as prev from g) where prev is not null),
+    seq as (select st.*, diff, row_number() over (partition by label order by vec_id) - 1 as i, count(*) over (partition by label) as n from st left join pairs using (vec_id))
+    select label::bigint as episode, 1.0::double as video_decode_ratio, round(avg(sharpness) filter (i % greatest(n // 16, 1) = 0), 2) as video_sharpness, round(avg(brightness) filter (i % greatest(n // 16, 1) = 0), 4) as video_brightness,
+      round(avg(contrast) filter (i % greatest(n // 16, 1) = 0), 3) as video_contrast, round(avg(clipped) filter (i % greatest(n // 16, 1) = 0), 4) as video_clipped_fraction, round(avg(diff), 4) as video_interframe_diff
+    from seq group by label""",
+)
+def video_measures(spark, sf_dir):
+    """Grey frames of one label as a clip, cut into segments that are decoded and folded one by one; a segment's path holds its frames."""
+
+    def decoder(path, from_s, to_s):
+        for x in json.loads(path):
+            yield x["i"], x["declared"], 8, 8, x["gray"]
+
+    w = W.partitionBy("label")
+    d = _gray(spark, sf_dir).withColumn("i", F.row_number().over(w.orderBy("vec_id")) - 1).withColumn("declared", F.count("*").over(w))
+    path = F.to_json(F.array_sort(F.collect_list(F.struct("i", "declared", "gray"))))
+    none = F.lit(None).cast("double")
+    segments = d.groupBy("label", F.expr(f"i div {_CLIP}").alias("part")).agg(path.alias("path")).select(F.col("label").cast("long").alias("episode"), F.lit("top").alias("camera"), "path", none.alias("from_s"), none.alias("to_s"))
+    got = M.video_of(video.fold(segments, decoder, M.DIFF_WIDTH, M.SAMPLES))
+    places = {"video_decode_ratio": None, "video_sharpness": 2, "video_brightness": 4, "video_contrast": 3, "video_clipped_fraction": 4, "video_interframe_diff": 4}
+    return got.select("episode", *[(F.col(c) if n is None else F.round(c, n)).alias(c) for c, n in places.items()])

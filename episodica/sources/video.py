@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
@@ -21,3 +23,74 @@ def decode(segments: DataFrame, decoder: Decoder) -> DataFrame:
                 yield pd.DataFrame(rows, columns=["episode", "camera", "frame_index", "declared", "height", "width", "gray"])
 
     return segments.select("episode", "camera", "path", "from_s", "to_s").mapInPandas(run, FRAME)
+
+
+RUN = 16
+#: A run of neighbouring frames, as sums; ``first`` and ``last`` are its outer frames, shrunk.
+FRAMES = "episode long, camera string, at long, declared long, n long, diffs long, diff double, sampled long, sharpness double, brightness double, contrast double, clipped double, first binary, last binary"
+
+
+def shrunk(image: np.ndarray, to: int) -> np.ndarray:
+    """Bilinear at pixel centres, down to a width; narrower images stay. The rule is that of ``gray.shrink``."""
+    h, w = image.shape
+    if w <= to:
+        return image.astype(np.float64)
+    rows = max(h * to // w, 1)
+    place = lambda n, size: np.clip((np.arange(n) + 0.5) * size / n - 0.5, 0.0, size - 1.0)
+    y, x = place(rows, h), place(to, w)
+    y0, x0 = y.astype(int), x.astype(int)
+    fy, fx = (y - y0)[:, None], (x - x0)[None, :]
+    near = lambda r, c: image[np.ix_(np.minimum(r, h - 1), np.minimum(c, w - 1))].astype(np.float64)
+    top = near(y0, x0) * (1 - fx) + near(y0, x0 + 1) * fx
+    low = near(y0 + 1, x0) * (1 - fx) + near(y0 + 1, x0 + 1) * fx
+    return np.floor(top * (1 - fy) + low * fy + 0.5)
+
+
+def appearance(image: np.ndarray) -> tuple[float, float, float, float]:
+    """Variance of the Laplacian (mirrored borders), mean, deviation, and the share of pixels at either end."""
+    x = image.astype(np.float64)
+    pad = lambda n: np.abs(np.r_[-1, np.arange(n), n]) if n < 2 else np.r_[1, np.arange(n), n - 2]
+    rows, cols = (pad(n) if n > 1 else np.zeros(3, int) for n in x.shape)
+    up, down, left, right = x[rows[:-2]], x[rows[2:]], x[:, cols[:-2]], x[:, cols[2:]]
+    edges = up + down + left + right - 4 * x
+    return float(edges.var()), float(x.mean()), float(x.std()), float(((x > 250) | (x < 5)).mean())
+
+
+def fold(segments: DataFrame, decoder: Decoder, width: int, samples: int, every: int = 25, frames: int = 1024) -> DataFrame:
+    """Rows of FRAMES: what ``measure.video_of`` needs of each clip, worked out where it is decoded.
+
+    A task keeps RUN frames at a time and gives away a few sums for each such run,
+    with the run's outer frames at ``width`` pixels, ``frames`` frames a batch.
+    A clip may be given as several segments, cut anywhere: the differences across
+    their borders are made from those outer frames. ``frame_index`` counts from the
+    clip's beginning, so that every step-th frame is the same however it is cut.
+    """
+
+    def sums(r, run: list[tuple[int, int, np.ndarray]]) -> tuple:
+        declared = max(d for _, d, _ in run)
+        step = max(declared // samples, 1) if declared > 0 else every
+        small = [shrunk(g, width) for _, _, g in run]
+        diffs = [float(np.abs(a - b).mean()) for a, b in pairwise(small) if a.shape == b.shape]
+        looks = [appearance(g) for i, _, g in run if i % step == 0]
+        parts = [float(sum(x)) for x in zip(*looks, strict=True)] or [0.0] * 4
+        outer = (small[0].astype("<f8").tobytes(), small[-1].astype("<f8").tobytes())
+        return (r.episode, r.camera, run[0][0], declared, len(run), len(diffs), sum(diffs), len(looks), *parts, *outer)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = [f.split()[0] for f in FRAMES.split(", ")]
+        for batch in batches:
+            for r in batch.itertuples():
+                held, rows = [], []
+                for index, declared, height, wide, pixels in decoder(r.path, r.from_s, r.to_s):
+                    held.append((index, declared, np.asarray(pixels, dtype=np.uint8).reshape(height, wide)))
+                    if len(held) == RUN:
+                        rows.append(sums(r, held))
+                        held = []
+                    if len(rows) * RUN >= frames:
+                        yield pd.DataFrame(rows, columns=names)
+                        rows = []
+                if held:
+                    rows.append(sums(r, held))
+                yield pd.DataFrame(rows, columns=names)
+
+    return segments.select("episode", "camera", "path", "from_s", "to_s").mapInPandas(run, FRAMES)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from episodica import plans
 from episodica.operators import measure as M
 from episodica.operators import score as S
+from episodica.sources import video
 
 SF = "/root/testdata/sf0.001"
 
@@ -59,7 +60,7 @@ def test_decision_reasons_all_explains_every_episode(spark):
     episodes = spark.read.parquet(f"{SF}/lineitem.parquet").select("l_orderkey").distinct().count()
     assert len(rows) == len({(r.episode, r.mode) for r in rows}) == 3 * episodes
     said = {x.split()[0] for r in rows for x in r.reasons}
-    assert said >= {"flag:degenerate", "limit:max_base_tilt_deg>22", "semantic:goal", "smoothness", "timing", "video", "score", "acc_arm_rms", "idle_fraction", "flag:video_frozen", "contact", "semantic"}
+    assert said >= {"flag:degenerate", "limit:max_base_tilt_deg>22", "semantic:goal", "smoothness", "timing", "video", "score", "arm", "idle", "flag:video_frozen", "contact", "semantic"}
     assert any(not r.reasons for r in rows)
 
 
@@ -109,6 +110,33 @@ def test_video_measures_of_decoded_frames(spark):
     assert (got[3].video_decodable, got[3].video_decode_ratio, got[3].video_sharpness) == (False, 0.0, None)
 
 
+def test_folded_video_is_the_video(spark):
+    """Clips folded where they are decoded, in whichever segments, have the measures of all their frames; no image is shuffled."""
+    rng = np.random.default_rng(8)
+    clips = {1: rng.integers(0, 256, (45, 4, 5)), 2: rng.integers(0, 256, (19, 3, 170)), 3: rng.integers(0, 256, (1, 2, 2)), 4: rng.integers(0, 256, (33, 6, 2))}
+    declared = {1: 45, 2: 0, 3: 1, 4: 400}
+    rows = [(e, "a", i, declared[e], *g.shape, g.ravel().tolist()) for e, gs in clips.items() for i, g in enumerate(gs)]
+    decoded = spark.createDataFrame(rows, "episode long, camera string, frame_index int, declared int, height int, width int, gray array<int>")
+    frames = {e: [r[2:] for r in rows if r[0] == e] for e in clips}
+
+    def decoder(path, from_s, to_s):
+        yield from (f for f in frames[int(path)] if from_s <= f[0] < to_s)
+
+    cuts = {1: [0, 7, 23, 24, 45], 2: [0, 19], 3: [0, 1], 4: [0, 16, 33], 5: [0, 1]}
+    frames[5] = []
+    segments = spark.createDataFrame([(e, "a", str(e), float(a), float(b)) for e, c in cuts.items() for a, b in zip(c, c[1:])], "episode long, camera string, path string, from_s double, to_s double")
+    runs = video.fold(segments, decoder, M.DIFF_WIDTH, M.SAMPLES)
+    got, want = M.video_of(runs, segments), M.video(decoded, segments)
+    assert got.columns == want.columns
+    names = [c for c in want.columns if c.startswith("video_")]
+    for a, b in zip(got.orderBy("episode").collect(), want.orderBy("episode").collect(), strict=True):
+        assert a.episode == b.episode and all((a[c] is None) == (b[c] is None) and (a[c] is None or np.isclose(float(a[c]), float(b[c]))) for c in names), (a, b)
+    assert "array<int>" not in {kind for _, kind in runs.dtypes}
+    per = spark.createDataFrame([(e, 5.0, 1.0, 1.0, 4, 0.5) for e in (1, 4, 5, 6)], "episode long, duration_s double, eef_path_m double, max_speed double, grasp_transitions int, min_wrist_separation_m double")
+    flagged = {r.episode: r for r in M.with_video(M.flag(per), got, "a").collect()}
+    assert {e: (r.video_unreadable, r.video_truncated, r.valid) for e, r in flagged.items()} == {1: (False, False, True), 4: (False, True, False), 5: (True, False, False), 6: (False, False, True)}
+
+
 def test_humanoid_by_hand(spark):
     """Worked out by hand from the default ranges."""
     import math
