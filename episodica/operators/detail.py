@@ -6,11 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import series
 from ..functions.numbers import fixed
 from .measure import HARD, SOFT
+from .numbering import before
 from .score import FAMILIES
 
 #: Family, name, column, decimal places and unit of the measures that a page lists.
@@ -124,7 +124,9 @@ def by_episode(frames: DataFrame, known: DataFrame | None = None, default: str |
     aggs = [F.count("*").alias("length"), F.array_sort(F.collect_list(state)).alias("s")]
     if "task_index" in frames.columns:
         aggs.append(F.min_by("task_index", F.struct("t", "frame_index")).alias("task_index"))
-    d = frames.groupBy("episode").agg(*aggs).withColumn("start", F.sum("length").over(W.orderBy("episode")) - F.col("length"))
+    d = frames.groupBy("episode").agg(*aggs)
+    starts = before(frames.groupBy("episode").agg(F.count("*").alias("length")), "episode", start=F.col("length")).select(F.col("episode").alias("__e"), "start")
+    d = d.join(starts, F.col("episode").eqNullSafe(F.col("__e"))).drop("__e")
     d = d.withColumn("actions", F.col("s.__a")).withColumn("states", F.transform("s", lambda x: x.dropFields("__a", "frame_index"))).drop("s")
     if known is not None:
         d = d.join(F.broadcast(known.select("task_index", "task")), "task_index", "left").withColumn("task", F.coalesce("task", F.lit(default)))
@@ -134,7 +136,7 @@ def by_episode(frames: DataFrame, known: DataFrame | None = None, default: str |
 def eval_split(good: DataFrame, share: float = 1.0) -> DataFrame:
     """episode and new number of the first share of good episodes: what the full and the filtered dataset are evaluated on."""
     n = good.select("episode").distinct().count()
-    d = good.select("episode").distinct().withColumn("filtered", F.row_number().over(W.orderBy("episode")).cast("long") - 1)
+    d = before(good.select("episode").distinct(), "episode", filtered=1)
     return d.where(F.col("filtered") < int(share * n))
 
 

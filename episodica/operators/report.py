@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 
 from ..functions.kernels import clip
 from .measure import HARD, SOFT
+from .numbering import before
 
 
 def counts(scored: DataFrame) -> DataFrame:
@@ -144,23 +145,24 @@ def export_selection(scored: DataFrame, decisions: Sequence[str]) -> DataFrame:
 def reindex(frames: DataFrame, good: DataFrame) -> DataFrame:
     """Frames of the good episodes with new episode, frame and global numbers; offsets come from the small episode table."""
     ids = frames.join(good.select("episode").distinct(), "episode", "left_semi").groupBy("episode").agg(F.count("*").alias("length"))
-    order = W.orderBy("episode")
-    ids = ids.withColumn("episode_index", F.row_number().over(order) - 1).withColumn("offset", F.sum("length").over(order) - F.col("length"))
+    ids = before(ids, "episode", episode_index=1, offset=F.col("length"))
     w = W.partitionBy("episode").orderBy("t", "frame_index")
     d = frames.join(ids, "episode").withColumn("frame_index", (F.row_number().over(w) - 1).cast("long"))
     return d.withColumn("index", F.col("offset") + F.col("frame_index")).drop("offset", "length")
 
 
 def reindex_meta(meta: DataFrame, good: DataFrame) -> DataFrame:
-    ids = good.select("episode").distinct().withColumn("new", F.row_number().over(W.orderBy("episode")) - 1)
-    return meta.join(ids, "episode").withColumn("episode", F.col("new").cast("long")).drop("new")
+    ids = before(good.select("episode").distinct(), "episode", new=1)
+    return meta.join(ids, "episode").withColumn("episode", F.col("new")).drop("new")
 
 
 def rebuild_splits(splits: DataFrame, good: DataFrame, compat: bool = True) -> DataFrame:
     """name and its new range. compat: the old end counts as inside and the new end is the last index."""
-    ids = good.select("episode").distinct().withColumn("i", F.row_number().over(W.orderBy("episode")) - 1)
+    ids = before(good.select("episode").distinct(), "episode", i=1)
     inside = (F.col("episode") >= F.col("start")) & ((F.col("episode") <= F.col("stop")) if compat else (F.col("episode") < F.col("stop")))
-    d = splits.join(F.broadcast(ids), inside, "left").groupBy("name", "start", "stop").agg(F.min("i").alias("lo"), F.max("i").alias("hi"))
+    key = ["name", "start", "stop"]
+    found = ids.join(F.broadcast(splits), inside).groupBy(*key).agg(F.min("i").alias("lo"), F.max("i").alias("hi"))
+    d = splits.join(found, key, "left")
     if compat:
         return d.select("name", F.concat_ws(":", F.least("stop", F.coalesce("lo", "stop")), F.greatest("start", F.coalesce("hi", "start"))).alias("range"))
     return d.select("name", F.concat_ws(":", F.coalesce("lo", F.lit(0)), F.coalesce(F.col("hi") + 1, F.lit(0))).alias("range"))

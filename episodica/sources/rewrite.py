@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..operators import report
+from ..operators.numbering import before
 from . import datasets
 
 Copy = Callable[[str, str], None]
@@ -80,7 +81,7 @@ class Folder:
 
 def numbered(good: DataFrame) -> DataFrame:
     """episode and its new number, from 0 in the order of the old ones; a row per episode of the dataset."""
-    return good.select(F.col("episode").cast("long").alias("episode")).where("episode is not null").distinct().withColumn("new", F.row_number().over(W.orderBy("episode")).cast("long") - 1)
+    return before(good.select(F.col("episode").cast("long").alias("episode")).where("episode is not null").distinct(), "episode", new=1)
 
 
 def renumber_lines(lines: DataFrame, ids: DataFrame) -> DataFrame:
@@ -119,7 +120,7 @@ def rewritten_frames(spark: SparkSession, root: str, ids: DataFrame) -> DataFram
     d = raw.withColumn("__episode", datasets.episode_number(F.col("_metadata.file_name")).cast("long"))
     d = d.join(ids.select(F.col("episode").alias("__episode"), F.col("new").alias("__new")), "__episode")
     sizes = d.groupBy("__new").agg(F.count("*").alias("__n"))
-    starts = sizes.withColumn("__start", F.sum("__n").over(W.orderBy("__new")) - F.col("__n")).drop("__n")
+    starts = before(sizes, "__new", __start=F.col("__n")).drop("__n")
     w = W.partitionBy("__new").orderBy(order) if order else W.partitionBy("__new").orderBy(F.lit(0))
     d = d.withColumn("__at", F.row_number().over(w).cast("long") - 1).join(starts, "__new")
     new = {"frame_index": F.col("__at"), "episode_index": F.col("__new"), "index": F.col("__start") + F.col("__at")}
@@ -194,11 +195,10 @@ def renumbered_meta(meta: DataFrame, ids: DataFrame, chunk_size: int) -> DataFra
     """
     d = meta.withColumnRenamed("episode_index", "__old").join(ids.withColumnRenamed("episode", "__old"), "__old")
     first = d.groupBy("data/chunk_index", "data/file_index").agg(F.min("new").alias("__first"))
-    files = first.withColumn("__file", F.row_number().over(W.orderBy("__first")).cast("long") - 1).drop("__first")
-    end = F.sum("length").over(W.orderBy("new")).cast("long")
-    d = d.join(files, ["data/chunk_index", "data/file_index"]).withColumn("dataset_to_index", end)
+    files = before(first, "__first", __file=1).drop("__first")
+    d = before(d.join(files, ["data/chunk_index", "data/file_index"]), "new", __start=F.col("length"))
     new = {
-        "episode_index": F.col("new"), "dataset_from_index": F.col("dataset_to_index") - F.col("length"), "dataset_to_index": F.col("dataset_to_index"),
+        "episode_index": F.col("new"), "dataset_from_index": F.col("__start"), "dataset_to_index": F.col("__start") + F.col("length").cast("long"),
         "data/chunk_index": F.floor(F.col("__file") / chunk_size), "data/file_index": F.col("__file") % chunk_size,
         "meta/episodes/chunk_index": F.lit(0).cast("long"), "meta/episodes/file_index": F.lit(0).cast("long"),
     }
