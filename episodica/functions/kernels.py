@@ -31,6 +31,13 @@ def gradient(x: Column, t: Column, w: WindowSpec) -> Column:
     return F.when(tb.isNull() & ta.isNull(), F.lit(0.0)).when(tb.isNull(), F.try_divide(xa - x, hd)).when(ta.isNull(), F.try_divide(x - xb, hs)).otherwise(inner)
 
 
+def slope(x: Column, t: Column, w: WindowSpec) -> Column:
+    """The same as ``gradient``, from differences: exactly 0 where x stays; NULL next to NULL and for a lone sample."""
+    hs, hd = t - F.lag(t).over(w), F.lead(t).over(w) - t
+    left, right = F.try_divide(x - F.lag(x).over(w), hs), F.try_divide(F.lead(x).over(w) - x, hd)
+    return F.when(F.lag(t).over(w).isNull(), right).when(F.lead(t).over(w).isNull(), left).otherwise(F.try_divide(hd * left + hs * right, hs + hd))
+
+
 def rms(x: Column) -> Column:
     return F.sqrt(F.avg(x * x))
 

@@ -6,10 +6,9 @@ command. NULL stands for "can't be told".
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -58,29 +57,58 @@ def gripper(grip: Column) -> Column:
     return F.coalesce(clip((agree - 0.1) / 0.9), F.lit(0.5))
 
 
+def spectrum(samples: DataFrame, cutoff_hz: float = 10.0, pad: int = 5) -> DataFrame:
+    """episode, joint, k and the magnitude of each bin up to the cutoff and under half the sampling rate.
+
+    samples: episode, joint, i (from 0), n, step (mean seconds between samples; the first bin alone where it is NULL) and v. The
+    transform is of ``bins`` = the power of two from pad * n up, filled with zeros, and made as two
+    groupings: bins = n1 * n2, first sums over every n2-th sample, turned, then sums over the n2 of
+    those. A sample takes part in about the root of bins sums, and no group holds more than its two sums.
+    """
+    bits = F.length(F.bin(F.col("n") * pad - 1))
+    two = lambda b: F.pow(F.lit(2.0), b).cast("long")
+    angle = lambda turns, of: F.pmod(turns, of) * (2 * math.pi) / of
+    d = samples.withColumns({"bins": two(bits), "n1": two(F.floor(bits / 2)), "n2": two(F.ceil(bits / 2))})
+    top = F.greatest(F.lit(0), F.least(F.col("bins") / 2 - 1, F.coalesce(F.floor(cutoff_hz * F.col("bins") * F.col("step")) + 1, F.lit(0)))).cast("long")
+    shape = ["episode", "joint", "bins", "n1", "n2", "step", "top"]
+
+    zero = F.lit(0).cast("long")
+    d = d.withColumn("top", top).withColumns({"j1": F.floor(F.col("i") / F.col("n2")), "j2": F.col("i") % F.col("n2")})
+    d = d.select(*shape, "j1", "j2", "v", F.explode(F.sequence(zero, F.least(F.col("n1") - 1, F.col("top")))).alias("k1"))
+    d = d.withColumn("a", angle(F.col("j1") * F.col("k1"), F.col("n1")))
+    d = d.groupBy(*shape, "k1", "j2").agg(F.sum(F.col("v") * F.cos("a")).alias("re"), (-F.sum(F.col("v") * F.sin("a"))).alias("im"))
+
+    d = d.select("*", F.explode(F.sequence(zero, F.floor((F.col("top") - F.col("k1")) / F.col("n1")))).alias("k2"))
+    d = d.withColumn("k", F.col("k1") + F.col("n1") * F.col("k2")).withColumn("a", angle(F.col("j2") * F.col("k"), F.col("bins")))
+    d = d.where(F.coalesce(F.try_divide("k", F.col("bins") * F.col("step")) <= cutoff_hz, F.col("k") == 0))
+    d = d.groupBy("episode", "joint", "k").agg(F.sum(F.col("re") * F.cos("a") + F.col("im") * F.sin("a")).alias("re"), F.sum(F.col("im") * F.cos("a") - F.col("re") * F.sin("a")).alias("im"))
+    return d.select("episode", "joint", "k", F.sqrt(F.col("re") * F.col("re") + F.col("im") * F.col("im")).alias("magnitude"))
+
+
 def sparc(frames: DataFrame, cutoff_hz: float = 10.0, pad: int = 5) -> DataFrame:
-    """episode, joint, sparc and score. Spectra need a Fourier transform, so a group is one episode in numpy."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("frame_index")
-        t, q = pdf["t"].to_numpy(float), np.stack(pdf["state"].map(np.asarray)).astype(float)
-        if len(t) < 2:
-            return pd.DataFrame({"episode": [], "joint": [], "sparc": []})
-        n = int(2 ** np.ceil(np.log2(len(t) * pad)))
-        spectrum, freq = np.abs(np.fft.rfft(np.gradient(q, t, axis=0), n=n, axis=0)), np.fft.rfftfreq(n, np.mean(np.diff(t)))
-        spectrum, freq = spectrum[freq <= cutoff_hz], freq[freq <= cutoff_hz]
-        peak = spectrum.max(axis=0)
-        spectrum = spectrum / np.where(peak == 0, 1, peak)
-        arcs = []
-        for k in range(q.shape[1]):
-            strong = np.flatnonzero(spectrum[:, k] > 0.05)
-            end = strong[-1] + 1 if len(strong) else len(spectrum)
-            top = freq[:end][-1]
-            arcs.append(0.0 if top == 0 else -np.hypot(np.diff(freq[:end]) / top, np.diff(spectrum[:end, k])).sum())
-        return pd.DataFrame({"episode": pdf["episode"].iloc[0], "joint": np.arange(q.shape[1], dtype=np.int32), "sparc": arcs})
-
-    arcs = frames.select("episode", "frame_index", "t", "state").groupBy("episode").applyInPandas(run, "episode long, joint int, sparc double")
-    return arcs.withColumn("score", F.least(F.exp(0.1 * (F.col("sparc") + 1)), F.lit(1.0)))
+    """episode, joint, sparc and score: the length of the spectrum's curve up to the last bin over a twentieth of its peak.
+
+    Samples are in the order of frame_index. NULL where a sample or the time between samples can't be told; no row
+    for a joint of one sample. A joint that doesn't move has a flat curve, -1.
+    """
+    w = W.partitionBy("episode", "joint").orderBy("frame_index")
+    every = W.partitionBy("episode", "joint")
+    d = frames.select("episode", "frame_index", "t", F.posexplode("state").alias("joint", "q")).withColumn("q", K.clean(F.col("q").cast("double")))
+    d = d.withColumns({"i": F.row_number().over(w).cast("long") - 1, "v": K.slope(F.col("q"), F.col("t"), w)})
+    d = d.withColumns({"n": F.count("*").over(every), "step": F.max_by("t", "frame_index").over(every) - F.min_by("t", "frame_index").over(every)})
+    d = d.where("n > 1").withColumn("step", F.when(F.col("step") > 0, F.col("step") / (F.col("n") - 1)))
+    # NaN goes through every sum of its joint and becomes NULL at the end
+    unknown = F.col("v").isNull() | F.col("step").isNull()
+    s = spectrum(d.withColumn("v", F.when(unknown, F.lit(float("nan"))).otherwise(F.col("v"))), cutoff_hz, pad)
+    by_bin = every.orderBy("k")
+    s = s.withColumns({"peak": F.max("magnitude").over(every), "last": F.max("k").over(every), "before": F.lag("magnitude").over(by_bin)})
+    scale = F.when(F.col("peak") == 0, F.lit(1.0)).otherwise(F.col("peak"))
+    s = s.withColumn("end", F.coalesce(F.max(F.when(F.col("magnitude") / scale > 0.05, F.col("k"))).over(every), F.col("last")))
+    rise = (F.col("magnitude") - F.col("before")) / scale
+    part = F.when((F.col("k") > 0) & (F.col("k") <= F.col("end")), F.sqrt(F.try_divide(F.lit(1.0), F.col("end") * F.col("end")) + rise * rise))
+    arc = F.when(F.max("end") == 0, F.when(~F.isnan(F.max("peak")), F.lit(0.0))).otherwise(K.clean(-F.sum(part)))
+    arcs = s.groupBy("episode", "joint").agg(arc.alias("sparc"))
+    return arcs.withColumn("score", F.when(F.col("sparc").isNotNull(), F.least(F.exp(0.1 * (F.col("sparc") + 1)), F.lit(1.0))))
 
 
 def outlier(v: Column, mean: Column, std: Column, q1: Column, q3: Column, how: str = "tukey") -> Column:

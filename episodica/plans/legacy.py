@@ -55,7 +55,22 @@ def legacy_gripper(spark, sf_dir):
     return rounded(d.groupBy("episode").agg(L.gripper(F.col("grip")).alias("score")))
 
 
-@query("sparc")
+_SPARC = f"""with {B.FRAMES_SQL}, js as (select episode, frame_index, t, unnest([0, 1, 2, 3, 4]) as joint, unnest([s0, s1, s2, s3, s4]) as q from frames),
+s as (select episode, joint, row_number() over w - 1 as i, count(*) over e as n, (max(t) over e - min(t) over e) / (count(*) over e - 1) as step,
+  t - lag(t) over w as hs, lead(t) over w - t as hd, (q - lag(q) over w) / (t - lag(t) over w) as l, (lead(q) over w - q) / (lead(t) over w - t) as r
+  from js window w as (partition by episode, joint order by frame_index), e as (partition by episode, joint)),
+v as (select episode, joint, i, case when hs is null then r when hd is null then l else (hd * l + hs * r) / (hs + hd) end as v from s where n > 1),
+b as (select distinct episode, joint, step, pow(2, ceil(log2(5 * n)))::bigint as bins from s where n > 1),
+k as (select episode, joint, bins, unnest(generate_series(0, bins // 2 - 1)) as k, step from b),
+x as (select episode, joint, k, sqrt(pow(sum(v * cos(2 * pi() * ((i * k) % bins) / bins)), 2) + pow(sum(v * sin(2 * pi() * ((i * k) % bins) / bins)), 2)) as a
+  from (select * from k where k / (bins * step) <= 10) join v using (episode, joint) group by episode, joint, k),
+p as (select episode, joint, k, a / coalesce(nullif(max(a) over (partition by episode, joint), 0), 1) as a from x),
+c as (select *, a - lag(a) over (partition by episode, joint order by k) as da, coalesce(max(k) filter (a > 0.05) over (partition by episode, joint), max(k) over (partition by episode, joint)) as top from p),
+o as (select episode, joint, case when max(top) = 0 then 0 else -sum(sqrt(1 / (top::double * top) + da * da)) filter (k > 0 and k <= top) end as sparc from c group by episode, joint)
+select episode, joint::int as joint, round(sparc, 6) as sparc, round(least(exp(0.1 * (sparc + 1)), 1), 6) as score from o"""
+
+
+@query("sparc", _SPARC)
 def sparc(spark, sf_dir):
     return rounded(L.sparc(B.frames(spark, sf_dir)))
 

@@ -2,6 +2,7 @@ import json
 
 import numpy as np
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from episodica import streaming
@@ -61,11 +62,36 @@ def test_quantiles_are_pandas(spark):
     assert [got[i] for i in range(200)] == want.tolist()
 
 
+def arc(t, q, cutoff=10.0, pad=5):
+    """One joint by numpy's transform."""
+    n = int(2 ** np.ceil(np.log2(len(t) * pad)))
+    freq = np.fft.fftfreq(n, np.mean(np.diff(t)))
+    at = np.flatnonzero((freq >= 0) & (freq <= cutoff))
+    a, f = np.abs(np.fft.rfft(np.gradient(q, t), n=n))[at], freq[at]
+    a = a / a.max()
+    end = np.flatnonzero(a > 0.05)[-1] + 1
+    return 0.0 if f[end - 1] == 0 else -np.hypot(np.diff(f[:end]) / f[end - 1], np.diff(a[:end])).sum()
+
+
+def test_sparc_is_numpy(spark):
+    r, rows, want = np.random.default_rng(3), [], {}
+    for e, (n, rate) in enumerate([(2, 50), (3, 10), (7, 25), (51, 50), (52, 50), (205, 15), (333, 200), (3000, 100)]):
+        t = np.cumsum(r.uniform(0.8, 1.2, n)) / rate
+        q = np.stack([np.sin(t * 3) + 0.01 * r.normal(size=n), r.normal(size=n).cumsum()], axis=1)
+        rows += [(e, i, float(t[i]), [float(x) for x in q[i]]) for i in range(n)]
+        want |= {(e, j): arc(t, q[:, j]) for j in range(2)}
+    schema = "episode long, frame_index int, t double, state array<double>"
+    odd = [(90, 0, 0.0, [1.0]), (91, 0, 0.0, [1.0]), (91, 1, 0.1, [None]), (91, 2, 0.2, [2.0]), (92, 0, 0.0, [1.0]), (92, 1, 0.0, [2.0]), (93, 0, 0.0, None)]
+    got = {(x.episode, x.joint): (x.sparc, x.score) for x in legacy.sparc(spark.createDataFrame(rows + odd, schema).repartition(5)).collect()}
+    assert got.pop((91, 0)) == (None, None) and got.pop((92, 0)) == (None, None)
+    assert {k: v[0] for k, v in got.items()} == pytest.approx(want, abs=1e-9)
+
+
 def test_sparc_and_noise(spark):
     t = np.arange(64) * 0.02
     frames = spark.createDataFrame([(1, i, float(x), [float(np.sin(x)), 1.0]) for i, x in enumerate(t)], "episode long, frame_index int, t double, state array<double>")
     rows = legacy.sparc(frames).orderBy("joint").collect()
-    assert len(rows) == 2 and rows[0].sparc < 0 and 0 < rows[0].score <= 1
+    assert len(rows) == 2 and rows[0].sparc < 0 and 0 < rows[0].score <= 1 and rows[1].sparc == pytest.approx(-1)
     s = spark.range(2000).select(F.expr("id % 20").alias("episode"), (F.col("id") / 20).cast("int").alias("frame_index"), F.lit(0).alias("joint"), F.lit(0.0).alias("q"), F.lit(0.0).alias("command"))
     a = inject.motion_noise(s)
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, inject.motion_noise(s.repartition(7)).collect()), key=repr)
