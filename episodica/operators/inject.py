@@ -19,14 +19,19 @@ def normal(seed: int, *keys: Column) -> Column:
     return F.sqrt(-2 * F.ln(1 - uniform(seed, *keys))) * F.cos(2 * math.pi * uniform(seed + 1, *keys))
 
 
+def frame_hit(episode: Column, frame: Column, probability: float, seed: int, channel: int) -> Column:
+    """Whether noise hits a frame's channel: a draw picks the episode, one its share (20 to 80 %), one each frame and channel."""
+    share = 0.2 + 0.6 * uniform(seed + 2, episode)
+    return (uniform(seed, episode) < probability) & (uniform(seed + 4 + 100 * channel, episode, frame) < share)
+
+
 def motion_noise(samples: DataFrame, probability: float = 0.5, seed: int = 7, sigma_state: float = 0.05, sigma_action: float = 0.03) -> DataFrame:
-    """Noise on a share (20 to 80 %) of the frames of some episodes; adds whether the row was hit."""
-    share = 0.2 + 0.6 * uniform(seed + 2, F.col("episode"))
-    hit = (uniform(seed, F.col("episode")) < probability) & (uniform(seed + 4, F.col("episode"), F.col("frame_index")) < share)
+    """Noise on frames of some episodes, states and actions by draws of their own; adds whether either was hit, and which."""
     key = (F.col("episode"), F.col("frame_index"), F.col("joint"))
-    d = samples.withColumn("corrupted", hit)
-    d = d.withColumn("q", F.when(hit, F.col("q") + sigma_state * normal(seed + 6, *key)).otherwise(F.col("q")))
-    return d.withColumn("command", F.when(hit, F.col("command") + sigma_action * normal(seed + 8, *key)).otherwise(F.col("command")))
+    d = samples.withColumns({f"corrupted_{c}": frame_hit(*key[:2], probability, seed, k) for k, c in enumerate(("state", "action"))})
+    d = d.withColumn("corrupted", F.col("corrupted_state") | F.col("corrupted_action"))
+    d = d.withColumn("q", F.when(F.col("corrupted_state"), F.col("q") + sigma_state * normal(seed + 6, *key)).otherwise(F.col("q")))
+    return d.withColumn("command", F.when(F.col("corrupted_action"), F.col("command") + sigma_action * normal(seed + 8, *key)).otherwise(F.col("command")))
 
 
 def image_faults(frames: DataFrame, strength: float = 0.5, probability: float = 0.5, seed: int = 11) -> DataFrame:

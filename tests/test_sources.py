@@ -95,6 +95,9 @@ def test_sparc_and_noise(spark):
     s = spark.range(2000).select(F.expr("id % 20").alias("episode"), (F.col("id") / 20).cast("int").alias("frame_index"), F.lit(0).alias("joint"), F.lit(0.0).alias("q"), F.lit(0.0).alias("command"))
     a = inject.motion_noise(s)
     assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, inject.motion_noise(s.repartition(7)).collect()), key=repr)
-    hit = a.where("corrupted")
+    hit = a.where("corrupted_state")
+    n = {tuple(r)[:2]: r["count"] for r in a.groupBy("corrupted_state", "corrupted_action").count().collect()}
+    assert n[True, False] > 0 and n[False, True] > 0 and n[True, True] > 0
+    assert a.where("corrupted <> (corrupted_state or corrupted_action) or not corrupted_action and command <> 0 or corrupted_action and command = 0").isEmpty()
     assert 0 < hit.count() < 2000 and abs(hit.agg(F.stddev("q")).first()[0] - 0.05) < 0.01
     assert inject.log(a).first()["total_episodes"] == 20
