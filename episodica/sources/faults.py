@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from ..functions import gray
 from ..operators import inject
 from . import datasets
-from .rewrite import Copy, Folder, copy_file
+from .rewrite import Copy, Folder, copy_file, place_file
 
 #: A clip's path to its frames a second (0 if it doesn't say) and its frames: uint8, height x width or height x width x 3.
 Decode = Callable[[str], tuple[float, Iterable[np.ndarray]]]
@@ -65,23 +65,6 @@ def faulty(frames: Iterable[np.ndarray], name: str, seed: int, strength: float)
         yield np.clip(blurred(frame, size).astype(np.float32) * contrast + brightness, 0, 255).astype(np.uint8) if strength > 0 else frame
 
 
-def _replace(target: str, write: Callable[[str], None]) -> None:
-    """Writes a file beside the target and moves it there, whole."""
-    from pyarrow import fs
-
-    to, path = fs.FileSystem.from_uri(target) if "://" in target or target.startswith("file:") else (fs.LocalFileSystem(), target)
-    folder, name = path.rsplit("/", 1)
-    to.create_dir(folder, recursive=True)
-    staged = f"_{uuid.uuid4().hex}.{name}"
-    try:
-        write(f"{target.rsplit('/', 1)[0]}/{staged}")
-        to.move(f"{folder}/{staged}", path)
-    except BaseException:
-        if to.get_file_info(f"{folder}/{staged}").type != fs.FileType.NotFound:
-            to.delete_file(f"{folder}/{staged}")
-        raise
-
-
 def rewrite_clips(clips: DataFrame, decode: Decode, encode: Encode, seed: int = 42, strength: float = STRENGTH, copy: Copy = copy_file) -> int:
     """Of (name, source, target, hit): hit clips are decoded and encoded anew frame by frame, the others copied. Counts them.
 
@@ -100,7 +83,7 @@ def rewrite_clips(clips: DataFrame, decode: Decode, encode: Encode, seed: int =
                     fps, frames = decode(r.source)
                     encode(at, float(fps) if fps and fps > 0 else FPS, faulty(frames, r.name, seed, strength))
 
-                _replace(r.target, write)
+                place_file(r.target, write)
             yield pd.DataFrame({"n": [len(b)]})
 
     return clips.select("name", "source", "target", "hit").mapInPandas(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -11,6 +11,7 @@ copied by tasks. The driver holds names and numbers of files, never their rows.
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -25,15 +26,39 @@ from . import datasets
 Copy = Callable[[str, str], None]
 
 
+def file_system(at: str):
+    """Arrow's file system of a path or URI, and the path in it; for use in tasks."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(at) if "://" in at or at.startswith("file:") else (fs.LocalFileSystem(), at)
+
+
 def copy_file(source: str, target: str) -> None:
     """Streams one file between any two file systems that Arrow knows."""
     from pyarrow import fs
 
-    to, path = fs.FileSystem.from_uri(target) if "://" in target or target.startswith("file:") else (fs.LocalFileSystem(), target)
+    to, path = file_system(target)
     to.create_dir(path.rsplit("/", 1)[0], recursive=True)
     fs.copy_files(source, target)
 
 
+def place_file(target: str, write: Callable[[str], None]) -> None:
+    """Writes a file beside the target and moves it there, whole; a failed write leaves nothing."""
+    from pyarrow import fs
+
+    to, path = file_system(target)
+    folder, name = path.rsplit("/", 1)
+    to.create_dir(folder, recursive=True)
+    staged = f"_{uuid.uuid4().hex}.{name}"
+    try:
+        write(f"{target.rsplit('/', 1)[0]}/{staged}")
+        to.move(f"{folder}/{staged}", path)
+    except BaseException:
+        if to.get_file_info(f"{folder}/{staged}").type != fs.FileType.NotFound:
+            to.delete_file(f"{folder}/{staged}")
+        raise
+
+
 class Folder:
     """The few file operations that Spark's writers lack, on any file system that Spark reads."""
 

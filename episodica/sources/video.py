@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 from itertools import pairwise
+from typing import BinaryIO
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .rewrite import file_system
 
 FRAME = "episode long, camera string, frame_index int, declared int, height int, width int, gray array<int>"
 Decoder = Callable[[str, float | None, float | None], Iterable[tuple[int, int, int, int, list[int]]]]
@@ -94,3 +98,91 @@ def fold(segments: DataFrame, decoder: Decoder, width: int, samples: int, every:
                 yield pd.DataFrame(rows, columns=names)
 
     return segments.select("episode", "camera", "path", "from_s", "to_s").mapInPandas(run, FRAMES)
+
+
+def boxes(f: BinaryIO, start: int, end: int) -> Iterator[tuple[bytes, int, int]]:
+    """Kind, beginning and end of the content of each box between two places of an MP4 file; reads their heads alone, stops at a damaged one."""
+    while start + 8 <= end:
+        f.seek(start)
+        head = f.read(16)
+        if len(head) < 8:
+            return
+        size, kind, skip = int.from_bytes(head[:4]), head[4:8], 8
+        if size == 1:
+            size, skip = int.from_bytes(head[8:16]), 16
+        elif size == 0:
+            size = end - start
+        if size < skip or start + size > end:
+            return
+        yield kind, start + skip, start + size
+        start += size
+
+
+def clip_header(f: BinaryIO, size: int) -> tuple[float | None, int | None]:
+    """Seconds and frames of a clip's first video track, from its header boxes; None for what they don't tell.
+
+    The track's own duration counts, else that of the file, else that of its fragments.
+    """
+
+    def inside(at: tuple[int, int] | None, *path: bytes) -> tuple[int, int] | None:
+        for want in path:
+            at = at and next(((b, e) for kind, b, e in boxes(f, *at) if kind == want), None)
+        return at
+
+    def number(at: int, n: int) -> int:
+        f.seek(at)
+        return int.from_bytes(f.read(n))
+
+    def timed(at: tuple[int, int] | None) -> tuple[int, int]:
+        """Ticks a second and ticks of a mvhd or mdhd box; all ones stand for an unknown duration."""
+        if at is None:
+            return 0, 0
+        wide = number(at[0], 1) == 1
+        skip, width = (20, 8) if wide else (12, 4)
+        ticks = number(at[0] + skip + 4, width)
+        return number(at[0] + skip, 4), 0 if ticks == (1 << 8 * width) - 1 else ticks
+
+    moov = inside((0, size), b"moov")
+    if moov is None:
+        return None, None
+    for kind, b, e in boxes(f, *moov):
+        handler = inside((b, e), b"mdia", b"hdlr") if kind == b"trak" else None
+        if handler and number(handler[0] + 8, 4).to_bytes(4) == b"vide":
+            track = (b, e)
+            break
+    else:
+        return None, None
+    whole = timed(inside(moov, b"mvhd"))
+    pieces = inside(moov, b"mvex", b"mehd")
+    long = number(pieces[0] + 4, 8 if number(pieces[0], 1) == 1 else 4) if pieces else 0
+    spans = [timed(inside(track, b"mdia", b"mdhd")), whole, (whole[0], long)]
+    seconds = next((ticks / scale for scale, ticks in spans if scale > 0 and ticks > 0), None)
+    table = inside(track, b"mdia", b"minf", b"stbl")
+    sizes = inside(table, b"stsz") or inside(table, b"stz2")
+    return seconds, (number(sizes[0] + 8, 4) or None) if sizes else None
+
+
+def headers(clips: DataFrame) -> DataFrame:
+    """path, duration_s and n_frames of each clip, by reads of a few bytes in tasks; NULL where a clip is damaged, missing or no MP4."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path in batch["path"]:
+                try:
+                    system, at = file_system(path)
+                    with system.open_input_file(at) as f:
+                        rows.append((path, *clip_header(f, f.size())))
+                except OSError:
+                    rows.append((path, None, None))
+            found = pd.DataFrame(rows, columns=["path", "duration_s", "n_frames"])
+            yield found.astype({"duration_s": "float64", "n_frames": "Int64"})
+
+    return clips.where("path is not null").select("path").distinct().mapInPandas(run, "path string, duration_s double, n_frames long").withColumn("duration_s", F.nanvl("duration_s", F.lit(None).cast("double")))
+
+
+def with_ends(segments: DataFrame, root: str | None = None) -> DataFrame:
+    """Segments (path, from_s, to_s) with ``to_s`` from the clip itself where it is NULL, with its duration_s and n_frames; paths may be below ``root``."""
+    d = segments.withColumn("__path", F.concat(F.lit(f"{root}/"), "path") if root else F.col("path"))
+    found = headers(d.select(F.col("__path").alias("path"))).withColumnRenamed("path", "__path")
+    return d.join(found, "__path", "left").withColumn("to_s", F.coalesce("to_s", "duration_s")).drop("__path")
