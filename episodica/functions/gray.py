@@ -69,6 +69,37 @@ def quality_penalty(blur_variance: Column, brightness: Column, max_variance: flo
     return F.greatest(blur, 1 - brightness / max_brightness)
 
 
+def blur_score(lap: Column, most: float = 1000.0) -> Column:
+    """The Laplacian's variance as a share of what counts as sharp, 1 at most."""
+    return F.least(variance(lap) / most, F.lit(1.0))
+
+
+def darkness_score(gray: Column, most: float = 255.0) -> Column:
+    return mean(gray) / most
+
+
+def contrast_score(gray: Column, most: float = 80.0) -> Column:
+    """The deviation as a share of what counts as full contrast, 1 at most."""
+    return F.least(F.sqrt(F.greatest(variance(gray), F.lit(0.0))) / most, F.lit(1.0))
+
+
+def exposure_score(gray: str, height: str, width: str, centred: bool = True) -> Column:
+    """1 less the distance of the mean from the middle of the scale, as a share of it.
+
+    Centred: pixels weigh by a Gaussian of deviation 0.5 on a square from -1 to 1 in both directions.
+    """
+    h, w, middle = F.col(height), F.col(width), 127.5
+    place = lambda i, n: F.when(n == 1, -1.0).otherwise(2.0 * i / F.greatest(n - 1, F.lit(1)) - 1)
+    weight = lambda i: F.exp(-(F.pow(place(i % w, w), F.lit(2)) + F.pow(place(F.floor(i / w), h), F.lit(2))) / 0.5)
+    if centred:
+        parts = F.transform(F.col(gray), lambda v, i: F.struct((v * weight(i)).alias("v"), weight(i).alias("w")))
+        zero = F.struct(F.lit(0.0).alias("v"), F.lit(0.0).alias("w"))
+        level = F.aggregate(parts, zero, lambda a, x: F.struct((a["v"] + x["v"]).alias("v"), (a["w"] + x["w"]).alias("w")), lambda a: F.try_divide(a["v"], a["w"]))
+    else:
+        level = mean(F.col(gray))
+    return F.greatest(F.lit(0.0), 1 - F.abs(level - middle) / middle)
+
+
 def gaussian(size: int) -> list[float]:
     """Weights of a Gaussian of an odd width whose deviation follows from the width; widths up to 7 have binomial weights."""
     fixed = {1: [1.0], 3: [0.25, 0.5, 0.25], 5: [0.0625, 0.25, 0.375, 0.25, 0.0625], 7: [0.03125, 0.109375, 0.21875, 0.28125, 0.21875, 0.109375, 0.03125]}

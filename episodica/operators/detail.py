@@ -13,17 +13,18 @@ from .measure import HARD, SOFT
 from .numbering import before
 from .score import FAMILIES
 
-#: Family, name, column, decimal places and unit of the measures that a page lists.
+#: Family, name, column (or several, shown side by side), decimal places and unit of the measures that a page lists.
 MEASURES = (
     ("smoothness", "LDLJ wrist", "ldlj_wrist", 2, ""), ("smoothness", "LDLJ arm", "ldlj_arm", 2, ""), ("smoothness", "LDLJ body", "ldlj_body", 2, ""),
     ("acceleration", "arm RMS", "acc_arm_rms", 3, "rad/s²"), ("acceleration", "arm p99", "acc_arm_p99", 3, "rad/s²"), ("acceleration", "body RMS", "acc_body_rms", 3, "rad/s²"),
     ("acceleration", "body p99", "acc_body_p99", 3, "rad/s²"), ("acceleration", "wrist RMS", "acc_wrist_rms", 3, "m/s²"), ("acceleration", "wrist p99", "acc_wrist_p99", 3, "m/s²"),
     ("contact", "events", "contact_count", 0, ""), ("contact", "rate", "contact_rate_hz", 3, "Hz"),
-    ("contact", "impact", "impact_count", 0, ""), ("contact", "base", "base_disturbance_count", 0, ""), ("contact", "tracking", "tracking_divergence_count", 0, ""),
+    ("contact", "impact / base / tracking", ("impact_count", "base_disturbance_count", "tracking_divergence_count"), 0, ""),
     ("contact", "min wrist separation", "min_wrist_separation_m", 3, "m"), ("contact", "max base tilt", "max_base_tilt_deg", 1, "deg"),
     ("timing", "duration", "duration_s", 2, "s"), ("timing", "idle fraction", "idle_fraction", 3, ""), ("timing", "grasp transitions", "grasp_transitions", 0, ""), ("timing", "wrist path", "eef_path_m", 3, "m"), ("timing", "working side", "side", None, ""),
     ("video", "sharpness", "video_sharpness", 1, "Laplacian var"), ("video", "brightness", "video_brightness", 1, "0-255"), ("video", "contrast", "video_contrast", 1, "std"),
     ("video", "clipped", "video_clipped_fraction", 4, "fraction"), ("video", "inter-frame diff", "video_interframe_diff", 2, "grey"),
+    ("video", "frames decoded", ("video_frames_decoded", "video_frames_declared"), 0, ""),
 )
 
 
@@ -49,12 +50,13 @@ def _shown(c: str, kind: str, places: int | None) -> Column:
 
 
 def measure_table(measures: DataFrame) -> DataFrame:
-    """episode, place, family, name, value (text, ``-`` where not measured) and unit; columns that the input lacks are left out."""
+    """episode, place, family, name, value (text, ``-`` where not measured) and unit; rows whose columns the input lacks are left out."""
     kinds = dict(measures.dtypes)
+    text = lambda cs, places: F.concat_ws(" / ", *[_shown(c, kinds[c], places) for c in cs])
     rows = [
-        F.struct(F.lit(i).alias("place"), F.lit(family).alias("family"), F.lit(name).alias("name"), _shown(c, kinds[c], places).alias("value"), F.lit(unit).alias("unit"))
+        F.struct(F.lit(i).alias("place"), F.lit(family).alias("family"), F.lit(name).alias("name"), text(cs, places).alias("value"), F.lit(unit).alias("unit"))
         for i, (family, name, c, places, unit) in enumerate(MEASURES)
-        if c in kinds
+        if set(cs := (c,) if isinstance(c, str) else c) <= set(kinds)
     ]
     return measures.select("episode", F.inline(F.array(*rows)))
 

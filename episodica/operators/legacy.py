@@ -182,12 +182,15 @@ def brackets(measures: DataFrame, keys: Sequence[str], low: float = 5.0, high: f
     return p.select("key", F.get("p", F.lit(0)).alias("lo"), F.get("p", F.lit(1)).alias("hi"))
 
 
-def good_episodes(rows: DataFrame, threshold: float = GOOD, require: str = "all") -> DataFrame:
-    """Episodes all (or any) of whose camera rows reach the threshold."""
+def good_episodes(rows: DataFrame, threshold: float = GOOD, require: str = "all", some: bool = False) -> DataFrame:
+    """Episodes all (or any) of whose camera rows reach the threshold; with ``some`` it is an error if none does."""
     if require not in ("all", "any"):
         raise ValueError(f"require is 'all' or 'any', not {require!r}")
     ok = F.coalesce(F.col("total") >= threshold, F.lit(False))
-    return rows.groupBy("episode").agg((F.min(ok) if require == "all" else F.max(ok)).alias("good")).where("good").select("episode")
+    good = rows.groupBy("episode").agg((F.min(ok) if require == "all" else F.max(ok)).alias("good")).where("good").select("episode")
+    if some and good.isEmpty():
+        raise ValueError(f"no episode's scores reach {threshold}")
+    return good
 
 
 def humanoid(measures: DataFrame, stats: tuple[float, float] | None = None, weights: Mapping[str, float] | None = None) -> DataFrame:

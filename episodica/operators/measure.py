@@ -200,7 +200,7 @@ def video(decoded: DataFrame, segments: DataFrame | None = None) -> DataFrame:
         F.lit(True).alias("video_decodable"), F.when(declared > 0, n / declared).otherwise(1.0).alias("video_decode_ratio"),
         take(G.variance(G.laplacian("gray", "height", "width"))).alias("video_sharpness"), take(G.mean(g)).alias("video_brightness"),
         take(F.sqrt(F.greatest(G.variance(g), F.lit(0.0)))).alias("video_contrast"), take(G.clipped(g)).alias("video_clipped_fraction"),
-        F.avg(G.mean_abs_difference(F.col("small"), F.col("prev"))).alias("video_interframe_diff"),
+        F.avg(G.mean_abs_difference(F.col("small"), F.col("prev"))).alias("video_interframe_diff"), n.alias("video_frames_decoded"), declared.cast("long").alias("video_frames_declared"),
     )
     return _undecoded(out, segments)
 
@@ -211,7 +211,8 @@ def _undecoded(out: DataFrame, segments: DataFrame | None) -> DataFrame:
         return out
     keys = ["episode", "camera"]
     out = segments.select(*keys).distinct().join(out, keys, "left")
-    return out.withColumn("video_decodable", F.coalesce("video_decodable", F.lit(False))).withColumn("video_decode_ratio", F.coalesce("video_decode_ratio", F.lit(0.0)))
+    none = {"video_decodable": F.lit(False), "video_decode_ratio": F.lit(0.0), "video_frames_decoded": F.lit(0).cast("long")}
+    return out.withColumns({c: F.coalesce(c, v) for c, v in none.items()})
 
 
 def video_of(runs: DataFrame, segments: DataFrame | None = None) -> DataFrame:
@@ -229,6 +230,7 @@ def video_of(runs: DataFrame, segments: DataFrame | None = None) -> DataFrame:
     out = d.groupBy(*keys).agg(
         F.lit(True).alias("video_decodable"), F.when(declared > 0, n / declared).otherwise(1.0).alias("video_decode_ratio"), mean("sharpness").alias("video_sharpness"),
         mean("brightness").alias("video_brightness"), mean("contrast").alias("video_contrast"), mean("clipped").alias("video_clipped_fraction"), diff.alias("video_interframe_diff"),
+        n.alias("video_frames_decoded"), declared.cast("long").alias("video_frames_declared"),
     )
     return _undecoded(out, segments)
 

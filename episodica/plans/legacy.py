@@ -175,6 +175,18 @@ def visual_clarity(spark, sf_dir):
     return rounded(L.clarity(_gray_stats(spark, sf_dir), ["label"], "vec_id"))
 
 
+@query(
+    "frame_scores",
+    _GR + ", wt as (select vec_id, sum(v * exp(-(pow(2.0 * c / 7 - 1, 2) + pow(2.0 * r / 7 - 1, 2)) / 0.5)) / sum(exp(-(pow(2.0 * c / 7 - 1, 2) + pow(2.0 * r / 7 - 1, 2)) / 0.5)) as level, avg(v) as mean, stddev_pop(v) as std from px group by vec_id), "
+    "lv as (select vec_id, var_pop(lap) as lap from la group by vec_id) "
+    "select vec_id, round(least(lap / 1000, 1), 6) as blur, round(mean / 255, 6) as darkness, round(least(std / 80, 1), 6) as contrast, round(greatest(0, 1 - abs(level - 127.5) / 127.5), 6) as exposure, round(greatest(0, 1 - abs(mean - 127.5) / 127.5), 6) as exposure_even from wt join lv using (vec_id)",
+)
+def frame_scores(spark, sf_dir):
+    d = _gray(spark, sf_dir).withColumn("lap", G.laplacian("gray", "h", "w"))
+    gray = F.col("gray")
+    return rounded(d.select("vec_id", G.blur_score(F.col("lap")).alias("blur"), G.darkness_score(gray).alias("darkness"), G.contrast_score(gray).alias("contrast"), G.exposure_score("gray", "h", "w").alias("exposure"), G.exposure_score("gray", "h", "w", False).alias("exposure_even")))
+
+
 _REPLY = """'{"observed_final_state": "' || event_type || '"' || case when k % 3 = 0 then chr(10) else ',' end || '"goal_predicate": "g", "predicate_holds": ' || case k % 4 when 0 then '"yes"' when 1 then '"no"' when 2 then '" NO "' else 'null' end || case when k % 5 = 0 then '' else ', "score": ' || cast(cast(k % 7 as double) / 4 as string) end || case when k % 6 = 0 then ',' else '' end || '}'"""
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from episodica import plans
 from episodica.functions import gray as G
 from episodica.operators import detail as E
-from episodica.operators import fit, inject
+from episodica.operators import fit, inject, legacy
 from episodica.operators import score as S
 
 SF = "/root/testdata/sf0.001"
@@ -61,6 +61,20 @@ def test_measure_table_text(spark):
     assert got[2] == {"LDLJ wrist": "-", "events": "0", "grasp transitions": "4", "working side": "-", "idle fraction": "0.500"}
 
 
+def test_measure_table_of_several_columns(spark):
+    d = spark.createDataFrame([(1, 3, 0, None, 90, 100), (2, 1, 2, 3, None, None)], "episode int, impact_count int, base_disturbance_count int, tracking_divergence_count int, video_frames_decoded int, video_frames_declared int")
+    got = {(r.episode, r.name): r.value for r in E.measure_table(d).collect()}
+    assert got == {(1, "impact / base / tracking"): "3 / 0 / -", (1, "frames decoded"): "90 / 100", (2, "impact / base / tracking"): "1 / 2 / 3", (2, "frames decoded"): "- / -"}
+    assert E.measure_table(d.drop("base_disturbance_count", "video_frames_declared").withColumn("side", F.lit("left"))).count() == 2
+
+
+def test_no_good_episode(spark):
+    rows = spark.createDataFrame([(1, 0.7), (1, 0.2), (2, 0.1)], "episode int, total double")
+    assert legacy.good_episodes(rows).collect() == [] and [r.episode for r in legacy.good_episodes(rows, require="any", some=True).collect()] == [1]
+    with pytest.raises(ValueError):
+        legacy.good_episodes(rows, some=True)
+
+
 def test_score_rows_order(spark):
     d = spark.createDataFrame([(1, 0.5, 0.7, "review", ["a", "b"], 0.1, True, 0.5)], "episode int, total double, severity double, decision string, reasons array<string>, timing double, degenerate boolean, semantic double")
     got = E.score_rows(d)
