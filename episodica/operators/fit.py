@@ -10,6 +10,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .selection import percentiles, small
+
 #: Default ranges (worst, best) of the quantities that are ramped.
 BRACKETS = {
     "ldlj_wrist": (-19.7, -17.0), "ldlj_arm": (-20.4, -17.5), "ldlj_body": (-21.4, -18.5), "acc_arm_rms": (5.4, 3.6), "acc_arm_p99": (21.1, 13.5), "acc_body_rms": (2.8, 1.3),
@@ -67,26 +69,25 @@ def residual(intercept: float | None, slope: float | None) -> Column:
 def fit_calibration(measures: DataFrame, lo: float = 5.0, hi: float = 95.0, base: Calibration | None = None) -> Calibration:
     base, valid = base or Calibration(), measures.where("valid")
     keys = [k for k in BRACKETS if k in measures.columns]
-    ps = F.array(F.lit(lo / 100), F.lit(hi / 100))
+    ps = (lo / 100, hi / 100)
     grasps = F.when(F.col("grasp_transitions") >= 2, F.col("grasp_transitions"))
-    r = valid.agg(
-        F.count("*").alias("n"), F.percentile("duration_s", F.lit(0.5)).alias("md"), F.mode(grasps, True).alias("grasp"),
-        *[F.percentile(k, ps).alias(f"p_{k}") for k in keys], *[F.count(k).alias(f"n_{k}") for k in keys],
-    ).first()
+    p, r = percentiles(valid, {"duration_s": (F.col("duration_s"), (0.5,)), **{k: (F.col(k), ps) for k in keys}}, n=F.count("*"), grasp=F.mode(grasps, True))
+    md = p["duration_s"][0]
     if not r["n"]:
         return base
     brackets = dict(base.brackets)
     for k in keys:
-        if r[f"n_{k}"] >= 3 and r[f"p_{k}"][0] != r[f"p_{k}"][1]:
-            a, b = r[f"p_{k}"]
+        if r[f"n_{k}"] >= 3 and p[k][0] != p[k][1]:
+            a, b = p[k]
             brackets[k] = (a, b) if BRACKETS[k][0] < BRACKETS[k][1] else (b, a)
     c, s = sharpness_line(valid)
     res = residual(c, s)
-    r2 = valid.agg(F.percentile(F.abs(F.col("duration_s") - F.lit(r["md"])), F.lit(0.5)).alias("mad"), F.count(res).alias("nr"), F.percentile(res, ps).alias("pr")).first()
-    if r2["nr"] >= 3 and r2["pr"][0] != r2["pr"][1]:
-        brackets["video_sharpness_residual"] = tuple(r2["pr"])
+    p2, r2 = percentiles(valid, {"off": (F.abs(F.col("duration_s") - F.lit(md)), (0.5,)), "residual": (res, ps)})
+    mad = p2["off"][0]
+    if r2["n_residual"] >= 3 and p2["residual"][0] != p2["residual"][1]:
+        brackets["video_sharpness_residual"] = tuple(p2["residual"])
     return dataclasses.replace(
-        base, brackets=brackets, duration_median=r["md"] if r["md"] is not None else base.duration_median, duration_mad=r2["mad"] * 1.4826 if r2["mad"] is not None else base.duration_mad,
+        base, brackets=brackets, duration_median=md if md is not None else base.duration_median, duration_mad=mad * 1.4826 if mad is not None else base.duration_mad,
         grasp_nominal=r["grasp"] if r["grasp"] is not None else base.grasp_nominal, sharpness_intercept=c, sharpness_slope=s, n_episodes_fitted=r["n"],
     )
 
@@ -187,24 +188,24 @@ def unpivot(measures: DataFrame, p: Profile, criteria: tuple[Criterion, ...]) ->
 def fit_profile(measures: DataFrame, base: Profile | None = None, good_sigma: float = 1.0, bad_sigma: float = 4.0, fitted_on: str = "") -> Profile:
     base, valid = base or Profile(), measures.where("valid")
     grasps = F.when(F.col("grasp_transitions") >= 2, F.col("grasp_transitions"))
-    r = valid.agg(F.count("*").alias("n"), F.percentile("duration_s", F.lit(0.5)).alias("md"), F.mode(grasps, True).alias("grasp")).first()
+    middle, r = percentiles(valid, {"duration_s": (F.col("duration_s"), (0.5,))}, n=F.count("*"), grasp=F.mode(grasps, True))
     p = dataclasses.replace(base, fitted_on=fitted_on)
     if not r["n"]:
         return p
     c, s = sharpness_line(valid)
     p = dataclasses.replace(
-        p, task_duration_s=p.task_duration_s if p.task_duration_s is not None else r["md"], grasp_nominal=r["grasp"] if r["grasp"] is not None else p.grasp_nominal,
+        p, task_duration_s=p.task_duration_s if p.task_duration_s is not None else middle["duration_s"][0], grasp_nominal=r["grasp"] if r["grasp"] is not None else p.grasp_nominal,
         sharpness_intercept=c if s is not None else p.sharpness_intercept, sharpness_slope=s if s is not None else p.sharpness_slope, n_episodes_fitted=r["n"],
     )
     fitted = tuple(x for x in p.criteria if x.quantity in FITTED)
     values = valid.select(*[quantity(x.quantity, p).alias(x.quantity) for x in fitted])
-    m = values.agg(*[F.percentile(x.quantity, F.lit(0.5)).alias(x.quantity) for x in fitted], *[F.count(x.quantity).alias(f"n_{x.quantity}") for x in fitted]).first()
-    d = values.agg(*[F.percentile(F.abs(F.col(x.quantity) - F.lit(m[x.quantity])), F.lit(0.5)).alias(x.quantity) for x in fitted]).first()
+    m, n = percentiles(values, {x.quantity: (F.col(x.quantity), (0.5,)) for x in fitted})
+    d, _ = percentiles(values, {k: (F.abs(F.col(k) - F.lit(v[0])), (0.5,)) for k, v in m.items()})
     out = []
     for x in p.criteria:
-        if x.quantity in FITTED and m[f"n_{x.quantity}"] >= 5 and (sigma := d[x.quantity] * 1.4826) > 0:
+        if x.quantity in FITTED and n[f"n_{x.quantity}"] >= 5 and (sigma := d[x.quantity][0] * 1.4826) > 0:
             sign = 1 if x.bad > x.good else -1
-            x = dataclasses.replace(x, good=round(m[x.quantity] + sign * good_sigma * sigma, 4), bad=round(m[x.quantity] + sign * bad_sigma * sigma, 4))
+            x = dataclasses.replace(x, good=round(m[x.quantity][0] + sign * good_sigma * sigma, 4), bad=round(m[x.quantity][0] + sign * bad_sigma * sigma, 4))
         out.append(x)
     return dataclasses.replace(p, criteria=tuple(out))
 
@@ -256,12 +257,9 @@ def suggest_rules(measures: DataFrame, quantities: Sequence[str] | None = None,
     chosen = {k: RULE_SEEDS[k] for k in (RULE_SEEDS if quantities is None else quantities)}
     if not chosen:
         chosen, measures = RULE_SEEDS, measures.limit(0)
-    rows = [F.struct(F.lit(k).alias("quantity"), F.lit(op).alias("op"), F.lit(pct / 100).alias("seed"), rule_value(k).alias("v")) for k, (op, pct) in chosen.items()]
-    d = measures.where("valid").select(F.inline(F.array(*rows)))
-    ps = F.percentile("v", F.array(F.lit(0.02), F.lit(0.95), F.lit(0.98)))
-    got = d.groupBy("quantity", "op", "seed").agg(F.count("v").alias("n"), ps.alias("p")).where("n >= 3")
-    pick = F.when(F.col("seed") < 0.5, F.get("p", F.lit(0))).when(F.col("seed") < 0.97, F.get("p", F.lit(1))).otherwise(F.get("p", F.lit(2)))
-    rules = got.select("quantity", "op", F.round(pick, 4).alias("limit"), F.lit(False).alias("enabled"))
+    p, n = percentiles(measures.where("valid"), {k: (rule_value(k), (pct / 100,)) for k, (_, pct) in chosen.items()})
+    got = [(k, op, p[k][0]) for k, (op, _) in chosen.items() if n[f"n_{k}"] >= 3]
+    rules = small(measures.sparkSession, got, "quantity string, op string, limit double").select("quantity", "op", F.round("limit", 4).alias("limit"), F.lit(False).alias("enabled"))
     if action is None:
         return rules
     texts = F.create_map(*[F.lit(x) for k in chosen for x in (k, RULE_TEXTS[k][0])]), F.create_map(*[F.lit(x) for k in chosen for x in (k, RULE_TEXTS[k][1])])

@@ -17,6 +17,7 @@ from ..functions import kernels as K
 from ..functions.kernels import clip
 from . import fit, score
 from .measure import by_joint, ep
+from .selection import percentiles, small
 
 #: The earlier interface's weights and the good/bad cut.
 WEIGHTS = {"visual_clarity": 20, "smoothness": 10, "collision": 10, "runtime": 20, "actuator_saturation": 10}
@@ -123,16 +124,21 @@ def runtime(is_outlier: Column) -> Column:
 
 
 def time_stats(df: DataFrame, col: str) -> DataFrame:
-    m = df.agg(F.avg(col).alias("mean"), F.stddev_pop(col).alias("std"), F.percentile(col, F.lit(0.25)).alias("q1"), F.percentile(col, F.lit(0.75)).alias("q3"), F.percentile(col, F.lit(0.5)).alias("median"))
+    p, r = percentiles(df, {col: (F.col(col), (0.25, 0.75, 0.5))}, mean=F.avg(col).cast("double"), std=F.stddev_pop(col))
+    m = small(df.sparkSession, [(r["mean"], r["std"], *p[col])], "mean double, std double, q1 double, q3 double, median double")
     return m.withColumn("iqr", F.col("q3") - F.col("q1"))
 
 
 def robust_time_stats(df: DataFrame, col: str) -> DataFrame:
     """median, scaled median deviation, mean and deviation of the finite values; no row without any."""
     d = df.select(F.col(col).cast("double").alias("v")).where("v is not null and not isnan(v) and abs(v) < double('infinity')")
-    mid = d.agg(F.percentile("v", F.lit(0.5)).alias("median"), F.avg("v").alias("mean"), F.stddev_pop("v").alias("std"), F.count("*").alias("n"))
-    off = d.join(F.broadcast(mid.select("median"))).agg((1.4826 * F.percentile(F.abs(F.col("v") - F.col("median")), F.lit(0.5))).alias("mad"))
-    return mid.where("n > 0").join(F.broadcast(off)).select("median", "mad", "mean", "std")
+    p, r = percentiles(d, {"v": (F.col("v"), (0.5,))}, mean=F.avg("v"), std=F.stddev_pop("v"))
+    rows = []
+    if r["n_v"]:
+        (median,) = p["v"]
+        off, _ = percentiles(d, {"v": (F.abs(F.col("v") - F.lit(median)), (0.5,))})
+        rows = [(median, 1.4826 * off["v"][0], r["mean"], r["std"])]
+    return small(df.sparkSession, rows, "median double, mad double, mean double, std double")
 
 
 def degenerate(duration: Column, path: Column, max_speed: Column, shortest_path: float = 0.30, least_speed: float = 1e-3) -> Column:
@@ -177,9 +183,8 @@ def clarity(frames: DataFrame, keys: Sequence[str], order: str, step: int = 4) -
 
 def brackets(measures: DataFrame, keys: Sequence[str], low: float = 5.0, high: float = 95.0) -> DataFrame:
     """key, lo and hi: percentiles of each quantity over the valid episodes, by one aggregation."""
-    rows = measures.where("valid").select(F.inline(F.array(*[F.struct(F.lit(k).alias("key"), F.col(k).cast("double").alias("v")) for k in keys])))
-    p = rows.groupBy("key").agg(F.percentile("v", F.array(F.lit(low / 100), F.lit(high / 100))).alias("p"))
-    return p.select("key", F.get("p", F.lit(0)).alias("lo"), F.get("p", F.lit(1)).alias("hi"))
+    p, r = percentiles(measures.where("valid"), {k: (F.col(k), (low / 100, high / 100)) for k in keys}, rows=F.count("*"))
+    return small(measures.sparkSession, [(k, *p[k]) for k in keys] if r["rows"] else [], "key string, lo double, hi double")
 
 
 def good_episodes(rows: DataFrame, threshold: float = GOOD, require: str = "all", some: bool = False) -> DataFrame:

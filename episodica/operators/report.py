@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from ..functions.kernels import clip
 from .measure import HARD, SOFT
 from .numbering import before
+from .selection import percentiles, small
 
 
 def counts(scored: DataFrame) -> DataFrame:
@@ -22,16 +23,23 @@ def counts(scored: DataFrame) -> DataFrame:
 
 def distributions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """name, n, mean, p5, p50 and p95 of each column."""
-    rows = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in cols])))
-    p = rows.groupBy("name").agg(F.count("v").alias("n"), F.avg("v").alias("mean"), F.percentile("v", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias("p"))
-    return p.select("name", "n", "mean", *[F.get("p", F.lit(i)).alias(k) for i, k in enumerate(("p5", "p50", "p95"))])
+    return _table(df, cols, {"mean": F.avg}, {"p5": 0.05, "p50": 0.5, "p95": 0.95}, ("name", "n", "mean", "p5", "p50", "p95"))
+
+
+def _table(df: DataFrame, cols: Sequence[str], aggregates: Mapping[str, Callable], at: Mapping[str, float], shown: Sequence[str], count: str = "n") -> DataFrame:
+    """A row for each column: its count, aggregates and exact percentiles; none without rows."""
+    wanted = {c: (F.col(c), list(at.values())) for c in cols}
+    p, r = percentiles(df, wanted, rows=F.count("*"), **{f"{k}_{c}": f(F.col(c).cast("double")) for k, f in aggregates.items() for c in cols})
+    got = [{"name": c, count: r[f"n_{c}"], **{k: r[f"{k}_{c}"] for k in aggregates}, **dict(zip(at, p[c]))} for c in cols] if r["rows"] else []
+    schema = ", ".join(f"{k} {'string' if k == 'name' else 'bigint' if k == count else 'double'}" for k in shown)
+    return small(df.sparkSession, [tuple(x[k] for k in shown) for x in got], schema)
 
 
 def severity_histogram(scored: DataFrame, bins: int = 20) -> DataFrame:
     """bin and n; the range ends at the 99th percentile, 1 at least, and what lies beyond counts in the last bin."""
-    top = scored.agg(F.greatest(F.percentile("severity", F.lit(0.99)), F.lit(1.0)).alias("top"))
-    d = scored.select("severity").join(F.broadcast(top))
-    b = F.when(F.col("severity").isNotNull(), F.least(F.floor(clip(F.col("severity") / F.col("top")) * bins), F.lit(bins - 1))).cast("int")
+    (top,) = percentiles(scored, {"severity": (F.col("severity"), (0.99,))})[0]["severity"]
+    d = scored.select("severity")
+    b = F.when(F.col("severity").isNotNull(), F.least(F.floor(clip(F.col("severity") / max(top or 0.0, 1.0)) * bins), F.lit(bins - 1))).cast("int")
     all_bins = scored.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return all_bins.join(d.groupBy(b.alias("bin")).agg(F.count("*").alias("n")), "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
@@ -48,10 +56,12 @@ def rule_report(measures: DataFrame, rules: Sequence) -> DataFrame:
     """Hits of each rule and the spread of its quantity, over valid episodes."""
     from .fit import rule_value
 
-    rows = [F.struct(F.lit(r.quantity).alias("quantity"), F.lit(r.op).alias("op"), F.lit(float(r.limit)).alias("limit"), rule_value(r.quantity).alias("v"), r.fires().alias("hit")) for r in rules]
-    d = measures.where("valid").select(F.inline(F.array(*rows)))
-    g = d.groupBy("quantity", "op", "limit").agg(F.count(F.when(F.col("hit"), 1)).alias("hits"), F.percentile("v", F.array(F.lit(0.05), F.lit(0.5), F.lit(0.95))).alias("p"), F.min("v").alias("least"), F.max("v").alias("most"))
-    return g.select("quantity", "op", "limit", "hits", *[F.get("p", F.lit(i)).alias(k) for i, k in enumerate(("p5", "p50", "p95"))], "least", "most")
+    known = {f"{i}": r for i, r in enumerate(rules)}
+    also = {f"{k}_{i}": f(rule_value(r.quantity)) for i, r in known.items() for k, f in (("least", F.min), ("most", F.max))}
+    hits = {f"hits_{i}": F.count_if(r.fires()) for i, r in known.items()}
+    p, got = percentiles(measures.where("valid"), {i: (rule_value(r.quantity), (0.05, 0.5, 0.95)) for i, r in known.items()}, rows=F.count("*"), **hits, **also)
+    out = [(r.quantity, r.op, float(r.limit), got[f"hits_{i}"], *p[i], got[f"least_{i}"], got[f"most_{i}"]) for i, r in known.items()] if got["rows"] else []
+    return small(measures.sparkSession, out, "quantity string, op string, limit double, hits bigint, p5 double, p50 double, p95 double, least double, most double")
 
 
 def neighbours(df: DataFrame, buckets: int = 1000) -> DataFrame:
@@ -83,10 +93,9 @@ def what_if(df: DataFrame, col: str, cuts: Sequence[float]) -> DataFrame:
 def quantiles(rows: DataFrame, col: str, q: int = 4, key: str = "episode") -> DataFrame:
     """Rows with the quantile of their episode's mean: interpolated edges, right-closed, equal edges merged."""
     means = rows.groupBy(key).agg(F.avg(col).alias("mean"))
-    edges = means.agg(F.array_distinct(F.percentile("mean", F.array(*[F.lit(i / q) for i in range(q + 1)]))).alias("edges"))
-    d = means.join(F.broadcast(edges))
-    inner = F.filter("edges", lambda e, i: (i > 0) & (i < F.size("edges") - 1))
-    return rows.join(d.select(key, F.size(F.filter(inner, lambda e: e < F.col("mean"))).alias("quantile")), key)
+    edges = sorted(set(percentiles(means, {"mean": (F.col("mean"), [i / q for i in range(q + 1)])})[0]["mean"]) - {None})
+    inner = F.array(*[F.lit(e) for e in edges[1:-1]]).cast("array<double>")
+    return rows.join(means.select(key, F.size(F.filter(inner, lambda e: e < F.col("mean"))).alias("quantile")), key)
 
 
 def correlations(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -102,9 +111,8 @@ def orphans(videos: DataFrame, data: DataFrame, key: str = "episode") -> DataFra
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """name, count, mean, std (sample), min, quartiles and max."""
-    rows = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("v")) for c in cols])))
-    g = rows.groupBy("name").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("p"), F.max("v").alias("max"))
-    return g.select("name", "count", "mean", "std", "min", *[F.get("p", F.lit(i)).alias(k) for i, k in enumerate(("q25", "q50", "q75"))], "max")
+    aggregates = {"mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    return _table(df, cols, aggregates, {"q25": 0.25, "q50": 0.5, "q75": 0.75}, ("name", "count", "mean", "std", "min", "q25", "q50", "q75", "max"), "count")
 
 
 def worst(df: DataFrame, n: int = 10, by: str = "severity", descending: bool = True) -> DataFrame:
@@ -120,8 +128,8 @@ def select_episodes(df: DataFrame, spec: str, by: str = "severity") -> DataFrame
 
 def against_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Each column less its median over the valid episodes."""
-    med = df.where("valid").agg(*[F.percentile(c, F.lit(0.5)).alias(f"__{c}") for c in cols])
-    return df.join(F.broadcast(med)).select("episode", *[(F.col(c) - F.col(f"__{c}")).alias(c) for c in cols])
+    med, _ = percentiles(df.where("valid"), {c: (F.col(c), (0.5,)) for c in cols})
+    return df.select("episode", *[(F.col(c) - F.lit(med[c][0]).cast("double")).alias(c) for c in cols])
 
 
 def spread(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -169,8 +177,8 @@ def rebuild_splits(splits: DataFrame, good: DataFrame, compat: bool = True) -> D
 
 
 def thresholds(df: DataFrame, col: str, threshold: float) -> DataFrame:
-    p = df.agg(F.percentile(col, F.array(*[F.lit(x) for x in (0.1, 0.25, 0.5, 0.75, 0.9)])).alias("p"), F.avg((F.col(col) < threshold).cast("double")).alias("below"))
-    return p.select(*[F.get("p", F.lit(i)).alias(k) for i, k in enumerate(("p10", "p25", "p50", "p75", "p90"))], "below")
+    p, r = percentiles(df, {col: (F.col(col), (0.1, 0.25, 0.5, 0.75, 0.9))}, below=F.avg((F.col(col) < threshold).cast("double")))
+    return small(df.sparkSession, [(*p[col], r["below"])], "p10 double, p25 double, p50 double, p75 double, p90 double, below double")
 
 
 def named(columns: Mapping[str, Column]) -> list[Column]:

@@ -10,6 +10,7 @@ from ..operators import legacy as L
 from ..operators import measure as M
 from ..operators import report as R
 from ..operators import score as S
+from ..operators.selection import percentiles, small
 from ..sources import datasets as D
 from . import bindings as B
 from .motion import rounded
@@ -277,3 +278,15 @@ def inject_motion_noise(spark, sf_dir):
 @query("legacy_calibrate", WITH + " select round(quantile_cont(ldlj_wrist, 0.05), 6) as lo, round(quantile_cont(ldlj_wrist, 0.95), 6) as hi from m where valid")
 def legacy_calibrate(spark, sf_dir):
     return rounded(L.brackets(m(spark, sf_dir), ["ldlj_wrist"]).drop("key"))
+
+
+_PLACES = {"p1": 0.01, "p25": 0.25, "p50": 0.5, "p99": 0.99}
+
+
+@query("exact_percentiles", "with u as (unpivot (select l_extendedprice::double as price, l_quantity::double as quantity, l_extendedprice * (1 - l_discount) * (1 + l_tax) as charge from lineitem) on price, quantity, charge into name name value v) select name, count(v) as n, " + ", ".join(f"round(quantile_cont(v, {q}), 4) as {k}" for k, q in _PLACES.items()) + " from u group by name")
+def exact_percentiles(spark, sf_dir):
+    """Three columns of every line, with brackets narrow enough to need more than one sketch."""
+    d, price = B.table(spark, sf_dir, "lineitem"), F.col("l_extendedprice")
+    columns = {"price": price, "quantity": F.col("l_quantity"), "charge": price * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))}
+    p, r = percentiles(d, {k: (c, list(_PLACES.values())) for k, c in columns.items()}, most=256)
+    return small(spark, [(k, r[f"n_{k}"], *(round(x, 4) for x in p[k])) for k in columns], "name string, n bigint, " + ", ".join(f"{k} double" for k in _PLACES))
