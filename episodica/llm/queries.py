@@ -48,7 +48,8 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     got = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     got = got.withColumn("base", F.filter("secrets", lambda x: x["k"] < 3))
-    counts = [F.size(F.filter("base", lambda x, i=i: x["k"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
+    of_kind = lambda i: lambda x: x["k"] == i
+    counts = [F.size(F.filter("base", of_kind(i))).cast("long").alias(f"n_{k}") for i, k in enumerate(secrets.KINDS[:3])]
     return got.select("doc_id", *counts, sha_hex(secrets.said(F.col("base"))).alias("base_sha256"), secrets.said(F.col("secrets")).alias("spans"))
 
 

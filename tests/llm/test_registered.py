@@ -60,6 +60,14 @@ def test_op5(spark, sf, texts):
         assert r.base_sha256 == sha(",".join(said)) and [x for x in r.spans.split(",") if x and not x.startswith("random")] == said
 
 
+def test_op5_counts_each_kind(spark, tmp_path):
+    assign, access, hexes = "Password: 'hunter2hunter2'", "AKIAABCDEFGHIJKL", "0123456789abcdef" * 2
+    rows = {1: ([assign], (1, 0, 0)), 2: ([access, access], (0, 2, 0)), 3: ([hexes, "x", assign, access, assign], (2, 1, 1)), 4: ([], (0, 0, 0)), 5: ([hexes] * 3, (0, 0, 3))}
+    spark.createDataFrame([(i, "\n".join(bits)) for i, (bits, _) in rows.items()], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op5_secrets(spark, str(tmp_path)).collect()
+    assert {r.doc_id: (r.n_assign, r.n_access, r.n_hex) for r in got} == {i: n for i, (_, n) in rows.items()}
+
+
 def test_op6(spark, sf, texts):
     got = sorted(((r.doc_id, r.class_id, r.n_links) for r in queries.op6_ngram_join(spark, sf).collect()), key=repr)
     assert got == brute_groups(list(texts.items()))
