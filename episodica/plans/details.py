@@ -122,7 +122,7 @@ def measure_table(spark, sf_dir):
 
 
 def _tracks(spark, sf_dir, limit=3000):
-    p = _points(spark, sf_dir).withColumns({"key": F.lit("value"), "reference": F.when(F.col("episode") % 2 == 0, 450.0)})
+    p = _points(spark, sf_dir).withColumns({"y": F.nullif(F.col("y"), F.lit(0.0)), "key": F.lit("value"), "reference": F.when(F.col("episode") % 2 == 0, 450.0)})
     return E.tracks(p, limit)
 
 

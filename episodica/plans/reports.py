@@ -33,7 +33,7 @@ def query(name: str, sql: str | None = None):
 
 
 def _points(spark, sf_dir):
-    return B.frames(spark, sf_dir).select("episode", F.col("frame_index").alias("i"), "t", F.nullif(F.col("value"), F.lit(0.0)).alias("y"))
+    return B.frames(spark, sf_dir).select("episode", F.col("frame_index").alias("i"), "t", F.col("value").alias("y"))
 
 
 @query("decimate", f"with {B.FRAMES_SQL}, n as (select episode, frame_index as i, t, value as y, count(*) over (partition by episode) as n from frames), ed as (select distinct episode, n, b, (n * b) // 10 as lo, (n * (b + 1)) // 10 as hi from n, range(10) r(b)), x as (select n.*, b from n join ed on n.episode = ed.episode and i >= lo and i < hi), k as (select *, first_value(i) over (partition by episode, b order by y, i) as a, first_value(i) over (partition by episode, b order by y desc, i) as z from x) select episode, i, round(t, 4) as t, round(y, 5) as y from k where i = a or i = z")
