@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -131,6 +133,11 @@ MEASURES = {
 _BOOL = {"video_decodable": "e % 41 <> 7"}
 
 
+def _doubles(sql: str) -> str:
+    """Spark's text of an expression: its literals with a point are doubles, as DuckDB's quotients are, not decimals."""
+    return re.sub(r"\d+\.\d+", r"\g<0>D", sql)
+
+
 def _typed(name: str, sql: str) -> str:
     return f"cast({sql} as {'int' if name == 'grasp_transitions' else 'double'}) as {name}"
 
@@ -140,7 +147,7 @@ def measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.measure import flag
 
     li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum("l_quantity").cast("bigint").alias("q"), F.count("*").alias("n"))
-    d = li.select(F.col("l_orderkey").alias("e"), "q", "n").selectExpr("e as episode", *[_typed(k, v) for k, v in MEASURES.items()], *[f"{v} as {k}" for k, v in _BOOL.items()], "case e % 9 when 0 then 0.0D when 1 then 0.5D when 2 then null else 1.0D end as semantic", "0.0D as max_speed")
+    d = li.select(F.col("l_orderkey").alias("e"), "q", "n").selectExpr("e as episode", *[_typed(k, _doubles(v)) for k, v in MEASURES.items()], *[f"{v} as {k}" for k, v in _BOOL.items()], "case e % 9 when 0 then 0.0D when 1 then 0.5D when 2 then null else 1.0D end as semantic", "0.0D as max_speed")
     return flag(d).drop("max_speed")
 
 

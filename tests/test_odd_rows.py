@@ -24,3 +24,13 @@ def test_decimate_keeps_zeros_as_values(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string").write.parquet(f"{tmp_path}/events.parquet")
     got, want = both(spark, tmp_path, "decimate")
     assert got == want and len(got) > 40
+
+
+def test_reasons_of_halves(spark, tmp_path):
+    # the video scores of the first three orders lie next to a half of the last digit shown
+    orders = [(368255, 153, 4), (483301, 138, 5), (223746, 171, 6), *((e, 3 * e + 1, 1 + e % 7) for e in range(1, 60))]
+    rows = [(e, float(q - n + 1 if i == 0 else 1)) for e, q, n in orders for i in range(n)]
+    spark.createDataFrame(rows, "l_orderkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    for name in ("decision_reasons", "decision_reasons_all"):
+        got, want = both(spark, tmp_path, name)
+        assert got == want
