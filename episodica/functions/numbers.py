@@ -44,7 +44,11 @@ def fixed(v: Column, digits: int) -> Column:
     """The text of v with so many digits behind the point (``%.3f``); NULL for NULL."""
     v, scale = v.cast("double"), 10**digits
     behind = lambda n: [F.lit("."), F.lpad((n % scale).cast("string"), digits, "0")] if digits else []
-    text = _let(_rounded(F.abs(v), F.lit(float(scale))), lambda n: F.concat(((n - n % scale) / scale).cast("long").cast("string"), *behind(n)))
+    # below 2^30 a product errs by less than 2^-23, so away from a half it decides by itself
+    p = F.abs(v) * float(scale)
+    plain = (p < 2.0**30) & (F.abs(p - F.floor(p) - 0.5) > 1e-6)
+    n = F.when(plain, F.floor(p + 0.5)).otherwise(_let(_rounded(F.abs(v), F.lit(float(scale))), lambda n: n))
+    text = F.concat(((n - n % scale) / scale).cast("long").cast("string"), *behind(n))
     return F.when(F.abs(v) * scale < 2.0**53, F.concat(F.when(v < 0, "-").otherwise(""), text)).when(v.isNotNull(), F.format_string(f"%.{digits}f", v))
 
 
