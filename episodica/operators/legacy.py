@@ -17,7 +17,7 @@ from ..functions import kernels as K
 from ..functions.kernels import clip
 from . import fit, score
 from .measure import by_joint, ep
-from .selection import percentiles, small
+from .selection import dealt, percentiles, small
 
 #: The earlier interface's weights and the good/bad cut.
 WEIGHTS = {"visual_clarity": 20, "smoothness": 10, "collision": 10, "runtime": 20, "actuator_saturation": 10}
@@ -95,6 +95,8 @@ def sparc(frames: DataFrame, cutoff_hz: float = 10.0, pad: int = 5) -> DataFrame
     w = W.partitionBy("episode", "joint").orderBy("frame_index")
     every = W.partitionBy("episode", "joint")
     d = frames.select("episode", "frame_index", "t", F.posexplode("state").alias("joint", "q")).withColumn("q", K.clean(F.col("q").cast("double")))
+    # a sample makes many sums, so a task gets a fixed number of frames
+    d = dealt(d, 20_000, "episode", "joint", of=frames)
     d = d.withColumns({"i": F.row_number().over(w).cast("long") - 1, "v": K.slope(F.col("q"), F.col("t"), w)})
     d = d.withColumns({"n": F.count("*").over(every), "step": F.max_by("t", "frame_index").over(every) - F.min_by("t", "frame_index").over(every)})
     d = d.where("n > 1").withColumn("step", F.when(F.col("step") > 0, F.col("step") / (F.col("n") - 1)))

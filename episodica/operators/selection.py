@@ -46,6 +46,12 @@ def small(spark: SparkSession, rows: Sequence[Sequence], schema: str) -> DataFra
     return spark.createDataFrame(pa.Table.from_arrays([pa.array(c, to_arrow_type(f.dataType)) for f, c in zip(fields, columns)], fields.names), fields)
 
 
+def dealt(df: DataFrame, per: int, *keys: str, of: DataFrame | None = None) -> DataFrame:
+    """The rows dealt by keys into partitions of about ``per`` rows of ``of`` (else of the input), so that what a task does and holds doesn't grow with the table."""
+    n = (df if of is None else of).count()
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(n / per)), *keys)
+
+
 def _brackets(d: DataFrame, sketches: Sequence[bytes], asked: Sequence[Sequence[tuple[int, int, int]]], margin: float) -> list[list[list[float]]]:
     """For each sketch and each (n, lo, hi) asked of it: the sketch's values at both ranks of n and at the ends of a bracket around them.
 
