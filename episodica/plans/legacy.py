@@ -9,6 +9,7 @@ from ..functions import gray as G
 from ..functions import verdicts as V
 from ..operators import legacy as L
 from ..operators import measure as M
+from ..operators.selection import dealt
 from . import bindings as B
 from .motion import rounded
 from .scoring import WITH, family_sql, m
@@ -191,7 +192,9 @@ _REPLY = """'{"observed_final_state": "' || event_type || '"' || case when k % 3
 
 
 def _replies(spark, sf_dir):
-    e = B.table(spark, sf_dir, "events").select("event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
+    # a few files of narrow rows are too few tasks for the work on every reply
+    e = dealt(B.table(spark, sf_dir, "events").select("event_id", "event_type", "props"), 50_000, "event_id")
+    e = e.select("event_id", "event_type", F.get_json_object("props", "$.k").cast("int").alias("k"))
     return e.withColumn("reply", F.expr(_REPLY.replace("chr(10)", "'\\n'")))
 
 
