@@ -37,11 +37,15 @@ def _table(df: DataFrame, cols: Sequence[str], aggregates: Mapping[str, Callable
 
 def severity_histogram(scored: DataFrame, bins: int = 20) -> DataFrame:
     """bin and n; the range ends at the 99th percentile, 1 at least, and what lies beyond counts in the last bin."""
-    (top,) = percentiles(scored, {"severity": (F.col("severity"), (0.99,))})[0]["severity"]
-    d = scored.select("severity")
-    b = F.when(F.col("severity").isNotNull(), F.least(F.floor(clip(F.col("severity") / max(top or 0.0, 1.0)) * bins), F.lit(bins - 1))).cast("int")
-    all_bins = scored.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return all_bins.join(d.groupBy(b.alias("bin")).agg(F.count("*").alias("n")), "bin", "left").select("bin", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    # the one column is kept, so that rows are scored once, not once a pass
+    d = scored.select("severity").persist()
+    try:
+        (top,) = percentiles(d, {"severity": (F.col("severity"), (0.99,))})[0]["severity"]
+        b = F.when(F.col("severity").isNotNull(), F.least(F.floor(clip(F.col("severity") / max(top or 0.0, 1.0)) * bins), F.lit(bins - 1))).cast("int")
+        got = {r["bin"]: r["n"] for r in d.groupBy(b.alias("bin")).agg(F.count("*").alias("n")).collect()}
+    finally:
+        d.unpersist()
+    return small(scored.sparkSession, [(i, got.get(i, 0)) for i in range(bins)], "bin int, n bigint")
 
 
 def agreement(scored: DataFrame, discarded: DataFrame) -> DataFrame:
