@@ -115,13 +115,16 @@ def position(v: Column, good: Column | float, bad: Column | float) -> Column:
     return F.try_divide(v - good, bad - good)
 
 
-def violation(u: Column) -> Column:
-    return F.when(u <= 0, 0.0).when(u <= 1, P_MAX * smoothstep(u)).when(u > 1, 1 - F.pow(F.lit(1 - P_MAX), F.least(u, F.lit(U_CAP))))
+def violation(u: Column, step: Column | None = None) -> Column:
+    """step is smoothstep(u), where that is at hand."""
+    step = smoothstep(u) if step is None else step
+    return F.when(u <= 0, 0.0).when(u <= 1, P_MAX * step).when(u > 1, 1 - F.pow(F.lit(1 - P_MAX), F.least(u, F.lit(U_CAP))))
 
 
-def cost(u: Column) -> Column:
+def cost(u: Column, step: Column | None = None) -> Column:
     """The nats of a violation."""
-    return F.when(u <= 0, 0.0).when(u <= 1, -F.ln(F.greatest(1 - P_MAX * smoothstep(u), F.lit(1e-300)))).when(u > 1, F.least(u, F.lit(U_CAP)) * -math.log(1 - P_MAX))
+    step = smoothstep(u) if step is None else step
+    return F.when(u <= 0, 0.0).when(u <= 1, -F.ln(F.greatest(1 - P_MAX * step, F.lit(1e-300)))).when(u > 1, F.least(u, F.lit(U_CAP)) * -math.log(1 - P_MAX))
 
 
 def bin20(v: Column, bins: int = 20) -> Column:

@@ -174,15 +174,13 @@ def quantity(key: str, p: Profile) -> Column:
 
 def unpivot(measures: DataFrame, p: Profile, criteria: tuple[Criterion, ...]) -> DataFrame:
     """A row per episode and criterion; a projection, with the anchors as constants."""
-    rows = [
-        F.struct(
-            F.lit(i).alias("rank"), F.lit(c.quantity).alias("quantity"), F.lit(c.label).alias("label"), F.lit(c.family).alias("family"), F.lit(c.unit).alias("unit"), F.lit(c.action).alias("action"),
-            F.lit(float(c.weight)).alias("weight"), F.lit(float(c.good)).alias("good"), F.lit(float(c.bad)).alias("bad"), quantity(c.quantity, p).alias("value"),
-        )
-        for i, c in enumerate(criteria)
-        if c.enabled
-    ]
-    return measures.select("episode", "valid", F.inline(F.array(*rows)))
+    active = [(i, c) for i, c in enumerate(criteria) if c.enabled]
+    # values alone are spread and the rest is looked up by place: code that names every criterion in full is too long for the JVM to compile
+    d = measures.select("episode", "valid", F.posexplode(F.array(*[quantity(c.quantity, p).cast("double") for _, c in active]).cast("array<double>")).alias("__at", "value"))
+    of = lambda name, values: F.get(F.array(*[F.lit(v) for v in values]), F.col("__at")).alias(name) if active else F.lit(None).alias(name)
+    texts = [of(k, [getattr(c, k) for _, c in active]) for k in ("quantity", "label", "family", "unit", "action")]
+    numbers = [of(k, [float(getattr(c, k)) for _, c in active]) for k in ("weight", "good", "bad")]
+    return d.select("episode", "valid", of("rank", [i for i, _ in active]), *texts, *numbers, "value")
 
 
 def fit_profile(measures: DataFrame, base: Profile | None = None, good_sigma: float = 1.0, bad_sigma: float = 4.0, fitted_on: str = "") -> Profile:

@@ -8,7 +8,6 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from ..functions import kernels as K
 from ..functions.numbers import fixed, general
@@ -185,12 +184,14 @@ def decide(scored: DataFrame, p: Policy | None = None) -> DataFrame:
     return _finish(scored, stages, _listed(review))
 
 
-def _finish(d: DataFrame, stages: list[tuple[Column, Column]], review: Column, early: tuple[Column, Column] | None = None) -> DataFrame:
+def _finish(d: DataFrame, stages: list[tuple[Column, Column]], review: Column, looked: Column | None = None) -> DataFrame:
+    """looked: whether review has texts, where that can be told without them."""
+    looked = F.size(review) > 0 if looked is None else looked
     decision = reasons = None
     for ok, why in stages:
         decision = F.when(ok, "reject") if decision is None else decision.when(ok, "reject")
         reasons = F.when(ok, why) if reasons is None else reasons.when(ok, why)
-    decision = decision.when(F.size(review) > 0, "review").otherwise("accept")
+    decision = decision.when(looked, "review").otherwise("accept")
     reasons = reasons.when(F.size(review) > 0, review).otherwise(F.array().cast("array<string>"))
     return d.withColumn("decision", decision).withColumn("reasons", reasons)
 
@@ -201,24 +202,40 @@ def penalties(measures: DataFrame, p: T.Profile) -> DataFrame:
     return d.withColumn("p", K.violation(F.col("u"))).withColumn("cost", K.cost(F.col("u")))
 
 
-def criteria(p: T.Profile) -> Column:
-    """An array of each enabled criterion's i (its place in the profile), value, violation p and weighted cost nats.
+def criteria(p: T.Profile, only: Sequence[int] | None = None) -> Column:
+    """An array of each enabled criterion's i (its place in the profile), value, violation p, weighted cost nats and cost.
+
+    only: the places to judge.
 
     Values stand side by side, and one lambda judges them all, so the code to compile doesn't grow with their number.
     """
-    active = [(i, c) for i, c in enumerate(p.criteria) if c.enabled]
+    active = [(i, c) for i, c in enumerate(p.criteria) if c.enabled and (only is None or i in only)]
     number = lambda v: F.lit(float(v))
     rows = [F.struct(F.lit(i).alias("i"), T.quantity(c.quantity, p).cast("double").alias("value"), number(c.good).alias("good"), number(c.bad).alias("bad"), number(c.weight).alias("weight")) for i, c in active]
     if not rows:
-        return F.array().cast("array<struct<i:int,value:double,p:double,nats:double>>")
+        return F.array().cast("array<struct<i:int,value:double,p:double,nats:double,cost:double>>")
     placed = F.transform(F.array(*rows), lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), x["weight"].alias("weight"), K.position(x["value"], x["good"], x["bad"]).alias("u")))
-    return F.transform(placed, lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), K.violation(x["u"]).alias("p"), (x["weight"] * K.cost(x["u"])).alias("nats")))
+    cut = F.transform(placed, lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), x["weight"].alias("weight"), x["u"].alias("u"), K.clip(x["u"]).alias("c")))
+    step = lambda c: 3 * c * c - 2 * c * c * c
+    judged = F.transform(cut, lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), x["weight"].alias("weight"), K.violation(x["u"], step(x["c"])).alias("p"), K.cost(x["u"], step(x["c"])).alias("cost")))
+    return F.transform(judged, lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), x["p"].alias("p"), (x["weight"] * x["cost"]).alias("nats"), x["cost"].alias("cost")))
 
 
 def ranked(measures: DataFrame, p: T.Profile) -> DataFrame:
     """The criteria of every episode with ``place``, the dearest first; weighted costs count to nine places, ties by rank."""
-    w = W.partitionBy("episode").orderBy(F.desc_nulls_last(F.round(F.col("weight") * F.col("cost"), 9)), "rank")
-    return penalties(measures, p).withColumn("place", F.row_number().over(w))
+    d = measures.select("episode", "valid", F.posexplode(_dearest(criteria(p))).alias("__at", "__c"))
+    of = lambda name, values: F.get(F.array(*[F.lit(v) for v in values]), F.col("__c.i")).alias(name) if values else F.lit(None).alias(name)
+    texts = [of(k, [getattr(c, k) for c in p.criteria]) for k in ("quantity", "label", "family", "unit", "action")]
+    numbers = [of(k, [float(getattr(c, k)) for c in p.criteria]) for k in ("weight", "good", "bad")]
+    d = d.select("episode", "valid", F.col("__c.i").alias("rank"), *texts, *numbers, "__c.value", "__c.p", "__c.cost", (F.col("__at") + 1).alias("place"))
+    u = K.position(F.col("value"), F.col("good"), F.col("bad"))
+    return d.select("episode", "valid", "rank", "quantity", "label", "family", "unit", "action", "weight", "good", "bad", "value", u.alias("u"), "p", "cost", "place")
+
+
+def _dearest(judged: Column) -> Column:
+    """Criteria by descending weighted cost to nine places, unknown ones last, equals by rank: sorted inside their row, so that no table of criteria is sorted."""
+    at = lambda x: F.round(x["nats"], 9)
+    return F.sort_array(F.transform(judged, lambda x: F.struct(at(x).isNull().alias("none"), (-at(x)).alias("dear"), x["i"].alias("i"), x["value"].alias("value"), x["p"].alias("p"), x["cost"].alias("cost"))))
 
 
 def _counting(p: T.Profile) -> list[int]:
@@ -240,15 +257,18 @@ def score_absolute(measures: DataFrame, p: T.Profile) -> DataFrame:
 
 def family_view(measures: DataFrame, p: T.Profile) -> DataFrame:
     """episode, family and exp(-weighted cost) over all measurable criteria of positive weight."""
-    d = penalties(measures, p).where("weight > 0 and cost is not null")
+    # a cost is unknown where the position is
+    d = penalties(measures, p).where("weight > 0 and u is not null")
     return d.groupBy("episode", "family").agg(F.exp(-F.sum(F.col("weight") * F.col("cost"))).alias("score"))
 
 
 def top_offenders(measures: DataFrame, p: T.Profile, k: int = 3) -> DataFrame:
     """The k dearest criteria of each episode; equals keep the criteria's order."""
-    d = penalties(measures, p).where("action <> 'review' and weight * cost > 0")
-    w = W.partitionBy("episode").orderBy(F.desc(F.round(F.col("weight") * F.col("cost"), 9)), "rank")
-    return d.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k).select("episode", "place", "quantity", "value", "p", "cost")
+    able = [i for i, c in enumerate(p.criteria) if c.enabled and c.action != "review"]
+    top = F.slice(_dearest(F.filter(criteria(p, able), lambda x: x["nats"] > 0)), 1, k)
+    d = measures.select("episode", F.posexplode(top).alias("__at", "__c"))
+    quantities = F.array(*[F.lit(c.quantity) for c in p.criteria]) if p.criteria else F.array().cast("array<string>")
+    return d.select("episode", (F.col("__at") + 1).alias("place"), F.get(quantities, F.col("__c.i")).alias("quantity"), "__c.value", "__c.p", "__c.cost")
 
 
 def decide_absolute(scored: DataFrame, p: T.Profile) -> DataFrame:
@@ -263,11 +283,15 @@ def decide_absolute(scored: DataFrame, p: T.Profile) -> DataFrame:
     top = F.transform(dear, lambda x: F.concat(F.get(label, x["i"]), general(x["value"], 4), F.get(behind, x["i"]), fixed(x["p"], 2), F.lit(")")))
     said = F.concat(F.array(F.concat(F.lit("score "), fixed(F.col("total"), 3), F.lit(f" < {p.threshold:g}"))), top)
     looked_at = [i for i, c in enumerate(p.criteria) if c.enabled and c.action == "review"]
-    bad = F.filter("__criteria", lambda x: x["i"].isin(looked_at) & (x["p"] > 0.5))
+    bad = F.filter(criteria(p, looked_at), lambda x: x["p"] > 0.5)
     noted = F.transform(bad, lambda x: F.concat(F.get(label, x["i"]), general(x["value"], 4), F.get(texts(unit), x["i"])))
     stages = _common(scored.columns, 0.0) + [(F.coalesce(F.col("total") < p.threshold, F.lit(False)), said)]
-    review = F.concat(_listed([(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in SOFT]), noted)
+    soft = [(F.coalesce(F.col(f), F.lit(False)), F.lit(f"flag:{f}")) for f in SOFT]
+    review, looked = F.concat(_listed(soft), noted), F.col("total").isNull()
+    for ok, _ in soft:
+        looked = looked | ok
     if has:
-        review = F.concat(review, _listed([(F.coalesce(F.col("semantic") < 1, F.lit(False)), F.concat(F.lit("semantic "), general(F.col("semantic"))))]))
+        low = F.coalesce(F.col("semantic") < 1, F.lit(False))
+        review, looked = F.concat(review, _listed([(low, F.concat(F.lit("semantic "), general(F.col("semantic"))))])), looked | low
     unmeasured = F.array(F.lit("no criterion measurable on this episode"))
-    return _finish(d, stages, F.when(F.col("total").isNull(), unmeasured).otherwise(review)).drop("__criteria")
+    return _finish(d, stages, F.when(F.col("total").isNull(), unmeasured).otherwise(review), looked | (F.size(bad) > 0)).drop("__criteria")
