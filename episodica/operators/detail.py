@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions import series
 from ..functions.numbers import fixed
+from .fit import Profile
 from .measure import HARD, SOFT
 from .numbering import before
 from .score import FAMILIES
+from .score import criteria as judged
 
 #: Family, name, column (or several, shown side by side), decimal places and unit of the measures that a page lists.
 MEASURES = (
@@ -49,8 +51,8 @@ def _shown(c: str, kind: str, places: int | None) -> Column:
     return F.when(v.isNull() | (F.lit(False) if whole else F.isnan(v)), "-").otherwise(text)
 
 
-def measure_table(measures: DataFrame) -> DataFrame:
-    """episode, place, family, name, value (text, ``-`` where not measured) and unit; rows whose columns the input lacks are left out."""
+def measure_list(measures: DataFrame) -> Column:
+    """An array with an episode's rows of ``measure_table``, by place."""
     kinds = dict(measures.dtypes)
     text = lambda cs, places: F.concat_ws(" / ", *[_shown(c, kinds[c], places) for c in cs])
     rows = [
@@ -58,7 +60,19 @@ def measure_table(measures: DataFrame) -> DataFrame:
         for i, (family, name, c, places, unit) in enumerate(MEASURES)
         if set(cs := (c,) if isinstance(c, str) else c) <= set(kinds)
     ]
-    return measures.select("episode", F.inline(F.array(*rows)))
+    return F.array(*rows)
+
+
+def measure_table(measures: DataFrame) -> DataFrame:
+    """episode, place, family, name, value (text, ``-`` where not measured) and unit; rows whose columns the input lacks are left out."""
+    return measures.select("episode", F.inline(measure_list(measures)))
+
+
+def criteria_list(p: Profile) -> Column:
+    """An array of an episode's criteria as worst (minus the violation), quantity, value and p, the worst first."""
+    name = F.array(*[F.lit(c.quantity) for c in p.criteria]) if p.criteria else F.array().cast("array<string>")
+    shown = lambda x: F.struct((-F.coalesce(x["p"], F.lit(-1.0))).alias("worst"), F.get(name, x["i"]).alias("quantity"), x["value"].alias("value"), x["p"].alias("p"))
+    return F.sort_array(F.transform(judged(p), shown))
 
 
 def axis(low: Column, high: Column, reference: Column) -> tuple[Column, Column]:
@@ -82,12 +96,13 @@ def tracks(points: DataFrame, limit: int = 3000) -> DataFrame:
     return d.select(*keys, F.coalesce(F.round("low", 5), F.lit(0.0)).alias("min"), F.coalesce(F.round("high", 5), F.lit(1.0)).alias("max"), "reference", "lo", "hi", F.col("p.t").alias("t"), F.col("p.y").alias("y"))
 
 
-def episode_detail(scored: DataFrame, traces: DataFrame, contact: DataFrame, idle: DataFrame, criteria: DataFrame | None = None, videos: DataFrame | None = None, discarded: DataFrame | None = None) -> DataFrame:
+def episode_detail(scored: DataFrame, traces: DataFrame, contact: DataFrame, idle: DataFrame, criteria: DataFrame | Profile | None = None, videos: DataFrame | None = None, discarded: DataFrame | None = None) -> DataFrame:
     """A row per scored episode with everything that its page shows.
 
     traces as from ``tracks``; contact and idle as from ``series.spans``; criteria with
-    episode, quantity, value and p; videos with episode, camera and path. Everything joins by
-    episode, so one exchange by episode serves all.
+    episode, quantity, value and p, or the profile to judge by; videos with episode, camera and path.
+    What is listed beside the scored rows is hashed for them to pass by; measures, and the criteria of a
+    profile, become lists inside the row behind those joins. So no wide row is sorted or moved.
     """
 
     def listed(d: DataFrame, order: Sequence[str], name: str) -> DataFrame:
@@ -96,23 +111,28 @@ def episode_detail(scored: DataFrame, traces: DataFrame, contact: DataFrame, idl
 
     flags = [c for c in (*HARD, *SOFT) if c in scored.columns]
     families = [c for c in FAMILIES if c in scored.columns]
-    d = scored.select(
+    page = [
         "episode", F.coalesce(F.round("duration_s", 3), F.lit(0.0)).alias("duration"), *[F.col(c) for c in ("n_frames",) if c in scored.columns], *[F.round("fps", 3).alias("fps") for _ in (0,) if "fps" in scored.columns],
         F.struct(*flags).alias("flags"), F.array_compact(F.array(*[F.when(F.col(f), F.lit(f)) for f in flags])).alias("raised"),
         F.struct(F.round("total", 4).alias("total"), "decision", "reasons", F.struct(*[F.round(f, 4).alias(f) for f in families]).alias("families")).alias("score"), "severity",
-    )
-    parts = [listed(measure_table(scored), ["place"], "measures"), listed(traces, ["key"], "tracks"), listed(contact, ["start"], "contact"), listed(idle, ["start"], "idle")]
-    if criteria is not None:
+    ]
+    parts = [listed(traces, ["key"], "tracks"), listed(contact, ["start"], "contact"), listed(idle, ["start"], "idle")]
+    if isinstance(criteria, DataFrame):
         ranked = criteria.withColumn("worst", -F.coalesce("p", F.lit(-1.0)))
         parts.append(listed(ranked, ["worst", "quantity"], "criteria"))
     if videos is not None:
         parts.append(listed(videos, ["camera"], "videos"))
-    for p in parts:
-        name = next(c for c in p.columns if c != "episode")
-        d = d.join(p, "episode", "left").withColumn(name, F.coalesce(name, F.array().cast(dict(p.dtypes)[name])))
+    lists = {c: kind for p in parts for c, kind in p.dtypes if c != "episode"}
     if discarded is not None:
-        d = d.join(discarded.select("episode", F.lit(True).alias("discarded")).distinct(), "episode", "left").withColumn("discarded", F.coalesce("discarded", F.lit(False)))
-    return d
+        parts.append(discarded.select("episode", F.lit(True).alias("discarded")).distinct())
+    d = scored
+    for p in parts:
+        # a list may have the name of a family
+        d = d.join(p.select("episode", *[F.col(c).alias(f"__{c}") for c in p.columns if c != "episode"]).hint("shuffle_hash"), "episode", "left")
+    own = {"measures": measure_list(scored)} | ({"criteria": criteria_list(criteria)} if isinstance(criteria, Profile) else {})
+    got = own | {c: F.coalesce(F.col(f"__{c}"), F.array().cast(kind)) for c, kind in lists.items()}
+    names = [c for c in ("measures", "tracks", "contact", "idle", "criteria", "videos") if c in got]
+    return d.select(*page, *[got[c].alias(c) for c in names], *([F.coalesce("__discarded", F.lit(False)).alias("discarded")] if discarded is not None else []))
 
 
 def by_episode(frames: DataFrame, known: DataFrame | None = None, default: str | None = None) -> DataFrame:

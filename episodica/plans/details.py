@@ -141,10 +141,9 @@ def episode_detail(spark, sf_dir):
     f = B.frames(spark, sf_dir)
     spans = lambda c: Z.spans(f.select("episode", "t", c.alias("mask")))
     videos = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("episode"), F.lower(F.regexp_replace("o_orderpriority", "[^A-Za-z]", "")).alias("camera"), F.concat(F.lit("clip-"), F.col("o_orderkey")).alias("path"))
-    criteria = S.penalties(m(spark, sf_dir), PROFILE).select("episode", "quantity", "value", "p")
     discarded = B.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("episode"))
     scored = _decided(spark, sf_dir)
-    return E.episode_detail(scored, _tracks(spark, sf_dir, 400), spans(F.col("value") > 100), spans(F.col("value") < 10), criteria, videos, discarded)
+    return E.episode_detail(scored, _tracks(spark, sf_dir, 400), spans(F.col("value") > 100), spans(F.col("value") < 10), PROFILE, videos, discarded)
 
 
 @query(
