@@ -221,21 +221,36 @@ def criteria(p: T.Profile, only: Sequence[int] | None = None) -> Column:
     return F.transform(judged, lambda x: F.struct(x["i"].alias("i"), x["value"].alias("value"), x["p"].alias("p"), (x["weight"] * x["cost"]).alias("nats"), x["cost"].alias("cost")))
 
 
-def ranked(measures: DataFrame, p: T.Profile) -> DataFrame:
-    """The criteria of every episode with ``place``, the dearest first; weighted costs count to nine places, ties by rank."""
-    d = measures.select("episode", "valid", F.posexplode(_dearest(criteria(p))).alias("__at", "__c"))
-    of = lambda name, values: F.get(F.array(*[F.lit(v) for v in values]), F.col("__c.i")).alias(name) if values else F.lit(None).alias(name)
-    texts = [of(k, [getattr(c, k) for c in p.criteria]) for k in ("quantity", "label", "family", "unit", "action")]
-    numbers = [of(k, [float(getattr(c, k)) for c in p.criteria]) for k in ("weight", "good", "bad")]
-    d = d.select("episode", "valid", F.col("__c.i").alias("rank"), *texts, *numbers, "__c.value", "__c.p", "__c.cost", (F.col("__at") + 1).alias("place"))
-    u = K.position(F.col("value"), F.col("good"), F.col("bad"))
-    return d.select("episode", "valid", "rank", "quantity", "label", "family", "unit", "action", "weight", "good", "bad", "value", u.alias("u"), "p", "cost", "place")
+def _dearest(values: Column, active: Sequence[tuple[int, T.Criterion]]) -> Column:
+    """Criteria, as their places in active, by descending weighted cost to nine places, unknown ones last, equals in their order.
 
+    They are sorted inside their row, so that no table of criteria is sorted, and by costs alone: lambdas aren't compiled, so
+    what a row shows besides is left to the rows that come out.
+    """
+    of = lambda name, i: F.get(F.array(*[F.lit(float(getattr(c, name))) for _, c in active]).cast("array<double>"), i)
+    placed = F.transform(values, lambda v, i: K.position(v, of("good", i), of("bad", i)))
+    nats = F.transform(placed, lambda u, i: of("weight", i) * K.cost(u, 3 * u * u - 2 * u * u * u))
+    dear = lambda n: F.when(n == 0, 0.0).when(n.isNotNull(), -F.round(n, 9)).otherwise(float("inf"))
+    return F.sort_array(F.transform(nats, lambda n, i: F.struct(dear(n).alias("dear"), i.alias("i"), n.alias("nats"))))
+
+
+def _by_cost(measures: DataFrame, p: T.Profile, active: Sequence[tuple[int, T.Criterion]], chosen=lambda dearest: dearest) -> DataFrame:
+    """A row per episode and criterion in the order of ``_dearest``, its values beside its place."""
+    values = F.array(*[T.quantity(c.quantity, p).cast("double") for _, c in active]).cast("array<double>")
+    d = measures.select("episode", "valid", values.alias("__values"))
+    d = d.select("episode", "valid", "__values", F.posexplode(chosen(_dearest(F.col("__values"), active))).alias("__at", "__c"))
+    of = lambda name, items: F.get(F.array(*[F.lit(v) for v in items]), F.col("__c.i")).alias(name) if active else F.lit(None).alias(name)
+    texts = [of(k, [getattr(c, k) for _, c in active]) for k in ("quantity", "label", "family", "unit", "action")]
+    numbers = [of(k, [float(getattr(c, k)) for _, c in active]) for k in ("weight", "good", "bad")]
+    d = d.select("episode", "valid", of("rank", [i for i, _ in active]), *texts, *numbers, F.get("__values", F.col("__c.i")).alias("value"), (F.col("__at") + 1).alias("place"))
+    d = d.withColumn("u", K.position(F.col("value"), F.col("good"), F.col("bad")))
+    return d.withColumn("p", K.violation(F.col("u"))).withColumn("cost", K.cost(F.col("u")))
 
-def _dearest(judged: Column) -> Column:
-    """Criteria by descending weighted cost to nine places, unknown ones last, equals by rank: sorted inside their row, so that no table of criteria is sorted."""
-    at = lambda x: F.round(x["nats"], 9)
-    return F.sort_array(F.transform(judged, lambda x: F.struct(at(x).isNull().alias("none"), (-at(x)).alias("dear"), x["i"].alias("i"), x["value"].alias("value"), x["p"].alias("p"), x["cost"].alias("cost"))))
+
+def ranked(measures: DataFrame, p: T.Profile) -> DataFrame:
+    """The criteria of every episode with ``place``, the dearest first; weighted costs count to nine places, ties by rank."""
+    d = _by_cost(measures, p, [(i, c) for i, c in enumerate(p.criteria) if c.enabled])
+    return d.select("episode", "valid", "rank", "quantity", "label", "family", "unit", "action", "weight", "good", "bad", "value", "u", "p", "cost", "place")
 
 
 def _counting(p: T.Profile) -> list[int]:
@@ -264,11 +279,9 @@ def family_view(measures: DataFrame, p: T.Profile) -> DataFrame:
 
 def top_offenders(measures: DataFrame, p: T.Profile, k: int = 3) -> DataFrame:
     """The k dearest criteria of each episode; equals keep the criteria's order."""
-    able = [i for i, c in enumerate(p.criteria) if c.enabled and c.action != "review"]
-    top = F.slice(_dearest(F.filter(criteria(p, able), lambda x: x["nats"] > 0)), 1, k)
-    d = measures.select("episode", F.posexplode(top).alias("__at", "__c"))
-    quantities = F.array(*[F.lit(c.quantity) for c in p.criteria]) if p.criteria else F.array().cast("array<string>")
-    return d.select("episode", (F.col("__at") + 1).alias("place"), F.get(quantities, F.col("__c.i")).alias("quantity"), "__c.value", "__c.p", "__c.cost")
+    able = [(i, c) for i, c in enumerate(p.criteria) if c.enabled and c.action != "review"]
+    d = _by_cost(measures, p, able, lambda dearest: F.slice(F.filter(dearest, lambda x: x["nats"] > 0), 1, k))
+    return d.select("episode", "place", "quantity", "value", "p", "cost")
 
 
 def decide_absolute(scored: DataFrame, p: T.Profile) -> DataFrame:
